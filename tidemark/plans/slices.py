@@ -1,0 +1,159 @@
+"""Ordered per-key work that survives hot keys.
+
+``lag`` or a running sum needs all rows of a key in order, and a plain window
+sends them to one task. Here a *hot* key is cut along time into slices, each
+slice is ordered by its own task, and only the rows or totals at the slice
+borders meet again. A key that is not hot is one slice and pays for nothing
+but the measuring pass.
+
+A key is hot when it holds more than ``min_rows`` rows **and** more than one
+``MAX_HOT_KEYS``-th of all rows. The second condition bounds the number of hot
+keys by ``MAX_HOT_KEYS`` and the number of their slices by twice that, so the
+two small tables broadcast below never grow with the data.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+MAX_HOT_KEYS = 50_000
+MIN_HOT_ROWS = 2_000_000
+WHOLE = -1  # slice number of every row whose key is not hot
+
+
+def with_slice(
+    df: DataFrame, keys: Sequence[str], ts: str, min_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
+    """Add ``_slice``: a time slice for rows of hot keys, ``WHOLE`` for others."""
+    stats = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.unix_micros(ts)).alias("_lo"),
+        F.max(F.unix_micros(ts)).alias("_hi"),
+    )
+    total = stats.agg(F.sum("_n")).scalar()
+    limit = F.greatest(F.lit(float(min_rows)), total / F.lit(float(MAX_HOT_KEYS)))
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) * limit / F.col("_n"))
+    hot = stats.where(F.col("_n") > limit).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys],
+        "_lo",
+        F.greatest(width, F.lit(1)).alias("_width"),
+    )
+    if keys:
+        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+        out = df.join(F.broadcast(hot), same, "left")
+        lo, size = F.col("_lo"), F.col("_width")
+    else:  # one group: its two numbers come as scalar subqueries
+        out = df
+        lo, size = hot.select("_lo").scalar(), hot.select("_width").scalar()
+    at = F.call_function("div", F.unix_micros(ts) - lo, size)
+    return out.withColumn("_slice", F.coalesce(at, F.lit(WHOLE).cast("long"))).drop(
+        "_lo", "_width", *[f"_hot_{k}" for k in keys]
+    )
+
+
+def with_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    ties: Sequence[str],
+    cols: Sequence[str],
+    back: int = 1,
+    ahead: int = 0,
+    min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Add ``prev1..prevN`` and ``next1..nextM``: structs of ``cols``.
+
+    Rows in the middle of a slice find their neighbours there. The first and
+    last few rows of each slice are collected per key, where they are adjacent
+    again, and find theirs in a second, small window.
+    """
+    reach = max(back, ahead)
+    order = [ts, *ties]
+    near = F.struct(*cols)
+
+    def neighbours(frame: DataFrame, by: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order)
+        added = {f"prev{i}": F.lag(near, i).over(w) for i in range(1, back + 1)}
+        added |= {f"next{i}": F.lead(near, i).over(w) for i in range(1, ahead + 1)}
+        return frame.withColumns(added)
+
+    sliced = with_slice(df, keys, ts, min_rows)
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    local = neighbours(sliced, [*keys, "_slice"]).withColumns(
+        {
+            "_head": F.row_number().over(w),
+            "_last": F.lead(F.lit(1), reach).over(w).isNull(),
+            "_short": F.lead(F.lit(1), max(ahead, 1)).over(w).isNull(),
+        }
+    )
+    cut = F.col("_slice") != WHOLE
+    open_ended = F.col("_head") <= back
+    if ahead:
+        open_ended = open_ended | F.col("_short")
+    found = [f"prev{i}" for i in range(1, back + 1)]
+    found += [f"next{i}" for i in range(1, ahead + 1)]
+    inner = local.where(~cut | ~open_ended)
+    border = local.where(cut & ((F.col("_head") <= reach) | F.col("_last")))
+    joined = neighbours(border.drop(*found), keys).where(open_ended)
+    return inner.unionByName(joined).drop("_slice", "_head", "_last", "_short")
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    ties: Sequence[str],
+    values: dict[str, Column],
+    how: str = "sum",
+    min_rows: int = MIN_HOT_ROWS,
+    include_current: bool = True,
+) -> DataFrame:
+    """Add running ``sum`` or ``max`` columns in (ts, ties) order per key.
+
+    Inside a slice the window runs as usual; what came before the slice is one
+    number per slice, added from a broadcast table of bounded size.
+    """
+    fold = {"sum": F.sum, "max": F.max}[how]
+    plus = {"sum": lambda a, b: a + b, "max": F.greatest}[how]
+    neutral = {"sum": F.lit(0), "max": F.lit(None)}[how]
+    named = {f"_in_{name}": value for name, value in values.items()}
+    sliced = with_slice(df.withColumns(named), keys, ts, min_rows)
+
+    rows_end = Window.currentRow if include_current else -1
+    w = (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy(ts, *ties)
+        .rowsBetween(Window.unboundedPreceding, rows_end)
+    )
+    local = sliced.withColumns({n: fold(f"_in_{n}").over(w) for n in values})
+
+    earlier = (
+        Window.partitionBy(*[f"_of_{k}" for k in keys])
+        .orderBy("_at")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    totals = (
+        sliced.where(F.col("_slice") != WHOLE)
+        .groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_slice").alias("_at"))
+        .agg(*[fold(f"_in_{n}").alias(f"_sum_{n}") for n in values])
+    )
+    before = totals.select(
+        *[f"_of_{k}" for k in keys],
+        "_at",
+        *[fold(f"_sum_{n}").over(earlier).alias(f"_before_{n}") for n in values],
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    out = local.join(F.broadcast(before), [*same, F.col("_slice") == F.col("_at")], "left")
+    if how == "sum":
+        merged = {
+            n: F.coalesce(F.col(n), neutral) + F.coalesce(F.col(f"_before_{n}"), neutral)
+            for n in values
+        }
+    else:
+        merged = {n: plus(F.col(n), F.col(f"_before_{n}")) for n in values}
+    return out.withColumns(merged).drop(
+        "_slice", "_at", *named, *[f"_of_{k}" for k in keys], *[f"_before_{n}" for n in values]
+    )
