@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_PARTS = ("basics",)
+_PARTS = ("basics", "counts", "timed", "sequences", "scalars")
 
 
 def _registry():
