@@ -1,0 +1,122 @@
+"""Hot keys are cut into slices: results must not depend on where the cuts fall."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidemark.operators.aggregates import running_distinct
+from tidemark.operators.lateness import tag_late
+from tidemark.plans import slices
+from tidemark.plans.slices import running, with_neighbours, with_slice
+from tidemark.plans.timers import NONE, step, timer_windows
+
+
+def skewed(spark, n=600, seed=1, tick=1):
+    """A third of the rows belong to one key and a third of those to one instant."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        key = "hot" if i % 3 == 0 else f"k{rnd.randrange(40)}"
+        at = 50 if key == "hot" and rnd.random() < 0.33 else rnd.randrange(400)
+        rows.append((i, key, at * tick, rnd.randrange(100), rnd.choice("oooc")))
+    rows.append((n, None, 7, 1, "o"))
+    df = spark.createDataFrame(rows, "id long, key string, at long, v long, kind string")
+    return df.withColumn("ts", F.timestamp_seconds("at")).repartition(7), rows
+
+
+def collected(df, *cols):
+    return sorted(df.select(*cols).collect(), key=str)
+
+
+@pytest.mark.parametrize("min_rows", [1, 5, 40, 10**9])
+def test_neighbours_equal_plain_window(spark, min_rows):
+    df, _ = skewed(spark)
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    for back, ahead in [(1, 0), (2, 0), (1, 1), (3, 2)]:
+        got = with_neighbours(df, ["key"], "ts", ["id"], ["v", "id"], back, ahead, min_rows)
+        want = df.withColumns(
+            {f"prev{i}": F.lag(F.struct("v", "id"), i).over(w) for i in range(1, back + 1)}
+            | {f"next{i}": F.lead(F.struct("v", "id"), i).over(w) for i in range(1, ahead + 1)}
+        )
+        cols = want.columns
+        assert sorted(got.columns) == sorted(cols)
+        assert collected(got, *cols) == collected(want, *cols)
+
+
+@pytest.mark.parametrize("min_rows", [1, 5, 40, 10**9])
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_running_equals_plain_window(spark, min_rows, keys):
+    df, _ = skewed(spark)
+    w = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    got = running(df, keys, "ts", ["id"], {"s": F.col("v")}, "sum", min_rows)
+    assert collected(got, "id", "s") == collected(df.withColumn("s", F.sum("v").over(w)), "id", "s")
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    got = running(df, keys, "ts", ["id"], {"m": F.col("v")}, "max", min_rows, include_current=False)
+    assert collected(got, "id", "m") == collected(df.withColumn("m", F.max("v").over(past)), "id", "m")
+
+
+def test_only_hot_keys_are_cut(spark):
+    df, _ = skewed(spark)
+    cut = with_slice(df, ["key"], "ts", min_rows=100).where(F.col("_slice") != slices.WHOLE)
+    assert {r.key for r in cut.select("key").distinct().collect()} == {"hot"}
+    assert cut.select("_slice").distinct().count() > 1
+
+
+def brute_timers(rows, span):
+    """One event after the other, straight from the definition."""
+    out, state, last = {}, {}, {}
+    for i, key, at, _v, kind in sorted(rows, key=lambda r: (r[2], r[0])):
+        at *= 1_000_000
+        new, owner = step(state.get(key, NONE), at, i, kind == "o", span)
+        state[key] = new
+        if owner != NONE:
+            n, end, cancelled = out.get((key, *owner), (0, 0, False))
+            if kind == "o":
+                out[(key, *owner)] = (n + 1, at, cancelled)
+            else:
+                out[(key, *owner)] = (n, end, True)
+    return sorted(((k[0], k[1], *v) for k, v in out.items()), key=str)
+
+
+@pytest.mark.parametrize("span", [1, 3, 30, 1000])
+@pytest.mark.parametrize("min_rows", [1, 7, 10**9])
+def test_timers_equal_sequential_fold(spark, span, min_rows):
+    for seed in (1, 2):
+        df, rows = skewed(spark, seed=seed)
+        got = timer_windows(
+            df, ["key"], "ts", "id", F.col("kind") == "o", F.col("kind") == "c", span * 1_000_000, min_rows
+        )
+        mine = sorted(
+            ((r.key, r.s, r.opens, r.e, r.cancelled) for r in got.select(
+                "key", F.unix_micros("start").alias("s"), "opens", F.unix_micros("last_open").alias("e"), "cancelled"
+            ).collect()), key=str,
+        )
+        assert mine == brute_timers(rows, span * 1_000_000)
+
+
+@pytest.mark.parametrize("min_rows", [1, 50, 10**9])
+def test_running_distinct(spark, min_rows):
+    df, rows = skewed(spark)
+    got = running_distinct(df.where("key is not null"), "key", "ts", "id", min_rows=min_rows)
+    first = {}
+    for i, key, at, *_ in sorted(rows, key=lambda r: (r[2], r[0])):
+        if key is not None and key not in first:
+            first[key] = len(first) + 1
+    assert {r.key: r.uv for r in got.collect()} == first
+
+
+@pytest.mark.parametrize("min_rows", [1, 50, 10**9])
+def test_late_rows(spark, min_rows):
+    rnd = random.Random(3)
+    rows = [(i, rnd.randrange(3000), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, at long, arr long").select(
+        "id", F.timestamp_seconds("at").alias("ts"), F.timestamp_seconds("arr").alias("arrival")
+    )
+    got = tag_late(df, "ts", "arrival", "id", "10 minutes", "5 seconds", "1 minute", "1 minute", min_rows)
+    seen, late = None, {}
+    for i, at, _ in rows:
+        late[i] = seen is not None and at // 5 * 5 + 600 + 60 <= seen - 60
+        seen = at if seen is None else max(seen, at)
+    assert {r.id: r.late for r in got.collect()} == late and any(late.values())

@@ -97,7 +97,13 @@ def with_neighbours(
     found += [f"next{i}" for i in range(1, ahead + 1)]
     inner = local.where(~cut | ~open_ended)
     border = local.where(cut & ((F.col("_head") <= reach) | F.col("_last")))
-    joined = neighbours(border.drop(*found), keys).where(open_ended)
+    # what a slice could not supply comes from across its border
+    across = neighbours(border.withColumnsRenamed({n: f"_own_{n}" for n in found}), keys)
+    joined = (
+        across.where(open_ended)
+        .withColumns({n: F.coalesce(f"_own_{n}", n) for n in found})
+        .drop(*[f"_own_{n}" for n in found])
+    )
     return inner.unionByName(joined).drop("_slice", "_head", "_last", "_short")
 
 
