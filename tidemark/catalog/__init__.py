@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_PARTS = ("basics", "counts", "timed", "sequences", "scalars")
+_PARTS = ("basics", "counts", "timed", "sequences", "scalars", "streams")
 
 
 def _registry():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,14 +12,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a (spark, sf_dir) -> DataFrame function under ``name``."""
+def query(name: str, sql: str | None = None, same_as: str | None = None):
+    """Register a (spark, sf_dir) -> DataFrame function under ``name``, with its SQL
+    or with the SQL of the query that must give the same rows."""
 
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
-        if sql is not None:
+        if same_as is not None:
+            SQL[name] = SQL[same_as]
+        elif sql is not None:
             SQL[name] = with_views(sql)
         return fn
 
@@ -68,8 +72,6 @@ _VIEWS = {
 
 def with_views(sql: str) -> str:
     """Put the record views that ``sql`` names in front of it."""
-    import re
-
     body = sql.strip()
     used = {v for v in _VIEWS if re.search(rf"\b{v}\b", body)}
     if used:

@@ -156,13 +156,13 @@ def tagged_log(spark, sf):
 
 
 @query("f9_hot_pages", f"""
-    WITH t AS ({_LATE}), w AS ({sliding_sql('t', 'url', 600, 300, 'WHERE NOT late')})
+    WITH t AS ({_LATE}), w AS ({sliding_sql('t', 'url', 600, 5, 'WHERE NOT late')})
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rank FROM w)
     WHERE rank <= 3""")
 def _(spark, sf):
     """Final report per window: the top pages among the rows that came in time."""
     kept = tagged_log(spark, sf).where("NOT late")
-    return seconds(windows.hot_items(kept, "url", "ts", "10 minutes", "5 minutes", 3), "window_end")
+    return seconds(windows.hot_items(kept, "url", "ts", "10 minutes", "5 seconds", 3), "window_end")
 
 
 @query("f10_late_rows", f"SELECT event_id, late FROM ({_LATE})")

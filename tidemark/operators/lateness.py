@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.halo import floor_micros, micros
@@ -11,12 +11,13 @@ from tidemark.plans.slices import MIN_HOT_ROWS, running
 
 def tag_late(
     df: DataFrame, ts: str, arrival: str, tie: str, size: str, slide: str, delay: str,
-    lateness: str, min_rows: int = MIN_HOT_ROWS,
+    lateness: str, min_rows: int = MIN_HOT_ROWS, seen_before: Column | None = None,
 ) -> DataFrame:
     """Add ``late``: the last window of the row had been closed when it arrived.
 
     The watermark before a row is the greatest event time of earlier arrivals
     less ``delay``; a window closes when it passes its end plus ``lateness``.
+    ``seen_before`` is the greatest event time of rows that came before ``df``.
     """
     slide_us = micros(slide)
     at = F.unix_micros(ts)
@@ -24,5 +25,6 @@ def tag_late(
     seen = running(
         df, [], arrival, [tie], {"_seen": at}, "max", min_rows, include_current=False
     )
-    closed = last_end + micros(lateness) <= F.col("_seen") - micros(delay)
+    greatest = F.col("_seen") if seen_before is None else F.greatest("_seen", seen_before)
+    closed = last_end + micros(lateness) <= greatest - micros(delay)
     return seen.withColumn("late", F.coalesce(closed, F.lit(False))).drop("_seen")

@@ -22,9 +22,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream."""
+    """The events table as a file stream.
+
+    A file stream takes folders or glob patterns; this pattern matches the table
+    whether it is one file or a folder of files.
+    """
     schema = table(spark, sf_dir, "events").schema
-    return with_instant(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+    return with_instant(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def _k():

@@ -1,0 +1,84 @@
+"""Result tables kept by streaming jobs.
+
+Each micro-batch writes one small folder named after its id, so a repeated batch
+overwrites itself. Reading merges the folders; every ``compact_every`` batches the
+merged table is written out, which bounds how many folders a read touches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+@dataclass(frozen=True)
+class BatchTable:
+    root: str
+    ddl: str
+    merge: Callable[[DataFrame], DataFrame]
+    compact_every: int = 16
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Add this batch's rows. Rows are materialised before anything reads them."""
+        df.write.mode("overwrite").parquet(f"{self.root}/delta/{batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            whole = self.read(df.sparkSession, batch_id, compacted=False)
+            whole.write.mode("overwrite").parquet(f"{self.root}/base/{batch_id}")
+
+    def read(self, spark: SparkSession, upto: int, compacted: bool = True) -> DataFrame:
+        """The table after batch ``upto`` (-1: empty)."""
+        every = self.compact_every
+        base = (upto + 1 if compacted else upto) // every * every - 1
+        paths = [f"{self.root}/base/{base}"] if base >= 0 else []
+        paths += [f"{self.root}/delta/{i}" for i in range(base + 1, upto + 1)]
+        if not paths:
+            return spark.createDataFrame([], self.ddl)
+        return self.merge(spark.read.schema(self.ddl).parquet(*paths))
+
+    def last_batch(self, spark: SparkSession) -> int:
+        """Newest finished batch, -1 if there is none."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/delta")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "*/_SUCCESS")) or []
+        return max((int(d.getPath().getParent().getName()) for d in done), default=-1)
+
+
+def additive(root: str, ddl: str, keys: Sequence[str], value: str, **kw) -> BatchTable:
+    """``insert, or count = count + n``."""
+    return BatchTable(root, ddl, lambda df: df.groupBy(*keys).agg(F.sum(value).alias(value)), **kw)
+
+
+def members(root: str, ddl: str, **kw) -> BatchTable:
+    """A set."""
+    return BatchTable(root, ddl, lambda df: df.distinct(), **kw)
+
+
+def replacing(root: str, ddl: str, keys: Sequence[str], version: str, **kw) -> BatchTable:
+    """The row with the highest version per key."""
+
+    def latest(df: DataFrame) -> DataFrame:
+        rest = [c for c in df.columns if c not in keys]
+        last = F.max_by(F.struct(*rest), version).alias("_last")
+        return df.groupBy(*keys).agg(last).select(*keys, *[f"_last.{c}" for c in rest])
+
+    return BatchTable(root, ddl, latest, **kw)
+
+
+def write_rows(df: DataFrame, connect: Callable, write: Callable) -> None:
+    """Rows to an outside system: one connection per partition.
+
+    ``write(connection, row)`` must tolerate a repeat, since a lost task runs again.
+    """
+
+    def partition(rows) -> None:
+        connection = connect()
+        try:
+            for row in rows:
+                write(connection, row)
+        finally:
+            connection.close()
+
+    df.foreachPartition(partition)
