@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.aggregates import running_distinct
 from tidemark.operators.lateness import tag_late
 from tidemark.plans import slices
-from tidemark.plans.slices import running, with_neighbours, with_slice
+from tidemark.plans.slices import Slices, running, with_neighbours
 from tidemark.plans.timers import NONE, step, timer_windows
 
 
@@ -59,9 +59,26 @@ def test_running_equals_plain_window(spark, min_rows, keys):
 
 def test_only_hot_keys_are_cut(spark):
     df, _ = skewed(spark)
-    cut = with_slice(df, ["key"], "ts", min_rows=100).where(F.col("_slice") != slices.WHOLE)
+    measured = Slices.measure(df, ["key"], "ts", min_rows=100)
+    cut = measured.cut(df, "ts").where(F.col("_slice") != slices.WHOLE)
     assert {r.key for r in cut.select("key").distinct().collect()} == {"hot"}
     assert cut.select("_slice").distinct().count() > 1
+    assert not Slices.measure(df, ["key"], "ts").any
+
+
+def test_bursts_are_cut_again(spark):
+    """Half of the hot key falls into one second of a long range."""
+    burst = spark.range(3000).select(
+        F.col("id"), F.lit("hot").alias("key"),
+        F.timestamp_micros(F.when(F.col("id") % 2 == 0, F.col("id") * 10**9).otherwise(10**12 + F.col("id") * 300)).alias("ts"),
+    )
+    measured = Slices.measure(burst, ["key"], "ts", min_rows=100)
+    assert len(measured.rounds) > 1
+    sizes = measured.cut(burst, "ts").groupBy("_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    got = with_neighbours(burst, ["key"], "ts", ["id"], ["id"], slices=measured)
+    assert collected(got, "id", "prev1") == collected(burst.withColumn("prev1", F.lag(F.struct("id")).over(w)), "id", "prev1")
 
 
 def brute_timers(rows, span):

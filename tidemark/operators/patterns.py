@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import top_n_per_group
 from tidemark.plans.halo import default_width, micros, with_segments
-from tidemark.plans.slices import MIN_HOT_ROWS, with_neighbours
+from tidemark.plans.slices import MIN_HOT_ROWS, Slices, with_neighbours
 from tidemark.plans.timers import timer_windows
 
 
@@ -21,13 +21,14 @@ def rise_alerts(
 
     The reading before the first is 0.0. Equal readings change nothing.
     """
-    near = with_neighbours(df, [key], ts, [tie], [value], min_rows=min_rows)
+    slices = Slices.measure(df, [key], ts, min_rows)
+    near = with_neighbours(df.select(key, ts, tie, value), [key], ts, [tie], [value], slices=slices)
     last = F.coalesce(F.col(f"prev1.{value}"), F.lit(0.0))
     moves = near.select(
         key, ts, tie, (F.col(value) > last).alias("_up"), (F.col(value) < last).alias("_down")
     )
     timers = timer_windows(
-        moves, [key], ts, tie, F.col("_up"), F.col("_down"), micros(interval), min_rows
+        moves, [key], ts, tie, F.col("_up"), F.col("_down"), micros(interval), slices=slices
     )
     return timers.where(~F.col("cancelled")).select(key, "start", F.col("deadline").alias("alert_at"))
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.aggregates import top_n_per_group
 from tidemark.plans.halo import floor_micros, micros
@@ -105,12 +107,23 @@ def bucketed_series(
 
 
 def per_window_function(
-    df: DataFrame, keys: Sequence[str], ts: str, size: str, fn, schema: str
+    df: DataFrame, keys: Sequence[str], ts: str, size: str, partial, schema: str, *merge: Column
 ) -> DataFrame:
-    """``fn`` gets the pandas rows of one (key, window); for logic that built-in
-    aggregates cannot express, on windows short enough to be one task's work."""
-    return (
-        df.withColumn("window_end", window_end(ts, size))
-        .groupBy(*keys, "window_end")
-        .applyInPandas(fn, schema)
+    """A user function per (key, window), for what built-in aggregates cannot express.
+
+    ``partial`` turns the rows a task has at hand of one (key, window), as pandas,
+    into one tuple of the ``schema`` columns; ``merge`` aggregates the partial rows.
+    No task ever holds a whole window.
+    """
+    group = [*keys, "window_end"]
+    framed = df.withColumn("window_end", window_end(ts, size))
+    parts = T.StructType(
+        [framed.schema[g] for g in group] + T.StructType.fromDDL(schema).fields
     )
+
+    def combine(batches):
+        for pdf in batches:
+            rows = [(*key, *partial(rows)) for key, rows in pdf.groupby(group, dropna=False)]
+            yield pd.DataFrame(rows, columns=parts.names)
+
+    return framed.mapInPandas(combine, parts).groupBy(*group).agg(*merge)

@@ -3,55 +3,94 @@
 ``lag`` or a running sum needs all rows of a key in order, and a plain window
 sends them to one task. Here a *hot* key is cut along time into slices, each
 slice is ordered by its own task, and only the rows or totals at the slice
-borders meet again. A key that is not hot is one slice and pays for nothing
-but the measuring pass.
+borders meet again. Where no key is hot the plan is the plain window.
 
 A key is hot when it holds more than ``min_rows`` rows **and** more than one
-``MAX_HOT_KEYS``-th of all rows. The second condition bounds the number of hot
-keys by ``MAX_HOT_KEYS`` and the number of their slices by twice that, so the
-two small tables broadcast below never grow with the data.
+``MAX_HOT_KEYS``-th of all rows. Its time range is cut evenly; slices that still
+hold too much, because the key's rows come in bursts, are cut again. The second
+condition bounds the hot keys and hot slices by ``MAX_HOT_KEYS``, so what is
+collected and broadcast below never grows with the data. Only rows of one key at
+the same microsecond cannot be told apart by time and stay together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 50_000
 MIN_HOT_ROWS = 2_000_000
-WHOLE = -1  # slice number of every row whose key is not hot
+WHOLE = -(1 << 62)  # slice of every row whose key is not hot
+LEVELS = 8  # rounds of cutting; each divides a slice by its surplus
 
 
-def with_slice(
-    df: DataFrame, keys: Sequence[str], ts: str, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Add ``_slice``: a time slice for rows of hot keys, ``WHOLE`` for others."""
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.unix_micros(ts)).alias("_lo"),
-        F.max(F.unix_micros(ts)).alias("_hi"),
-    )
-    total = stats.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(float(min_rows)), total / F.lit(float(MAX_HOT_KEYS)))
-    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) * limit / F.col("_n"))
-    hot = stats.where(F.col("_n") > limit).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys],
-        "_lo",
-        F.greatest(width, F.lit(1)).alias("_width"),
-    )
-    if keys:
-        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-        out = df.join(F.broadcast(hot), same, "left")
-        lo, size = F.col("_lo"), F.col("_width")
-    else:  # one group: its two numbers come as scalar subqueries
-        out = df
-        lo, size = hot.select("_lo").scalar(), hot.select("_width").scalar()
-    at = F.call_function("div", F.unix_micros(ts) - lo, size)
-    return out.withColumn("_slice", F.coalesce(at, F.lit(WHOLE).cast("long"))).drop(
-        "_lo", "_width", *[f"_hot_{k}" for k in keys]
-    )
+@dataclass
+class Slices:
+    """Where hot keys are cut: tables (keys, slice, low, width), one per round.
+
+    A slice is named by the time it starts at, so slices sort in time order.
+    Measured once on an operator's input and used for every later step on rows of
+    that input, or on a part of them.
+    """
+
+    keys: tuple[str, ...]
+    rounds: list[DataFrame] = field(default_factory=list)
+
+    @property
+    def any(self) -> bool:
+        return bool(self.rounds)
+
+    @classmethod
+    def measure(
+        cls, df: DataFrame, keys: Sequence[str], ts: str, min_rows: int = MIN_HOT_ROWS
+    ) -> Slices:
+        found = cls(tuple(keys))
+        total = df.count()
+        if total <= min_rows:
+            return found
+        limit = max(float(min_rows), total / MAX_HOT_KEYS)
+        slim = df.select(*keys, ts).withColumn("_slice", F.lit(WHOLE))
+        for level in range(LEVELS):
+            # the even cut meets the limit on average; a slice may exceed it twofold
+            hot = found._too_big(slim, ts, limit if level == 0 else 2 * limit, limit)
+            rows = hot.collect()  # fewer than MAX_HOT_KEYS rows
+            if not rows:
+                break
+            found.rounds.append(df.sparkSession.createDataFrame(rows, hot.schema))
+            slim = found._cut_once(slim, ts, found.rounds[-1]).where(F.col("_slice") != WHOLE)
+        return found
+
+    def _too_big(self, df: DataFrame, ts: str, more_than: float, limit: float) -> DataFrame:
+        at = F.unix_micros(ts)
+        stats = df.groupBy(*self.keys, "_slice").agg(
+            F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
+        )
+        width = F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(limit) / F.col("_n"))
+        return stats.where((F.col("_n") > more_than) & (F.col("_hi") > F.col("_lo"))).select(
+            *[F.col(k).alias(f"_hot_{k}") for k in self.keys], F.col("_slice").alias("_hot_slice"),
+            "_lo", F.greatest(width, F.lit(1)).cast("long").alias("_width"),
+        )
+
+    def _cut_once(self, df: DataFrame, ts: str, hot: DataFrame) -> DataFrame:
+        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
+        same.append(F.col("_slice") == F.col("_hot_slice"))
+        past = F.unix_micros(ts) - F.col("_lo")
+        start = F.col("_lo") + past - F.pmod(past, F.col("_width"))
+        return (
+            df.join(F.broadcast(hot), same, "left")
+            .withColumn("_slice", F.coalesce(start, F.col("_slice")))
+            .drop("_lo", "_width", "_hot_slice", *[f"_hot_{k}" for k in self.keys])
+        )
+
+    def cut(self, df: DataFrame, ts: str) -> DataFrame:
+        """Add ``_slice``: a time slice for rows of hot keys, ``WHOLE`` for others."""
+        out = df.withColumn("_slice", F.lit(WHOLE))
+        for hot in self.rounds:
+            out = self._cut_once(out, ts, hot)
+        return out
 
 
 def with_neighbours(
@@ -63,6 +102,7 @@ def with_neighbours(
     back: int = 1,
     ahead: int = 0,
     min_rows: int = MIN_HOT_ROWS,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Add ``prev1..prevN`` and ``next1..nextM``: structs of ``cols``.
 
@@ -80,9 +120,12 @@ def with_neighbours(
         added |= {f"next{i}": F.lead(near, i).over(w) for i in range(1, ahead + 1)}
         return frame.withColumns(added)
 
-    sliced = with_slice(df, keys, ts, min_rows)
+    slices = slices or Slices.measure(df, keys, ts, min_rows)
+    if not slices.any:
+        return neighbours(df, keys)
+
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    local = neighbours(sliced, [*keys, "_slice"]).withColumns(
+    local = neighbours(slices.cut(df, ts), [*keys, "_slice"]).withColumns(
         {
             "_head": F.row_number().over(w),
             "_last": F.lead(F.lit(1), reach).over(w).isNull(),
@@ -116,6 +159,7 @@ def running(
     how: str = "sum",
     min_rows: int = MIN_HOT_ROWS,
     include_current: bool = True,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Add running ``sum`` or ``max`` columns in (ts, ties) order per key.
 
@@ -123,43 +167,43 @@ def running(
     number per slice, added from a broadcast table of bounded size.
     """
     fold = {"sum": F.sum, "max": F.max}[how]
-    plus = {"sum": lambda a, b: a + b, "max": F.greatest}[how]
-    neutral = {"sum": F.lit(0), "max": F.lit(None)}[how]
-    named = {f"_in_{name}": value for name, value in values.items()}
-    sliced = with_slice(df.withColumns(named), keys, ts, min_rows)
-
+    slices = slices or Slices.measure(df, keys, ts, min_rows)
     rows_end = Window.currentRow if include_current else -1
-    w = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(ts, *ties)
-        .rowsBetween(Window.unboundedPreceding, rows_end)
-    )
-    local = sliced.withColumns({n: fold(f"_in_{n}").over(w) for n in values})
 
+    def local(frame: DataFrame, by: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, rows_end)
+        return frame.withColumns({n: fold(value).over(w) for n, value in values.items()})
+
+    if not slices.any:
+        return local(df, keys)
+
+    sliced = slices.cut(df, ts)
+    totals = (
+        sliced.where(F.col("_slice") != WHOLE)
+        .groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_slice").alias("_at"))
+        .agg(*[fold(value).alias(f"_sum_{n}") for n, value in values.items()])
+    )
     earlier = (
         Window.partitionBy(*[f"_of_{k}" for k in keys])
         .orderBy("_at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = (
-        sliced.where(F.col("_slice") != WHOLE)
-        .groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_slice").alias("_at"))
-        .agg(*[fold(f"_in_{n}").alias(f"_sum_{n}") for n in values])
-    )
     before = totals.select(
-        *[f"_of_{k}" for k in keys],
-        "_at",
+        *[f"_of_{k}" for k in keys], "_at",
         *[fold(f"_sum_{n}").over(earlier).alias(f"_before_{n}") for n in values],
     )
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    out = local.join(F.broadcast(before), [*same, F.col("_slice") == F.col("_at")], "left")
-    if how == "sum":
-        merged = {
-            n: F.coalesce(F.col(n), neutral) + F.coalesce(F.col(f"_before_{n}"), neutral)
-            for n in values
-        }
-    else:
-        merged = {n: plus(F.col(n), F.col(f"_before_{n}")) for n in values}
+    out = local(sliced, [*keys, "_slice"]).join(
+        F.broadcast(before), [*same, F.col("_slice") == F.col("_at")], "left"
+    )
+    merged = {}
+    for n in values:
+        here, past = F.col(n), F.col(f"_before_{n}")
+        if how == "max":
+            merged[n] = F.greatest(here, past)
+        else:
+            merged[n] = F.coalesce(here + past, here, past)
     return out.withColumns(merged).drop(
-        "_slice", "_at", *named, *[f"_of_{k}" for k in keys], *[f"_before_{n}" for n in values]
+        "_slice", "_at", *[f"_of_{k}" for k in keys], *[f"_before_{n}" for n in values]
     )
+

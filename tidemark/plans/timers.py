@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.slices import MIN_HOT_ROWS, WHOLE, with_slice
+from tidemark.plans.slices import MIN_HOT_ROWS, WHOLE, Slices
 
 NONE = (-1, -1)  # no timer is running
 
@@ -107,25 +107,9 @@ def _chain(pdf: pd.DataFrame, keys: list[str], span: int) -> pd.DataFrame:
     return out
 
 
-def timer_windows(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie: str,
-    opens: Column,
-    cancels: Column,
-    span_us: int,
-    min_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """(keys, start, last_open, opens, cancelled, deadline), one row per timer."""
-    keys = list(keys)
-    used = df.where(opens | cancels).select(
-        *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
-        opens.alias("_opens"),
-    )
-    rows = with_slice(used, keys, ts, min_rows).drop(ts)
+def _with_entries(rows: DataFrame, keys: list[str], span_us: int) -> DataFrame:
+    """Add the timer each slice is entered with. Only rows of hot keys are read here."""
     key_fields = [rows.schema[k] for k in keys]
-
     exits_schema = T.StructType(
         [
             *key_fields,
@@ -156,11 +140,38 @@ def timer_windows(
         lambda pdf: _chain(pdf, keys, span_us), entry_schema
     )
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    entered = (
+    # one row per slice, and the number of slices is bounded
+    return (
         rows.join(F.broadcast(entries), [*same, F.col("_slice") == F.col("_at")], "left")
         .withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("_entry_us", "_entry_tie")})
         .drop("_at", *[f"_of_{k}" for k in keys])
     )
+
+
+def timer_windows(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: str,
+    opens: Column,
+    cancels: Column,
+    span_us: int,
+    min_rows: int = MIN_HOT_ROWS,
+    slices: Slices | None = None,
+) -> DataFrame:
+    """(keys, start, last_open, opens, cancelled, deadline), one row per timer."""
+    keys = list(keys)
+    used = df.where(opens | cancels).select(
+        *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
+        opens.alias("_opens"),
+    )
+    slices = slices or Slices.measure(used, keys, ts, min_rows)
+    rows = slices.cut(used, ts).drop(ts)
+    if slices.any:
+        entered = _with_entries(rows, keys, span_us)
+    else:
+        at_rest = F.lit(-1).cast("long")
+        entered = rows.withColumns({"_entry_us": at_rest, "_entry_tie": at_rest})
     assigned_schema = T.StructType(
         [f for f in entered.schema.fields if not f.name.startswith("_entry")]
         + [T.StructField("_start", T.LongType()), T.StructField("_start_tie", T.LongType())]
