@@ -97,11 +97,10 @@ def brute_timers(rows, span):
     return sorted(((k[0], k[1], *v) for k, v in out.items()), key=str)
 
 
-@pytest.mark.parametrize("span", [1, 3, 30, 1000])
-@pytest.mark.parametrize("min_rows", [1, 7, 10**9])
+@pytest.mark.parametrize("span, min_rows", [(1, 7), (3, 1), (3, 40), (30, 7), (30, 10**9), (1000, 7)])
 def test_timers_equal_sequential_fold(spark, span, min_rows):
-    for seed in (1, 2):
-        df, rows = skewed(spark, seed=seed)
+    for seed in (1,):
+        df, rows = skewed(spark, n=400, seed=seed)
         got = timer_windows(
             df, ["key"], "ts", "id", F.col("kind") == "o", F.col("kind") == "c", span * 1_000_000, min_rows
         )

@@ -51,23 +51,18 @@ def category_counts(
     counts as a click if it has one, else as orders, else as pays.
     """
 
-    def ids(col: str, kind: str) -> Column:
+    kinds = {"click": click, "order": order_list, "pay": pay_list}
+
+    def ids(kind: str, col: str) -> Column:
         present = F.col(col).isNotNull() & ~F.col(col).isin(*missing)
-        each = F.transform(
-            F.split(col, ","), lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind"))
-        )
-        return F.when(present, each)
+        return F.when(present, F.struct(F.lit(kind).alias("kind"), F.col(col).alias("ids")))
 
-    kinds = {"click": click, "order": order_list, "pay": pay_list}
-    lists = [ids(col, kind) for kind, col in kinds.items()]
-    if exclusive:
-        chosen = F.coalesce(*lists)
-    else:
-        empty = F.filter(F.array(F.struct(F.lit("").alias("category_id"), F.lit("").alias("kind"))),
-                         lambda x: F.lit(False))
-        chosen = F.concat(*[F.coalesce(c, empty) for c in lists])
+    lists = [ids(kind, col) for kind, col in kinds.items()]
+    chosen = F.array(F.coalesce(*lists)) if exclusive else F.array(*lists)
     return (
-        df.select(F.inline(chosen))
+        df.select(F.explode(chosen).alias("l"))
+        .where("l IS NOT NULL")
+        .select("l.kind", F.explode(F.split("l.ids", ",")).alias("category_id"))
         .groupBy("category_id")
         .agg(*[F.count_if(F.col("kind") == k).alias(f"{k}s") for k in kinds])
     )

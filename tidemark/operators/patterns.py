@@ -11,6 +11,7 @@ from tidemark.operators.aggregates import top_n_per_group
 from tidemark.plans.halo import default_width, micros, with_segments
 from tidemark.plans.slices import MIN_HOT_ROWS, Slices, with_neighbours
 from tidemark.plans.timers import timer_windows
+from tidemark.session import written
 
 
 def rise_alerts(
@@ -27,6 +28,8 @@ def rise_alerts(
     moves = near.select(
         key, ts, tie, (F.col(value) > last).alias("_up"), (F.col(value) < last).alias("_down")
     )
+    if slices.any:  # the timers of hot keys read their input twice
+        moves = written(moves.where("_up OR _down"), "moves")
     timers = timer_windows(
         moves, [key], ts, tie, F.col("_up"), F.col("_down"), micros(interval), slices=slices
     )

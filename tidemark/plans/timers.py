@@ -3,7 +3,7 @@
 
 Each start depends on the one before, so a key is a sequential fold. ``step`` is
 that fold for one event; the streaming processors use the same function. The
-batch form folds (key, slice) groups in parallel. Only for keys hot enough to be
+batch form folds (key, slice) groups in parallel, one sorted pass per partition. Only for keys hot enough to be
 cut into several slices must the state travel across slice borders: every slice
 first reports its final state as a function of the state it is entered with,
 those small functions are chained per key, and the entry states are handed back.
@@ -11,11 +11,12 @@ those small functions are chained per key, and the entry states are handed back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,16 +38,38 @@ def step(
     return NONE, state
 
 
-def _assign(pdf: pd.DataFrame, span: int) -> pd.DataFrame:
-    pdf = pdf.sort_values(["_us", "_tie"], kind="stable")
-    state = (int(pdf["_entry_us"].iloc[0]), int(pdf["_entry_tie"].iloc[0]))
-    owners = []
-    for at, tie, opens in zip(pdf["_us"].tolist(), pdf["_tie"].tolist(), pdf["_opens"].tolist()):
-        state, owner = step(state, at, tie, opens, span)
-        owners.append(owner)
-    pdf["_start"] = [o[0] for o in owners]
-    pdf["_start_tie"] = [o[1] for o in owners]
-    return pdf.drop(columns=["_entry_us", "_entry_tie"])
+def _pieces(batches: Iterator[pd.DataFrame], keys: list[str], names: list[str], span: int):
+    """Fold rows sorted by (keys, slice, time) into one row per timer and slice.
+
+    State is carried from batch to batch, so memory does not depend on the group.
+    """
+    state, group, piece = NONE, None, None  # piece: owner, opens, last open, cancelled
+    for pdf in batches:
+        done: list[tuple] = []
+        key_rows = zip(*[pdf[k].tolist() for k in keys]) if keys else repeat((), len(pdf))
+        columns = ("_first", "_us", "_tie", "_opens", "_entry_us", "_entry_tie")
+        for key, (first, at, tie, opens, entry_us, entry_tie) in zip(
+            key_rows, zip(*[pdf[c].tolist() for c in columns])
+        ):
+            if first:
+                if piece:
+                    done.append((*group, *piece[0], *piece[1:]))
+                state, group, piece = (entry_us, entry_tie), key, None
+            state, owner = step(state, at, tie, opens, span)
+            if owner == NONE:
+                continue
+            if piece is None or piece[0] != owner:
+                if piece:
+                    done.append((*group, *piece[0], *piece[1:]))
+                piece = [owner, 0, None, False]
+            if opens:
+                piece[1] += 1
+                piece[2] = at
+            else:
+                piece[3] = True
+        yield pd.DataFrame(done, columns=names).astype({"_last": "Int64"})
+    if piece:
+        yield pd.DataFrame([(*group, *piece[0], *piece[1:])], columns=names).astype({"_last": "Int64"})
 
 
 def _exits(at: np.ndarray, tie: np.ndarray, opens: np.ndarray, span: int) -> pd.DataFrame:
@@ -63,32 +86,39 @@ def _exits(at: np.ndarray, tie: np.ndarray, opens: np.ndarray, span: int) -> pd.
     first_open = np.minimum.accumulate(np.where(opens, idx, n)[::-1])[::-1]
     first_cancel, first_open = np.append(first_cancel, n), np.append(first_open, n)
     past_span = np.searchsorted(at, at + span, side="right")
-    final: list[tuple[int, int]] = [NONE] * (n + 1)  # state at the end, entering row i without a timer
-    for i in range(n - 1, -1, -1):
-        k = first_open[i]
-        if k == n:
-            continue
-        if k != i:
-            final[i] = final[k]
-            continue
-        cancel = first_cancel[i]
-        following = min(first_open[past_span[i]], n)
-        if following < cancel:
-            final[i] = final[following]
-        elif cancel < n:
-            final[i] = final[cancel + 1]
-        else:
-            final[i] = (int(at[i]), int(tie[i]))
+    known: dict[int, tuple[int, int]] = {}  # state at the end, entering row i without a timer
+
+    def final(i: int) -> tuple[int, int]:
+        path = []
+        while i not in known:
+            path.append(i)
+            k = int(first_open[i])
+            if k == n:
+                known[i] = NONE
+                break
+            cancel, following = int(first_cancel[k]), int(first_open[past_span[k]])
+            if following < cancel:
+                i = following
+            elif cancel < n:
+                i = cancel + 1
+            else:
+                known[i] = (int(at[k]), int(tie[k]))
+                break
+        end = known[i]
+        known.update(dict.fromkeys(path, end))
+        return end
+
     cancel = int(first_cancel[0])
     rows: list[list] = []
     for k in range(cancel):  # opens before the first cancel may be the first new start
-        if rows and (rows[-1][1], rows[-1][2]) == final[k]:
+        end = final(k)
+        if rows and (rows[-1][1], rows[-1][2]) == end:
             rows[-1][0] = int(at[k])
         else:
-            rows.append([int(at[k]), *final[k], False])
+            rows.append([int(at[k]), *end, False])
         if at[k] > at[0] + span:  # no entry deadline reaches this far
             break
-    after = final[cancel + 1] if cancel < n else NONE
+    after = final(cancel + 1) if cancel < n else NONE
     rows.append([np.iinfo(np.int64).max, *after, cancel == n])
     return pd.DataFrame(rows, columns=["below", "exit_us", "exit_tie", "keeps"])
 
@@ -172,20 +202,25 @@ def timer_windows(
     else:
         at_rest = F.lit(-1).cast("long")
         entered = rows.withColumns({"_entry_us": at_rest, "_entry_tie": at_rest})
-    assigned_schema = T.StructType(
-        [f for f in entered.schema.fields if not f.name.startswith("_entry")]
-        + [T.StructField("_start", T.LongType()), T.StructField("_start_tie", T.LongType())]
+    by = Window.partitionBy(*keys, "_slice").orderBy("_us", "_tie")
+    after = F.lag("_opens").over(by)
+    ordered = (
+        entered.withColumns({"_first": after.isNull(), "_after_open": F.coalesce(after, F.lit(True))})
+        .where("_opens OR _after_open")  # a cancel after a cancel stops nothing
+        .sortWithinPartitions(*keys, "_slice", "_us", "_tie")
     )
-    assigned = entered.groupBy(*keys, "_slice").applyInPandas(
-        lambda pdf: _assign(pdf, span_us), assigned_schema
+    piece_type = T.StructType(
+        [rows.schema[k] for k in keys]
+        + [T.StructField(n, T.LongType()) for n in ("_start", "_start_tie", "_opened", "_last")]
+        + [T.StructField("_stopped", T.BooleanType())]
     )
+    names = piece_type.names
+    pieces = ordered.mapInPandas(lambda it: _pieces(it, keys, names, span_us), piece_type)
     return (
-        assigned.where(F.col("_start_tie") != -1)
-        .groupBy(*keys, "_start", "_start_tie")
+        pieces.groupBy(*keys, "_start", "_start_tie")
         .agg(
-            F.max(F.when(F.col("_opens"), F.col("_us"))).alias("_last"),
-            F.count_if("_opens").alias("opens"),
-            F.max(~F.col("_opens")).alias("cancelled"),
+            F.max("_last").alias("_last"), F.sum("_opened").alias("opens"),
+            F.max("_stopped").alias("cancelled"),
         )
         .select(
             *keys,
