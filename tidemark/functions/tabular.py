@@ -5,6 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# types as objects: a type given as text can only be parsed inside a session
+WORD = T.StructType([T.StructField("word", T.StringType()), T.StructField("len", T.IntegerType())])
 
 
 def split_words(df: DataFrame, col: str, sep: str) -> DataFrame:
@@ -16,7 +20,7 @@ def split_words(df: DataFrame, col: str, sep: str) -> DataFrame:
     )
 
 
-@F.udtf(returnType="word string, len int")
+@F.udtf(returnType=WORD)
 class SplitWords:
     def eval(self, text: str, sep: str):
         if text is not None:
@@ -25,12 +29,12 @@ class SplitWords:
                     yield word, len(word)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def prefix_name_udf(name: pd.Series) -> pd.Series:
     return "Name: " + name
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def integer_mean_udaf(value: pd.Series) -> int:
     """Grouped aggregate without a partial step: prefer scalar.integer_mean."""
     kept = value.dropna()

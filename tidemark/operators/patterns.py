@@ -40,9 +40,10 @@ def login_bursts(
     df: DataFrame, user: str, ts: str, tie: str, kind: str, limit: int, span: str,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """More than ``limit`` failures within ``span`` of the first, none succeeding."""
+    """More than ``limit`` failures within ``span`` of the first and nothing else
+    between them; any other event of the user ends the burst."""
     timers = timer_windows(
-        df, [user], ts, tie, F.col(kind) == "fail", F.col(kind) == "success", micros(span), min_rows
+        df, [user], ts, tie, F.col(kind) == "fail", F.col(kind) != "fail", micros(span), min_rows
     )
     return timers.where(~F.col("cancelled") & (F.col("opens") > limit)).select(
         user, F.col("start").alias("first_fail"), F.col("last_open").alias("last_fail"),
