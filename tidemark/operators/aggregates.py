@@ -26,7 +26,8 @@ def top_n_per_group(
     """The first ``n`` rows of each group. Every task cuts its part of a group to
     ``n`` rows before the shuffle, so a huge group is small when it is gathered."""
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+    return ranked.withColumn(rank, F.col(rank).cast("long"))
 
 
 def two_rule_fold(
@@ -123,13 +124,16 @@ def observed_sum(df: DataFrame, value: Column, name: str = "total") -> tuple[Dat
     return df.observe(seen, F.sum(value).alias(name)), seen
 
 
-def count_map(counts: DataFrame, key: str, name: str = "cnt", shards: int = 64) -> DataFrame:
-    """Counts packed into maps, spread over ``shards`` rows by the hash of the key.
+def count_map(
+    counts: DataFrame, key: str, name: str = "cnt", max_entries: int = 100_000
+) -> DataFrame:
+    """Counts packed into maps of about ``max_entries`` keys, one map per row.
 
-    Choose ``shards`` so that a map of keys / shards entries is a reasonable value.
+    The number of rows follows the number of keys, so no map grows with the data.
     """
+    maps = F.ceil(counts.agg(F.count(F.lit(1))).scalar() / F.lit(max_entries))
     return (
-        counts.groupBy(F.pmod(F.hash(key), F.lit(shards)).alias("shard"))
+        counts.groupBy(F.pmod(F.xxhash64(key), F.greatest(maps, F.lit(1))).alias("shard"))
         .agg(F.map_from_entries(F.collect_list(F.struct(key, name))).alias("counts"))
     )
 

@@ -17,8 +17,15 @@ _local_root: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Event time is UTC everywhere, whatever zone the machines run in."""
+    """Event time is UTC everywhere, whatever zone the machines run in.
+
+    A local session left at Spark's default of 200 shuffle partitions gets one per
+    core; a cluster's setting is never touched.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
