@@ -18,9 +18,11 @@ def parse_delimited(
     not empty does not cast to its type. An empty text field stays empty.
     """
     fields = _fields(schema)
-    line = F.regexp_replace(F.col(col), "\r$", "")
-    # -1 keeps trailing empty fields, such as the missing id at the end of a line
-    split = df.withColumn("_f", F.split(line, sep, -1))
+    # -1 keeps trailing empty fields, such as the missing id at the end of a line.
+    # explode keeps the split in a step of its own: as a plain column it would be
+    # copied into every field's cast and check and run once for each.
+    pieces = F.split(_without_cr(F.col(col)), sep, -1)
+    split = df.withColumn("_f", F.explode(F.array(pieces)))
     typed = [_typed(F.get("_f", F.lit(i)), f).alias(f.name) for i, f in enumerate(fields)]
     good = F.size("_f") == len(fields)
     for i, f in enumerate(fields):
@@ -33,6 +35,10 @@ def parse_delimited(
     )
 
 
+def _without_cr(line: Column) -> Column:
+    return F.rtrim(line, F.lit("\r"))
+
+
 def _fields(schema: str | T.StructType) -> list[T.StructField]:
     return (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
 
@@ -46,8 +52,8 @@ def parse_web_log(df: DataFrame, col: str = "value") -> DataFrame:
 
     Blank lines and lines whose time does not parse give no record.
     """
-    part = F.split(F.regexp_replace(F.col(col), "\r$", ""), " ")
-    return df.select(
+    part = F.col("_f")
+    return df.select(F.explode(F.array(F.split(_without_cr(F.col(col)), " "))).alias("_f")).select(
         F.get(part, F.lit(0)).alias("ip"), F.get(part, F.lit(1)).alias("user_id"),
         web_log_time(F.get(part, F.lit(3))).alias("ts"),
         F.get(part, F.lit(5)).alias("method"), F.get(part, F.lit(6)).alias("url"),
