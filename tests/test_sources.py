@@ -73,6 +73,17 @@ def test_topic_payload_round_trip(spark):
     assert sorted(map(tuple, good.collect())) == [(1, "a", 2.5), (2, "", None)] and bad.count() == 0
 
 
+def test_printing(spark, tmp_path, capsys):
+    df = spark.createDataFrame([("ws_1", 1.5)], "id string, t double")
+    files.print_rows(df)
+    assert "ws_1" in capsys.readouterr().out
+    files.write_csv(df, str(tmp_path / "csv"))
+    stream = files.csv_stream(spark, str(tmp_path / "csv"), "id string, t double")
+    query = files.print_stream(stream, str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None
+
+
 def test_catalog_listing(spark):
     spark.range(1).createOrReplaceTempView("listed_view")
     assert "listed_view" in {r.tableName for r in files.tables(spark).collect()}

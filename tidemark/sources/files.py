@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +46,15 @@ def write_text(df: DataFrame, path: str, col: str = "value", mode: str = "errori
     df.select(F.col(col).cast("string")).write.mode(mode).text(path)
 
 
+def print_rows(df: DataFrame, n: int = 20) -> None:
+    df.show(n, truncate=False)
+
+
+def print_stream(stream: DataFrame, checkpoint: str, mode: str = "append") -> DataStreamWriter:
+    """A console sink, for looking at a stream."""
+    return stream.writeStream.format("console").outputMode(mode).option("checkpointLocation", checkpoint)
+
+
 def tables(spark: SparkSession) -> DataFrame:
     """Tables and views of the session's catalog."""
     return spark.sql("SHOW TABLES")

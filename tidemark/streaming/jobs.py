@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,16 @@ from tidemark.streaming.runner import run_batches, write_batch
 from tidemark.streaming.tables import BatchTable, additive, members
 
 
+@contextmanager
+def held(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch kept while several jobs read it, so that its source is read once."""
+    batch = batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def additive_counts(
     stream: DataFrame, keys: Sequence[str], label: str, out: str | None = None,
     available_now: bool = True, compact_every: int = 16,
@@ -84,9 +95,10 @@ def running_distinct_job(
     def run(batch: DataFrame, batch_id: int, out: str) -> None:
         seen = members(f"{out}/seen", ddl)
         before = seen.read(spark, batch_id - 1)
-        fresh = running_distinct(batch.join(before, col, "left_anti"), col, ts, tie)
         so_far = before.agg(F.count(F.lit(1))).scalar()
-        write_batch(fresh.withColumn("uv", F.col("uv") + so_far), batch_id, out)
+        with held(batch.join(before, col, "left_anti")) as unseen:
+            fresh = running_distinct(unseen, col, ts, tie)
+            write_batch(fresh.withColumn("uv", F.col("uv") + so_far), batch_id, out)
         seen.write(spark.read.parquet(f"{out}/rows/batch={batch_id}").select(col), batch_id)
 
     out = run_batches(stream, label, run, out=out, available_now=available_now)
@@ -104,8 +116,9 @@ def late_tag_job(
     def run(batch: DataFrame, batch_id: int, out: str) -> None:
         top = BatchTable(f"{out}/seen", "seen long", lambda df: df.agg(F.max("seen").alias("seen")))
         before = top.read(spark, batch_id - 1).agg(F.max("seen")).scalar()
-        tagged = tag_late(batch, ts, arrival, tie, size, slide, delay, lateness, seen_before=before)
-        write_batch(tagged, batch_id, out)
+        with held(batch) as rows:
+            tagged = tag_late(rows, ts, arrival, tie, size, slide, delay, lateness, seen_before=before)
+            write_batch(tagged, batch_id, out)
         top.write(
             spark.read.parquet(f"{out}/rows/batch={batch_id}").agg(F.max(F.unix_micros(ts)).alias("seen")),
             batch_id,
