@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.basics import ad_lines
-from tidemark.catalog.registry import query, us
+from tidemark.catalog.registry import query
 from tidemark.functions.scalar import day_of_millis
 from tidemark.operators import aggregates as agg
-from tidemark.operators import rows, windows
+from tidemark.operators import windows
 from tidemark.sources import lines, tables
 
 ev = tables.events

@@ -34,10 +34,6 @@ def us(col: str, name: str | None = None) -> Column:
     return F.unix_micros(col).alias(name or col)
 
 
-def sec(col: str, name: str | None = None) -> Column:
-    return F.unix_seconds(col).alias(name or col)
-
-
 _K = "CAST(regexp_extract(props, '[0-9]+') AS BIGINT)"
 
 # SQL twins of tidemark.sources.tables; `us` is the event time in microseconds

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.aggregates import top_n_per_group
+from tidemark.operators.aggregates import salted_count, top_n_per_group
 from tidemark.plans.halo import floor_micros, micros
 from tidemark.plans.panes import sliding
 
@@ -21,22 +21,15 @@ def window_end(ts: str, size: str) -> Column:
 
 def tumbling(df: DataFrame, keys: Sequence[str], ts: str, size: str, *aggs: Column) -> DataFrame:
     """Aggregates per key and window, with window_start and window_end."""
-    return (
-        df.groupBy(F.window(ts, size).alias("_w"), *keys)
-        .agg(*aggs)
-        .select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                *[c for c in _names(df, keys, aggs)])
+    out = df.groupBy(F.window(ts, size).alias("_w"), *keys).agg(*aggs)
+    return out.select(
+        *keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+        *[c for c in out.columns if c not in ("_w", *keys)],
     )
 
 
-def _names(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> list[str]:
-    return df.groupBy(*keys).agg(*aggs).columns[len(keys):]
-
-
 def total_views(df: DataFrame, ts: str, size: str, row_id: str, salts: int = 64) -> DataFrame:
     """Rows per window: counted by salted key first, then summed per window end."""
-    from tidemark.operators.aggregates import salted_count
-
     return salted_count(df, [window_end(ts, size).alias("window_end")], row_id, salts)
 
 

@@ -1,4 +1,4 @@
-"""The given tables, and the reference-shaped record views derived from them."""
+"""The given tables, and the behaviour, login, order and sensor views derived from them."""
 
 from __future__ import annotations
 

@@ -52,17 +52,15 @@ def distinct_per_window(stream: DataFrame, ts: str, delay: str, size: str, value
 
 
 def sessions(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, gap: str, *aggs: Column) -> DataFrame:
-    return (
+    out = (
         stream.withWatermark(ts, delay)
         .groupBy(F.session_window(ts, gap).alias("_s"), *keys)
         .agg(*aggs)
-        .select(F.col("_s.start").alias("session_start"), F.col("_s.end").alias("session_end"), *keys,
-                *[n for n in _names(stream, aggs)])
     )
-
-
-def _names(df: DataFrame, aggs: Sequence[Column]) -> list[str]:
-    return df.select(*aggs).columns
+    return out.select(
+        F.col("_s.start").alias("session_start"), F.col("_s.end").alias("session_end"),
+        *[c for c in out.columns if c != "_s"],
+    )
 
 
 def hot_items(
