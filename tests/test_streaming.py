@@ -88,6 +88,17 @@ def test_folds_equal_batch(spark, tmp_path, name):
     assert bag(runner.run_append(got, name).where("key is not null"), *out) == want
 
 
+def test_delay_is_inclusive(spark, tmp_path):
+    """A row exactly ``delay`` behind counts, one further behind does not."""
+    at = [100.0, 90.0, 89.9, 105.0]
+    rows = [(i, "a", t, "fail", t, i) for i, t in enumerate(at)]
+    df = spark.createDataFrame(rows, "id long, key string, at double, kind string, v double, arr long")
+    df = df.withColumn("ts", F.timestamp_micros((F.col("at") * 1_000_000).cast("long"))).select("id", "key", "ts", "kind", "v", "arr")
+    stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 4), DDL)
+    got = keyed.keyed_fold(stream, ["key"], "ts", "id", ["v"], folds.Rolling("v", 0), "10 seconds")
+    assert bag(runner.run_append(got, "delay").where("key is not null"), "tie") == [(0,), (1,), (3,)]
+
+
 def test_changelog_folds_to_the_count(spark, tmp_path):
     path = staged(history(spark), str(tmp_path / "in"), 3)
     log = keyed.keyed_fold(files.file_per_batch_stream(spark, path, DDL), ["key"], "ts", "id", [], folds.CountLog(), "10 seconds")

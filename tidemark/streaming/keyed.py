@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.plans.halo import micros
 from tidemark.streaming.folds import Fold
 
 
@@ -77,12 +78,17 @@ def keyed_fold(
     stream: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str], fold: Fold,
     delay: str,
 ) -> DataFrame:
-    """Outputs of ``fold`` with the key columns in front."""
+    """Outputs of ``fold`` with the key columns in front.
+
+    A row may be up to ``delay`` behind the newest one. Spark drops rows at the
+    watermark itself, hence the extra millisecond.
+    """
     keys = list(keys)
+    behind = f"{micros(delay) // 1000 + 1} milliseconds"
     slim = stream.select(
         *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
         *[c for c in cols if c not in keys],
-    ).withWatermark(ts, delay)
+    ).withWatermark(ts, behind)
     columns = ["_us", "_tie", *[c for c in cols if c not in keys]]
     row_type = T.StructType([slim.schema[c] for c in columns])
     out_type = T.StructType(
