@@ -1,12 +1,13 @@
-"""Every registered query agrees with its SQL twin on the smallest data set."""
+"""Every query of the catalogue agrees with its SQL twin on the smallest data set."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from oracle import compare, connect
+from tidemark.catalog import all_queries, all_sql
 
 SF = "/root/testdata/sf0.001"
-SQLS = oracle_sql()
+SQLS = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +15,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, name):
-    verdict = compare(spark, SF, queries()[name], SQLS.get(name), con)
+    verdict = compare(spark, SF, all_queries()[name], SQLS.get(name), con)
     assert verdict in ("", "empty")
 
 
 def test_every_query_has_sql():
-    assert set(SQLS) == set(queries())
+    assert set(SQLS) == set(all_queries())
 
 
 def test_entry(spark):
