@@ -7,10 +7,10 @@ contract (digests, counts) from what the operator returns.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, decontam, langid, neardup, secrets
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learnt from the labelled documents that are not held out."""
+    taught = docs.where(~F.coalesce(held_out(), F.lit(False)))
+    return langid.learn(taught)
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.predict(docs, language_model(docs))
+    return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
     encoded = bpe.encode(read(spark, sf_dir, "documents"), BYTE_BPE)
@@ -31,8 +47,34 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every text, and the digest of those of the fixed forms."""
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.FORMS))
+
+    def number(rank: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [number(rank).alias(f"n_{kind}") for rank, (kind, *_) in enumerate(secrets.FORMS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans")
+    )
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op2_bpe": op2_bpe,
+    "op8_secrets": op8_secrets,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}
