@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
 INFINITE = 1 << 60
 
@@ -36,15 +36,19 @@ WORDS = (
 
 
 class Memo(dict):
-    """A dict that computes what it lacks and starts afresh when it is full."""
+    """A dict that computes what it lacks. When it is full it keeps what it holds as the
+    older generation, from which words that come again move back, and forgets the one before."""
 
     def __init__(self, compute, size: int = MEMO_WORDS):
-        self.compute, self.size = compute, size
+        self.compute, self.size, self.older = compute, size, {}
 
     def __missing__(self, word):
-        found = self.compute(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.compute(word)
         if len(word) <= LONGEST_MEMO_WORD:
             if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
@@ -131,12 +135,12 @@ class ByteLevelBpe:
         self.bytes = {i: b for b, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.matches = Memo(self._compatible)
+        self.matches: dict[int, bool] = {}
         self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes())
         self.first = Memo(lambda chunk: b"".join(map(self.word.__getitem__, self.words.findall(chunk))))
         self.spaced = Memo(lambda chunk: b"".join(map(self.word.__getitem__, self.words.findall(" " + chunk))))
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
+    def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
 
         ``x`` runs over the right edge of the first token's merge tree and ``y`` over the
@@ -144,9 +148,9 @@ class ByteLevelBpe:
         their rank comes before the merges that consume either of them (at an equal rank
         the occurrence further left is merged first).
         """
-        x, x_until = pair[0], INFINITE
+        x, x_until = first, INFINITE
         while True:
-            y, y_until = pair[1], INFINITE
+            y, y_until = second, INFINITE
             x_from = self.rank.get(x, -1)
             while True:
                 y_from = self.rank.get(y, -1)
@@ -162,26 +166,37 @@ class ByteLevelBpe:
             x, x_until = self.parts[x][1], x_from
 
     def encode_word(self, word: bytes) -> list[int]:
-        a, edges = self.automaton, self.automaton.edges
-        last = [-1] * (len(word) + 1)
-        state = matched = 0
-        for end, char in enumerate(word, 1):
+        a, edges, matches = self.automaton, self.automaton.edges, self.matches
+        link, length, token_of, above = a.link, a.length, a.token, a.above
+        if len(matches) > MEMO_WORDS:
+            matches.clear()
+        last = [0] * (len(word) + 1)
+        state = matched = end = 0
+        for char in word:
+            end += 1
             step = edges.get((state << 8) | char)
             while step is None:
-                state = a.link[state]
-                matched = a.length[state]
+                state = link[state]
+                matched = length[state]
                 step = edges.get((state << 8) | char)
-            state, matched = step, matched + 1
-            at = state if a.token[state] >= 0 and a.length[state] == matched else a.above[state]
+            state = step
+            matched += 1
+            at = state if token_of[state] >= 0 and length[state] == matched else above[state]
             while at:
-                token, start = a.token[at], end - a.length[at]
-                if not start or self.matches[(last[start], token)]:
-                    last[end] = token
+                token, start = token_of[at], end - length[at]
+                if not start:
                     break
-                at = a.above[at]
+                pair = (last[start] << 20) | token
+                fits = matches.get(pair)
+                if fits is None:
+                    fits = matches[pair] = self.compatible(last[start], token)
+                if fits:
+                    break
+                at = above[at]
             else:
                 raise ValueError("no token ends here: the vocabulary lacks a byte")
-        ids, end = [], len(word)
+            last[end] = token
+        ids = []
         while end:
             ids.append(last[end])
             end -= len(self.bytes[last[end]])

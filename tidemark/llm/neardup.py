@@ -6,9 +6,10 @@ components of one element never compete at the same rank; the signature is compl
 soon as every component holds a value below the next rank, which ends the work early.
 
 Equal sets are first put together, whatever their number. Buckets of equal bands then
-propose links, first between a bucket's leader and its members (twice, with two leaders),
-then between whatever members of a bucket are still in different components. So a group of
-g copies costs about g verifications, yet every link that joins two components is tested.
+propose links between a bucket's leader and its members (twice: the first, then the last node leads), so a
+group of g copies costs about g verifications. Members of buckets that still hold different
+components are then joined exactly, by the rarest of their shingles; so every link of two
+documents with a band in common is found, or already joined by others.
 Every link is verified on the full sets, and components come from verified links alone.
 """
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
@@ -229,12 +230,14 @@ def components(edges: DataFrame) -> DataFrame:
     def smallest(links: DataFrame) -> DataFrame:
         return links.groupBy("a").agg(F.min("b").alias("low"))
 
-    def mark(links: DataFrame):
-        return links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def marked(links: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total")
+        return written(links.observe(seen, F.count(F.lit(1)).alias("n"), total), "links"), seen.get
 
-    links = written(contracted(edges), "links")
+    links, now = marked(contracted(edges))
     before = None
-    while (now := mark(links)) != before:
+    while now != before:
         before = now
         both = links.union(links.select("b", "a"))
         low = smallest(both).withColumn("low", F.least("low", "a"))
@@ -242,32 +245,69 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(large, "links")
         low = smallest(large)
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        links = written(small.union(low.select("a", F.col("low").alias("b"))).distinct(), "links")
+        links, now = marked(small.union(low.select("a", F.col("low").alias("b"))).distinct())
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(links.select("b", "b").distinct())
 
 
+def _candidates(open_nodes: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
+    """All pairs (a, b) of different labels that can be similar enough, by prefix filtering.
+
+    The shingles of every set are put in one order, the rarest first. Two sets of the wanted
+    similarity share a shingle among the first (1 - similarity) of each, so passages that
+    many texts have in common, which come last, propose no pairs.
+    """
+    src = open_nodes.select("node", "label").join(items, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(2)]
+            sizes = np.array([len(s) for s in sets])
+            rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(np.repeat(sizes, sizes), pa.int64()),
+                    pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)),
+                ],
+                names=["node", "label", "size", "shingle"],
+            )
+
+    tokens = written(src.mapInArrow(run, "node long, label long, size long, shingle long"), "tokens")
+    # only shingles of several sets are counted here; the others come first, in any order
+    known = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = tokens.join(known, "shingle")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sets"), F.desc("shingle")))
+    least = F.ceil(F.col("size") * similarity / 100)
+    # from the end: the last ``least`` - 1 places of a set are not in its prefix
+    prefix = shared.withColumn("from_end", place).where(F.col("from_end") >= least).select("node", "label", "size", "shingle")
+    prefix = written(prefix, "prefixes")
+    other = prefix.select(F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("size").alias("b_size"), "shingle")
+    near = (F.least("size", "b_size") * 100 >= F.greatest("size", "b_size") * similarity) & (F.col("label") < F.col("b_label"))
+    return prefix.join(other, "shingle").where(near).select(F.col("node").alias("a"), "b")
+
+
 def _links(sets: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
     """(node, label) of every set that is linked with another."""
     tested = labels = edges = None
     for turn in range(STAR_ROUNDS + 1):
-        marked = sets.select("node", "bands")
         if labels is None:
-            marked = marked.withColumn("label", F.col("node"))
+            marked = sets.select("node", "bands", F.col("node").alias("label"))
         else:
-            marked = marked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            marked = sets.select("node", "bands").join(labels, "node", "left")
+            marked = marked.withColumn("label", F.coalesce("label", "node"))
         members = marked.select("node", "label", F.explode("bands").alias("key"))
-        # a fixed shuffle of the nodes, another in each turn, chooses the leader
-        draw: Column = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label")
-        mixed = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        mixed = mixed.where("least <> most").select("key")
+        leader = (F.max if turn % 2 else F.min)("node").alias("leader")
+        mixed = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), leader)
+        mixed = mixed.where("least <> most")
         if turn < STAR_ROUNDS:
-            leader = members.join(mixed, "key", "left_semi").groupBy("key").agg(F.min(draw).alias("leader"))
-            pairs = members.join(leader, "key").where("label <> leader.label")
-            pairs = pairs.select(F.col("leader.node").alias("a"), F.col("node").alias("b"))
+            pairs = members.join(mixed.select("key", "leader"), "key").where("node <> leader")
+            pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"), "label").distinct()
+            labelled = marked.select(F.col("node").alias("a"), F.col("label").alias("a_label"))
+            pairs = pairs.join(labelled, "a").where("label <> a_label").select("a", "b")
         else:
-            open_members = written(members.join(mixed, "key", "left_semi"), "open")
-            other = open_members.select(F.col("node").alias("b"), F.col("label").alias("b_label"), "key")
-            pairs = open_members.join(other, "key").where("label < b_label").select(F.col("node").alias("a"), "b")
+            open_nodes = members.join(mixed.select("key"), "key", "left_semi").select("node", "label").distinct()
+            pairs = _candidates(open_nodes, items, similarity)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

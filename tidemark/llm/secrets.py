@@ -195,13 +195,13 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = None
     ends = F.concat(F.array(F.lit(0)), F.transform(F.col(name), lambda s: s["end"]))
     starts = F.concat(F.transform(F.col(name), lambda s: s["start"]), F.array(F.length(text)))
     kept = F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a))
-    clean = F.when(F.size(name) > 0, F.array_join(kept, mask)).otherwise(text)
-    columns = []
-    for c in docs.columns:
-        if c == text_col:
-            columns.append(clean.alias(c))
-        elif c == chars_col:
-            columns.append(F.when(F.col(f"`{c}`").isNotNull() & (F.size(name) > 0), F.length(clean)).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col(f"`{c}`"))
-    return holes.select(*columns)
+    clean = F.when(F.size(name) > 0, F.array_join(kept, mask))
+    # a column of its own: next to a new column called like the text, the text's name would be ambiguous
+    masked = holes.select(*(F.col(f"`{c}`") for c in docs.columns), clean.alias(name))
+    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    columns[text_col] = F.coalesce(F.col(name), text)
+    if chars_col:
+        chars = F.col(f"`{chars_col}`")
+        new = F.when(chars.isNotNull() & F.col(name).isNotNull(), F.length(name)).otherwise(chars)
+        columns[chars_col] = new.cast(docs.schema[chars_col].dataType)
+    return masked.select(*(value.alias(c) for c, value in columns.items()))
