@@ -96,14 +96,14 @@ def test_repeated_runs_by_brute_force():
 
 def test_boilerplate_of_a_host(spark):
     bar = " ".join(f"bar{i}" for i in range(10))
-    rows = [(i, f"http://h.example/{i}", f"<div>{bar}</div><div>page {i} says word{i} only here now and then so</div>") for i in range(4)]
+    rows = [(i, f"http://h.example/{i}", f"<div>{bar}</div><div>page{i} says word{i} only here now and then so</div>") for i in range(4)]
     rows += [(9, None, f"<div>{bar}</div>"), (10, "http://other.example/", f"<div>{bar}</div>"), (11, "x", None), (11, "x", None), (None, "x", "")]
     rows += [(12, "http://same.example/", f"<div>{bar}</div>"), (12, "http://same.example/", f"<div>{bar}</div>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     for c in CLASHES:
         pages = pages.withColumn(c, F.lit("x"))
     got = sorted((str(r.page_id), r.text, r.n_repeated) for r in html.main_text(pages).collect())
-    own = [(str(i), f"page {i} says word{i} only here now and then so", 10) for i in range(4)]
+    own = [(str(i), f"page{i} says word{i} only here now and then so", 10) for i in range(4)]
     assert got == sorted([*own, ("9", bar, 0), ("10", bar, 0), ("11", "", 0), ("11", "", 0), ("None", "", 0), ("12", bar, 0), ("12", bar, 0)])
     assert html.main_text(pages.where("false")).count() == 0
 
