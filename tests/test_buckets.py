@@ -1,4 +1,4 @@
-"""Hot keys are cut into slices: results must not depend on where the cuts fall."""
+"""Keys are cut into time buckets: results must not depend on where the cuts fall."""
 
 import random
 
@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import running_distinct
 from tidemark.operators.lateness import tag_late
-from tidemark.plans import slices
-from tidemark.plans.slices import Slices, running, with_neighbours
+from tidemark.plans.buckets import running, with_neighbours
 from tidemark.plans.timers import NONE, step, timer_windows
 
 
@@ -30,12 +29,12 @@ def collected(df, *cols):
     return sorted(df.select(*cols).collect(), key=str)
 
 
-@pytest.mark.parametrize("min_rows", [1, 5, 40, 10**9])
-def test_neighbours_equal_plain_window(spark, min_rows):
+@pytest.mark.parametrize("bucket", ["1 second", "7 seconds", "1 minute", "9 weeks"])
+def test_neighbours_equal_plain_window(spark, bucket):
     df, _ = skewed(spark)
     w = Window.partitionBy("key").orderBy("ts", "id")
     for back, ahead in [(1, 0), (2, 0), (1, 1), (3, 2)]:
-        got = with_neighbours(df, ["key"], "ts", ["id"], ["v", "id"], back, ahead, min_rows)
+        got = with_neighbours(df, ["key"], "ts", ["id"], ["v", "id"], back, ahead, bucket)
         want = df.withColumns(
             {f"prev{i}": F.lag(F.struct("v", "id"), i).over(w) for i in range(1, back + 1)}
             | {f"next{i}": F.lead(F.struct("v", "id"), i).over(w) for i in range(1, ahead + 1)}
@@ -45,40 +44,35 @@ def test_neighbours_equal_plain_window(spark, min_rows):
         assert collected(got, *cols) == collected(want, *cols)
 
 
-@pytest.mark.parametrize("min_rows", [1, 5, 40, 10**9])
+@pytest.mark.parametrize("bucket", ["1 second", "7 seconds", "1 minute", "9 weeks"])
 @pytest.mark.parametrize("keys", [["key"], []])
-def test_running_equals_plain_window(spark, min_rows, keys):
+def test_running_equals_plain_window(spark, bucket, keys):
     df, _ = skewed(spark)
     w = Window.partitionBy(*keys).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    got = running(df, keys, "ts", ["id"], {"s": F.col("v")}, "sum", min_rows)
+    got = running(df, keys, "ts", ["id"], {"s": F.col("v")}, bucket=bucket)
     assert collected(got, "id", "s") == collected(df.withColumn("s", F.sum("v").over(w)), "id", "s")
     past = w.rowsBetween(Window.unboundedPreceding, -1)
-    got = running(df, keys, "ts", ["id"], {"m": F.col("v")}, "max", min_rows, include_current=False)
+    got = running(df, keys, "ts", ["id"], {"m": F.col("v")}, "max", include_current=False, bucket=bucket)
     assert collected(got, "id", "m") == collected(df.withColumn("m", F.max("v").over(past)), "id", "m")
 
 
-def test_only_hot_keys_are_cut(spark):
+def test_plans_are_lazy(spark):
+    """Nothing is counted or collected while a plan is built."""
     df, _ = skewed(spark)
-    measured = Slices.measure(df, ["key"], "ts", min_rows=100)
-    cut = measured.cut(df, "ts").where(F.col("_slice") != slices.WHOLE)
-    assert {r.key for r in cut.select("key").distinct().collect()} == {"hot"}
-    assert cut.select("_slice").distinct().count() > 1
-    assert not Slices.measure(df, ["key"], "ts").any
-
-
-def test_bursts_are_cut_again(spark):
-    """Half of the hot key falls into one second of a long range."""
-    burst = spark.range(3000).select(
-        F.col("id"), F.lit("hot").alias("key"),
-        F.timestamp_micros(F.when(F.col("id") % 2 == 0, F.col("id") * 10**9).otherwise(10**12 + F.col("id") * 300)).alias("ts"),
-    )
-    measured = Slices.measure(burst, ["key"], "ts", min_rows=100)
-    assert len(measured.rounds) > 1
-    sizes = measured.cut(burst, "ts").groupBy("_slice").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 200
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    with_neighbours(df, ["key"], "ts", ["id"], ["v"], 2, 1)
+    running(df, ["key"], "ts", ["id"], {"s": F.col("v")})
+    timer_windows(df, ["key"], "ts", "id", F.col("kind") == "o", F.col("kind") == "c", 1_000_000)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_a_key_is_spread_over_its_buckets(spark):
+    rows = spark.range(3000).select("id", F.lit("hot").alias("key"), F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    got = with_neighbours(rows, ["key"], "ts", ["id"], ["id"])
     w = Window.partitionBy("key").orderBy("ts", "id")
-    got = with_neighbours(burst, ["key"], "ts", ["id"], ["id"], slices=measured)
-    assert collected(got, "id", "prev1") == collected(burst.withColumn("prev1", F.lag(F.struct("id")).over(w)), "id", "prev1")
+    assert collected(got, "id", "prev1") == collected(rows.withColumn("prev1", F.lag(F.struct("id")).over(w)), "id", "prev1")
+    assert "_bucket" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def brute_timers(rows, span):
@@ -97,25 +91,27 @@ def brute_timers(rows, span):
     return sorted(((k[0], k[1], *v) for k, v in out.items()), key=str)
 
 
-@pytest.mark.parametrize("span, min_rows", [(1, 7), (3, 1), (3, 40), (30, 7), (30, 10**9), (1000, 7)])
-def test_timers_equal_sequential_fold(spark, span, min_rows):
+@pytest.mark.parametrize("span, batch", [(1, 7), (3, 1), (3, 40), (30, 7), (30, 10_000), (1000, 7)])
+def test_timers_equal_sequential_fold(spark, span, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     for seed in (1,):
         df, rows = skewed(spark, n=400, seed=seed)
         got = timer_windows(
-            df, ["key"], "ts", "id", F.col("kind") == "o", F.col("kind") == "c", span * 1_000_000, min_rows
+            df, ["key"], "ts", "id", F.col("kind") == "o", F.col("kind") == "c", span * 1_000_000, "30 seconds"
         )
         mine = sorted(
             ((r.key, r.s, r.opens, r.e, r.cancelled) for r in got.select(
                 "key", F.unix_micros("start").alias("s"), "opens", F.unix_micros("last_open").alias("e"), "cancelled"
             ).collect()), key=str,
         )
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert mine == brute_timers(rows, span * 1_000_000)
 
 
-@pytest.mark.parametrize("min_rows", [1, 50, 10**9])
-def test_running_distinct(spark, min_rows):
+@pytest.mark.parametrize("bucket", ["1 second", "1 minute", "9 weeks"])
+def test_running_distinct(spark, bucket):
     df, rows = skewed(spark)
-    got = running_distinct(df.where("key is not null"), "key", "ts", "id", min_rows=min_rows)
+    got = running_distinct(df.where("key is not null"), "key", "ts", "id", bucket=bucket)
     first = {}
     for i, key, at, *_ in sorted(rows, key=lambda r: (r[2], r[0])):
         if key is not None and key not in first:
@@ -123,14 +119,14 @@ def test_running_distinct(spark, min_rows):
     assert {r.key: r.uv for r in got.collect()} == first
 
 
-@pytest.mark.parametrize("min_rows", [1, 50, 10**9])
-def test_late_rows(spark, min_rows):
+@pytest.mark.parametrize("bucket", ["1 second", "1 minute", "9 weeks"])
+def test_late_rows(spark, bucket):
     rnd = random.Random(3)
     rows = [(i, rnd.randrange(3000), i) for i in range(400)]
     df = spark.createDataFrame(rows, "id long, at long, arr long").select(
         "id", F.timestamp_seconds("at").alias("ts"), F.timestamp_seconds("arr").alias("arrival")
     )
-    got = tag_late(df, "ts", "arrival", "id", "10 minutes", "5 seconds", "1 minute", "1 minute", min_rows)
+    got = tag_late(df, "ts", "arrival", "id", "10 minutes", "5 seconds", "1 minute", "1 minute", bucket)
     seen, late = None, {}
     for i, at, _ in rows:
         late[i] = seen is not None and at // 5 * 5 + 600 + 60 <= seen - 60

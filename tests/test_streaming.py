@@ -88,6 +88,42 @@ def test_folds_equal_batch(spark, tmp_path, name):
     assert bag(runner.run_append(got, name).where("key is not null"), *out) == want
 
 
+def with_nulls(df):
+    """Null measures, kinds and keys among the rows."""
+    return df.withColumns({
+        "v": F.when(F.col("id") % 5 != 0, F.col("v")), "kind": F.when(F.col("id") % 7 != 0, F.col("kind")),
+        "key": F.when(F.col("key") != "c", F.col("key")),
+    }).cache()
+
+
+@pytest.mark.parametrize("name", FOLDS)
+def test_folds_with_nulls_equal_batch(spark, tmp_path, name):
+    fold, cols, out, batch = FOLDS[name]
+    df = with_nulls(history(spark, seed=6))
+    stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 3), DDL)
+    got = keyed.keyed_fold(stream, ["key"], "ts", "id", cols, fold, "10 seconds")
+    assert bag(runner.run_append(got, name), *out) == bag(batch(df), *out)
+
+
+def test_top_two_with_nulls(spark, tmp_path):
+    df = with_nulls(history(spark))
+    stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 3), DDL)
+    log = runner.run_append(keyed.keyed_fold(stream, ["key"], "ts", "id", ["v"], folds.TopTwo("v"), "10 seconds"), "top-two")
+    newest = log.groupBy("key", "rank").agg(F.max_by("value", "version").alias("v"))
+    assert bag(newest, "key", "rank", "v") == bag(aggregates.top_two(df, ["key"], "v", "id"), "key", "rank", "v")
+
+
+def test_unpaid_orders_are_out_at_their_deadline(spark, tmp_path):
+    """No end marker: the newest row is the last thing that the stream knows."""
+    rows = [(0, "a", 0, "create"), (1, "b", 5, "create"), (2, "b", 8, "pay"), (3, "c", 95, "create"), (4, "d", 120, "create"), (5, "a", 121, "pay")]
+    df = spark.createDataFrame([(i, k, at, kind, 0.0, i) for i, k, at, kind in rows], "id long, key string, at long, kind string, v double, arr long")
+    df = df.withColumn("ts", F.timestamp_seconds("at")).select("id", "key", "ts", "kind", "v", "arr")
+    stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 6, marker=False), DDL)
+    fold = folds.OrderOutcome("kind", 10 * S, 1000 * S)
+    got = runner.run_append(keyed.keyed_fold(stream, ["key"], "ts", "id", ["kind"], fold, "5 seconds"), "deadline")
+    assert bag(got, "key", "tie", "status") == [("a", 0, "pay timeout"), ("b", 2, "pay successfully"), ("c", 3, "pay timeout")]
+
+
 def test_delay_is_inclusive(spark, tmp_path):
     """A row exactly ``delay`` behind counts, one further behind does not."""
     at = [100.0, 90.0, 89.9, 105.0]

@@ -123,7 +123,10 @@ def _(spark, sf):
 
 @query("d13_accumulated_sum", "SELECT CAST(SUM(k) AS BIGINT) AS total FROM ev")
 def _(spark, sf):
-    return tables.behaviour(ev(spark, sf)).agg(F.sum("item_id").alias("total"))
+    """The sum is read from the side of a job that writes the rows somewhere."""
+    rows, seen = agg.observed_sum(tables.behaviour(ev(spark, sf)), F.col("item_id"))
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["total"],)], "total long")
 
 
 @query("d14_word_count_map", """
@@ -134,7 +137,7 @@ def _(spark, sf):
     docs = tables.table(spark, sf, "documents")
     words = docs.select("lang", F.explode(F.split("text", "\\s+")).alias("word")).where("word <> ''")
     counts = agg.count_by(words, ["lang", "word"]).select(F.struct("lang", "word").alias("key"), "cnt")
-    maps = agg.count_map(counts, "key")
+    maps = agg.count_map(counts, "key", maps=64)
     return maps.select(F.explode("counts").alias("key", "cnt")).select("key.lang", "key.word", "cnt")
 
 

@@ -123,9 +123,9 @@ OUTCOME_SQL = f"""
     SELECT event_id, CASE WHEN event_type = 'pay' AND COALESCE(pt, '') <> 'create' THEN 'paid without create'
       WHEN event_type = 'pay' AND us - p < {24 * HOUR} THEN 'pay successfully'
       WHEN event_type = 'pay' THEN 'paid but timed out' ELSE 'pay timeout' END AS status
-    FROM (SELECT *, lag(us) OVER w AS p, lag(event_type) OVER w AS pt, lead(event_type) OVER w AS nt
+    FROM (SELECT *, lag(us) OVER w AS p, lag(event_type) OVER w AS pt, lead(us) OVER w AS n, lead(event_type) OVER w AS nt
           FROM order_event WINDOW w AS (PARTITION BY order_id ORDER BY us, event_id))
-    WHERE event_type = 'pay' OR COALESCE(nt, '') <> 'pay'"""
+    WHERE event_type = 'pay' OR COALESCE(nt, '') <> 'pay' OR n - us >= {24 * HOUR}"""
 
 
 @query("g9_order_outcomes", OUTCOME_SQL)

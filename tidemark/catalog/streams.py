@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from tidemark.catalog.basics import INTERVAL_SQL, LATEST_SQL, TIMEOUT_SQL
 from tidemark.catalog.registry import query, us
 from tidemark.functions.scalar import bitmap_offset
+from tidemark.operators import windows as batch_windows
+from tidemark.operators.aggregates import top_n_per_group
 from tidemark.plans import panes
-from tidemark.sources import tables
+from tidemark.session import scratch_dir
+from tidemark.sources import files, tables
 from tidemark.sources.replay import replay_stream
 from tidemark.streaming import folds, jobs, joins, keyed, runner, windows
 
@@ -79,6 +82,44 @@ def _(spark, sf):
     return runner.run_update(b.groupBy("user_id").agg(F.sum("item_id").alias("total")), "totals", ["user_id"])
 
 
+# --- folders of files, read in several batches ------------------------------------
+
+ROWS_PER_FILE = 2_000
+
+
+@query("a11_line_stream", same_as="d1_word_count_stream")
+def _(spark, sf):
+    """A folder of text files, four to a batch."""
+    path = scratch_dir(spark, "lines")
+    lines = tables.table(spark, sf, "events").select(F.concat_ws(" ", "event_type", "props").alias("value"))
+    lines.write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    words = files.line_stream(spark, path, 4).select(F.explode(F.split("value", " ")).alias("word"))
+    return runner.run_update(words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt")), "line-words", ["word"])
+
+
+@query("a15_queue_of_batches_stream", same_as="g1_running_state_stream")
+def _(spark, sf):
+    """A queue of files, each of which is a batch."""
+    path = scratch_dir(spark, "queue")
+    given = tables.table(spark, sf, "events")
+    given.write.option("maxRecordsPerFile", 5 * ROWS_PER_FILE).parquet(path)
+    b = tables.behaviour(tables.with_instant(files.file_per_batch_stream(spark, path, given.schema)))
+    return runner.run_update(b.groupBy("user_id").agg(F.sum("item_id").alias("total")), "queue-totals", ["user_id"])
+
+
+@query("g14_resumed_counts_stream", same_as="d20_counts_stream")
+def _(spark, sf):
+    """Half of the input, a graceful stop, and the rest from the same checkpoint."""
+    path, out = scratch_dir(spark, "halves"), scratch_dir(spark, "resumed")
+    given = tables.table(spark, sf, "events")
+    for half in (0, 1):
+        given.where(F.col("event_id") % 2 == half).write.mode("append").parquet(path)
+        b = tables.behaviour(tables.with_instant(spark.readStream.schema(given.schema).parquet(path)))
+        counts = b.groupBy((F.col("user_id") % 4).alias("channel"), "behaviour").agg(F.count(F.lit(1)).alias("cnt"))
+        result = runner.run_update(counts, "resumed", ["channel", "behaviour"], out=out, available_now=False)
+    return result
+
+
 # --- joins ---------------------------------------------------------------------
 
 @query("c4_batch_join_stream", f"""
@@ -138,9 +179,10 @@ def _(spark, sf):
 
 # --- windows -------------------------------------------------------------------
 
-def counted(spark, sf, view, keep, keys, size, slide, label):
+def counted(spark, sf, view, keep, keys, size, slide, label, *aggs):
     s = closed(spark, sf, view, keep)
-    counts = windows.windowed(s, keys, "ts", "0 seconds", size, slide, F.count(F.lit(1)).alias("cnt"))
+    aggs = aggs or [F.count(F.lit(1)).alias("cnt")]
+    counts = windows.windowed(s, keys, "ts", "0 seconds", size, slide, *aggs)
     return runner.without_marker(runner.run_append(windows.with_bounds(counts), label), "window_start")
 
 
@@ -166,6 +208,48 @@ def _(spark, sf):
     return seconds(steps, "first_end", "next_end")
 
 
+@query("e2_best_windows_stream", same_as="e2_best_windows")
+def _(spark, sf):
+    """An item's windows are ranked over those that the stream has closed."""
+    out = counted(spark, sf, tables.behaviour, "behaviour = 'pv'", ["item_id"], "1 hour", "5 minutes", "best-windows")
+    best = top_n_per_group(out.drop("window_start"), ["item_id"], [F.desc("cnt"), F.asc("window_end")], 5)
+    return seconds(best, "window_end")
+
+
+@query("f12_tumbling_reduce_stream", same_as="f12_tumbling_reduce")
+def _(spark, sf):
+    out = counted(
+        spark, sf, tables.behaviour, None, ["user_id"], "1 day", None, "reduce",
+        F.sum("item_id").alias("total"), F.max("item_id").alias("highest"),
+    )
+    return seconds(out.drop("window_start"), "window_end")
+
+
+@query("f13_tumbling_words_stream", same_as="f13_tumbling_words")
+def _(spark, sf):
+    view = lambda e: e.select(F.col("event_type").alias("word"), "ts")
+    out = counted(spark, sf, view, None, ["word"], "6 seconds", None, "window-words")
+    return seconds(out.drop("window_start"), "window_end")
+
+
+@query("f14_invertible_sum_stream", same_as="f14_invertible_sum")
+def _(spark, sf):
+    """The stream keeps panes of one slide; the sums come and go over the panes."""
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("long").alias("k")
+    view = lambda e: e.select(F.col("event_type").alias("word"), k, "ts")
+    out = counted(spark, sf, view, None, ["word"], "3 seconds", None, "pane-sums", F.sum("k").alias("total"))
+    steps = panes.change_points(out, ["word"], "window_start", "9 seconds", "3 seconds", F.col("total"), "total")
+    return seconds(steps, "first_end", "next_end")
+
+
+@query("f15_bucketed_series_stream", same_as="f15_bucketed_series")
+def _(spark, sf):
+    """The stream counts the small buckets; every window lists its own."""
+    out = counted(spark, sf, lambda e: e.select("ts"), None, [], "10 seconds", None, "buckets")
+    series = batch_windows.series_of_counts(out, "window_start", "60 seconds", "10 seconds")
+    return seconds(series, "window_end", "bucket")
+
+
 @query("f5_total_views_stream", same_as="f5_total_views")
 def _(spark, sf):
     s = closed(spark, sf, tables.behaviour, "behaviour = 'pv'")
@@ -241,7 +325,7 @@ def _(spark, sf):
 def folded(spark, sf, view, keep, key, cols, fold, label):
     s = closed(spark, sf, view, keep)
     out = keyed.keyed_fold(s, [key], "ts", "event_id", cols, fold, "0 seconds")
-    return runner.run_append(out, label).where(F.col(key).isNotNull())
+    return runner.run_append(out, label)
 
 
 @query("e3_rolling_rows_stream", same_as="e3_rolling_rows")
@@ -299,7 +383,7 @@ def _(spark, sf):
 
 @query("g9_order_outcomes_stream", same_as="g9_order_outcomes")
 def _(spark, sf):
-    fold = folds.OrderOutcome("event_type", DAY, keep_us=3650 * DAY)
+    fold = folds.OrderOutcome("event_type", DAY, keep_us=60 * DAY)
     out = folded(spark, sf, tables.order_events, None, "order_id", ["event_type"], fold, "outcomes")
     return out.select(F.col("tie").alias("event_id"), "status")
 
@@ -308,7 +392,7 @@ def _(spark, sf):
 def _(spark, sf):
     s = closed(spark, sf, tables.ad_clicks)
     out = keyed.keyed_fold(s, ["user_id", "ad_id"], "ts", "event_id", [], folds.ClickFilter(1), "0 seconds")
-    out = runner.run_append(out, "clicks").where("user_id is not null")
+    out = runner.run_append(out, "clicks")
     return out.select(F.col("tie").alias("event_id"), "tag")
 
 

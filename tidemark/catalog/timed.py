@@ -232,12 +232,9 @@ def _(spark, sf):
     FROM ev GROUP BY 1, 2""")
 def _(spark, sf):
     e = ev(spark, sf).select("event_type", "ts", F.regexp_extract("props", "[0-9]+", 0).cast("long").alias("k"))
-    out = windows.per_window_function(
-        e, ["event_type"], "ts", "1 hour",
-        lambda rows: (len(rows), rows["k"].min(), rows["k"].max()), "n long, low long, high long",
-        F.sum("n").alias("n"), (F.max("high") - F.min("low")).alias("spread"),
-    )
-    return seconds(out, "window_end")
+    spread = (F.max("k") - F.min("k")).alias("spread")
+    out = windows.tumbling(e, ["event_type"], "ts", "1 hour", F.count(F.lit(1)).alias("n"), spread)
+    return seconds(out.drop("window_start"), "window_end")
 
 
 @query("g11_clicks_by_province", f"""

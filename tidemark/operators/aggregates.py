@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import bitmap_offset, integer_mean
 from tidemark.operators.rows import tokens
-from tidemark.plans.slices import MIN_HOT_ROWS, running
+from tidemark.plans.buckets import BUCKET, GLOBAL_BUCKET, running
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> DataFrame:
@@ -95,26 +95,26 @@ def top_sessions_of_top_categories(
 
 def running_count(
     df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str = "cnt",
-    min_rows: int = MIN_HOT_ROWS,
+    bucket: str = BUCKET,
 ) -> DataFrame:
     """The count per key as it stands after each row."""
-    return running(df, keys, ts, [tie], {name: F.lit(1).cast("long")}, "sum", min_rows)
+    return running(df, keys, ts, [tie], {name: F.lit(1).cast("long")}, bucket=bucket)
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: Column, name: str = "total",
-    min_rows: int = MIN_HOT_ROWS,
+    bucket: str = BUCKET,
 ) -> DataFrame:
-    return running(df, keys, ts, [tie], {name: value}, "sum", min_rows)
+    return running(df, keys, ts, [tie], {name: value}, bucket=bucket)
 
 
 def running_distinct(
-    df: DataFrame, col: str, ts: str, tie: str, name: str = "uv", min_rows: int = MIN_HOT_ROWS
+    df: DataFrame, col: str, ts: str, tie: str, name: str = "uv", bucket: str = GLOBAL_BUCKET
 ) -> DataFrame:
     """One row per new value, with the number of distinct values seen so far."""
     first = df.groupBy(col).agg(F.min(F.struct(ts, tie)).alias("_first"))
     return running(
-        first.select(col, "_first.*"), [], ts, [tie], {name: F.lit(1).cast("long")}, "sum", min_rows
+        first.select(col, "_first.*"), [], ts, [tie], {name: F.lit(1).cast("long")}, bucket=bucket
     )
 
 
@@ -124,16 +124,10 @@ def observed_sum(df: DataFrame, value: Column, name: str = "total") -> tuple[Dat
     return df.observe(seen, F.sum(value).alias(name)), seen
 
 
-def count_map(
-    counts: DataFrame, key: str, name: str = "cnt", max_entries: int = 100_000
-) -> DataFrame:
-    """Counts packed into maps of about ``max_entries`` keys, one map per row.
-
-    The number of rows follows the number of keys, so no map grows with the data.
-    """
-    maps = F.ceil(counts.agg(F.count(F.lit(1))).scalar() / F.lit(max_entries))
+def count_map(counts: DataFrame, key: str, name: str = "cnt", maps: int = 1024) -> DataFrame:
+    """Counts packed into ``maps`` maps, one per row; choose their number by that of the keys."""
     return (
-        counts.groupBy(F.pmod(F.xxhash64(key), F.greatest(maps, F.lit(1))).alias("shard"))
+        counts.groupBy(F.pmod(F.xxhash64(key), F.lit(maps)).alias("shard"))
         .agg(F.map_from_entries(F.collect_list(F.struct(key, name))).alias("counts"))
     )
 
@@ -154,6 +148,16 @@ def bitmap_distinct(
     )
 
 
+def approximate_distinct(
+    df: DataFrame, window_end: Column, col: Column, error: float = 0.02
+) -> DataFrame:
+    """Distinct values per window within a relative standard ``error``: a sketch of fixed
+    size per window instead of all its values."""
+    return df.groupBy(window_end.alias("window_end")).agg(
+        F.approx_count_distinct(col, error).alias("cnt")
+    )
+
+
 def salted_count(
     df: DataFrame, keys: Sequence[str | Column], row_id: str, salts: int = 64, name: str = "cnt"
 ) -> DataFrame:

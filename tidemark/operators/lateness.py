@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.halo import floor_micros, micros
-from tidemark.plans.slices import MIN_HOT_ROWS, running
+from tidemark.plans.buckets import GLOBAL_BUCKET, running
 
 
 def tag_late(
     df: DataFrame, ts: str, arrival: str, tie: str, size: str, slide: str, delay: str,
-    lateness: str, min_rows: int = MIN_HOT_ROWS, seen_before: Column | None = None,
+    lateness: str, bucket: str = GLOBAL_BUCKET, seen_before: Column | None = None,
 ) -> DataFrame:
     """Add ``late``: the last window of the row had been closed when it arrived.
 
@@ -23,7 +23,7 @@ def tag_late(
     at = F.unix_micros(ts)
     last_end = floor_micros(at, slide_us) + micros(size)
     seen = running(
-        df, [], arrival, [tie], {"_seen": at}, "max", min_rows, include_current=False
+        df, [], arrival, [tie], {"_seen": at}, "max", include_current=False, bucket=bucket
     )
     greatest = F.col("_seen") if seen_before is None else F.greatest("_seen", seen_before)
     closed = last_end + micros(lateness) <= greatest - micros(delay)

@@ -8,42 +8,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import top_n_per_group
-from tidemark.plans.halo import default_width, micros, with_segments
-from tidemark.plans.slices import MIN_HOT_ROWS, Slices, with_neighbours
+from tidemark.plans.buckets import BUCKET, with_neighbours
+from tidemark.plans.halo import default_width, index_of, micros, with_segments
 from tidemark.plans.timers import timer_windows
-from tidemark.session import written
 
 
 def rise_alerts(
     df: DataFrame, key: str, ts: str, tie: str, value: str, interval: str,
-    min_rows: int = MIN_HOT_ROWS,
+    bucket: str = BUCKET,
 ) -> DataFrame:
     """Keys whose value rose and did not fall for ``interval`` after the rise.
 
     The reading before the first is 0.0. Equal readings change nothing.
     """
-    slices = Slices.measure(df, [key], ts, min_rows)
-    near = with_neighbours(df.select(key, ts, tie, value), [key], ts, [tie], [value], slices=slices)
+    near = with_neighbours(df.select(key, ts, tie, value), [key], ts, [tie], [value], bucket=bucket)
     last = F.coalesce(F.col(f"prev1.{value}"), F.lit(0.0))
     moves = near.select(
         key, ts, tie, (F.col(value) > last).alias("_up"), (F.col(value) < last).alias("_down")
     )
-    if slices.any:  # the timers of hot keys read their input twice
-        moves = written(moves.where("_up OR _down"), "moves")
-    timers = timer_windows(
-        moves, [key], ts, tie, F.col("_up"), F.col("_down"), micros(interval), slices=slices
-    )
+    timers = timer_windows(moves, [key], ts, tie, F.col("_up"), F.col("_down"), micros(interval), bucket)
     return timers.where(~F.col("cancelled")).select(key, "start", F.col("deadline").alias("alert_at"))
 
 
 def login_bursts(
     df: DataFrame, user: str, ts: str, tie: str, kind: str, limit: int, span: str,
-    min_rows: int = MIN_HOT_ROWS,
+    bucket: str = BUCKET,
 ) -> DataFrame:
     """More than ``limit`` failures within ``span`` of the first and nothing else
     between them; any other event of the user ends the burst."""
     timers = timer_windows(
-        df, [user], ts, tie, F.col(kind) == "fail", F.col(kind) != "fail", micros(span), min_rows
+        df, [user], ts, tie, F.col(kind) == "fail", F.col(kind) != "fail", micros(span), bucket
     )
     return timers.where(~F.col("cancelled") & (F.col("opens") > limit)).select(
         user, F.col("start").alias("first_fail"), F.col("last_open").alias("last_fail"),
@@ -110,23 +104,29 @@ def followed_by(
 
 
 def order_outcomes(
-    df: DataFrame, order: str, ts: str, tie: str, kind: str, within: str,
-    min_rows: int = MIN_HOT_ROWS,
+    df: DataFrame, order: str, ts: str, tie: str, kind: str, within: str, keep: str = "60 days",
+    bucket: str = BUCKET,
 ) -> DataFrame:
     """What became of every create and pay:
 
     * ``pay successfully``        a pay right after a create, in time
     * ``paid but timed out``      a pay right after a create, too late
     * ``paid without create``     a pay whose last event was no open create
-    * ``pay timeout``             a create superseded or never paid
+    * ``pay timeout``             a create that is not paid in time, whatever comes later
+
+    A create is remembered for ``keep`` beyond its time; a later pay has none. Events of
+    other kinds are nothing.
     """
+    used = df.where(F.col(kind).isin("create", "pay")).select(order, ts, tie, kind)
     near = with_neighbours(
-        df.select(order, ts, tie, kind), [order], ts, [tie], [kind, ts], back=1, ahead=1,
-        min_rows=min_rows,
+        used, [order], ts, [tie], [kind, ts], back=1, ahead=1,
+        bucket=bucket,
     )
-    opened = F.coalesce(F.col(f"prev1.{kind}") == "create", F.lit(False))
     waited = F.unix_micros(ts) - F.unix_micros(F.col(f"prev1.{ts}"))
-    unpaid = F.coalesce(F.col(f"next1.{kind}") != "pay", F.lit(True))
+    known = (F.col(f"prev1.{kind}") == "create") & (waited < micros(within) + micros(keep))
+    opened = F.coalesce(known, F.lit(False))
+    wait = F.unix_micros(F.col(f"next1.{ts}")) - F.unix_micros(ts)
+    unpaid = ~F.coalesce((F.col(f"next1.{kind}") == "pay") & (wait < micros(within)), F.lit(False))
     status = (
         F.when((F.col(kind) == "pay") & ~opened, "paid without create")
         .when((F.col(kind) == "pay") & (waited < micros(within)), "pay successfully")
@@ -141,7 +141,8 @@ def click_filter(
 ) -> DataFrame:
     """The first ``limit`` clicks of each UTC day pass, the next raises the day's
     one warning; the rest are dropped. ``tag`` is ``pass`` or ``warning``."""
-    dated = df.withColumn("_day", F.to_date(ts))
+    day = index_of(F.unix_micros(ts), micros("1 day"))  # whatever the session's zone
+    dated = df.withColumn("_day", day)
     first = top_n_per_group(
         dated, [*keys, "_day"], [F.asc(ts), F.asc(tie)], limit + 1, rank="_rank"
     )

@@ -83,19 +83,22 @@ def bucketed_series(
     df: DataFrame, ts: str, bucket: str, size: str, slide: str
 ) -> DataFrame:
     """Per sliding window, the count of each small time bucket inside it."""
-    bucket_us, size_us, slide_us = micros(bucket), micros(size), micros(slide)
-    if slide_us % bucket_us:
+    bucket_us = micros(bucket)
+    if micros(slide) % bucket_us:
         raise ValueError("the slide must be a multiple of the bucket")
     floor = floor_micros(F.unix_micros(ts), bucket_us)
-    pane = floor_micros(F.col("_bucket"), slide_us)
+    counts = df.groupBy(F.timestamp_micros(floor).alias("_bucket")).agg(F.count(F.lit(1)).alias("cnt"))
+    return series_of_counts(counts, "_bucket", size, slide)
+
+
+def series_of_counts(counts: DataFrame, bucket: str, size: str, slide: str) -> DataFrame:
+    """``bucketed_series`` of buckets (their start, ``cnt``) that are counted already; a
+    bucket lies in one pane, so its count is final before the windows are listed."""
+    size_us, slide_us = micros(size), micros(slide)
+    pane = floor_micros(F.unix_micros(bucket), slide_us)
     ends = F.sequence(pane + slide_us, pane + size_us, F.lit(slide_us).cast("long"))
-    # a bucket lies in one pane, so its count is final before the windows are listed
-    return (
-        df.groupBy(floor.alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .select(F.explode(ends).alias("_end"), "_bucket", "cnt")
-        .select(F.timestamp_micros("_end").alias("window_end"),
-                F.timestamp_micros("_bucket").alias("bucket"), "cnt")
+    return counts.select(F.explode(ends).alias("_end"), F.col(bucket).alias("bucket"), "cnt").select(
+        F.timestamp_micros("_end").alias("window_end"), "bucket", "cnt"
     )
 
 

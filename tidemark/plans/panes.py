@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.halo import floor_micros, micros
+from tidemark.plans.halo import floor_micros, index_of, micros
 
 
 def pane_counts(
@@ -56,35 +56,45 @@ def sliding(
 
 def change_points(
     df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
-    amount: Column | None = None, name: str = "cnt",
+    amount: Column | None = None, name: str = "cnt", bucket: str = "1 day",
 ) -> DataFrame:
     """(keys, first_end, next_end, cnt): windows ending in [first_end, next_end) count ``cnt``.
 
     A pane p adds its count to windows ending from p + slide on and takes it
-    away again from p + size + slide on. A key has at most two changes per pane,
-    whatever its number of rows, so the running sum per key is bounded by time.
+    away again from p + size + slide on. The running sum of a key is cut into time
+    buckets: what the earlier ones add up to, and where the next one begins, is a row
+    in front of each bucket.
     """
     size_us, slide_us = _check(size, slide)
     changes = F.array(
         F.struct((F.col("_pane") + slide_us).alias("at"), F.col("_n").alias("d")),
         F.struct((F.col("_pane") + size_us + slide_us).alias("at"), (-F.col("_n")).alias("d")),
     )
-    panes = pane_counts(df, keys, ts, slide, amount)
-    if keys:  # the sum per change and the running sum both use this one exchange
-        panes = panes.repartition(*keys)
-    w = Window.partitionBy(*keys).orderBy("at")
-    return (
-        panes.select(*keys, F.inline(changes))
-        .groupBy(*keys, "at")
+    steps = (
+        pane_counts(df, keys, ts, slide, amount)
+        .select(*keys, F.inline(changes))
+        .groupBy(*keys, index_of(F.col("at"), micros(bucket)).alias("_bucket"), "at")
         .agg(F.sum("d").alias("d"))
         .where("d <> 0")
+    )
+    key_buckets = Window.partitionBy(*keys).orderBy("_bucket")
+    carried = steps.groupBy(*keys, "_bucket").agg(F.sum("d").alias("d"), F.min("at").alias("_low")).select(
+        *keys, "_bucket", F.lit(None).cast("long").alias("at"),
+        F.sum("d").over(key_buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("d"),
+        F.lead("_low").over(key_buckets).alias("_next"),
+    )
+    rows = Window.partitionBy(*keys, "_bucket").orderBy(F.asc_nulls_first("at"))
+    following = F.coalesce(F.lead("at").over(rows), F.first("_next").over(rows))
+    return (
+        steps.unionByName(carried, allowMissingColumns=True)
         .select(
-            *keys,
+            *keys, "at",
             F.timestamp_micros("at").alias("first_end"),
-            F.timestamp_micros(F.lead("at").over(w)).alias("next_end"),
-            F.sum("d").over(w).alias(name),
+            F.timestamp_micros(following).alias("next_end"),
+            F.sum("d").over(rows).alias(name),
         )
-        .where(F.col(name) != 0)
+        .where(F.col("at").isNotNull() & (F.col(name) != 0))
+        .drop("at")
     )
 
 

@@ -1,26 +1,24 @@
 """Timer windows: an *open* event starts a timer unless one is running, a
 *cancel* event stops it, otherwise it expires ``span`` after its start.
 
-Each start depends on the one before, so a key is a sequential fold. ``step`` is
-that fold for one event; the streaming processors use the same function. The
-batch form folds (key, slice) groups in parallel, one sorted pass per partition. Only for keys hot enough to be
-cut into several slices must the state travel across slice borders: every slice
-first reports its final state as a function of the state it is entered with,
-those small functions are chained per key, and the entry states are handed back.
+Each start depends on the one before, so a key is a sequential fold, but no timer is
+running after a cancel, nor when the last open is more than ``span`` ago. These places cut
+a key into runs that do not depend on each other. A run is folded from timer start to timer
+start, over numpy arrays of many runs at once; what stands between two starts is counted,
+not visited. ``step`` is the fold for one event, as the streaming processors use it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.slices import MIN_HOT_ROWS, WHOLE, Slices
+from tidemark.plans.buckets import BUCKET, running, with_neighbours
 
 NONE = (-1, -1)  # no timer is running
 
@@ -38,144 +36,55 @@ def step(
     return NONE, state
 
 
-def _pieces(batches: Iterator[pd.DataFrame], keys: list[str], names: list[str], span: int):
-    """Fold rows sorted by (keys, slice, time) into one row per timer and slice.
+def _timers(batches: Iterator[pd.DataFrame], keys: list[str], span: int) -> Iterator[pd.DataFrame]:
+    """One row per timer of the runs in rows sorted by (run, time).
 
-    State is carried from batch to batch, so memory does not depend on the group.
+    A timer that reaches the end of a batch goes on into the next one as its first row,
+    so memory does not depend on the length of a run.
     """
-    state, group, piece = NONE, None, None  # piece: owner, opens, last open, cancelled
+    held = None
     for pdf in batches:
-        done: list[tuple] = []
-        key_rows = zip(*[pdf[k].tolist() for k in keys]) if keys else repeat((), len(pdf))
-        columns = ("_first", "_us", "_tie", "_opens", "_entry_us", "_entry_tie")
-        for key, (first, at, tie, opens, entry_us, entry_tie) in zip(
-            key_rows, zip(*[pdf[c].tolist() for c in columns])
-        ):
-            if first:
-                if piece:
-                    done.append((*group, *piece[0], *piece[1:]))
-                state, group, piece = (entry_us, entry_tie), key, None
-            state, owner = step(state, at, tie, opens, span)
-            if owner == NONE:
-                continue
-            if piece is None or piece[0] != owner:
-                if piece:
-                    done.append((*group, *piece[0], *piece[1:]))
-                piece = [owner, 0, None, False]
-            if opens:
-                piece[1] += 1
-                piece[2] = at
-            else:
-                piece[3] = True
-        yield pd.DataFrame(done, columns=names).astype({"_last": "Int64"})
-    if piece:
-        yield pd.DataFrame([(*group, *piece[0], *piece[1:])], columns=names).astype({"_last": "Int64"})
-
-
-def _exits(at: np.ndarray, tie: np.ndarray, opens: np.ndarray, span: int) -> pd.DataFrame:
-    """Final state of a slice for every entry deadline ``d``.
-
-    Row i of the result holds for d < ``below`` (the first such row counts); the
-    last row has ``below`` = the largest long. ``keeps`` marks that the entry
-    state itself survives the slice.
-    """
-    n = len(at)
-    idx = np.arange(n)
-    # position of the first cancel / open at or after each row (n: none)
-    first_cancel = np.minimum.accumulate(np.where(opens, n, idx)[::-1])[::-1]
-    first_open = np.minimum.accumulate(np.where(opens, idx, n)[::-1])[::-1]
-    first_cancel, first_open = np.append(first_cancel, n), np.append(first_open, n)
-    past_span = np.searchsorted(at, at + span, side="right")
-    known: dict[int, tuple[int, int]] = {}  # state at the end, entering row i without a timer
-
-    def final(i: int) -> tuple[int, int]:
-        path = []
-        while i not in known:
-            path.append(i)
-            k = int(first_open[i])
-            if k == n:
-                known[i] = NONE
-                break
-            cancel, following = int(first_cancel[k]), int(first_open[past_span[k]])
-            if following < cancel:
-                i = following
-            elif cancel < n:
-                i = cancel + 1
-            else:
-                known[i] = (int(at[k]), int(tie[k]))
-                break
-        end = known[i]
-        known.update(dict.fromkeys(path, end))
-        return end
-
-    cancel = int(first_cancel[0])
-    rows: list[list] = []
-    for k in range(cancel):  # opens before the first cancel may be the first new start
-        end = final(k)
-        if rows and (rows[-1][1], rows[-1][2]) == end:
-            rows[-1][0] = int(at[k])
-        else:
-            rows.append([int(at[k]), *end, False])
-        if at[k] > at[0] + span:  # no entry deadline reaches this far
-            break
-    after = final(cancel + 1) if cancel < n else NONE
-    rows.append([np.iinfo(np.int64).max, *after, cancel == n])
-    return pd.DataFrame(rows, columns=["below", "exit_us", "exit_tie", "keeps"])
-
-
-def _chain(pdf: pd.DataFrame, keys: list[str], span: int) -> pd.DataFrame:
-    state, rows = NONE, []
-    for at_slice, part in pdf.sort_values(["_slice", "below"]).groupby("_slice", sort=True):
-        rows.append((int(at_slice), *state))
-        deadline = state[0] + span if state != NONE else -(2**62)
-        hit = part[part["below"] > deadline].iloc[0]
-        if not hit["keeps"]:
-            state = (int(hit["exit_us"]), int(hit["exit_tie"]))
-    out = pd.DataFrame(rows, columns=["_at", "_entry_us", "_entry_tie"])
-    for k in keys:
-        out.insert(0, f"_of_{k}", pdf[k].iloc[0])
-    return out
-
-
-def _with_entries(rows: DataFrame, keys: list[str], span_us: int) -> DataFrame:
-    """Add the timer each slice is entered with. Only rows of hot keys are read here."""
-    key_fields = [rows.schema[k] for k in keys]
-    exits_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_slice", T.LongType()), T.StructField("below", T.LongType()),
-            T.StructField("exit_us", T.LongType()), T.StructField("exit_tie", T.LongType()),
-            T.StructField("keeps", T.BooleanType()),
-        ]
-    )
-
-    def slice_exits(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "_tie"], kind="stable")
-        out = _exits(
-            pdf["_us"].to_numpy(), pdf["_tie"].to_numpy(), pdf["_opens"].to_numpy(bool), span_us
-        )
-        for name in [*keys, "_slice"]:
-            out[name] = pdf[name].iloc[0]
-        return out
-
-    exits = (
-        rows.where(F.col("_slice") != WHOLE).groupBy(*keys, "_slice")
-        .applyInPandas(slice_exits, exits_schema)
-    )
-    entry_schema = T.StructType(
-        [T.StructField(f"_of_{f.name}", f.dataType) for f in reversed(key_fields)]
-        + [T.StructField(n, T.LongType()) for n in ("_at", "_entry_us", "_entry_tie")]
-    )
-    entries = exits.groupBy(*keys).applyInPandas(
-        lambda pdf: _chain(pdf, keys, span_us), entry_schema
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    # one row per slice, and the number of slices is bounded
-    return (
-        rows.join(F.broadcast(entries), [*same, F.col("_slice") == F.col("_at")], "left")
-        .withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("_entry_us", "_entry_tie")})
-        .drop("_at", *[f"_of_{k}" for k in keys])
-    )
+        if pdf.empty:
+            continue
+        extra = 0
+        if held is not None:
+            head = pdf.iloc[:1].copy()
+            for k in keys:
+                head[k] = pd.Series([held[k]], index=head.index, dtype=head[k].dtype)
+            head = head.assign(_us=held["_start"], _tie=held["_start_tie"], _opens=True, _first=True)
+            pdf = pd.concat([head, pdf], ignore_index=True)
+            extra = held["opens"] - 1
+        at, opens = pdf["_us"].to_numpy(np.int64), pdf["_opens"].to_numpy(bool)
+        first = pdf["_first"].to_numpy(bool)
+        # one time axis for all runs, with more than a span between two of them
+        axis = np.cumsum(np.concatenate(([0], np.where(first[1:], span + 1, at[1:] - at[:-1]))))
+        past = np.searchsorted(axis, axis + span, side="right")
+        n, starts, level = len(at), [], np.flatnonzero(first)
+        while len(level):
+            starts.append(level)
+            level = past[level]
+            level = level[level < n]
+            level = level[~first[level] & opens[level]]
+        begin = np.sort(np.concatenate(starts))
+        end = past[begin]
+        opened = np.concatenate(([0], np.cumsum(opens)))
+        last_open = np.maximum.accumulate(np.where(opens, np.arange(n), 0))
+        found = pdf.loc[begin, keys].reset_index(drop=True)
+        found["_start"], found["_start_tie"] = at[begin], pdf["_tie"].to_numpy(np.int64)[begin]
+        found["_last"] = at[last_open[end - 1]]
+        found["opens"] = opened[end] - opened[begin]
+        found["cancelled"] = ~opens[end - 1]
+        if extra:
+            found.loc[0, "opens"] += extra
+            if found.loc[0, "_last"] == held["_start"]:
+                found.loc[0, "_last"] = held["_last"]
+        held = None
+        if end[-1] == n and not found["cancelled"].iloc[-1]:
+            held = found.iloc[-1].to_dict()
+            found = found.iloc[:-1]
+        yield found
+    if held is not None:
+        yield pd.DataFrame([held]).astype(found.dtypes)
 
 
 def timer_windows(
@@ -186,8 +95,7 @@ def timer_windows(
     opens: Column,
     cancels: Column,
     span_us: int,
-    min_rows: int = MIN_HOT_ROWS,
-    slices: Slices | None = None,
+    bucket: str = BUCKET,
 ) -> DataFrame:
     """(keys, start, last_open, opens, cancelled, deadline), one row per timer."""
     keys = list(keys)
@@ -195,39 +103,24 @@ def timer_windows(
         *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
         opens.alias("_opens"),
     )
-    slices = slices or Slices.measure(used, keys, ts, min_rows)
-    rows = slices.cut(used, ts).drop(ts)
-    if slices.any:
-        entered = _with_entries(rows, keys, span_us)
-    else:
-        at_rest = F.lit(-1).cast("long")
-        entered = rows.withColumns({"_entry_us": at_rest, "_entry_tie": at_rest})
-    by = Window.partitionBy(*keys, "_slice").orderBy("_us", "_tie")
-    after = F.lag("_opens").over(by)
-    ordered = (
-        entered.withColumns({"_first": after.isNull(), "_after_open": F.coalesce(after, F.lit(True))})
-        .where("_opens OR _after_open")  # a cancel after a cancel stops nothing
-        .sortWithinPartitions(*keys, "_slice", "_us", "_tie")
-    )
-    piece_type = T.StructType(
-        [rows.schema[k] for k in keys]
-        + [T.StructField(n, T.LongType()) for n in ("_start", "_start_tie", "_opened", "_last")]
-        + [T.StructField("_stopped", T.BooleanType())]
+    near = with_neighbours(used, keys, ts, ["_tie"], ["_opens", "_us"], bucket=bucket)
+    follows = F.col("prev1._opens") & (F.col("_us") - F.col("prev1._us") <= span_us)
+    marked = near.withColumn("_first", ~F.coalesce(follows, F.lit(False))).drop("prev1")
+    marked = marked.where("_opens OR NOT _first")  # other cancels stop nothing
+    runs = running(marked, keys, ts, ["_tie"], {"_run": F.col("_first").cast("long")}, bucket=bucket)
+    ordered = runs.select(*keys, "_run", "_us", "_tie", "_opens", "_first")
+    ordered = ordered.repartition(*keys, "_run").sortWithinPartitions(*keys, "_run", "_us", "_tie")
+    timer_type = T.StructType(
+        [used.schema[k] for k in keys]
+        + [T.StructField(n, T.LongType()) for n in ("_start", "_start_tie", "_last", "opens")]
+        + [T.StructField("cancelled", T.BooleanType())]
     )
-    names = piece_type.names
-    pieces = ordered.mapInPandas(lambda it: _pieces(it, keys, names, span_us), piece_type)
-    return (
-        pieces.groupBy(*keys, "_start", "_start_tie")
-        .agg(
-            F.max("_last").alias("_last"), F.sum("_opened").alias("opens"),
-            F.max("_stopped").alias("cancelled"),
-        )
-        .select(
-            *keys,
-            F.timestamp_micros("_start").alias("start"),
-            F.timestamp_micros("_last").alias("last_open"),
-            "opens",
-            "cancelled",
-            F.timestamp_micros(F.col("_start") + span_us).alias("deadline"),
-        )
+    timers = ordered.mapInPandas(lambda it: _timers(it, keys, span_us), timer_type)
+    return timers.select(
+        *keys,
+        F.timestamp_micros("_start").alias("start"),
+        F.timestamp_micros("_last").alias("last_open"),
+        "opens",
+        "cancelled",
+        F.timestamp_micros(F.col("_start") + span_us).alias("deadline"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -17,23 +19,18 @@ _local_root: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Event time is UTC everywhere, whatever zone the machines run in.
-
-    A local session left at Spark's default of 200 shuffle partitions gets one per
-    core; a cluster's setting is never touched.
-    """
+    """Event time is UTC everywhere, whatever zone the machines run in. No other setting
+    is touched."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; every executor of a
-    cluster has to see the folder, so there it is an error to leave it out.
+    Only a local session, such as a test's, may do without that setting; it then has a
+    folder of its own until the process ends. Every executor of a cluster has to see the
+    folder, so there it is an error to leave it out.
     """
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,6 +39,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
         root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

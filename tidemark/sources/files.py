@@ -23,8 +23,8 @@ def json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def line_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.text(path)
+def line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
 def csv_stream(spark: SparkSession, path: str, ddl: str, **options) -> DataFrame:

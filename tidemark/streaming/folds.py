@@ -30,7 +30,8 @@ class Fold:
 
 
 class Jump(Fold):
-    """Alert when a value differs from the last one by more than ``limit``."""
+    """Alert when a value differs from the last one by more than ``limit``. A null value is
+    silent, and so is the one after it (or it is compared with 0.0, as the first one is)."""
 
     state_ddl = "last double"
     out_ddl = "tie long, last double, current double"
@@ -43,8 +44,8 @@ class Jump(Fold):
         return (self.first,)
 
     def step(self, state, at, tie, row):
-        (last,), now = state, row[self.value]
-        alert = last is not None and abs(last - now) > self.limit
+        last, now = self.first if state[0] is None else state[0], row[self.value]
+        alert = None not in (last, now) and abs(last - now) > self.limit
         return (now,), [(tie, last, now)] if alert else []
 
 
@@ -70,7 +71,8 @@ class _Timer(Fold):
 
 
 class Rise(_Timer):
-    """A rise starts a timer, a fall stops it, expiry alerts."""
+    """A rise starts a timer, a fall stops it, expiry alerts. A null value is neither, and
+    the one after it is compared with 0.0, as the first one is."""
 
     state_ddl = "start long, start_tie long, opens long, last_open long, value double"
     out_ddl = "start long, alert_at long"
@@ -86,13 +88,14 @@ class Rise(_Timer):
         return [(state[0], state[0] + self.span)]
 
     def step(self, state, at, tie, row):
-        now, last = row[self.value], state[4]
-        timer = state[:4] if now == last else self.event(state, at, tie, now > last)
+        now, last = row[self.value], 0.0 if state[4] is None else state[4]
+        timer = state[:4] if now is None or now == last else self.event(state, at, tie, now > last)
         return (*timer, now), []
 
 
 class Burst(_Timer):
-    """More than ``limit`` failures in one timer, none of it stopped by a success."""
+    """More than ``limit`` failures in one timer, none of it stopped by a success. A null
+    kind is neither."""
 
     state_ddl = "start long, start_tie long, opens long, last_open long"
     out_ddl = "first_fail long, last_fail long, fails long"
@@ -108,6 +111,8 @@ class Burst(_Timer):
         return [(state[0], state[3], state[2])] if state[2] > self.limit else []
 
     def step(self, state, at, tie, row):
+        if row[self.kind] is None:
+            return state, []
         return self.event(state, at, tie, row[self.kind] == "fail"), []
 
 
@@ -160,33 +165,45 @@ class FollowedBy(Fold):
 
 
 class OrderOutcome(Fold):
-    """The outcome of every create and pay. A create is remembered for ``keep``
-    so that a pay after the deadline is still told from one without a create."""
+    """The outcome of every create and pay. A create that is not paid in time is reported as
+    soon as its time is over, and remembered for ``keep`` more, so that its pay can still be
+    told from one without a create. Other kinds of events are nothing."""
 
-    state_ddl = "tie long, at long"
+    state_ddl = "tie long, at long, reported boolean"
     out_ddl = "tie long, status string"
 
     def __init__(self, kind: str, within_us: int, keep_us: int):
         self.kind, self.within, self.keep = kind, within_us, keep_us
 
     def start(self):
-        return NONE
+        return (*NONE, False)
 
     def deadline(self, state):
-        return state[1] + self.keep if state != NONE else None
+        if state[:2] == NONE:
+            return None
+        # a pay at create + within is too late
+        return state[1] + self.within - 1 + (self.keep if state[2] else 0)
 
     def expire(self, state, now):
-        if state == NONE or now <= self.deadline(state):
-            return state, []
-        return NONE, [(state[0], "pay timeout")]
+        out = []
+        end = self.deadline(state)
+        if end is not None and now > end and not state[2]:
+            out, state = [(state[0], "pay timeout")], (*state[:2], True)
+            end = self.deadline(state)
+        return (self.start() if end is not None and now > end else state), out
 
     def step(self, state, at, tie, row):
+        if row[self.kind] not in ("create", "pay"):
+            return state, []
+        opened = state[:2] != NONE
+        late = [(state[0], "pay timeout")] if opened and not state[2] else []
         if row[self.kind] == "create":
-            return (tie, at), [(state[0], "pay timeout")] if state != NONE else []
-        if state == NONE:
-            return NONE, [(tie, "paid without create")]
-        in_time = at - state[1] < self.within
-        return NONE, [(tie, "pay successfully" if in_time else "paid but timed out")]
+            return (tie, at, False), late
+        if not opened:
+            return self.start(), [(tie, "paid without create")]
+        if at - state[1] < self.within:
+            return self.start(), [(tie, "pay successfully")]
+        return self.start(), [*late, (tie, "paid but timed out")]
 
 
 class ClickFilter(Fold):
@@ -210,7 +227,7 @@ class ClickFilter(Fold):
 
 
 class Rolling(Fold):
-    """Count and mean over the last rows."""
+    """Count and mean over the last rows; a null value is not counted."""
 
     state_ddl = "recent array<double>"
     out_ddl = "tie long, cnt long, mean double"
@@ -223,11 +240,12 @@ class Rolling(Fold):
 
     def step(self, state, at, tie, row):
         recent = [*state[0], row[self.value]][-self.size:]
-        return (recent,), [(tie, len(recent), sum(recent) / len(recent))]
+        there = [v for v in recent if v is not None]
+        return (recent,), [(tie, len(there), sum(there) / len(there) if there else None)]
 
 
 class TopTwo(Fold):
-    """The two highest values, reported whenever they change."""
+    """The two highest values, reported whenever they change; nulls come last."""
 
     state_ddl = "best array<double>, version long"
     out_ddl = "version long, rank int, value double"
@@ -239,7 +257,8 @@ class TopTwo(Fold):
         return ([], 0)
 
     def step(self, state, at, tie, row):
-        best = sorted([*state[0], row[self.value]], reverse=True)[:2]
+        both = [*state[0], row[self.value]]
+        best = sorted(both, key=lambda v: (v is not None, v or 0.0), reverse=True)[:2]
         if best == list(state[0]):
             return state, []
         version = state[1] + 1

@@ -3,7 +3,7 @@
 Rows of a key wait in state until the watermark has passed them and are then
 folded in event-time order, so the result does not depend on how the input was
 cut into batches. What waits is bounded by the watermark delay; rows behind the
-watermark are dropped. For a finite history the batch forms in
+watermark are dropped, and an end marker only moves it. For a finite history the batch forms in
 ``tidemark.operators`` split hot keys, which keyed state cannot.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.plans.halo import micros
 from tidemark.streaming.folds import Fold
+from tidemark.streaming.runner import END_US
 
 
 class EventTimeFold(StatefulProcessor):
@@ -35,7 +36,7 @@ class EventTimeFold(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = [tuple(r[c] for c in self.columns) for r in rows if r["_us"] >= passed]
+        fresh = [tuple(r[c] for c in self.columns) for r in rows if passed <= r["_us"] < END_US]
         if fresh:
             self.waiting.appendList(fresh)
             self._wake_after(min(r[0] for r in fresh))
@@ -54,7 +55,10 @@ class EventTimeFold(StatefulProcessor):
             out += [*late, *made]
         state, late = self.fold.expire(state, passed - 1)
         out += late
-        self.state.update(state)
+        if state == self.fold.start():
+            self.state.clear()  # a key with nothing to remember has no state
+        else:
+            self.state.update(state)
         if early:
             self.waiting.put(early)
             self._wake_after(min(r[0] for r in early))

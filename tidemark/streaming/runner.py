@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.session import rocksdb_state, scratch_dir
 
 END_OF_TIME = "2200-01-01 00:00:00"
+END_US = 7_258_118_400_000_000  # the same instant
 
 
 def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
