@@ -57,25 +57,24 @@ def best_leaves(links: DataFrame, paths_per_tree: int) -> DataFrame:
         "key", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.col("score").cast("double").alias("score")
     )
     leaves = rooted.join(parents, ["key", "node"], "left_anti").select("key", F.col("node").alias("leaf"))
-    state = rooted.withColumn("steps", F.lit(1))
-    nodes, reach = None, 1
-    while True:
-        state = written(state, "jumps")
-        if nodes is None:
-            nodes = state.count()
-        if reach > nodes or not state.where("up is not null").head(1):
-            break
-        ahead = state.select(
+    state = written(rooted.withColumn("steps", F.lit(1)), "jumps")
+    finished = state.where("up is null")
+    running = state.where("up is not null")
+    nodes, reach = state.count(), 1
+    while reach <= nodes and running.head(1):
+        # only nodes that have not come to their root look further
+        ahead = finished.unionByName(running).select(
             "key", F.col("node").alias("up"), F.col("up").alias("further"), F.col("score").alias("more"), F.col("steps").alias("extra")
         )
-        state = state.join(ahead, ["key", "up"], "left").select(
-            "key", "node", F.col("further").alias("up"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("extra", F.lit(0))).alias("steps"),
-        )
+        state = written(running.join(ahead, ["key", "up"]).select(
+            "key", "node", F.col("further").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("steps") + F.col("extra")).alias("steps"),
+        ), "jumps")
+        finished = finished.unionByName(state.where("up is null"))
+        running = state.where("up is not null")
         reach *= 2
-    # what still has an ancestor beyond all nodes runs into a cycle and has no root
-    done = state.where("up is null").select("key", F.col("node").alias("leaf"), (F.col("score") / F.col("steps")).alias("mean"))
+    # a node that looks beyond the number of all nodes runs into a cycle and has no root
+    done = finished.select("key", F.col("node").alias("leaf"), (F.col("score") / F.col("steps")).alias("mean"))
     ranked = leaves.join(done, ["key", "leaf"])
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc_nulls_last("mean"), "leaf"))
     return ranked.select("key", "leaf", rank.alias("rank")).where(F.col("rank") <= paths_per_tree)
