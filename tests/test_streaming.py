@@ -117,7 +117,7 @@ def test_unpaid_orders_are_out_at_their_deadline(spark, tmp_path):
     """No end marker: the newest row is the last thing that the stream knows."""
     rows = [(0, "a", 0, "create"), (1, "b", 5, "create"), (2, "b", 8, "pay"), (3, "c", 95, "create"), (4, "d", 120, "create"), (5, "a", 121, "pay")]
     df = spark.createDataFrame([(i, k, at, kind, 0.0, i) for i, k, at, kind in rows], "id long, key string, at long, kind string, v double, arr long")
-    df = df.withColumn("ts", F.timestamp_seconds("at")).select("id", "key", "ts", "kind", "v", "arr")
+    df = df.withColumn("ts", F.timestamp_seconds(F.col("at") + 1000)).select("id", "key", "ts", "kind", "v", "arr")
     stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 6, marker=False), DDL)
     fold = folds.OrderOutcome("kind", 10 * S, 1000 * S)
     got = runner.run_append(keyed.keyed_fold(stream, ["key"], "ts", "id", ["kind"], fold, "5 seconds"), "deadline")

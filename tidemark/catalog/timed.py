@@ -135,11 +135,11 @@ def _(spark, sf):
     return seconds(steps, "first_end", "next_end")
 
 
-@query("f7_pages_10min_by_5s", sliding_sql("web_log", "url", 600, 5, "WHERE method = 'GET'"))
+@query("f7_pages_10min_by_5s", steps_sql("web_log", "url", 600, 5, "WHERE method = 'GET'"))
 def _(spark, sf):
     log = tables.web_log(ev(spark, sf).where("event_type IN ('view', 'click')")).select("url", "ts")
     steps = panes.change_points(log, ["url"], "ts", "10 minutes", "5 seconds")
-    return seconds(panes.expand_change_points(steps, "5 seconds"), "window_end")
+    return seconds(steps, "first_end", "next_end")
 
 
 _LATE = """

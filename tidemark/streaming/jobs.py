@@ -58,7 +58,7 @@ def blacklist_job(
     def tables(out: str) -> tuple[BatchTable, BatchTable]:
         return (
             members(f"{out}/blacklist", f"{user} {kind[user]}", compact_every=compact_every),
-            additive(f"{out}/counters", count_ddl, keys, "cnt", compact_every=compact_every),
+            additive(f"{out}/counters", count_ddl, keys, "cnt", compact_every=compact_every, partition=day),
         )
 
     def run(batch: DataFrame, batch_id: int, out: str) -> None:
@@ -69,7 +69,9 @@ def blacklist_job(
         count_by(kept, keys).write.mode("overwrite").parquet(path)
         counts = spark.read.schema(count_ddl).parquet(path)
         small = counts.where(F.col("cnt") < limit)
-        before = counters.read(spark, batch_id - 1).withColumnRenamed("cnt", "_old")
+        # only the batch's own days can match, and there are few of them
+        days = [r[0] for r in counts.select(day).distinct().collect()]
+        before = counters.read(spark, batch_id - 1, only=days).withColumnRenamed("cnt", "_old")
         reached = small.join(before, keys).where(F.col("_old") + F.col("cnt") >= limit)
         listed.write(
             counts.where(F.col("cnt") >= limit).select(user).union(reached.select(user)).distinct(),

@@ -2,13 +2,16 @@
 
 Each micro-batch writes one small folder named after its id, so a repeated batch
 overwrites itself. Reading merges the folders; every ``compact_every`` batches the
-merged table is written out, which bounds how many folders a read touches.
+merged table is written out, which bounds how many folders a read touches, and what
+the merged table before it was made of is removed. A table may be partitioned by a
+column such as the day, so that a batch reads the parts it can change alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,22 +23,42 @@ class BatchTable:
     ddl: str
     merge: Callable[[DataFrame], DataFrame]
     compact_every: int = 16
+    partition: str | None = None
+
+    def _save(self, df: DataFrame, path: str) -> None:
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(path)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Add this batch's rows. Rows are materialised before anything reads them."""
-        df.write.mode("overwrite").parquet(f"{self.root}/delta/{batch_id}")
+        spark = df.sparkSession
+        self._save(df, f"{self.root}/delta/{batch_id}")
         if (batch_id + 1) % self.compact_every == 0:
-            whole = self.read(df.sparkSession, batch_id, compacted=False)
-            whole.write.mode("overwrite").parquet(f"{self.root}/base/{batch_id}")
-
-    def read(self, spark: SparkSession, upto: int, compacted: bool = True) -> DataFrame:
-        """The table after batch ``upto`` (-1: empty)."""
+            self._save(self.read(spark, batch_id, compacted=False), f"{self.root}/base/{batch_id}")
+            # the last compaction stays, for a batch that is repeated
+            old = batch_id - self.compact_every
+            self._remove(spark, [f"base/{old - self.compact_every}", *(f"delta/{i}" for i in range(old - self.compact_every + 1, old + 1))])
+
+    def _remove(self, spark: SparkSession, folders: Sequence[str]) -> None:
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def read(
+        self, spark: SparkSession, upto: int, compacted: bool = True, only: Sequence | None = None
+    ) -> DataFrame:
+        """The table after batch ``upto`` (-1: empty), or the ``only`` parts of it."""
         every = self.compact_every
         base = (upto + 1 if compacted else upto) // every * every - 1
         paths = [f"{self.root}/base/{base}"] if base >= 0 else []
         paths += [f"{self.root}/delta/{i}" for i in range(base + 1, upto + 1)]
         if not paths:
             return spark.createDataFrame([], self.ddl)
+        if self.partition:  # each folder has partitions of its own
+            parts = [spark.read.schema(self.ddl).parquet(p) for p in paths]
+            if only is not None:
+                parts = [p.where(F.col(self.partition).isin(list(only))) for p in parts]
+            return self.merge(reduce(DataFrame.unionByName, parts))
         return self.merge(spark.read.schema(self.ddl).parquet(*paths))
 
     def last_batch(self, spark: SparkSession) -> int:
