@@ -6,8 +6,8 @@ components of one element never compete at the same rank; the signature is compl
 soon as every component holds a value below the next rank, which ends the work early.
 
 Equal sets are first put together, whatever their number. Buckets of equal bands then
-propose links between a bucket's leader and its members (twice: the first, then the last node leads), so a
-group of g copies costs about g verifications. Members of buckets that still hold different
+propose links between a bucket's leader, the member that meets most others, and the rest, so
+a group of g copies costs about g verifications. Members of buckets that still hold different
 components are then joined exactly, by the rarest of their shingles; so every link of two
 documents with a band in common is found, or already joined by others.
 Every link is verified on the full sets, and components come from verified links alone.
@@ -30,7 +30,6 @@ WORDS_PER_SHINGLE = 5
 SIMILARITY = 75  # percent
 COMPONENTS, BAND = 128, 4
 CHUNK = 1 << 16
-STAR_ROUNDS = 2
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -260,18 +259,16 @@ def _candidates(open_nodes: DataFrame, items: DataFrame, similarity: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(2)]
-            sizes = np.array([len(s) for s in sets])
-            rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(rows),
-                    batch.column(1).take(rows),
-                    pa.array(np.repeat(sizes, sizes), pa.int64()),
-                    pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)),
-                ],
-                names=["node", "label", "size", "shingle"],
-            )
+            sizes = np.array([len(s.as_buffer()) // 8 for s in batch.column(2)], np.int64)
+            part = np.cumsum(sizes) // CHUNK  # a few sets at a time: a row here is many there
+            for begin, end in zip(*(np.searchsorted(part, np.unique(part), side=s) for s in ("left", "right")), strict=True):
+                few, count = batch.slice(begin, end - begin), sizes[begin:end]
+                rows = pa.array(np.repeat(np.arange(len(count)), count))
+                shingles = np.concatenate([np.frombuffer(s.as_buffer(), np.int64) for s in few.column(2)])
+                yield pa.RecordBatch.from_arrays(
+                    [few.column(0).take(rows), few.column(1).take(rows), pa.array(np.repeat(count, count)), pa.array(shingles)],
+                    names=["node", "label", "size", "shingle"],
+                )
 
     tokens = written(src.mapInArrow(run, "node long, label long, size long, shingle long"), "tokens")
     # only shingles of several sets are counted here; the others come first, in any order
@@ -280,43 +277,41 @@ def _candidates(open_nodes: DataFrame, items: DataFrame, similarity: int) -> Dat
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sets"), F.desc("shingle")))
     least = F.ceil(F.col("size") * similarity / 100)
     # from the end: the last ``least`` - 1 places of a set are not in its prefix
-    prefix = shared.withColumn("from_end", place).where(F.col("from_end") >= least).select("node", "label", "size", "shingle")
+    prefix = shared.withColumn("rest", place).where(F.col("rest") >= least).select("node", "label", "size", "shingle", "rest")
     prefix = written(prefix, "prefixes")
-    other = prefix.select(F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("size").alias("b_size"), "shingle")
-    near = (F.least("size", "b_size") * 100 >= F.greatest("size", "b_size") * similarity) & (F.col("label") < F.col("b_label"))
-    return prefix.join(other, "shingle").where(near).select(F.col("node").alias("a"), "b")
+    other = prefix.select(*(F.col(c).alias(f"b_{c}") for c in ("node", "label", "size", "rest")), "shingle")
+    # at their first common shingle, what is left of the shorter rest bounds the intersection
+    enough = F.least("rest", "b_rest") * (100 + similarity) >= (F.col("size") + F.col("b_size")) * similarity
+    pairs = prefix.join(other, "shingle").where(enough & (F.col("label") < F.col("b_label")))
+    return pairs.select(F.col("node").alias("a"), F.col("b_node").alias("b"))
+
+
+def _buckets(sets: DataFrame) -> DataFrame:
+    """(key, node, order): the buckets of two sets or more; ``order`` is the greater the more
+    other sets a node meets in all its buckets."""
+    keys = sets.select("node", F.explode("bands").alias("key"))
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(keys.join(sizes, "key"), "met")
+    tie = F.pmod(F.xxhash64("node"), F.lit(1 << 20))
+    order = met.groupBy("node").agg(F.sum("n").alias("n")).select("node", (F.col("n") * (1 << 20) + tie).alias("order"))
+    return written(met.select("key", "node").join(order, "node"), "buckets")
 
 
-def _links(sets: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
+def _links(buckets: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
     """(node, label) of every set that is linked with another."""
-    tested = labels = edges = None
-    for turn in range(STAR_ROUNDS + 1):
-        if labels is None:
-            marked = sets.select("node", "bands", F.col("node").alias("label"))
-        else:
-            marked = sets.select("node", "bands").join(labels, "node", "left")
-            marked = marked.withColumn("label", F.coalesce("label", "node"))
-        members = marked.select("node", "label", F.explode("bands").alias("key"))
-        leader = (F.max if turn % 2 else F.min)("node").alias("leader")
-        mixed = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), leader)
-        mixed = mixed.where("least <> most")
-        if turn < STAR_ROUNDS:
-            pairs = members.join(mixed.select("key", "leader"), "key").where("node <> leader")
-            pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"), "label").distinct()
-            labelled = marked.select(F.col("node").alias("a"), F.col("label").alias("a_label"))
-            pairs = pairs.join(labelled, "a").where("label <> a_label").select("a", "b")
-        else:
-            open_nodes = members.join(mixed.select("key"), "key", "left_semi").select("node", "label").distinct()
-            pairs = _candidates(open_nodes, items, similarity)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(verified(pairs, items, similarity), "edges")
-        edges = found if edges is None else edges.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = components(edges)
-    return labels
+    leaders = buckets.groupBy("key").agg(F.max_by("node", "order").alias("leader"))
+    pairs = buckets.join(leaders, "key").where("node <> leader")
+    pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    tested = written(pairs, "pairs")
+    edges = written(verified(tested, items, similarity), "edges")
+    labels = components(edges)
+    marked = buckets.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = marked.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    open_nodes = marked.join(mixed.select("key"), "key", "left_semi").select("node", "label").distinct()
+    pairs = _candidates(open_nodes, items, similarity)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    return components(edges.union(written(verified(pairs, items, similarity), "edges")))
 
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> DataFrame:
@@ -324,11 +319,10 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: int) ->
     sketch = written(sketches(docs, id_col, text_col), "sketches")
     groups = sketch.where("set_id is not null").groupBy("set_id").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
     sets = written(groups.withColumn("node", F.monotonically_increasing_id()), "sets")
-    keys = sets.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    wanted = keys.join(shared, "key", "left_semi").select("node").distinct()
+    buckets = _buckets(sets)
+    wanted = buckets.select("node").distinct()
     items = written(full_sets(docs, id_col, text_col, sets.join(wanted, "node", "left_semi")), "shingles")
-    labels = written(_links(sets, items, similarity), "labels")
+    labels = written(_links(buckets, items, similarity), "labels")
     named = sets.select("set_id", "node", "doc").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("doc").alias("name"))
     named = named.join(names, "label").select("set_id", "label", "name")
