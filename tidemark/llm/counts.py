@@ -52,8 +52,10 @@ def encoded_counts(contents: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path).__getitem__
         for batch in batches:
-            numbers = [sum(map(count, text.split(" "))) if text else 0 for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int64())], names=["content", "n_tokens"])
+            # rows that repeat with their id stand for one content
+            texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            numbers = [sum(map(count, text.split(" "))) if text else 0 for text in texts.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(texts), pa.binary()), pa.array(numbers, pa.int64())], names=["content", "n_tokens"])
 
     return contents.select("content", "text").mapInArrow(run, "content binary, n_tokens long")
 
@@ -90,7 +92,8 @@ def token_counts(
     missing = texts.join(stand, F.col("doc").eqNullSafe(F.col("_doc")))
     # an id may have several texts
     missing = missing.where(F.unhex(F.sha2("text", 256)) == F.col("content"))
-    fresh = encoded_counts(missing, path).withColumn("tokenizer", F.lit(version))
+    fresh = encoded_counts(missing, path).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    fresh = fresh.withColumn("tokenizer", F.lit(version))
     fresh.write.mode("append").partitionBy("tokenizer").parquet(cache)
     counts = cached(docs, cache, version)
     return rows.join(counts, "content", "left").select(
