@@ -25,11 +25,19 @@ def strings():
 
 
 def test_words_as_the_library():
-    mine = bpe.tokenizer(queries.BYTE_BPE)
+    mine, decoder = bpe.tokenizer(queries.BYTE_BPE), bpe.Decoder(queries.BYTE_BPE)
     for text in strings():
         ids = mine.encode(text)
         assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
-        assert mine.decode(ids) == LIBRARY.decode(library_ids(text), skip_special_tokens=False)
+        assert decoder.decode(ids) == LIBRARY.decode(library_ids(text), skip_special_tokens=False)
+
+
+def test_word_by_word_as_the_library(monkeypatch):
+    encoder = bpe.LibraryEncoder(queries.BYTE_BPE)
+    monkeypatch.setattr(bpe.Encoder, "CHARS_AT_ONCE", 500)
+    monkeypatch.setattr(bpe.Encoder, "PIECES", 50)
+    for text, ids in zip(strings(), encoder.encode_all(strings()), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
 
 
 def test_a_full_memo_forgets():
@@ -39,9 +47,9 @@ def test_a_full_memo_forgets():
 
 
 def test_cut_characters_decode_to_replacements():
-    mine = bpe.tokenizer(queries.BYTE_BPE)
+    decoder = bpe.Decoder(queries.BYTE_BPE)
     cut = np.array(library_ids("中")[:1], "<u4").tobytes()
-    assert mine.decode(cut) == LIBRARY.decode(library_ids("中")[:1], skip_special_tokens=False)
+    assert decoder.decode(cut) == LIBRARY.decode(library_ids("中")[:1], skip_special_tokens=False)
 
 
 def test_edges_round_trip(spark):
@@ -104,7 +112,7 @@ def test_grammar_and_random_access(kind):
     sizes = repair.rule_sizes(left, right)
     packed = {k: v.astype("<u4").tobytes() for k, v in (("left", left), ("right", right), ("size", sizes), ("symbols", symbols))}
     block = repair.Block({"docs": list(range(5)), "lengths": lengths.tolist(), "ends": ends.tolist()} | packed)
-    assert block.all_ids() == ids.tobytes()
+    assert block.all_ids().tobytes() == ids.tobytes()
     assert kind == "random" or len(symbols) < len(ids) / 4
     for place in (0, 1, 500, 999):
         assert block.id_at(1, place) == ids[place]

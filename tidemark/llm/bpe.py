@@ -14,9 +14,9 @@ not in it goes through the dynamic programming, however long it is.
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.worker import kept
+
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
+MATCHES = 400_000
 INFINITE = 1 << 60
 
 # Fixed value: the word pattern of the byte-level vocabulary
@@ -35,6 +38,10 @@ WORDS = (
 )
 
 
+SPACES_MEET = re.compile(r"\s\s")
+SPACE_OUTSIDE = re.compile(r"^\s|\s$")
+
+
 class Memo(dict):
     """A dict that computes what it lacks. When it is full it keeps what it holds as the
     older generation, from which words that come again move back, and forgets the one before."""
@@ -61,6 +68,11 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def vocabulary_bytes(spec: dict) -> dict[str, bytes]:
+    byte = {c: b for b, c in enumerate(byte_characters())}
+    return {t: bytes(byte[c] for c in t) for t in spec["model"]["vocab"]}
+
+
 class SuffixAutomaton:
     """All substrings of a set of byte strings; a state knows the string that ends there."""
 
@@ -104,24 +116,109 @@ class SuffixAutomaton:
                 last = fresh
             self.token[last] = number
         self.edges = {(s << 8) | c: t for s, edges in enumerate(following) for c, t in edges.items()}
-        # the longest proper suffix that is a word
-        self.above = [0] * len(following)
+        # (number, length) of the words that are suffixes of a state's string, the longest
+        # first: with the string itself, and without it
+        self.whole: list[tuple] = [()] * len(following)
+        self.proper: list[tuple] = [()] * len(following)
         for s in sorted(range(1, len(following)), key=self.length.__getitem__):
-            up = self.link[s]
-            self.above[s] = up if self.token[up] >= 0 else self.above[up]
+            self.proper[s] = self.whole[self.link[s]]
+            own = ((self.token[s], self.length[s]),) if self.token[s] >= 0 else ()
+            self.whole[s] = own + self.proper[s]
+
+
+class Encoder:
+    """Texts to packed ids by way of their words, for the byte-level word pattern.
+
+    Where no two blanks meet, a word begins at every blank and around every line end, so a
+    text is cut there without the pattern. Texts are taken some at a time; each distinct
+    piece of them is looked up or encoded once, and what was found lately is kept.
+    """
+
+    CHARS_AT_ONCE = 4_000_000
+    PIECES = 300_000
+
+    def __init__(self, special: Iterable[str]):
+        self.special = list(special)
+        self.lately: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        raise NotImplementedError
 
-class ByteLevelBpe:
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Packed ids (little-endian unsigned 32-bit integers) of each text, in order."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= self.CHARS_AT_ONCE:
+                yield from self._group(held)
+                held, size = [], 0
+        yield from self._group(held)
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece behind a blank; no piece holds a blank or a line end."""
+        return self.encode_whole([" " + p for p in pieces])
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        cuts, firsts, pieces = [], {"\n"}, set()
+        for text in texts:
+            if SPACES_MEET.search(text) or any(s in text for s in self.special):
+                lines = [(text, [])]  # such a text is one piece
+            else:
+                lines = []
+                for line in text.split("\n"):
+                    first, *rest = line.split(" ")
+                    lines.append((first, rest))
+                    pieces.update(rest)
+            firsts.update(first for first, _ in lines)
+            cuts.append(lines)
+        begin = dict(zip(firsts, self.encode_whole(list(firsts)), strict=True))
+        long = self._learn(pieces)
+        found, end = self.lately.__getitem__, begin["\n"]
+        out = [end.join([begin[first] + b"".join(map(found, rest)) for first, rest in lines]) for lines in cuts]
+        for piece in long:
+            del self.lately[piece]
+        return out
+
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Have the ids of each piece behind a blank in ``lately``; gives those not to be kept."""
+        if len(self.lately) > self.PIECES:
+            self.before, self.lately = self.lately, {}
+        lately, before = self.lately, self.before
+        new = []
+        for piece in pieces:
+            if piece not in lately:
+                ids = before.get(piece)
+                if ids is None:
+                    new.append(piece)
+                else:
+                    lately[piece] = ids
+        lately.update(zip(new, self.encode_pieces(new), strict=True))
+        return [p for p in new if len(p) > LONGEST_MEMO_WORD]
+
+
+class ByteLevelBpe(Encoder):
     """One tokenizer file: a byte-level BPE vocabulary with its merges in order."""
 
-    def __init__(self, path: str):
+    @staticmethod
+    def check(path: str) -> dict:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model, before = spec["model"], spec["pre_tokenizer"]
+        before = spec["pre_tokenizer"]
         if spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or not before["use_regex"]:
             raise ValueError("only plain byte-level BPE files are understood")
-        byte = {c: b for b, c in enumerate(byte_characters())}
-        as_bytes = {t: bytes(byte[c] for c in t) for t in model["vocab"]}
+        return spec
+
+    def __init__(self, path: str):
+        spec = self.check(path)
+        self.ids_of = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        super().__init__(self.ids_of)
+        model = spec["model"]
+        as_bytes = vocabulary_bytes(spec)
         ids = {as_bytes[t]: i for t, i in model["vocab"].items()}
         self.rank, self.parts, self.pair = {}, {}, {}
         for rank, merge in enumerate(model["merges"]):
@@ -131,14 +228,11 @@ class ByteLevelBpe:
             if whole not in self.rank:
                 self.rank[whole], self.parts[whole] = rank, (ids[left], ids[right])
         self.automaton = SuffixAutomaton({b: i for b, i in ids.items() if len(b) == 1 or i in self.rank})
-        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.bytes = {i: b for b, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.bytes = {i: b for b, i in ids.items()} | {i: s.encode() for s, i in self.ids_of.items()}
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.matches: dict[int, bool] = {}
         self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes())
-        self.first = Memo(lambda chunk: b"".join(map(self.word.__getitem__, self.words.findall(chunk))))
-        self.spaced = Memo(lambda chunk: b"".join(map(self.word.__getitem__, self.words.findall(" " + chunk))))
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
@@ -167,8 +261,8 @@ class ByteLevelBpe:
 
     def encode_word(self, word: bytes) -> list[int]:
         a, edges, matches = self.automaton, self.automaton.edges, self.matches
-        link, length, token_of, above = a.link, a.length, a.token, a.above
-        if len(matches) > MEMO_WORDS:
+        link, length, whole, proper = a.link, a.length, a.whole, a.proper
+        if len(matches) > MATCHES:
             matches.clear()
         last = [0] * (len(word) + 1)
         state = matched = end = 0
@@ -181,18 +275,15 @@ class ByteLevelBpe:
                 step = edges.get((state << 8) | char)
             state = step
             matched += 1
-            at = state if token_of[state] >= 0 and length[state] == matched else above[state]
-            while at:
-                token, start = token_of[at], end - length[at]
-                if not start:
+            for token, size in whole[state] if length[state] == matched else proper[state]:
+                if size == end:
                     break
-                pair = (last[start] << 20) | token
+                pair = (last[end - size] << 20) | token
                 fits = matches.get(pair)
                 if fits is None:
-                    fits = matches[pair] = self.compatible(last[start], token)
+                    fits = matches[pair] = self.compatible(pair >> 20, token)
                 if fits:
                     break
-                at = above[at]
             else:
                 raise ValueError("no token ends here: the vocabulary lacks a byte")
             last[end] = token
@@ -202,37 +293,75 @@ class ByteLevelBpe:
             end -= len(self.bytes[last[end]])
         return ids[::-1]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if self.specials and any(s in text for s in self.special):
-            return b"".join(
-                np.uint32(self.special[part]).tobytes() if part in self.special else self._plain(part)
-                for part in self.specials.split(text)
-            )
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        if SPACES_MEET.search(text):
-            return b"".join(map(self.word.__getitem__, self.words.findall(text)))
-        # Where no two spaces meet, a word begins at every space and around every line end.
-        lines, line_end = [], self.word["\n"]
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            lines.append(self.first[first] + b"".join(map(self.spaced.__getitem__, rest)))
-        return line_end.join(lines)
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        found = []
+        for text in texts:
+            parts = [text]
+            if self.specials and any(s in text for s in self.special):
+                parts = self.specials.split(text)
+            found.append(b"".join(
+                np.uint32(self.ids_of[p]).tobytes() if p in self.ids_of else b"".join(map(self.word.__getitem__, self.words.findall(p)))
+                for p in parts
+            ))
+        return found
+
+
+class Decoder:
+    """The bytes of every id; all that decoding needs of a tokenizer file."""
+
+    def __init__(self, path: str):
+        spec = ByteLevelBpe.check(path)
+        as_bytes = vocabulary_bytes(spec)
+        self.bytes = {i: as_bytes[t] for t, i in spec["model"]["vocab"].items()}
+        self.bytes |= {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
 
     def decode(self, ids: bytes) -> str:
         known = self.bytes
         return b"".join([known[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-SPACES_MEET = re.compile(r"\s\s")
+class LibraryEncoder(Encoder):
+    """The tokenizers library, asked once for each distinct piece."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        ByteLevelBpe.check(path)
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        super().__init__(t.content for t in self.library.get_added_tokens_decoder().values())
+
+        (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
+
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Short pieces go to the library as the lines of one text; a line end is a word, and
+        so a token, of its own between a piece and a blank."""
+        joined = [p for p in pieces if p and len(p) <= LONGEST_MEMO_WORD and not SPACE_OUTSIDE.search(p)]
+        rest = [p for p in pieces if not p or len(p) > LONGEST_MEMO_WORD or SPACE_OUTSIDE.search(p)]
+        found = dict(zip(rest, self.encode_whole([" " + p for p in rest]), strict=True))
+        (text,) = self.library.encode_batch_fast([" " + "\n ".join(joined)], add_special_tokens=False)
+        ids = np.array(text.ids, "<u4")
+        ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
+        packed, begin = ids.tobytes(), 0
+        for piece, end in zip(joined, ends, strict=bool(joined)):
+            found[piece] = packed[4 * begin : 4 * end]
+            begin = end + 1
+        return [found[p] for p in pieces]
+
+
+def library_encoder(path: str) -> LibraryEncoder:
+    return kept(("library", path), lambda: LibraryEncoder(path))
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> ByteLevelBpe:
     """Loaded once in every Python worker."""
-    return ByteLevelBpe(path)
+    return kept(("bpe", path), lambda: ByteLevelBpe(path))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,7 +377,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            ids = pa.array([bpe.encode(t) for t in batch.column(1).to_pylist()], pa.binary())
+            ids = pa.array(list(bpe.encode_all(batch.column(1).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
     kind = src.schema[0].dataType.simpleString()
@@ -264,9 +393,9 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     src = encoded.select(F.col(id_col), F.coalesce(F.col("ids"), F.lit(b"")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
+        decoder = kept(("decoder", path), lambda: Decoder(path))
         for batch in batches:
-            text = pa.array([bpe.decode(x) for x in batch.column(1).to_pylist()], pa.string())
+            text = pa.array([decoder.decode(x) for x in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text], names=[id_col, "ids", "text"])
 
     kind = src.schema[0].dataType.simpleString()

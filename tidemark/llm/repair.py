@@ -29,12 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import tokenizer
+from tidemark.llm.bpe import library_encoder
 
 FIRST = 1 << 17  # nonterminals begin here; ids are below
 BLOCK_IDS = 1 << 20
 ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 12, 4096, 16
 LEAST_GAIN = 0.02
+SLOTS = 1 << 18
 
 COLUMNS = {
     "shard": pa.int32(),
@@ -74,11 +75,12 @@ def compress(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
             often = often[np.argsort(-counts[often], kind="stable")[:RULES_PER_ROUND]]
         if not len(often):
             break
-        chosen = np.sort(ordered[starts[often]])
-        at = _occurrences(pairs, inner, chosen)
+        chosen = ordered[starts[often]]
+        chosen = chosen[np.unique(_slots(chosen), return_index=True)[1]]  # a pair for each slot
+        at, which = _occurrences(pairs, inner, chosen)
         if len(at) < LEAST_GAIN * len(symbols):
             break
-        symbols[at] = made + np.searchsorted(chosen, pairs[at])
+        symbols[at] = made + which.astype(np.int64)
         last[at] = last[at + 1]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
@@ -92,17 +94,24 @@ def compress(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return symbols, np.maximum.accumulate(until), np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _occurrences(pairs: np.ndarray, inner: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Where the chosen pairs stand without overlap: of a run of overlapping ones, every second."""
-    short = (chosen * 0x9E3779B1 >> 20) & 0xFFFF
-    maybe = np.zeros(1 << 16, bool)
-    maybe[short] = True
-    at = np.flatnonzero(maybe[(pairs * 0x9E3779B1 >> 20) & 0xFFFF] & inner)
-    found = np.minimum(np.searchsorted(chosen, pairs[at]), len(chosen) - 1)
-    at = at[chosen[found] == pairs[at]]
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * 0x9E3779B97F4A7C1 >> 40) & (SLOTS - 1)
+
+
+def _occurrences(pairs: np.ndarray, inner: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where chosen pairs stand without overlap, and which they are: of a run of overlapping
+    ones, every second."""
+    table = np.full(SLOTS, -1, np.int16)
+    table[_slots(chosen)] = np.arange(len(chosen))
+    which = table[_slots(pairs)]
+    at = np.flatnonzero((which >= 0) & inner)
+    which = which[at]
+    hit = chosen[which] == pairs[at]
+    at, which = at[hit], which[hit]
     begins = np.concatenate(([True], at[1:] != at[:-1] + 1))[: len(at)]
     run = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
-    return at[(np.arange(len(at)) - run) % 2 == 0]
+    apart = (np.arange(len(at)) - run) % 2 == 0
+    return at[apart], which[apart]
 
 
 def rule_sizes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -121,16 +130,24 @@ class Block:
         self.ends = np.array(row["ends"], np.int64)
         self.left, self.right, self.size, self.symbols = (np.frombuffer(row[c], "<u4") for c in ("left", "right", "size", "symbols"))
 
-    def expansions(self) -> list[bytes]:
-        """What each nonterminal stands for, as packed ids."""
-        made: list[bytes] = []
+    def all_ids(self) -> np.ndarray:
+        """The ids of the whole block: those of each rule are laid out once, and every symbol
+        copies its own."""
+        made: list[list[int]] = []
         for x, y in zip(self.left.tolist(), self.right.tolist(), strict=True):
-            made.append((ID[x] if x < FIRST else made[x - FIRST]) + (ID[y] if y < FIRST else made[y - FIRST]))
-        return made
-
-    def all_ids(self) -> bytes:
-        made = self.expansions()
-        return b"".join([ID[s] if s < FIRST else made[s - FIRST] for s in self.symbols.tolist()])
+            made.append((made[x - FIRST] if x >= FIRST else [x]) + (made[y - FIRST] if y >= FIRST else [y]))
+        laid = np.array([i for ids in made for i in ids], "<u4")
+        starts = np.cumsum(self.size, dtype=np.int64) - self.size
+        rule = self.symbols >= FIRST
+        number = np.where(rule, self.symbols - FIRST, 0)
+        sizes = np.where(rule, self.size[number] if len(self.size) else 0, 1).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), "<u4")
+        out[begin[~rule]] = self.symbols[~rule]
+        number, sizes, begin = number[rule], sizes[rule], begin[rule]
+        step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(begin, sizes) + step] = laid[np.repeat(starts[number], sizes) + step]
+        return out
 
     def id_at(self, doc: int, place: int) -> int:
         """The id at ``place`` of the block's ``doc``-th document, found by the symbols' lengths."""
@@ -148,17 +165,6 @@ class Block:
         return symbol
 
 
-class _Ids(dict):
-    """Packed ids, made when they are first asked for."""
-
-    def __missing__(self, number: int) -> bytes:
-        packed = self[number] = np.uint32(number).tobytes()
-        return packed
-
-
-ID = _Ids()
-
-
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, and write the id files of all documents to ``folder``.
 
@@ -171,7 +177,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
     ordered = src.repartitionByRange(n, "doc").sortWithinPartitions("doc", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = tokenizer(path), np.uint32(end_id).tobytes()
+        library, end = library_encoder(path), np.uint32(end_id).tobytes()
         shard, block = TaskContext.get().partitionId(), 0
         names: list = []
         held: list[bytes] = []
@@ -186,9 +192,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "d
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, COLUMNS.values(), strict=True)], names=list(COLUMNS))
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for name, ids in zip(batch.column(0).to_pylist(), library.encode_all(batch.column(1).to_pylist()), strict=True):
                 names.append(name)
-                held.append(bpe.encode(text) + end)
+                held.append(ids + end)
                 size += len(held[-1]) // 4
                 if size >= BLOCK_IDS:
                     yield packed()
@@ -224,10 +230,10 @@ def read_back(
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                ids = memoryview(block.all_ids())
+                ids = block.all_ids()
                 until = np.cumsum(np.array(block.lengths, np.int64))
                 begin = until - np.array(block.lengths, np.int64)
-                values = [summary(ids[4 * a : 4 * b]) for a, b in zip(begin.tolist(), until.tolist(), strict=True)]
+                values = [summary(ids[a:b].tobytes()) for a, b in zip(begin.tolist(), until.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["shard"]] * len(until), pa.int32()),
