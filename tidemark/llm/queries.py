@@ -136,6 +136,30 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+# All pairs of a small table, by their common shingles; components by reachability
+OP9_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [len(w)::VARCHAR || ':' || array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingles),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS common FROM items a JOIN items b
+  ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (SELECT a, b FROM pairs WHERE 100 * common >= 75 * (na + nb - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+names AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id <= coalesce(low, doc_id) AS kept
+FROM shingles LEFT JOIN names USING (doc_id)
+"""
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -155,4 +179,5 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op4_chat": OP4_SQL,
+    "op9_near_duplicates": OP9_SQL,
 }
