@@ -37,7 +37,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids): ids are packed little-endian 32-bit integers."""
     keyed = docs.select(F.struct("doc_id", "lang", "source").alias("doc"), "text")
-    return bpe.encode(keyed, BYTE_BPE, id_col="doc").select(
+    # the stages before leave less of an executor's memory than the operator alone has
+    return bpe.encode(keyed, BYTE_BPE, id_col="doc", pieces=60_000).select(
         "doc.*", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids"
     )
 

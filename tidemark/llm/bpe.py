@@ -28,7 +28,7 @@ from tidemark.llm.worker import kept
 
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
-MATCHES = 400_000
+MATCHES, WORDS_KEPT = 200_000, 50_000
 INFINITE = 1 << 60
 
 # Fixed value: the word pattern of the byte-level vocabulary
@@ -134,8 +134,8 @@ class Encoder:
     piece of them is looked up or encoded once, and what was found lately is kept.
     """
 
-    CHARS_AT_ONCE = 4_000_000
-    PIECES = 300_000
+    CHARS_AT_ONCE = 1_000_000
+    PIECES = 400_000
 
     def __init__(self, special: Iterable[str]):
         self.special = list(special)
@@ -232,7 +232,7 @@ class ByteLevelBpe(Encoder):
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.matches: dict[int, bool] = {}
-        self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes())
+        self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes(), WORDS_KEPT)
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
@@ -364,18 +364,22 @@ def tokenizer(path: str) -> ByteLevelBpe:
     return kept(("bpe", path), lambda: ByteLevelBpe(path))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", pieces: int = Encoder.PIECES
+) -> DataFrame:
     """Token ids of every text: (id_col, ids), ids being packed little-endian 32-bit integers.
 
     The ids are those of the vocabulary's own library without added special tokens; a
     special string inside a text becomes its special id. A null text counts as empty and
     has no ids, repeated rows are encoded one by one, a null id stays null, and an empty
-    table gives an empty result.
+    table gives an empty result. ``pieces`` bounds what a worker remembers (about 0.4 kB
+    each); with fewer it takes longer and gives the same ids.
     """
     src = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
+        bpe.PIECES = pieces
         for batch in batches:
             ids = pa.array(list(bpe.encode_all(batch.column(1).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])

@@ -11,13 +11,13 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
+from tidemark.llm.worker import kept
 
 CACHE_SCHEMA = "content binary, n_tokens long, tokenizer string"
 
@@ -33,17 +33,20 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> Memo:
     """Token counts of words, by the tokenizer's library. The tokenizer drops white space and
     never joins across it, so a text has the tokens of its words."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-    return Memo(lambda word: len(library.encode(word, add_special_tokens=False).ids))
+    def make() -> Memo:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        return Memo(lambda word: len(library.encode(word, add_special_tokens=False).ids))
+
+    return kept(("counter", path), make)
 
 
 def encoded_counts(contents: DataFrame, path: str) -> DataFrame:

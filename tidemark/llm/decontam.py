@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
+from tidemark.llm.worker import kept
 
 SEED_WORDS = 3
 # Seeds that a text of a million words would hold by chance less than so many times
@@ -40,6 +42,11 @@ def bare(word: bytes) -> bytes:
 class Numbering:
     """Texts as word numbers, 0 for words that the items lack. A-Z is folded to lower case."""
 
+    @staticmethod
+    def of(name: str, vocabulary: dict[bytes, int]) -> Numbering:
+        """The numbering of this name that the worker keeps."""
+        return kept(("numbering", name), lambda: Numbering(vocabulary))
+
     def __init__(self, vocabulary: dict[bytes, int]):
         self.known = Memo(lambda w: vocabulary.get(bare(w), 0))
 
@@ -51,6 +58,7 @@ class Items:
     """A block of benchmark items: words as numbers, and their trigrams."""
 
     def __init__(self, rows: list[tuple]):
+        self.name = uuid4().hex
         self.vocabulary: dict[bytes, int] = {}
         self.ids = [r[0] for r in rows]
         for row in rows:
@@ -153,10 +161,10 @@ def matches(items: Items, words: np.ndarray, share: float, least: int) -> list[t
 def _counted(docs: DataFrame, items: Items) -> tuple[dict[int, int], int]:
     """Occurrences of the items' words in all documents, and the number of all words."""
     shared = docs.sparkSession.sparkContext.broadcast(items.vocabulary)
-    size = len(items.vocabulary) + 1
+    size, name = len(items.vocabulary) + 1, items.name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, total = Numbering(shared.value), np.zeros(size, np.int64)
+        number, total = Numbering.of(name, shared.value), np.zeros(size, np.int64)
         for batch in batches:
             texts = [number(t) for t in batch.column(0).to_pylist()]
             total += np.bincount(np.concatenate(texts) if texts else [], minlength=size).astype(np.int64)
@@ -220,7 +228,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            number = Numbering(items.vocabulary)
+            number = Numbering.of(items.name, items.vocabulary)
             for batch in batches:
                 at, hits = [], []
                 for i, text in enumerate(batch.column(1).to_pylist()):
@@ -250,7 +258,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            number = Numbering(items.vocabulary)
+            number = Numbering.of(items.name, items.vocabulary)
             for batch in batches:
                 texts = batch.column(at).to_pylist()
                 clean = [not matches(items, number(t), given["share"], given["least"]) for t in texts]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import SuffixAutomaton
+from tidemark.llm.worker import kept
 
 UNKNOWN = "und"
 # Bounds of what is learnt from, whatever the size of the corpus
@@ -32,6 +34,7 @@ TABLE = 0x3000
 # A text that its best language parses into more than this multiple of the phrases that
 # the language needs for its own held-back text is in none of the languages.
 REJECT_RATIO = 2.5
+FEW_PHRASES = 24  # too few to reject a short text
 
 
 @dataclass
@@ -184,11 +187,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     src = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     kind = src.schema[0].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = kept(("languages", name), lambda: shared.value)
         for batch in batches:
-            labels, scores, accepted = judged(shared.value, batch.column(1).to_pylist())
+            labels, scores, accepted = judged(model, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), labels, scores, accepted], names=[id_col, "lang_pred", "score", "accepted"])
 
     return src.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean")
@@ -207,7 +211,7 @@ def judged(model: Model, texts: list[str | None]) -> tuple[pa.Array, pa.Array, p
         rest[rows, best] = np.iinfo(np.int64).max
         second = rest.min(axis=1) if len(model.languages) > 1 else np.full(len(rows), np.iinfo(np.int64).max)
         scores[lettered] = np.maximum(0.0, 1 - least / second)
-        accepted[lettered] = least <= np.maximum(2, REJECT_RATIO * model.typical[best] * chars)
+        accepted[lettered] = least <= np.maximum(FEW_PHRASES, REJECT_RATIO * model.typical[best] * chars)
         for i, b in zip(lettered, best, strict=True):
             labels[i] = model.languages[b]
     return pa.array(labels, pa.string()), pa.array(scores), pa.array(accepted)
@@ -215,11 +219,12 @@ def judged(model: Model, texts: list[str | None]) -> tuple[pa.Array, pa.Array, p
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is accepted, with all their columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = kept(("languages", name), lambda: shared.value)
         for batch in batches:
-            yield batch.filter(judged(shared.value, batch.column(at).to_pylist())[2])
+            yield batch.filter(judged(model, batch.column(at).to_pylist())[2])
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
+from tidemark.llm.worker import kept
 from tidemark.session import written
 
 WORDS_PER_SHINGLE = 5
@@ -44,7 +45,7 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest)
+    return kept("word hashes", lambda: Memo(xxhash.xxh3_64_intdigest))
 
 
 def shingles(text: str | None, words: Memo) -> np.ndarray:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
 from tidemark.llm.decontam import bare
+from tidemark.llm.worker import kept
 from tidemark.session import written
 
 K1, B = 1.2, 0.75
@@ -37,7 +38,7 @@ SLACK = 1e-7
 
 
 def term_numbers() -> Memo:
-    return Memo(lambda word: xxhash.xxh3_64_intdigest(bare(word)))
+    return kept("term numbers", lambda: Memo(lambda word: xxhash.xxh3_64_intdigest(bare(word))))
 
 
 def terms_of(text: str | None, numbers: Memo) -> tuple[np.ndarray, np.ndarray, int]:
