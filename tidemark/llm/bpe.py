@@ -28,7 +28,6 @@ from tidemark.llm.worker import kept
 
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
-MATCHES, WORDS_KEPT = 200_000, 50_000
 INFINITE = 1 << 60
 
 # Fixed value: the word pattern of the byte-level vocabulary
@@ -232,7 +231,7 @@ class ByteLevelBpe(Encoder):
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.matches: dict[int, bool] = {}
-        self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes(), WORDS_KEPT)
+        self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes(), self.PIECES // 3)
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
@@ -262,7 +261,7 @@ class ByteLevelBpe(Encoder):
     def encode_word(self, word: bytes) -> list[int]:
         a, edges, matches = self.automaton, self.automaton.edges, self.matches
         link, length, whole, proper = a.link, a.length, a.whole, a.proper
-        if len(matches) > MATCHES:
+        if len(matches) > self.PIECES:
             matches.clear()
         last = [0] * (len(word) + 1)
         state = matched = end = 0
@@ -379,7 +378,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        bpe.PIECES = pieces
+        bpe.PIECES, bpe.word.size = pieces, pieces // 3
         for batch in batches:
             ids = pa.array(list(bpe.encode_all(batch.column(1).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
