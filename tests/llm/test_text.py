@@ -292,3 +292,14 @@ def test_search_edges(spark):
 
 def test_long_text_is_one_row(spark):
     assert search.search(documents(spark, [(1, LONG)]), documents(spark, [(1, LONG)]), query_id_col="doc_id", id_col="n_chars").count() == 1
+
+
+def test_a_rare_label_leaves_the_others_alone(spark):
+    docs = table(spark, "documents").select("doc_id", "text", "lang")
+    right = {r.doc_id: r.lang for r in docs.collect()}
+    stray = spark.createDataFrame([(-1, "some odd words and not many of", "zz"), (-2, "qq", "aa")], docs.schema)
+    model = langid.learn(docs.where(~queries.held_out()).union(stray))
+    rows = langid.predict(docs.where(queries.held_out()), model).collect()
+    assert sum(r.lang_pred == right[r.doc_id] for r in rows) >= 0.97 * len(rows)
+    other = documents(spark, [(1, "Это совсем другой язык, которого в корпусе нет вообще. " * 5), (2, "xqzj kwvy qqx zzkj wvwq jxk qzx " * 9)])
+    assert not any(r.accepted for r in langid.predict(other, model).collect())

@@ -3,8 +3,9 @@
 For each language a suffix automaton of labelled text recognises every substring of that
 text. Parsing a document greedily into the longest matches with one language's text gives
 a number of phrases; the more the document is like that text, the longer the matches and
-the fewer the phrases. All languages learn from the same amount of text, so phrases per
-character compare, and the language with the fewest wins.
+the fewer the phrases. Each language learns from as much text as it has, up to a bound. A
+phrase points to a place in that text and so costs the logarithm of its length in bits; the
+language in which a document costs the fewest bits wins.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ PHRASE = np.int32(1 << 30)
 # Codes of letters that are not in the model, and of whatever is not a letter
 OTHER, SPACE = 0, 1
 TABLE = 0x3000
-# A text that its best language parses into more than this multiple of the phrases that
-# the language needs for its own held-back text is in none of the languages.
+# Amounts of text that differ by less than this share are made equal: equal amounts compare exactly
+NEAR = 1 / 8
+# Added to the amount learnt, so that a phrase of a language with hardly any text is not for nothing
+LITERALS = 256
+# A text that costs its best language more than this multiple of the bits a char that the
+# language needs for its own held-back text is in none of the languages.
 REJECT_RATIO = 2.5
 FEW_PHRASES = 24  # too few to reject a short text
 
@@ -40,11 +45,13 @@ FEW_PHRASES = 24  # too few to reject a short text
 @dataclass
 class Model:
     """``step[language, state * alphabet + char]``: the next state, with the bit ``PHRASE``
-    where a phrase ended before this char. ``typical``: phrases per char of own text."""
+    where a phrase ended before this char. ``bits``: what a phrase costs. ``typical``: bits
+    per char of own text."""
 
     languages: list[str]
     alphabet: dict[int, int]
     step: np.ndarray
+    bits: np.ndarray
     typical: np.ndarray
 
     @property
@@ -74,15 +81,16 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
         texts.setdefault(row.lang, []).append(row.text.lower())
     languages = sorted(texts)
     if not languages:
-        return Model([], {}, np.zeros((0, 1), np.int32), np.zeros(0))
+        return Model([], {}, np.zeros((0, 1), np.int32), np.zeros(0), np.zeros(0))
     taught = {x: [t for i, t in enumerate(texts[x]) if i % 4 or len(texts[x]) < 4] for x in languages}
-    size = min(SAMPLE_CHARS, min(sum(map(len, t)) for t in taught.values()))
+    sizes = _sizes({x: min(SAMPLE_CHARS, sum(map(len, t))) for x, t in taught.items()})
     common: dict[int, int] = {}
     words = {}
     for x in languages:
-        # an equal share of every text, so that one long text does not stand for a language
-        words[x], room = [], size
-        for i, t in enumerate(taught[x]):
+        # an equal share of every text, so that one long text does not stand for a language;
+        # what a short text leaves goes to the longer ones
+        words[x], room = [], sizes[x]
+        for i, t in enumerate(sorted(taught[x], key=len)):
             part = t[: -(-room // (len(taught[x]) - i))]
             words[x].append(part)
             room -= len(part)
@@ -99,14 +107,33 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
     step = np.zeros((len(languages), longest), np.int32)
     for i, s in enumerate(steps):
         step[i, : len(s)] = s
-    model = Model(languages, common, step, np.ones(len(languages)))
+    bits = np.log2(LITERALS + np.array([sizes[x] for x in languages]))
+    model = Model(languages, common, step, bits, np.ones(len(languages)))
     held = {x: [t for i, t in enumerate(texts[x]) if i % 4 == 0] for x in languages}
     for i, x in enumerate(languages):
-        phrases, chars = parse(model, held[x])
-        model.typical[i] = phrases[:, i].sum() / max(1, chars.sum())
+        phrases, chars, foreign = _parsed(model, held[x])
+        model.typical[i] = _cost(model, phrases, foreign)[:, i].sum() / max(1, chars.sum())
     return model
 
 
+def _sizes(given: dict[str, int]) -> dict[str, int]:
+    """How much each language learns: what it has, made equal where that is nearly the same.
+    No language loses more than the share NEAR, however little another one has."""
+    sizes, group = {}, []
+    for x in sorted(given, key=lambda x: -given[x]):
+        if group and given[x] < (1 - NEAR) * given[group[0]]:
+            group = []
+        group.append(x)
+        sizes.update(dict.fromkeys(group, given[x]))
+    return sizes
+
+
+def _cost(model: Model, phrases: np.ndarray, foreign: np.ndarray) -> np.ndarray:
+    """Bits of each text in each language. A letter that no language has is a phrase in
+    every one, and costs each the same."""
+    return (phrases - foreign[:, None]) * model.bits + foreign[:, None] * model.bits.max()
+
+
 def _table(automaton: SuffixAutomaton, width: int) -> np.ndarray:
     """Where a state has no step for a char, the phrase ends and the char starts the next."""
     states = len(automaton.link)
@@ -143,13 +170,19 @@ def coder(alphabet: dict[int, int]) -> Callable[[list[str]], list[np.ndarray]]:
 
 
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(phrases[text, language], codes[text]) of whole texts.
+    """(phrases[text, language], codes[text]) of whole texts."""
+    return _parsed(model, texts)[:2]
+
+
+def _parsed(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``parse``, and how many of the codes are letters that are not in the model.
 
     Texts are cut into windows of WINDOW chars that are parsed side by side, a column of
     chars at a time; a phrase also ends with its window, for every language alike.
     """
     codes = coder(model.alphabet)(texts)
     chars = np.array([len(c) for c in codes], np.int64)
+    foreign = np.array([len(c) - np.count_nonzero(c) for c in codes], np.int64)
     owner = np.repeat(np.arange(len(texts)), -(-chars // WINDOW))
     pieces = [c[i : i + WINDOW] for c in codes for i in range(0, len(c), WINDOW)]
     sizes = np.array([len(p) for p in pieces], np.int64)
@@ -172,13 +205,13 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 ended[:n] += to >> 30
                 state[:n] = to & ~PHRASE
             np.add.at(phrases[:, i], owner[lanes], ended)
-    return phrases, chars
+    return phrases, chars, foreign
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, lang_pred, score, accepted) for each row; only the text is looked at.
 
-    ``score`` is one minus the share of phrases that the winner needs of the runner-up's
+    ``score`` is one minus the share of bits that the winner needs of the runner-up's
     (0: undecided; 1: the only language). Ties go to the label that sorts first. A null
     text, or one without letters, is ``und`` with score 0, as is every text if no language
     was learnt. ``accepted`` is false for ``und`` and for texts that fit their best
@@ -203,15 +236,17 @@ def judged(model: Model, texts: list[str | None]) -> tuple[pa.Array, pa.Array, p
     labels = [UNKNOWN] * len(texts)
     scores, accepted = np.zeros(len(texts)), np.zeros(len(texts), bool)
     if model.languages and lettered:
-        phrases, chars = parse(model, [texts[i] for i in lettered])
-        best = phrases.argmin(axis=1)
+        phrases, chars, foreign = _parsed(model, [texts[i] for i in lettered])
+        cost = _cost(model, phrases, foreign)
+        best = cost.argmin(axis=1)
         rows = np.arange(len(lettered))
-        least = phrases[rows, best]
-        rest = phrases.copy()
-        rest[rows, best] = np.iinfo(np.int64).max
-        second = rest.min(axis=1) if len(model.languages) > 1 else np.full(len(rows), np.iinfo(np.int64).max)
+        least = cost[rows, best]
+        rest = cost.copy()
+        rest[rows, best] = np.inf
+        second = rest.min(axis=1)
         scores[lettered] = np.maximum(0.0, 1 - least / second)
-        accepted[lettered] = least <= np.maximum(FEW_PHRASES, REJECT_RATIO * model.typical[best] * chars)
+        few = phrases[rows, best] <= FEW_PHRASES
+        accepted[lettered] = few | (least <= REJECT_RATIO * model.typical[best] * chars)
         for i, b in zip(lettered, best, strict=True):
             labels[i] = model.languages[b]
     return pa.array(labels, pa.string()), pa.array(scores), pa.array(accepted)
