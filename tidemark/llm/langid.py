@@ -39,6 +39,9 @@ LITERALS = 256
 # A text that costs its best language more than this multiple of the bits a char that the
 # language needs for its own held-back text is in none of the languages.
 REJECT_RATIO = 2.5
+# Share of the most that other languages need which a language without held-back text is
+# taken to need; less, as the short phrases of a small language let any text fit better
+UNSEEN = 0.8
 FEW_PHRASES = 24  # too few to reject a short text
 
 
@@ -60,24 +63,30 @@ class Model:
 
 
 def sample(docs: DataFrame, text_col: str, lang_col: str, order: Column) -> DataFrame:
-    """(lang, text): at most SAMPLE_DOCS texts of each language, the start of each; the
-    only rows that reach the driver. Spark keeps SAMPLE_DOCS rows a language and task
-    before the shuffle, so a hot language is no heavier than another."""
+    """(lang, text, place): at most SAMPLE_DOCS distinct texts of each language, the start of
+    each; the only rows that reach the driver. Texts are drawn by their hashes, so that only
+    those of the drawn ones are looked up. Copies are counted as one before the draw, and
+    Spark keeps SAMPLE_DOCS hashes a language and task before the shuffle, so neither a hot
+    text nor a hot language is heavier than another."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS_PER_DOC).alias("text"), order.alias("draw"))
-    rows = rows.where("lang is not null and length(trim(text)) > 0")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    return rows.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS).select("lang", "text", "place")
+    rows = rows.where("lang is not null and length(trim(text)) > 0").withColumn("name", F.xxhash64("text"))
+    distinct = rows.groupBy("lang", "name").agg(F.min("draw").alias("draw"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "name"))
+    drawn = distinct.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS).orderBy("lang", "place").limit(MAX_LANGUAGES * SAMPLE_DOCS)
+    found = rows.join(F.broadcast(drawn.select("lang", "name", "place")), ["lang", "name"])
+    return found.groupBy("lang", "place").agg(F.min("text").alias("text"))
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Column | None = None) -> Model:
     """Automata of a bounded sample of the labelled rows (no more than MAX_LANGUAGES labels).
 
     ``order`` draws the sample; by default a hash of the text. Every fourth text is held
-    back to find what a language needs for text of its own that it has not seen.
+    back to find what a language needs for text of its own that it has not seen. A language
+    of fewer than four texts holds none back and is measured by the others (UNSEEN); if no language has text held back, nothing is rejected.
     """
     rows = sample(docs, text_col, lang_col, F.xxhash64(text_col) if order is None else order)
     texts: dict[str, list[str]] = {}
-    for row in rows.orderBy("lang", "place").limit(MAX_LANGUAGES * SAMPLE_DOCS).collect():
+    for row in rows.orderBy("lang", "place").collect():
         texts.setdefault(row.lang, []).append(row.text.lower())
     languages = sorted(texts)
     if not languages:
@@ -108,11 +117,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
     for i, s in enumerate(steps):
         step[i, : len(s)] = s
     bits = np.log2(LITERALS + np.array([sizes[x] for x in languages]))
-    model = Model(languages, common, step, bits, np.ones(len(languages)))
-    held = {x: [t for i, t in enumerate(texts[x]) if i % 4 == 0] for x in languages}
+    model = Model(languages, common, step, bits, np.full(len(languages), np.nan))
+    held = {x: [t for i, t in enumerate(texts[x]) if i % 4 == 0 and len(texts[x]) >= 4] for x in languages}
     for i, x in enumerate(languages):
         phrases, chars, foreign = _parsed(model, held[x])
-        model.typical[i] = _cost(model, phrases, foreign)[:, i].sum() / max(1, chars.sum())
+        if chars.sum():
+            model.typical[i] = _cost(model, phrases, foreign)[:, i].sum() / chars.sum()
+    unseen = np.isnan(model.typical)
+    model.typical[unseen] = np.inf if unseen.all() else UNSEEN * model.typical[~unseen].max()
     return model
 
 
