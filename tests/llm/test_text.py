@@ -318,3 +318,13 @@ def test_copies_are_learnt_once(spark):
     (taught,) = langid._cost(model, *langid._parsed(model, texts[1:2])[::2])[:, 0] / len(texts[1])
     assert model.typical[0] > 1.5 * taught and model.typical[1] == langid.UNSEEN * model.typical[0]
     assert langid.keep_known(docs, langid.learn(docs.where("lang = 'y'"))).count() == len(rows)
+
+
+def test_items_of_frequent_words_are_found(spark):
+    item = "it is of the and to in that for on with as at by it was from this be are an or"
+    rows = [(i, f"{item} and some{i} other{i} words{i}") for i in range(20)] + [(30, "it is of the or an and to with in as that"), (31, "nothing of the kind is in it")]
+    items = spark.createDataFrame([(50, ITEM), (51, item)], "item_id long, text string")
+    docs = documents(spark, [*rows, *((100 + i, ITEM) for i in range(40))])
+    found = decontam.contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(i, 51) for i in range(20)] + [(100 + i, 50) for i in range(40)]
+    assert sorted(r.doc_id for r in decontam.keep_clean(docs, items).collect()) == [30, 31]

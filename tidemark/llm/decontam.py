@@ -3,8 +3,10 @@
 A seed is a word trigram of a benchmark item that chance alone would hardly ever produce:
 its expected number of occurrences, from the word frequencies of the whole corpus, is
 small. (Rarity is not the observed count: a leaked passage may be in a third of all
-documents, and its trigrams would then look common.) A document that holds a seed is
-aligned word by word with the item around the seed; local alignment survives replaced,
+documents, and its trigrams would then look common.) A leak in very many documents raises
+the frequencies of its own words, and some items have frequent words only; so in each
+stretch of STRETCH words the rarest trigram is a seed whatever its frequency, and every
+STRETCH unchanged words of an item are met. A document that holds a seed is aligned word by word with the item around the seed; local alignment survives replaced,
 inserted and dropped words, so edited and paraphrased copies score as well.
 """
 
@@ -25,6 +27,8 @@ from tidemark.llm.worker import kept
 SEED_WORDS = 3
 # Seeds that a text of a million words would hold by chance less than so many times
 RARE_PER_MILLION = 0.05
+# In so many successive words of an item there is a seed, however frequent they are
+STRETCH = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of the item's greatest possible score from which a document is contaminated, and
 # the least number of words that have to match.
@@ -78,14 +82,19 @@ class Items:
         return np.where((x > 0) & (y > 0) & (z > 0), (x * size + y) * size + z, 0)
 
     def seed(self, counts: dict[int, int], total: int, rare: float) -> None:
-        """Keep the trigrams whose expected number in a million words is below ``rare``."""
+        """Keep the trigrams whose expected number in a million words is below ``rare``, and
+        the rarest of each stretch of STRETCH words (of the whole item, if it is shorter)."""
         share = np.ones(len(self.vocabulary) + 1)
         for number, count in counts.items():
             share[number] = count / max(1, total)
         where = defaultdict(list)
         for item, words in enumerate(self.words):
-            for at, gram in enumerate(self.trigrams(words).tolist()):
-                if share[words[at : at + SEED_WORDS]].prod() * 1e6 < rare:
+            grams = self.trigrams(words).tolist()
+            expected = [share[words[at : at + SEED_WORDS]].prod() * 1e6 for at in range(len(grams))]
+            run = min(STRETCH - SEED_WORDS + 1, len(grams))
+            rarest = {min(range(first, first + run), key=lambda at: expected[at]) for first in range(len(grams) - run + 1) if run}
+            for at, gram in enumerate(grams):
+                if at in rarest or expected[at] < rare:
                     where[gram].append((item, at))
         self.where = dict(where)
         self.grams = np.array(sorted(where), np.int64)
@@ -149,7 +158,12 @@ def matches(items: Items, words: np.ndarray, share: float, least: int) -> list[t
     for item, windows in spans.items():
         size = len(items.words[item])
         best = (0, 0, 0, 0)
+        known = np.zeros(len(items.vocabulary) + 1, bool)
+        known[items.words[item]] = True
         for low, high in windows:
+            # no more words than these can match: frequent seeds seldom need an alignment
+            if np.count_nonzero(known[words[low:high]]) < max(share * size, min(least, size)):
+                continue
             score, matched, first, end = align(words[low:high], items.words[item])
             if score > best[0]:
                 best = (score, matched, first + low, end + low)
