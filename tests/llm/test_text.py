@@ -328,3 +328,28 @@ def test_items_of_frequent_words_are_found(spark):
     found = decontam.contaminated(docs, items).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(i, 51) for i in range(20)] + [(100 + i, 50) for i in range(40)]
     assert sorted(r.doc_id for r in decontam.keep_clean(docs, items).collect()) == [30, 31]
+
+
+def test_windows_and_passages():
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    words[50:53] = words[2:5]
+    long = [f"v{i}" for i in range(200)]
+    items = decontam.Items([(1, " ".join(words)), (2, " ".join(long))])
+    items.seed({}, 1, 0.05)
+    number = decontam.Numbering(items.vocabulary)
+    grams = {int(items.trigrams(items.words[0])[i]) for i in (2, 53)}
+    items.where = {g: w for g, w in ((int(g), [(0, 2), (0, 50)]) for g in grams) if g == int(items.trigrams(items.words[0])[2])}
+    items.grams = np.array(sorted(items.where), np.int64)
+    # the first part has no intact seed, the seed stands at the copy's end: both offsets are tried as one window
+    text = [f"x{i}" for i in range(200)] + words + [f"y{i}" for i in range(100)]
+    text[202] = "changed"
+    (hit,) = decontam.matches(items, number(" ".join(text)), 0.4, 6)
+    assert hit[3:] == (200, 260)
+    whole = decontam.Items([(2, " ".join(long))])
+    whole.seed({n: 1 for n in range(1, 201)}, 10**6, 0.05)
+    number = decontam.Numbering(whole.vocabulary)
+    fill = [f"z{i}" for i in rng.integers(0, 99, 50)]
+    (hit,) = decontam.matches(whole, number(" ".join(fill + long[60:130] + fill)), 0.4, 6)
+    assert hit[1] == 140 and hit[3:] == (50, 120)
+    assert decontam.matches(whole, number(" ".join(fill + long[60:90] + fill)), 0.4, 6) == []

@@ -33,6 +33,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of the item's greatest possible score from which a document is contaminated, and
 # the least number of words that have to match.
 MIN_SHARE, MIN_MATCHED = 0.4, 6
+# The score of so many words without a change is enough in an item of any length
+PASSAGE_WORDS = 40
 # Items are taken in blocks of so many characters; a block is all that is sent to the tasks.
 BLOCK_CHARS = 4_000_000
 MARGIN = 16
@@ -150,24 +152,26 @@ def matches(items: Items, words: np.ndarray, share: float, least: int) -> list[t
             size = len(items.words[item])
             low, high = max(0, at - offset - MARGIN), min(len(words), at - offset + size + MARGIN)
             last = spans[item]
-            if last and low <= last[-1][1]:  # neighbouring seeds of an item share a window
-                last[-1][1] = max(last[-1][1], high)
-            else:
-                last.append([low, high])
+            # neighbouring seeds of an item share a window; one of a late offset may reach back over several
+            while last and low <= last[-1][1]:
+                before = last.pop()
+                low, high = min(low, before[0]), max(high, before[1])
+            last.append([low, high])
     found = []
     for item, windows in spans.items():
         size = len(items.words[item])
+        enough = min(share * size, max(least, PASSAGE_WORDS))
         best = (0, 0, 0, 0)
         known = np.zeros(len(items.vocabulary) + 1, bool)
         known[items.words[item]] = True
         for low, high in windows:
             # no more words than these can match: frequent seeds seldom need an alignment
-            if np.count_nonzero(known[words[low:high]]) < max(share * size, min(least, size)):
+            if np.count_nonzero(known[words[low:high]]) < max(enough, min(least, size)):
                 continue
             score, matched, first, end = align(words[low:high], items.words[item])
             if score > best[0]:
                 best = (score, matched, first + low, end + low)
-        if best[0] >= share * MATCH * size and best[1] >= min(least, size):
+        if best[0] >= MATCH * enough and best[1] >= min(least, size):
             found.append((item, best[0], best[0] / (MATCH * size), best[2], best[3]))
     return sorted(found)
 
