@@ -353,3 +353,18 @@ def test_windows_and_passages():
     (hit,) = decontam.matches(whole, number(" ".join(fill + long[60:130] + fill)), 0.4, 6)
     assert hit[1] == 140 and hit[3:] == (50, 120)
     assert decontam.matches(whole, number(" ".join(fill + long[60:90] + fill)), 0.4, 6) == []
+
+
+def test_shards_of_a_host_share_what_they_repeat(spark, monkeypatch):
+    own = [" ".join(f"page{i}x{j}" for j in range(9)) for i in range(40)]
+    pair = [" ".join(f"pair{i // 2}x{j}" for j in range(9)) for i in range(40)]
+    rows = [(i, f"http://h.example/{i}", f"<div>{own[i]}</div><div>{pair[i]}</div>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(html, "PAGES_PER_SHARD", 4)
+    got = {r.page_id: (r.text, r.n_repeated) for r in html.main_text(pages).collect()}
+    assert got == {i: (own[i], 9) for i in range(40)}
+
+
+def test_class_words_of_a_whole_page():
+    page = "<html class='no-comments'><body class='has-sidebar'><main class='with-banner'><article id='share'>text</article></main><div class='ad'>buy</div>"
+    assert html.blocks(page) == [("content", ["text"]), ("chrome", ["buy"])]

@@ -14,6 +14,7 @@ article are articles.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ BLOCKS = frozenset(
     "h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 CONTENT = frozenset("article main".split())
+# What holds a page or its content is not chrome by a word of its class, as in "has-sidebar"
+HOLDERS = CONTENT | {"html", "body"}
 CHROME = frozenset(
     "aside button dialog fieldset footer form head header iframe input menu nav noscript object script select style svg "
     "template textarea title".split()
@@ -62,7 +65,7 @@ def _is_chrome(tag: str, attributes: str) -> bool:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         name = name.lower()
-        if name in ("class", "id", "role") and CHROME_WORDS & set(PARTS.split("".join(values).lower())):
+        if name in ("class", "id", "role") and tag not in HOLDERS and CHROME_WORDS & set(PARTS.split("".join(values).lower())):
             return True
         if name == "hidden" or name == "aria-hidden" and "".join(values).lower() == "true":
             return True
@@ -169,6 +172,27 @@ def repeated(pages: list[np.ndarray], names: list[int], run: int = RUN) -> list[
     return [covered[s : s + n] for s, n in zip(starts, sizes, strict=True)]
 
 
+def run_hashes(words: list[str], known: dict[str, int], run: int = RUN) -> np.ndarray:
+    """64 bits for each run of ``run`` words, the same in every task. ``known`` remembers words."""
+    n = max(0, len(words) - run + 1)
+    for w in set(words) - known.keys():
+        known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+    each, found = np.array([known[w] for w in words], np.uint64), np.zeros(n, np.uint64)
+    for i in range(run if n else 0):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + each[i : i + n]
+        found ^= found >> np.uint64(29)
+    return found.view(np.int64)
+
+
+def covered_by(begins: np.ndarray, size: int, run: int = RUN) -> np.ndarray:
+    """Which of ``size`` tokens lie in a run that begins where ``begins`` is true."""
+    steps = np.zeros(size + 1, np.int64)
+    where = np.flatnonzero(begins)
+    np.add.at(steps, where, 1)
+    np.add.at(steps, where + run, -1)
+    return np.cumsum(steps)[:size] > 0
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
@@ -177,7 +201,11 @@ def _boilerplate(pages: DataFrame) -> DataFrame:
     """(page, n_repeated, dropped): for each page that has tokens outside its content, how
     many of them other pages of its host repeat, and which of those in plain blocks, counted
     through the plain blocks. ``pages`` has (page, host, html); equal pages have one name
-    and count as one page."""
+    and count as one page.
+
+    A host of more than PAGES_PER_SHARD rows is cut into shards. The suffix array finds what
+    pages of one shard share; what shards share is found by the hashes of the runs, which
+    are combined over the shards and handed back to those that have them."""
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,13 +226,39 @@ def _boilerplate(pages: DataFrame) -> DataFrame:
     shard = F.pmod(F.col("page"), F.ceil(F.col("pages") / PAGES_PER_SHARD))
     found = found.join(hosts, "host").select("host", shard.alias("shard"), "page", "words", "plain")
 
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[str, int] = {}
+            for page, host, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = [w for zone, words in blocks(text or "") if zone != "content" for w in words]
+                hashes = np.unique(run_hashes(words, known))
+                n = len(hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([host] * n, pa.string()), pa.array(np.full(n, page), pa.int64()), pa.array(hashes)], names=["host", "page", "run"]
+                )
+
+    large = F.broadcast(hosts.where(F.col("pages") > PAGES_PER_SHARD))  # a row for each PAGES_PER_SHARD rows at most
+    cut = pages.join(large, "host").select("page", "host", "html").mapInArrow(runs, "host string, page long, run long").join(large, "host")
+    shards = cut.groupBy("host", "run").agg(F.collect_set(shard).alias("shards")).where(F.size("shards") > 1)
+    handed = shards.select(
+        "host", F.explode("shards").alias("shard"), F.col("run").alias("page"),
+        F.lit(None).cast("array<string>").alias("words"), F.lit(None).cast("array<boolean>").alias("plain"),
+    )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for _, group in groupby(rows, key=lambda r: r[:2]):
-            group = list(group)
+            group, shared = list(group), []
+            for row in group:
+                if row[3] is None:
+                    shared.append(row[2])
+            group, shared = [row for row in group if row[3] is not None], np.array(shared, np.int64)
+            known: dict[str, int] = {}
             numbers: dict[str, int] = {}
             tokens = [np.array([numbers.setdefault(w, len(numbers)) for w in r[3]], np.int64) for r in group]
             marks = repeated(tokens, list(range(len(group))))
+            if len(shared):
+                marks = [m | covered_by(np.isin(run_hashes(r[3], known), shared), len(m)) for m, r in zip(marks, group, strict=True)]
             dropped = [np.flatnonzero(m[np.array(r[4], bool)]) for m, r in zip(marks, group, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -217,7 +271,7 @@ def _boilerplate(pages: DataFrame) -> DataFrame:
 
     # sorted, so that a task sees its shards one after the other and holds one of them
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = found.repartition(n, "host", "shard").sortWithinPartitions("host", "shard")
+    dealt = found.unionByName(handed).repartition(n, "host", "shard").sortWithinPartitions("host", "shard")
     return dealt.mapInArrow(run, "page long, n_repeated long, dropped array<int>")
 
 
