@@ -368,3 +368,21 @@ def test_shards_of_a_host_share_what_they_repeat(spark, monkeypatch):
 def test_class_words_of_a_whole_page():
     page = "<html class='no-comments'><body class='has-sidebar'><main class='with-banner'><article id='share'>text</article></main><div class='ad'>buy</div>"
     assert html.blocks(page) == [("content", ["text"]), ("chrome", ["buy"])]
+
+
+def test_keys_of_other_alphabets(spark):
+    rng = np.random.default_rng(8)
+    base64 = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 60))
+    keys = [
+        "key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "mfrggzdfmztwq2lknnwg23tpobyxe43u", "prod_9f8a3c7e1b5d2f4a6c80", "kWzQbTnYpLdRvMxHjFsGcZaEoUiB",
+        f"{base64}/sample", f"{base64}aaaaaaaa{base64}",
+    ]
+    clean = [
+        "your-example-key-goes-here-0123456789", "/2024/01/15/how-to-make-bread-at-home-in-10-steps", "AbstractSingletonProxyFactoryBean",
+        "averylongwordwithoutanydigitsinit", "01234567890123456789012345", "example0123456789key7",
+    ]
+    docs = documents(spark, [(i, f"see {t} here") for i, t in enumerate(keys + clean)])
+    got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, t in enumerate(keys):
+        assert not any(t[at : at + 20] in got[i] for at in range(len(t) - 19)), t
+    assert [got[len(keys) + i] for i in range(len(clean))] == [f"see {t} here" for t in clean]

@@ -8,11 +8,13 @@ The entropy scan takes candidate strings (unbroken runs of key characters), puts
 character class and slides a window over it. The counts of the window's characters are
 carried along: a step adds the character that enters, removes the one that leaves, and
 corrects the sum of c log2 c for these two alone. Windows over the class's threshold are
-joined into spans. Candidates on the allow-list are left out.
+joined into spans. Candidates on the allow-list are left out. A second scan takes the pieces
+between - _ / and + by themselves, with classes that only an unbroken piece can be judged by.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,11 +42,18 @@ CLASSES = (
     (r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.3),
     (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z]).+$", 3.6),
 )
-# Candidates that match are never secrets: placeholders, counted-up characters, UUIDs
+PIECE = r"(?<![A-Za-z0-9])[A-Za-z0-9]{20,}+"
+# Hex or capitals after a prefix; lower case with digits; both cases without digits, where
+# capitals stand closer together than in joined words
+PIECE_CLASSES = (
+    *CLASSES[:2],
+    (r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$", 3.6),
+    (r"^(?=.*[a-z])(?=[A-Za-z]+$)(?>.*?[A-Z][a-z]?[A-Z]){3}", 3.7),
+)
+# Candidates that match are never secrets: those of which every window touches a placeholder,
+# counted-up or equal characters, and UUIDs. Longer ones are measured with all their windows.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|dummy|changeme",
-    r"(.)\1{7,}",
-    r"(?i)0123456789|abcdefghijk",
+    r"^(?=.{20,512}$)(?>.{0,19}?(?:(?i:example|sample|placeholder|dummy|changeme|0123456789|abcdefghijk)|(.)\1{7,}+))+.{0,19}$",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
 
@@ -109,13 +118,15 @@ def with_spans(docs: DataFrame, text: Column, name: str, allowed: tuple[str, ...
     whole = F.coalesce(text, F.lit(""))
     cols = [F.col(f"`{c}`") for c in docs.columns]
     found = {}
-    for kind, pattern, group, _ in (*FORMS, (ENTROPY, CANDIDATE, 0, 0)):
+    scans = ((ENTROPY, CANDIDATE, CLASSES), ("piece", PIECE, PIECE_CLASSES))
+    patterns = (*FORMS, *((kind, pattern, 0, 0) for kind, pattern, _ in scans))
+    for kind, pattern, group, _ in patterns:
         found[f"{name}_{kind}"] = F.regexp_extract_all(whole, F.lit(pattern), F.lit(0))
         if group:
             found[f"{name}_{kind}_value"] = F.regexp_extract_all(whole, F.lit(pattern), F.lit(group))
     docs = docs.select(*cols, *(c.alias(k) for k, c in found.items()))
     placed = []
-    for kind, pattern, _, _ in (*FORMS, (ENTROPY, CANDIDATE, 0, 0)):
+    for kind, pattern, _, _ in patterns:
         hits = F.col(f"{name}_{kind}")
         between = F.when(F.size(hits) > 0, F.split(whole, pattern, -1))
         placed.append(between.alias(f"{name}_{kind}_between"))
@@ -132,23 +143,31 @@ def with_spans(docs: DataFrame, text: Column, name: str, allowed: tuple[str, ...
         return F.transform(long_enough, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
 
     base = F.concat(*(form_spans(rank, kind, group, least) for rank, (kind, _, group, least) in enumerate(FORMS)))
-    hits = F.col(f"{name}_{ENTROPY}")
-
-    def scanned(s: Column, text: Column) -> Column:
-        threshold = F.coalesce(*(F.when(text.rlike(pattern), bits) for pattern, bits in CLASSES))
-        secret = threshold.isNotNull() & ~reduce(Column.__or__, (text.rlike(a) for a in allowed), F.lit(False))
-        inside = F.when(secret, windows_over(text, threshold)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-        return F.transform(
-            inside,
-            lambda w: F.struct((s["start"] + w["start"]).alias("start"), F.lit(len(FORMS)).alias("rank"), (s["start"] + w["end"]).alias("end")),
-        )
 
-    added = F.flatten(F.zip_with(_placed(hits, F.col(f"{name}_{ENTROPY}_between")), hits, scanned))
-    docs = docs.select(*cols, base.alias(f"{name}_base"), added.alias(f"{name}_added"))
-    new = F.filter(
-        F.col(f"{name}_added"),
-        lambda a: ~F.exists(F.col(f"{name}_base"), lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])),
-    )
+    def scanner(classes: tuple) -> Callable[[Column, Column], Column]:
+        def scanned(s: Column, text: Column) -> Column:
+            threshold = F.coalesce(*(F.when(text.rlike(pattern), bits) for pattern, bits in classes))
+            secret = threshold.isNotNull() & ~reduce(Column.__or__, (text.rlike(a) for a in allowed), F.lit(False))
+            inside = F.when(secret, windows_over(text, threshold)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+            return F.transform(
+                inside,
+                lambda w: F.struct((s["start"] + w["start"]).alias("start"), F.lit(len(FORMS)).alias("rank"), (s["start"] + w["end"]).alias("end")),
+            )
+
+        return scanned
+
+    added = []
+    for kind, _, classes in scans:
+        hits = F.col(f"{name}_{kind}")
+        spans = F.zip_with(_placed(hits, F.col(f"{name}_{kind}_between")), hits, scanner(classes))
+        added.append(F.flatten(spans).alias(f"{name}_added_{kind}"))
+    docs = docs.select(*cols, base.alias(f"{name}_base"), *added)
+
+    def beside(spans: Column, others: Column) -> Column:
+        return F.filter(spans, lambda a: ~F.exists(others, lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])))
+
+    whole_ones, pieces = (F.col(f"{name}_added_{kind}") for kind, *_ in scans)
+    new = beside(F.concat(whole_ones, beside(pieces, whole_ones)), F.col(f"{name}_base"))
     return docs.select(*cols, F.array_sort(F.concat(F.col(f"{name}_base"), new)).alias(name))
 
 
