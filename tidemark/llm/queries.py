@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, counts, decontam, html, langid, neardup, repair, search, secrets
+from tidemark.llm import bpe, chat, counts, decontam, hosts, html, langid, merkle, neardup, repair, runs, search, secrets
 from tidemark.session import scratch_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -164,6 +164,169 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+# The rules that the query applies
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and the verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return hosts.url_verdicts(read(spark, sf_dir, "pages"), rules)
+
+
+def _op11_sql() -> str:
+    rounds = [
+        f"""m{i} AS MATERIALIZED (
+  SELECT side, dst AS host, CAST(sum(mass * {hosts.DAMPING_PERCENT} // 100 // degree) AS BIGINT) AS mass
+  FROM m{i - 1} JOIN edges ON edges.side = m{i - 1}.s AND src = host JOIN degrees USING (side, src)
+  WHERE mass * {hosts.DAMPING_PERCENT} // 100 // degree > 0 GROUP BY side, dst
+)""".replace("SELECT side, dst", "SELECT side AS s, dst")
+        for i in range(1, hosts.ROUNDS + 1)
+    ]
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    link = hosts.LINK.replace("*+", "*").replace("'", "''")
+    return f"""
+WITH rules(action, rhost, rpath) AS (VALUES {", ".join(map(str, URL_RULES))}),
+urls AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {lower}) AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), places AS (SELECT host, path, count(*) AS n FROM urls GROUP BY ALL),
+best AS (
+  SELECT host, path, n, max({{'size': length(rhost || rpath), 'rule': rhost || rpath, 'action': action}}) FILTER (action IS NOT NULL) AS best
+  FROM places LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY host, path, n
+), shares AS (
+  SELECT host, sum(n) AS n, coalesce(sum(n) FILTER (best.action = 'allow'), 0) AS allow, coalesce(sum(n) FILTER (best.action = 'block'), 0) AS block
+  FROM best GROUP BY host
+), linked AS (
+  SELECT DISTINCT host AS src, translate(x, {lower}) AS dst
+  FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS x FROM urls) WHERE host <> '' AND host <> translate(x, {lower})
+), edges AS (SELECT 'trust' AS side, src, dst FROM linked UNION ALL SELECT 'distrust', dst, src FROM linked),
+degrees AS (SELECT side, src, count(*) AS degree FROM edges GROUP BY ALL),
+m0 AS (
+  SELECT side AS s, host, CAST(mass * {100 - hosts.DAMPING_PERCENT} // 100 AS BIGINT) AS mass FROM (
+    SELECT 'trust' AS side, host, allow * {hosts.UNIT} // n AS mass FROM shares
+    UNION ALL SELECT 'distrust', host, block * {hosts.UNIT} // n FROM shares
+  ) WHERE mass > 0
+), {", ".join(rounds)},
+moved AS ({" UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(hosts.ROUNDS + 1))}),
+scores AS (
+  SELECT host, coalesce(sum(mass) FILTER (s = 'trust'), 0) AS trust, coalesce(sum(mass) FILTER (s = 'distrust'), 0) AS distrust FROM moved GROUP BY host
+)
+SELECT page_id, host, path, best.rule AS rule,
+  coalesce(best.action, CASE WHEN distrust >= {hosts.THRESHOLD} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(coalesce(trust, 0) AS BIGINT) AS trust, CAST(coalesce(distrust, 0) AS BIGINT) AS distrust
+FROM urls JOIN best USING (host, path) LEFT JOIN scores USING (host)
+"""
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and what their rows lead to after some were tampered with."""
+    docs = read(spark, sf_dir, "documents")
+    fields = [F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in MANIFEST_FIELDS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.digest(fields))
+    found = merkle.manifest(docs, MANIFEST_FIELDS, extra={"tampered": tampered})
+    found = merkle.with_proofs(found.withColumn("claimed", F.coalesce("tampered", "leaf")), "claimed")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+# The checksum of a decimal id, bit by bit
+CRC32_SQL = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295)"""
+
+
+def _op12_sql() -> str:
+    def leaf(chars: str) -> str:
+        values = [f"CAST({chars if f == 'n_chars' else f} AS VARCHAR)" for f in MANIFEST_FIELDS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v})::VARCHAR || ':' || {v}, '-')" for v in values) + ")"
+
+    def fold(tree: str, on: str) -> str:
+        return f"""SELECT f.tree, f.leaf, f.level + 1, f.at // 2, CASE WHEN s.hash IS NULL THEN sha256(own)
+    WHEN f.at % 2 = 0 THEN sha256(own || s.hash) ELSE sha256(s.hash || own) END, proof || coalesce(s.hash, '')
+  FROM {on} LEFT JOIN {tree} s ON s.tree = h.tree AND s.level = f.level AND s.idx = xor(f.at, 1) WHERE f.level < h.height"""
+
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {CRC32_SQL} % 7 = 0 THEN {leaf("n_chars + 1")} END AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM given
+), nodes AS (
+  SELECT tree, 0 AS level, idx, n, leaf AS hash FROM placed
+  UNION ALL SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM nodes WHERE n > 1
+  GROUP BY tree, level, idx // 2, n
+), subroots AS (SELECT tree, level AS height, hash FROM nodes WHERE n = 1),
+tops AS (
+  SELECT -1 AS tree, 0 AS level, tree AS idx, (SELECT count(*) FROM subroots) AS n, hash FROM subroots
+  UNION ALL SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM tops WHERE n > 1
+  GROUP BY tree, level, idx // 2, n
+), roots AS (SELECT tree, level AS height, hash AS root FROM tops WHERE n = 1),
+low AS (
+  SELECT tree, idx AS leaf, 0 AS level, idx AS at, coalesce(tampered, leaf) AS own, '' AS proof FROM placed
+  UNION ALL {fold("nodes", "low f JOIN subroots h ON h.tree = f.tree")}
+), high AS (
+  SELECT l.tree, leaf, 0 AS level, l.tree AS at, own, proof FROM low l JOIN subroots s ON s.tree = l.tree AND s.height = l.level
+  UNION ALL {fold("tops", "high f CROSS JOIN roots h")}
+)
+SELECT doc_id, p.leaf, s.hash AS subroot, root, sha256(proof) AS proof_sha256, own AS folded_root, own = root AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree CROSS JOIN roots r
+JOIN high g ON g.tree = p.tree AND g.leaf = p.idx AND g.level = r.height
+"""
+
+
+# How often a fixed tenth of the documents repeats a stretch of its own words, from the id's checksum
+def repeated_tail(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth document ends in repeats of some words of its own, for
+    runs to be found: with g the tenth part of the id's checksum and n words, words from
+    a = g mod n on repeat p = 1 + (n - a) div (3 + g mod 8) words from there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10).cast("long"), F.size("words")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    marked = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"))
+    marked = marked.select("doc_id", "text", "words", F.when(F.size("words") > 0, F.struct(a.alias("a"), p.alias("p"), n.alias("n"))).alias("at"))
+    head = F.slice("words", 1, F.col("at.a").cast("int"))
+    period = F.slice("words", (F.col("at.a") + 1).cast("int"), F.col("at.p").cast("int"))
+    times = F.ceil((F.col("at.n") - F.col("at.a")) / F.col("at.p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), (F.col("at.n") - F.col("at.a")).cast("int"))
+    text = F.when(F.col("at").isNotNull(), F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text"))
+    return marked.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text, a tenth of which were given one, as digests and the most repeated one."""
+    found = runs.find_runs(repeated_tail(read(spark, sf_dir, "documents")))
+    # exact comparison of length / period; runs stand by start and period, so the first of equal ones stays
+    best = F.reduce(
+        "runs", F.element_at("runs", 1), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b)
+    )
+    found = found.select("doc_id", "runs", "collapsed", F.when(F.size("runs") > 0, best).alias("best"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_bpe": op2_bpe,
@@ -175,9 +338,14 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_decontamination": op10_decontamination,
+    "op11_url_filter": op11_url_filter,
+    "op12_manifest": op12_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
     "op4_chat": OP4_SQL,
     "op9_near_duplicates": OP9_SQL,
+    "op11_url_filter": _op11_sql(),
+    "op12_manifest": _op12_sql(),
 }
