@@ -8,7 +8,7 @@ from tidemark.catalog.basics import ad_lines
 from tidemark.catalog.registry import query
 from tidemark.functions.scalar import day_of_millis
 from tidemark.operators import aggregates as agg
-from tidemark.operators import windows
+from tidemark.operators import distinct, windows
 from tidemark.sources import lines, tables
 
 ev = tables.events
@@ -171,6 +171,32 @@ def _(spark, sf):
     return out.withColumn("window_end", F.unix_seconds("window_end"))
 
 
+def _sliding_users(position: str) -> str:
+    return f"""
+    SELECT w.e AS window_end, COUNT(DISTINCT {position}) AS cnt
+    FROM ev, unnest(range(us // 300000000 * 300 + 300, us // 300000000 * 300 + 3601, 300)) AS w(e) GROUP BY 1"""
+
+
+@query("d18_sliding_bitmaps", _sliding_users("user_id"))
+def _(spark, sf):
+    """Users of the last hour every five minutes: a bitmap per pane, joined to those of windows."""
+    e = ev(spark, sf).select("user_id", "ts")
+    out = distinct.sliding_bitmap_distinct(e, [], "ts", "1 hour", "5 minutes", F.col("user_id"))
+    return out.withColumn("window_end", F.unix_seconds("window_end"))
+
+
+# three standard errors of a sketch, and one for rounding
+@query("d17_sliding_sketches", f"SELECT window_end, cnt, TRUE AS close FROM ({_sliding_users('user_id')})")
+def _(spark, sf):
+    """The same windows from sketches, beside the exact count: close if within three standard errors."""
+    e = ev(spark, sf).select("user_id", "ts")
+    about = distinct.sliding_sketch_distinct(e, [], "ts", "1 hour", "5 minutes", F.col("user_id"), name="about")
+    exact = distinct.sliding_bitmap_distinct(e, [], "ts", "1 hour", "5 minutes", F.col("user_id"))
+    bound = 3 * 0.83 / 2 ** (distinct.LOG_REGISTERS / 2)
+    close = F.abs(F.col("about") - F.col("cnt")) <= F.col("cnt") * bound + 1
+    return exact.join(about, "window_end").select(F.unix_seconds("window_end").alias("window_end"), "cnt", close.alias("close"))
+
+
 @query("d19_running_distinct", """
     SELECT user_id, row_number() OVER (ORDER BY first_us, user_id) AS uv FROM
     (SELECT user_id, MIN(us) AS first_us FROM ev GROUP BY user_id)""")

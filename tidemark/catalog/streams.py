@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.basics import INTERVAL_SQL, LATEST_SQL, TIMEOUT_SQL
 from tidemark.catalog.registry import query, us
+from tidemark.catalog.timed import web_requests
 from tidemark.functions.scalar import bitmap_offset
-from tidemark.operators import windows as batch_windows
+from tidemark.operators import lateness, ordered, patterns, windows as batch_windows
 from tidemark.operators.aggregates import top_n_per_group
 from tidemark.plans import panes
 from tidemark.session import scratch_dir
 from tidemark.sources import files, tables
 from tidemark.sources.replay import replay_stream
-from tidemark.streaming import folds, jobs, joins, keyed, runner, windows
+from tidemark.streaming import folds, jobs, joins, keyed, refired, runner, sinks, windows
 
 HOUR = 3600 * 1000000
 DAY = 24 * HOUR
@@ -36,6 +37,21 @@ def replay(spark, sf, batches: int = 5):
     return tables.with_instant(stream)
 
 
+def by_turns(df, at, turns: int):
+    """Parts of ``df`` by equal stretches of the whole number ``at``."""
+    low, high = df.agg(F.min(at), F.max(at)).first()
+    turn = F.call_function("div", (at - low) * turns, F.lit(high - low + 1)) if low is not None else F.lit(0)
+    return [df.where(turn == i) for i in range(turns)]
+
+
+def event_turns(spark, sf, label, run, batches: int = 5):
+    """The events handed on in ``batches`` parts by event id; ``run`` gets them with their instant."""
+    given = tables.table(spark, sf, "events")
+    step = -(-(given.agg(F.max("event_id")).first()[0] + 1) // batches)
+    parts = [given.where(F.call_function("div", F.col("event_id"), F.lit(step)) == i) for i in range(batches)]
+    return runner.fed(spark, parts, given.schema, label, lambda s, out: run(tables.with_instant(s), out))
+
+
 # batch number of a row in the SQL twin of a five-batch replay
 BATCH = "event_id // ((SELECT (MAX(event_id) + 5) // 5 FROM events))"
 
@@ -55,7 +71,7 @@ def _(spark, sf):
     def tag(batch, batch_id, out):
         runner.write_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id, out)
 
-    out = runner.run_batches(replay(spark, sf).select("event_id"), "per-batch", tag, available_now=False)
+    out = event_turns(spark, sf, "per-batch", lambda s, out: runner.run_batches(s.select("event_id"), "per-batch", tag, out=out))
     return spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows").drop("batch")
 
 
@@ -127,15 +143,13 @@ def _(spark, sf):
     FROM ev WHERE event_type = 'purchase' AND event_id % 3 <> 0""")
 def _(spark, sf):
     """Pays and receipts that arrive in the same micro-batch."""
-    e = replay(spark, sf)
-    pays = tables.order_events(e).where("event_type = 'pay'").select("tx_id", F.lit("pay").alias("side"), us("ts", "us"))
-    both = pays.unionByName(tables.receipts(replay(spark, sf)).select("tx_id", F.lit("receipt").alias("side"), us("ts", "us")))
-    pairs = joins.batch_join(both, F.col("side") == "pay", F.col("side") == "receipt", "tx_id", ["us"])
-
-    def write(batch, batch_id, out):
-        runner.write_batch(pairs(batch, batch_id), batch_id, out)
+    def run(e, out):
+        pays = tables.order_events(e).where("event_type = 'pay'").select("tx_id", F.lit("pay").alias("side"), us("ts", "us"))
+        both = pays.unionByName(tables.receipts(e).select("tx_id", F.lit("receipt").alias("side"), us("ts", "us")))
+        pairs = joins.batch_join(both, F.col("side") == "pay", F.col("side") == "receipt", "tx_id", ["us"])
+        return runner.run_batches(both, "batch-join", lambda b, i, out: runner.write_batch(pairs(b, i), i, out), out=out)
 
-    out = runner.run_batches(both, "batch-join", write, available_now=False)
+    out = event_turns(spark, sf, "batch-join", run)
     return spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows").drop("batch")
 
 
@@ -264,18 +278,19 @@ def _(spark, sf):
     return seconds(runner.without_marker(out, "window_end"), "window_end")
 
 
-@query("f9_hot_pages_stream", """
-    SELECT window_end, url, cnt, rank FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rank
-    FROM (SELECT url, w.e AS window_end, COUNT(*) AS cnt FROM web_log,
-          unnest(range(us // 5000000 * 5 + 5, us // 5000000 * 5 + 601, 5)) AS w(e) WHERE method = 'GET' GROUP BY ALL))
-    WHERE rank <= 3""")
+@query("f9_hot_pages_stream", same_as="f9_hot_pages")
 def _(spark, sf):
-    """Read as one batch, so that no row comes late."""
-    s = tables.web_log(tables.event_stream(spark, sf)).where("method = 'GET'")
-    out = windows.refired_hot_pages(
-        s, "url", "ts", "1 minute", "1 minute", "10 minutes", "5 seconds", 3, "hot-pages"
-    )
-    return seconds(out, "window_end")
+    """The log in order of arrival, stamped as its source would: reports are written again for
+    late rows, rows that are too late are left out, and closed windows leave the state."""
+    log = lateness.with_seen(web_requests(spark, sf), "ts", "arrival", "event_id").select("url", "ts", "arrival", "seen")
+    parts = [*by_turns(log, F.unix_micros("arrival"), 3), runner.marker(log, "ts")]
+
+    def run(s, out):
+        return refired.refired_hot_pages(
+            s, "url", "ts", "1 minute", "1 minute", "10 minutes", "5 seconds", 3, "hot-pages", out, seen=F.col("seen")
+        )
+
+    return seconds(runner.fed(spark, parts, log.schema, "hot-pages", run), "window_end")
 
 
 @query("f10_late_rows_stream", same_as="f10_late_rows")
@@ -316,15 +331,21 @@ def _(spark, sf):
 
 @query("d19_running_distinct_stream", same_as="d19_running_distinct")
 def _(spark, sf):
-    e = replay(spark, sf).select("user_id", "event_id", "ts")
-    return jobs.running_distinct_job(e, "user_id", "ts", "event_id", "uv", available_now=False).select("user_id", "uv")
+    def run(e, out):
+        return jobs.running_distinct_job(e.select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", "uv", out)
+
+    return event_turns(spark, sf, "uv", run).select("user_id", "uv")
 
 
 # --- keyed state ---------------------------------------------------------------
 
+# Nobody waits for the outputs of a history, so its rows may wait for the end of their day
+HISTORY_BUCKET = "1 day"
+
+
 def folded(spark, sf, view, keep, key, cols, fold, label):
     s = closed(spark, sf, view, keep)
-    out = keyed.keyed_fold(s, [key], "ts", "event_id", cols, fold, "0 seconds")
+    out = keyed.keyed_fold(s, [key], "ts", "event_id", cols, fold, "0 seconds", HISTORY_BUCKET)
     return runner.run_append(out, label)
 
 
@@ -391,7 +412,7 @@ def _(spark, sf):
 @query("g10_click_filter_stream", same_as="g10_click_filter")
 def _(spark, sf):
     s = closed(spark, sf, tables.ad_clicks)
-    out = keyed.keyed_fold(s, ["user_id", "ad_id"], "ts", "event_id", [], folds.ClickFilter(1), "0 seconds")
+    out = keyed.keyed_fold(s, ["user_id", "ad_id"], "ts", "event_id", [], folds.ClickFilter(1), "0 seconds", HISTORY_BUCKET)
     out = runner.run_append(out, "clicks")
     return out.select(F.col("tie").alias("event_id"), "tag")
 
@@ -416,8 +437,11 @@ def _(spark, sf):
 @query("a20_additive_upsert_stream", """
     SELECT user_id % 5 AS area, event_type AS ad, COUNT(*) AS cnt FROM events GROUP BY 1, 2""")
 def _(spark, sf):
-    e = replay(spark, sf).select((F.col("user_id") % 5).alias("area"), F.col("event_type").alias("ad"))
-    return jobs.additive_counts(e, ["area", "ad"], "upsert", available_now=False)
+    def run(e, out):
+        e = e.select((F.col("user_id") % 5).alias("area"), F.col("event_type").alias("ad"))
+        return jobs.additive_counts(e, ["area", "ad"], "upsert", out)
+
+    return event_turns(spark, sf, "upsert", run)
 
 
 def _blacklist_sql(limit: int, batches: int = 5) -> str:
@@ -443,11 +467,104 @@ def _blacklist_sql(limit: int, batches: int = 5) -> str:
 
 @query("g12_blacklist_stream", _blacklist_sql(4))
 def _(spark, sf):
-    e = replay(spark, sf)
-    clicks = e.select(
-        F.unix_date(F.to_date("ts")).cast("long").alias("day"), F.col("user_id").alias("usr"),
-        (F.regexp_extract("props", "[0-9]+", 0).cast("long") % 2).alias("ad"),
-    )
-    listed, counters = jobs.blacklist_job(clicks, "day", "usr", "ad", 4, "blacklist", available_now=False)
+    def run(e, out):
+        clicks = e.select(
+            F.unix_date(F.to_date("ts")).cast("long").alias("day"), F.col("user_id").alias("usr"),
+            (F.regexp_extract("props", "[0-9]+", 0).cast("long") % 2).alias("ad"),
+        )
+        return jobs.blacklist_job(clicks, "day", "usr", "ad", 4, "blacklist", out)
+
+    listed, counters = event_turns(spark, sf, "blacklist", run)
     mark = listed.withColumn("listed", F.lit(True))
     return counters.join(mark, "usr", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
+# --- late rows as a second output, and streams that begin with a history ----------
+
+_LATE_JUMPS = """
+    WITH s AS (SELECT *, us + (event_id % 7) * 86400000000 AS arrival FROM sensor),
+    t AS (SELECT *, (arrival - MIN(arrival) OVER ()) * 4 // (MAX(arrival) OVER () - MIN(arrival) OVER () + 1) AS turn FROM s),
+    m AS (SELECT turn, MAX(us) AS top FROM t GROUP BY 1),
+    w AS (SELECT a.turn, MAX(b.top) // 1000 * 1000 - 86400000000 AS passed FROM m a LEFT JOIN m b ON b.turn < a.turn GROUP BY 1),
+    r AS (SELECT *, COALESCE(us < passed, FALSE) AS late FROM t JOIN w USING (turn)),
+    k AS (SELECT event_id, us, lag(temperature) OVER (PARTITION BY id ORDER BY us, event_id) AS last, temperature AS current FROM r WHERE NOT late)
+    SELECT event_id, FALSE AS late, last, current FROM k WHERE abs(last - current) > 10
+    UNION ALL SELECT event_id, TRUE, NULL, NULL FROM r WHERE late"""
+
+
+@query("g2_jumps_and_late_rows_stream", _LATE_JUMPS)
+def _(spark, sf):
+    """Readings that come up to six days late, one day of which is waited for: the alerts over
+    those in time, and the others by themselves. Every reading is one or the other."""
+    days = F.make_dt_interval(days=(F.col("event_id") % 7).cast("int"))
+    readings = tables.sensor(tables.events(spark, sf)).withColumn("arrival", F.col("ts") + days)
+    parts = [*by_turns(readings, F.unix_micros("arrival"), 4), runner.marker(readings, "ts")]
+
+    def run(s, out):
+        fold = folds.Jump("temperature", 10.0)
+        both = keyed.keyed_fold(s, ["id"], "ts", "event_id", ["temperature"], fold, "1 day", HISTORY_BUCKET, late=True)
+        return runner.run_append(both, "late-jumps", out)
+
+    out = runner.fed(spark, parts, readings.schema, "late-jumps", run)
+    return out.select(
+        F.coalesce("late_tie", "tie").alias("event_id"), F.col("late_tie").isNotNull().alias("late"), "last", "current"
+    )
+
+
+def history_and_tail(spark, sf, view, keys, cols, fold, label, batch):
+    """The outputs of ``batch`` over the first half of the time, and of a stream over the rest
+    that begins with what the keys remember of it; both as the fold's columns."""
+    rows = view(tables.events(spark, sf))
+    history, tail = by_turns(rows, F.unix_micros("ts"), 2)
+    begin = fold.after(history, keys, "ts", "event_id")
+
+    def run(s, out):
+        return runner.run_append(keyed.keyed_fold(s, keys, "ts", "event_id", cols, fold, "0 seconds", HISTORY_BUCKET, initial=begin), label, out)
+
+    whole = tail.unionByName(runner.marker(tail, "ts"))
+    return batch(history), runner.fed(spark, [whole], rows.schema, label, run)
+
+
+@query("g14_history_then_jumps_stream", same_as="g2_jump_alert")
+def _(spark, sf):
+    before, after = history_and_tail(
+        spark, sf, tables.sensor, ["id"], ["temperature"], folds.Jump("temperature", 10.0), "then-jumps",
+        lambda df: ordered.jump_alerts(df, "id", "ts", "event_id", "temperature", 10.0),
+    )
+    return before.select("event_id", "last", "current").union(after.select("tie", "last", "current"))
+
+
+@query("g14_history_then_clicks_stream", same_as="g10_click_filter")
+def _(spark, sf):
+    before, after = history_and_tail(
+        spark, sf, tables.ad_clicks, ["user_id", "ad_id"], [], folds.ClickFilter(1), "then-clicks",
+        lambda df: patterns.click_filter(df, ["user_id", "ad_id"], "ts", "event_id", 1),
+    )
+    return before.select("event_id", "tag").union(after.select("tie", "tag"))
+
+
+# --- sinks that write by partition -------------------------------------------------
+
+@query("g16_partition_sink", "SELECT user_id, event_type, COUNT(*) AS cnt FROM events GROUP BY 1, 2")
+def _(spark, sf):
+    """Counts written by partition with one commit, and read back from what was committed."""
+    counts = tables.table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    folder = scratch_dir(spark, "parts")
+    sinks.write_parts(counts, folder)
+    return sinks.read_parts(spark, folder, "user_id long, event_type string, cnt long")
+
+
+@query("g16_partition_sink_stream", "SELECT event_id, user_id, event_type FROM events")
+def _(spark, sf):
+    """Every batch of a stream written by partition, with a commit of its own."""
+    folder = scratch_dir(spark, "stream-parts")
+
+    def run(e, out):
+        return runner.run_sink(
+            e.select("event_id", "user_id", "event_type"), "stream-parts",
+            lambda w: w.format("parts").option("path", folder), out,
+        )
+
+    spark.dataSource.register(sinks.PartsSink)
+    event_turns(spark, sf, "stream-parts", run, batches=3)
+    return sinks.read_parts(spark, folder, "event_id long, user_id long, event_type string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, us
 from tidemark.operators import lateness, ordered, patterns, windows
-from tidemark.plans import panes
+from tidemark.plans import extremes, panes
 from tidemark.sources import tables
 
 ev = tables.events
@@ -148,10 +148,14 @@ _LATE = """
     FROM web_log WHERE method = 'GET'"""
 
 
+def web_requests(spark, sf):
+    """The ``GET`` requests of the web log."""
+    return tables.web_log(ev(spark, sf).where("event_type IN ('view', 'click')"))
+
+
 def tagged_log(spark, sf):
-    log = tables.web_log(ev(spark, sf).where("event_type IN ('view', 'click')"))
     return lateness.tag_late(
-        log, "ts", "arrival", "event_id", "10 minutes", "5 seconds", "1 minute", "1 minute"
+        web_requests(spark, sf), "ts", "arrival", "event_id", "10 minutes", "5 seconds", "1 minute", "1 minute"
     )
 
 
@@ -195,6 +199,18 @@ def _(spark, sf):
     return seconds(out.drop("window_start"), "window_end")
 
 
+@query("f12_sliding_highest", """
+    WITH p AS (SELECT id, us // 5000000 * 5000000 AS pane, MAX(temperature) AS v FROM sensor GROUP BY 1, 2),
+    e AS (SELECT id, pane + 5000000 AS w FROM p UNION SELECT id, pane + 3605000000 FROM p),
+    v AS (SELECT e.id, w, (SELECT MAX(v) FROM p WHERE p.id = e.id AND pane >= w - 3600000000 AND pane < w) AS highest FROM e),
+    n AS (SELECT *, lead(w) OVER (PARTITION BY id ORDER BY w) AS next_w FROM v)
+    SELECT id, w // 1000000 AS first_end, next_w // 1000000 AS next_end, highest FROM n WHERE highest IS NOT NULL""")
+def _(spark, sf):
+    """The highest temperature of the last hour, every five seconds."""
+    out = extremes.sliding_extreme(tables.sensor(ev(spark, sf)), ["id"], "ts", "1 hour", "5 seconds", F.col("temperature"))
+    return seconds(out, "first_end", "next_end")
+
+
 @query("f13_tumbling_words", """
     SELECT event_type AS word, us // 6000000 * 6 + 6 AS window_end, COUNT(*) AS cnt FROM ev GROUP BY 1, 2""")
 def _(spark, sf):

@@ -2,13 +2,18 @@
 
 A fold is plain Python on one event at a time. ``step`` takes the state and the
 event, ``expire`` is told that time has passed ``now``, and ``deadline`` names the
-last instant the state is waiting for. Times are epoch microseconds.
+last instant the state is waiting for. Times are epoch microseconds. ``after`` gives what
+the keys of a finite history remember at its end, by the batch engine, so that a
+stream can begin there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from tidemark.plans.timers import NONE, step as timer_step
 
 
@@ -28,6 +33,9 @@ class Fold:
     def expire(self, state: tuple, now: int) -> tuple[tuple, list[tuple]]:
         return state, []
 
+    def after(self, history: DataFrame, keys: Sequence[str], ts: str, tie: str) -> DataFrame:
+        raise NotImplementedError(f"{type(self).__name__} cannot begin from a history")
+
 
 class Jump(Fold):
     """Alert when a value differs from the last one by more than ``limit``. A null value is
@@ -48,6 +56,9 @@ class Jump(Fold):
         alert = None not in (last, now) and abs(last - now) > self.limit
         return (now,), [(tie, last, now)] if alert else []
 
+    def after(self, history, keys, ts, tie):
+        return history.groupBy(*keys).agg(F.max_by(self.value, F.struct(ts, tie)).alias("last"))
+
 
 class _Timer(Fold):
     """State: timer start and tie, opens so far, last open, then the subclass's own."""
@@ -225,6 +236,11 @@ class ClickFilter(Fold):
         tags = ["pass"] if seen <= self.limit else ["warning"] if seen == self.limit + 1 else []
         return (day, min(seen, self.limit + 2)), [(tie, tag) for tag in tags]
 
+    def after(self, history, keys, ts, tie):
+        day = F.call_function("div", F.unix_micros(ts), F.lit(self.DAY)).alias("day")
+        days = history.groupBy(*keys, day).agg(F.least(F.count(F.lit(1)), F.lit(self.limit + 2)).alias("seen"))
+        return days.groupBy(*keys).agg(F.max("day").alias("day"), F.max_by("seen", "day").alias("seen"))
+
 
 class Rolling(Fold):
     """Count and mean over the last rows; a null value is not counted."""
@@ -278,3 +294,6 @@ class CountLog(Fold):
     def step(self, state, at, tie, row):
         old, new = state[0], state[0] + 1
         return (new,), ([("-", old)] if old else []) + [("+", new)]
+
+    def after(self, history, keys, ts, tie):
+        return history.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))

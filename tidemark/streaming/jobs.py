@@ -1,17 +1,28 @@
-"""Jobs that keep tables between micro-batches."""
+"""Jobs whose results are kept in state between micro-batches.
+
+A batch reads and writes the state of the keys that it has rows of, whatever came before
+it. Rows are combined inside the tasks that read them, so a hot key comes to its state as
+a few partial results per task. Tables of results are read from the state itself.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.operators.aggregates import count_by, running_distinct
+from tidemark.operators.aggregates import count_by, running_count
 from tidemark.operators.lateness import tag_late
-from tidemark.streaming.runner import run_batches, write_batch
-from tidemark.streaming.tables import BatchTable, additive, members
+from tidemark.plans.buckets import GLOBAL_BUCKET
+from tidemark.session import scratch_dir
+from tidemark.streaming.runner import carried, run_append, run_batches, run_state, state_of, write_batch
+
+DAY_MS = 86_400_000
 
 
 @contextmanager
@@ -25,25 +36,63 @@ def held(batch: DataFrame) -> Iterator[DataFrame]:
 
 
 def additive_counts(
-    stream: DataFrame, keys: Sequence[str], label: str, out: str | None = None,
-    available_now: bool = True, compact_every: int = 16,
+    stream: DataFrame, keys: Sequence[str], label: str, out: str | None = None, available_now: bool = True,
 ) -> DataFrame:
-    """Counts per key, added up over the batches."""
-    ddl = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys) + ", cnt long"
-    def table(out: str) -> BatchTable:
-        return additive(f"{out}/counts", ddl, keys, "cnt", compact_every=compact_every)
-
-    def add(batch: DataFrame, batch_id: int, out: str) -> None:
-        table(out).write(count_by(batch, keys), batch_id)
-
-    out = run_batches(stream, label, add, out=out, available_now=available_now)
-    spark, counts = stream.sparkSession, table(out)
-    return counts.read(spark, counts.last_batch(spark))
+    """Counts per key, added up over the batches: insert, or ``cnt = cnt + n``."""
+    out = run_state(count_by(stream, keys), label, "update", out, available_now)
+    return state_of(stream.sparkSession, out).select("key.*", F.col("value.count").alias("cnt"))
+
+
+class Blacklist(StatefulProcessor):
+    """Of a user: whether listed, and the counters by (day, ad), which may live for ``keep_ms`` only."""
+
+    def __init__(self, limit: int, key_type: T.StructType, keep_ms: int | None):
+        self.limit, self.key_type, self.keep_ms = limit, key_type, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.listed = handle.getValueState("listed", T.StructType().add("listed", T.BooleanType()))
+        self.counters = handle.getMapState("counters", self.key_type, T.StructType().add("cnt", T.LongType()), self.keep_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if self.listed.exists():
+            return
+        fresh: dict[tuple, int] = {}
+        for r in rows:
+            at = (r["day"], r["ad"])
+            fresh[at] = fresh.get(at, 0) + r["n"]
+        hit = False
+        for at, n in fresh.items():
+            if n >= self.limit:
+                hit = True
+                continue
+            old = self.counters.getValue(at)
+            if old:
+                n += old[0]
+                hit |= n >= self.limit
+            self.counters.updateValue(at, (n,))
+        if hit:
+            self.listed.update((True,))
+            yield Row("usr")(key[0])
+
+    def close(self) -> None:
+        pass
+
+
+def _counted(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts per key within each Arrow batch, before any shuffle."""
+    slim = stream.select(*keys)
+    schema = T.StructType([*slim.schema.fields, T.StructField("n", T.LongType())])
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.groupby(list(keys), dropna=False, sort=False).size().reset_index(name="n")
+
+    return slim.mapInPandas(count, schema)
 
 
 def blacklist_job(
     clicks: DataFrame, day: str, user: str, ad: str, limit: int, label: str,
-    out: str | None = None, available_now: bool = True, compact_every: int = 16,
+    out: str | None = None, available_now: bool = True, keep_days: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(blacklist, counters). Per batch, for users not yet listed:
 
@@ -51,38 +100,59 @@ def blacklist_job(
       and leaves the counter alone;
     * a smaller count is added to the counter, and if the counter existed already
       and reaches ``limit``, that lists the user too.
+
+    With ``keep_days``, a counter that does not change for so long in processing time is
+    forgotten. Spark then always has another batch to run, to see what time it is, so this
+    is for a job that goes on and not for one that ends with its input.
     """
-    spark, keys = clicks.sparkSession, [day, user, ad]
-    kind = {c: clicks.schema[c].dataType.simpleString() for c in keys}
-    count_ddl = ", ".join(f"{c} {kind[c]}" for c in keys) + ", cnt long"
-    def tables(out: str) -> tuple[BatchTable, BatchTable]:
-        return (
-            members(f"{out}/blacklist", f"{user} {kind[user]}", compact_every=compact_every),
-            additive(f"{out}/counters", count_ddl, keys, "cnt", compact_every=compact_every, partition=day),
-        )
+    spark = clicks.sparkSession
+    named = _counted(clicks.select(F.col(day).alias("day"), F.col(user).alias("usr"), F.col(ad).alias("ad")), ["day", "usr", "ad"])
+    key_type = T.StructType([named.schema["day"], named.schema["ad"]])
+    listed = named.groupBy("usr").transformWithState(
+        statefulProcessor=Blacklist(limit, key_type, keep_days * DAY_MS if keep_days else None),
+        outputStructType=T.StructType([named.schema["usr"]]), outputMode="append",
+        timeMode="processingTime" if keep_days else "none",
+    )
+    out = out or scratch_dir(spark, label)
+    found = run_append(listed, label, out, available_now).select(F.col("usr").alias(user))
+    counters = state_of(spark, out, "counters").select(
+        F.col("user_map_key.day").alias(day), F.col("key.usr").alias(user), F.col("user_map_key.ad").alias(ad),
+        F.col("user_map_value.cnt").alias("cnt"),
+    )
+    return found, counters
 
-    def run(batch: DataFrame, batch_id: int, out: str) -> None:
-        listed, counters = tables(out)
-        kept = batch.join(listed.read(spark, batch_id - 1), user, "left_anti")
-        # written first: everything below reads the same finished counts
-        path = f"{out}/batch_counts/{batch_id}"
-        count_by(kept, keys).write.mode("overwrite").parquet(path)
-        counts = spark.read.schema(count_ddl).parquet(path)
-        small = counts.where(F.col("cnt") < limit)
-        # only the batch's own days can match, and there are few of them
-        days = [r[0] for r in counts.select(day).distinct().collect()]
-        before = counters.read(spark, batch_id - 1, only=days).withColumnRenamed("cnt", "_old")
-        reached = small.join(before, keys).where(F.col("_old") + F.col("cnt") >= limit)
-        listed.write(
-            counts.where(F.col("cnt") >= limit).select(user).union(reached.select(user)).distinct(),
-            batch_id,
-        )
-        counters.write(small, batch_id)
-
-    out = run_batches(clicks, label, run, out=out, available_now=available_now)
-    listed, counters = tables(out)
-    done = counters.last_batch(spark)
-    return listed.read(spark, done), counters.read(spark, done)
+
+class FirstRow(StatefulProcessor):
+    """The earliest row of a value in the first batch that has it."""
+
+    def __init__(self, out_type: T.StructType):
+        self.out = Row(*out_type.names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", T.StructType().add("seen", T.BooleanType()))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if self.seen.exists():
+            return
+        self.seen.update((True,))
+        yield self.out(key[0], *min((r["us"], r["tie"]) for r in rows))
+
+    def close(self) -> None:
+        pass
+
+
+def first_rows(stream: DataFrame, col: str, ts: str, tie: str) -> DataFrame:
+    """(value, us, tie) of the first row of each value, once."""
+    slim = stream.select(F.col(col).alias("value"), F.unix_micros(ts).alias("us"), F.col(tie).cast("long").alias("tie"))
+
+    def earliest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.sort_values(["us", "tie"]).drop_duplicates("value")
+
+    few = slim.mapInPandas(earliest, slim.schema)
+    return few.groupBy("value").transformWithState(
+        statefulProcessor=FirstRow(slim.schema), outputStructType=slim.schema, outputMode="append", timeMode="none",
+    )
 
 
 def running_distinct_job(
@@ -90,20 +160,20 @@ def running_distinct_job(
     available_now: bool = True,
 ) -> DataFrame:
     """One row per new value with the number of distinct values so far; values of
-    one batch are ordered by event time, batches by arrival."""
+    one batch are ordered by event time, batches by arrival. Null is no value."""
     spark = stream.sparkSession
-    ddl = f"{col} {stream.schema[col].dataType.simpleString()}"
+    fresh = first_rows(stream.where(F.col(col).isNotNull()), col, ts, tie)
 
     def run(batch: DataFrame, batch_id: int, out: str) -> None:
-        seen = members(f"{out}/seen", ddl)
-        before = seen.read(spark, batch_id - 1)
-        so_far = before.agg(F.count(F.lit(1))).scalar()
-        with held(batch.join(before, col, "left_anti")) as unseen:
-            fresh = running_distinct(unseen, col, ts, tie)
-            write_batch(fresh.withColumn("uv", F.col("uv") + so_far), batch_id, out)
-        seen.write(spark.read.parquet(f"{out}/rows/batch={batch_id}").select(col), batch_id)
+        before = carried(spark, batch_id, out, "sizes", "n long")
+        with held(batch) as rows:
+            n = before.n if before else 0
+            at = rows.withColumn("at", F.timestamp_micros("us"))
+            numbered = running_count(at, [], "at", "tie", bucket=GLOBAL_BUCKET).withColumn("uv", F.col("cnt") + n)
+            write_batch(numbered.select(F.col("value").alias(col), F.timestamp_micros("us").alias(ts), F.col("tie").alias(tie), "uv"), batch_id, out)
+            write_batch(rows.agg((F.count(F.lit(1)) + n).alias("n")), batch_id, out, "sizes")
 
-    out = run_batches(stream, label, run, out=out, available_now=available_now)
+    out = run_batches(fresh, label, run, out=out, available_now=available_now)
     return spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows").drop("batch")
 
 
@@ -116,15 +186,13 @@ def late_tag_job(
     spark = stream.sparkSession
 
     def run(batch: DataFrame, batch_id: int, out: str) -> None:
-        top = BatchTable(f"{out}/seen", "seen long", lambda df: df.agg(F.max("seen").alias("seen")))
-        before = top.read(spark, batch_id - 1).agg(F.max("seen")).scalar()
+        top = carried(spark, batch_id, out, "seen", "seen long")
+        before = F.lit(top.seen if top else None).cast("long")
         with held(batch) as rows:
             tagged = tag_late(rows, ts, arrival, tie, size, slide, delay, lateness, seen_before=before)
             write_batch(tagged, batch_id, out)
-        top.write(
-            spark.read.parquet(f"{out}/rows/batch={batch_id}").agg(F.max(F.unix_micros(ts)).alias("seen")),
-            batch_id,
-        )
+            seen = rows.agg(F.greatest(F.max(F.unix_micros(ts)), before).alias("seen"))
+            write_batch(seen, batch_id, out, "seen")
 
     out = run_batches(stream, label, run, out=out, available_now=available_now)
     return spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows").drop("batch")

@@ -2,9 +2,15 @@
 
 Rows of a key wait in state until the watermark has passed them and are then
 folded in event-time order, so the result does not depend on how the input was
-cut into batches. What waits is bounded by the watermark delay; rows behind the
-watermark are dropped, and an end marker only moves it. For a finite history the batch forms in
-``tidemark.operators`` split hot keys, which keyed state cannot.
+cut into batches. They wait in chunks, one for each time bucket and batch: what
+comes in is written once and never read again until the watermark has passed its
+bucket, and a wake-up reads and removes the passed buckets alone. What waits is
+bounded by the watermark delay and one bucket.
+
+Rows behind the watermark come too late to be folded. They can be had as a second
+output beside the folds'. For a finite history the batch forms in
+``tidemark.operators`` split hot keys, which keyed state cannot; a stream can also
+begin with what the batch form knows at the end of a history.
 """
 
 from __future__ import annotations
@@ -20,59 +26,104 @@ from tidemark.plans.halo import micros
 from tidemark.streaming.folds import Fold
 from tidemark.streaming.runner import END_US
 
+# The column of the watermark lies this far ahead of the event time, and the watermark's delay
+# is as much longer: the watermark is the same, but Spark drops no row as too old for it
+AHEAD_DAYS = 36_500
+BUCKET = "1 minute"
+
+
+def with_open_watermark(stream: DataFrame, ts: str, delay: str, name: str = "_ahead") -> DataFrame:
+    """``stream`` with a watermark ``delay`` behind the newest ``ts``, which no row is dropped for."""
+    ahead_ms = AHEAD_DAYS * 86_400_000
+    ahead = F.col(ts) + F.make_dt_interval(days=F.lit(AHEAD_DAYS))
+    return stream.withColumn(name, ahead).withWatermark(name, f"{ahead_ms + micros(delay) // 1000} milliseconds")
+
 
 class EventTimeFold(StatefulProcessor):
+    """State of a key: what waits, by (bucket, chunk), the number of the next chunk, and
+    what the fold remembers."""
+
     def __init__(
-        self, fold: Fold, columns: list[str], row_type: T.StructType, out_type: T.StructType
+        self, fold: Fold, columns: list[str], row_type: T.StructType, out_type: T.StructType,
+        bucket_us: int, late: bool,
     ):
         self.fold, self.columns, self.row_type = fold, columns, row_type
         self.out = Row(*out_type.names)
+        self.bucket, self.late = bucket_us, late
         self.state_type = T.StructType.fromDDL(fold.state_ddl)  # parsed by the driver's JVM
+        self.width = len(T.StructType.fromDDL(fold.out_ddl))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_type)
+        chunk = T.StructType().add("bucket", T.LongType()).add("chunk", T.LongType())
+        self.waiting = handle.getMapState("waiting", chunk, T.StructType().add("rows", T.ArrayType(self.row_type)))
+        self.chunks = handle.getValueState("chunks", T.StructType().add("next", T.LongType()))
         self.state = handle.getValueState("state", self.state_type)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        state = tuple(initialState[name] for name in self.state_type.names)
+        self.state.update(state)
+        end = self.fold.deadline(state)
+        if end is not None:
+            self._wake_at(end + 1)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = [tuple(r[c] for c in self.columns) for r in rows if passed <= r["_us"] < END_US]
+        fresh: dict[int, list[tuple]] = {}
+        for r in rows:
+            at = r["_us"]
+            if at is None or at < passed:
+                if self.late:
+                    yield self.out(*key, *[None] * self.width, r["_tie"])
+            elif at < END_US:
+                fresh.setdefault(at // self.bucket, []).append(tuple(r[c] for c in self.columns))
         if fresh:
-            self.waiting.appendList(fresh)
-            self._wake_after(min(r[0] for r in fresh))
-        return iter(())
+            n = self.chunks.get()[0] if self.chunks.exists() else 0
+            for bucket, held in fresh.items():
+                self.waiting.updateValue((bucket, n), (held,))
+            self.chunks.update((n + 1,))
+            self._wake_at((min(fresh) + 1) * self.bucket)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000  # every row below is here
-        ready, early = [], []
-        for r in self.waiting.get() if self.waiting.exists() else ():
-            (ready if r[0] < passed else early).append(tuple(r))
+        chunks = sorted(tuple(k) for k in self.waiting.keys()) if self.waiting.exists() else []
+        ready = [c for c in chunks if (c[0] + 1) * self.bucket <= passed]
         state = tuple(self.state.get()) if self.state.exists() else self.fold.start()
         out: list[tuple] = []
-        for r in sorted(ready, key=lambda r: (r[0], r[1])):
-            state, late = self.fold.expire(state, r[0])
-            state, made = self.fold.step(state, r[0], r[1], dict(zip(self.columns, r)))
-            out += [*late, *made]
-        state, late = self.fold.expire(state, passed - 1)
+        for at in range(len(ready)):
+            if at and ready[at][0] == ready[at - 1][0]:
+                continue  # read with the first chunk of its bucket
+            rows: list[tuple] = []
+            for c in ready[at:]:
+                if c[0] != ready[at][0]:
+                    break
+                rows += [tuple(r) for r in self.waiting.getValue(c)[0]]
+                self.waiting.removeKey(c)
+            for r in sorted(rows, key=lambda r: (r[0], r[1])):
+                state, late = self.fold.expire(state, r[0])
+                state, made = self.fold.step(state, r[0], r[1], dict(zip(self.columns, r)))
+                out += [*late, *made]
+        early = chunks[len(ready):]
+        # what still waits may lie before the watermark, so time has only come to its bucket
+        state, late = self.fold.expire(state, min(passed, early[0][0] * self.bucket if early else passed) - 1)
         out += late
         if state == self.fold.start():
             self.state.clear()  # a key with nothing to remember has no state
         else:
             self.state.update(state)
         if early:
-            self.waiting.put(early)
-            self._wake_after(min(r[0] for r in early))
+            self._wake_at((early[0][0] + 1) * self.bucket)
         else:
-            self.waiting.clear()
-        end = self.fold.deadline(state)
-        if end is not None:
-            self._wake_after(end)
+            self.chunks.clear()
+            end = self.fold.deadline(state)
+            if end is not None:
+                self._wake_at(end + 1)
         for values in out:
-            yield self.out(*key, *values)
+            yield self.out(*key, *values, *[None] * self.late)
 
-    def _wake_after(self, at_us: int) -> None:
-        """First whole millisecond of the watermark that lies behind ``at_us``."""
-        self.handle.registerTimer(at_us // 1000 + 1)
+    def _wake_at(self, at_us: int) -> None:
+        """When the watermark, in whole milliseconds, has come to ``at_us``."""
+        self.handle.registerTimer(-(-at_us // 1000))
 
     def close(self) -> None:
         pass
@@ -80,25 +131,33 @@ class EventTimeFold(StatefulProcessor):
 
 def keyed_fold(
     stream: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str], fold: Fold,
-    delay: str,
+    delay: str, bucket: str = BUCKET, late: bool = False, initial: DataFrame | None = None,
 ) -> DataFrame:
     """Outputs of ``fold`` with the key columns in front.
 
-    A row may be up to ``delay`` behind the newest one. Spark drops rows at the
-    watermark itself, hence the extra millisecond.
+    A row may be up to ``delay`` behind the newest one of the batches before. An output
+    comes when the watermark has passed the ``bucket`` of the rows that it is made of.
+    With ``late``, there is one more column ``late_tie``: rows that came behind the
+    watermark, or have no event time, are put out at once with their ``tie`` in it and
+    nulls in place of the fold's columns; in the fold's own rows it is null. ``initial``
+    holds, for keys that have a past, the keys and the columns of the fold's state.
     """
     keys = list(keys)
-    behind = f"{micros(delay) // 1000 + 1} milliseconds"
-    slim = stream.select(
-        *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
-        *[c for c in cols if c not in keys],
-    ).withWatermark(ts, behind)
+    slim = with_open_watermark(
+        stream.select(
+            *keys, ts, F.unix_micros(ts).alias("_us"), F.col(tie).cast("long").alias("_tie"),
+            *[c for c in cols if c not in keys],
+        ),
+        ts, delay,
+    )
     columns = ["_us", "_tie", *[c for c in cols if c not in keys]]
     row_type = T.StructType([slim.schema[c] for c in columns])
-    out_type = T.StructType(
-        [slim.schema[k] for k in keys] + T.StructType.fromDDL(fold.out_ddl).fields
-    )
+    fields = [slim.schema[k] for k in keys] + T.StructType.fromDDL(fold.out_ddl).fields
+    out_type = T.StructType(fields + [T.StructField("late_tie", T.LongType())] * late)
+    if initial is not None:
+        names = T.StructType.fromDDL(fold.state_ddl).names
+        initial = initial.select(*keys, *names).groupBy(*keys)
     return slim.groupBy(*keys).transformWithState(
-        statefulProcessor=EventTimeFold(fold, columns, row_type, out_type),
-        outputStructType=out_type, outputMode="append", timeMode="eventTime",
+        statefulProcessor=EventTimeFold(fold, columns, row_type, out_type, micros(bucket), late),
+        outputStructType=out_type, outputMode="append", timeMode="eventTime", initialState=initial,
     )

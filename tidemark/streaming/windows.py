@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.aggregates import top_n_per_group
-from tidemark.plans.halo import micros
 from tidemark.streaming.runner import run_batches, write_batch
-from tidemark.streaming.tables import BatchTable, replacing
 
 
 def windowed(
@@ -86,55 +84,3 @@ def hot_items(
 
 def _log(stream: DataFrame, out: str) -> DataFrame:
     return stream.sparkSession.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows")
-
-
-def refired_hot_pages(
-    stream: DataFrame, item: str, ts: str, delay: str, lateness: str, size: str, slide: str, n: int,
-    label: str, out: str | None = None,
-) -> DataFrame:
-    """As ``hot_items``, but a report is written at every change of its window until
-    the window is ``delay`` plus ``lateness`` behind; the last report per window is kept.
-
-    The stream state holds slide-wide panes, not windows. Each batch writes its
-    changed panes and reports the open windows over them.
-    """
-    spark = stream.sparkSession
-    size_us, slide_us, lag_us = micros(size), micros(slide), micros(delay) + micros(lateness)
-    if size_us % slide_us:
-        raise ValueError(f"window size {size} must be a multiple of the slide {slide}")
-    hold = f"{(lag_us + size_us) // 1000} milliseconds"  # a pane lives as long as its last window
-    counted = windowed(
-        stream, [item], ts, hold, slide, None,
-        F.count(F.lit(1)).alias("cnt"), F.max(F.unix_micros(ts)).alias("seen"),
-    ).select(F.unix_micros("_w.start").alias("pane"), item, "cnt", "seen")
-    ddl = f"pane long, {item} {counted.schema[item].dataType.simpleString()}, cnt long, seen long, version long"
-    ends = F.explode(F.sequence(F.col("pane") + slide_us, F.col("pane") + size_us, F.lit(slide_us).cast("long")))
-
-    def report(batch: DataFrame, batch_id: int, out: str) -> None:
-        table = replacing(f"{out}/panes", ddl, ["pane", item], "version")
-        top = BatchTable(f"{out}/seen", "seen long", lambda df: df.agg(F.max("seen").alias("seen")))
-        table.write(batch.withColumn("version", F.lit(batch_id).cast("long")), batch_id)
-        changed = spark.read.schema(ddl).parquet(f"{out}/panes/delta/{batch_id}")
-        top.write(changed.agg(F.max("seen").alias("seen")), batch_id)
-        before = top.read(spark, batch_id - 1).agg(F.max("seen")).scalar()
-        touched = changed.select(ends.alias("end")).distinct().where(
-            F.coalesce(F.col("end") + lag_us > before, F.lit(True))
-        )
-        oldest = changed.agg(F.min("pane")).scalar()
-        counts = (
-            table.read(spark, batch_id)
-            .where(F.col("pane") > oldest - size_us)
-            .select(item, "cnt", ends.alias("end"))
-            .join(touched, "end", "left_semi")
-            .groupBy("end", item)
-            .agg(F.sum("cnt").alias("cnt"))
-            .select(F.timestamp_micros("end").alias("window_end"), item, "cnt")
-        )
-        write_batch(
-            top_n_per_group(counts, ["window_end"], [F.desc("cnt"), F.asc(item)], n), batch_id, out
-        )
-
-    out = run_batches(counted, label, report, mode="update", out=out)
-    log = _log(stream, out)
-    newest = log.groupBy("window_end").agg(F.max("batch").alias("batch"))
-    return log.join(newest, ["window_end", "batch"], "left_semi").drop("batch")
