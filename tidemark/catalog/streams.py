@@ -287,7 +287,7 @@ def _(spark, sf):
 
     def run(s, out):
         return refired.refired_hot_pages(
-            s, "url", "ts", "1 minute", "1 minute", "10 minutes", "5 seconds", 3, "hot-pages", out, seen=F.col("seen")
+            s, "url", "ts", "1 minute", "1 minute", "10 minutes", "5 seconds", 3, "hot-pages", out, parts=1, seen=F.col("seen")
         )
 
     return seconds(runner.fed(spark, parts, log.schema, "hot-pages", run), "window_end")

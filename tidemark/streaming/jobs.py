@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,11 +83,12 @@ def _counted(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     slim = stream.select(*keys)
     schema = T.StructType([*slim.schema.fields, T.StructField("n", T.LongType())])
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.groupby(list(keys), dropna=False, sort=False).size().reset_index(name="n")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(list(keys)).aggregate([([], "count_all")])
+            yield from found.rename_columns(schema.names).to_batches()
 
-    return slim.mapInPandas(count, schema)
+    return slim.mapInArrow(count, schema)
 
 
 def blacklist_job(
@@ -145,13 +146,18 @@ def first_rows(stream: DataFrame, col: str, ts: str, tie: str) -> DataFrame:
     """(value, us, tie) of the first row of each value, once."""
     slim = stream.select(F.col(col).alias("value"), F.unix_micros(ts).alias("us"), F.col(tie).cast("long").alias("tie"))
 
-    def earliest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values(["us", "tie"]).drop_duplicates("value")
+    schema = slim.schema
 
-    few = slim.mapInPandas(earliest, slim.schema)
+    def earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).sort_by([("us", "ascending"), ("tie", "ascending")])
+            # in that order the first row of a group is its earliest
+            found = found.group_by("value", use_threads=False).aggregate([("us", "first"), ("tie", "first")])
+            yield from found.rename_columns(schema.names).to_batches()
+
+    few = slim.mapInArrow(earliest, schema)
     return few.groupBy("value").transformWithState(
-        statefulProcessor=FirstRow(slim.schema), outputStructType=slim.schema, outputMode="append", timeMode="none",
+        statefulProcessor=FirstRow(schema), outputStructType=schema, outputMode="append", timeMode="none",
     )
 
 

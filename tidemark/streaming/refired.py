@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.aggregates import top_n_per_group
 from tidemark.operators.lateness import closed_before
-from tidemark.plans.halo import micros
+from tidemark.plans.halo import floor_micros, micros
 from tidemark.streaming.keyed import with_open_watermark
 from tidemark.streaming.runner import END_US, run_append
 
@@ -76,7 +76,7 @@ class WindowReports(StatefulProcessor):
         touched = sorted({e for pane, _ in fresh for e in self._ends(key, pane)})
         again = [e for e in touched if e <= reported]
         if again:
-            yield from self._report(key, again, version)
+            yield from self._report(key, again, version, self._held())
             self.marks.update((reported, version + 1))
         if len(again) < len(touched):
             self._wake_at(touched[len(again)])
@@ -91,11 +91,12 @@ class WindowReports(StatefulProcessor):
         if not self.counts.exists():
             return
         reported, version = self._marks()
-        panes = sorted({k[0] for k in self.counts.keys()})
+        held = self._held()
+        panes = sorted({k[0] for k, _ in held})
         ends = sorted({e for pane in panes for e in self._ends(key, pane) if e > reported})
         now = [e for e in ends if e <= passed]
         if now:
-            yield from self._report(key, now, version)
+            yield from self._report(key, now, version, held)
         if passed >= self._last(key):
             self.counts.clear()
             self.marks.clear()
@@ -105,9 +106,11 @@ class WindowReports(StatefulProcessor):
         if len(now) < len(ends):
             self._wake_at(ends[len(now)])
 
-    def _report(self, key, ends: list[int], version: int) -> Iterator[Row]:
+    def _held(self) -> list[tuple[tuple, int]]:
+        return [(tuple(k), v[0]) for k, v in self.counts.iterator()]
+
+    def _report(self, key, ends: list[int], version: int, held: list[tuple[tuple, int]]) -> Iterator[Row]:
         """The first ``n`` items of each window: most rows first, then by item."""
-        held = [(tuple(k), v[0]) for k, v in self.counts.iterator()]
         items = sorted({k[1] for k, _ in held}, key=lambda x: (x is not None, "" if x is None else x))
         at = {x: i for i, x in enumerate(items)}
         first, wide = self._first(key), self.size // self.slide
@@ -131,16 +134,16 @@ class WindowReports(StatefulProcessor):
 
 def _pane_counts(stream: DataFrame, item: str, ts: str, slide_us: int) -> DataFrame:
     """(item, pane, n, newest): counts within each Arrow batch, before any shuffle."""
-    rows = stream.select(F.col(item).alias("item"), F.unix_micros(ts).alias("us")).where("us IS NOT NULL")
+    us = F.unix_micros(ts)
+    rows = stream.where(us.isNotNull()).select(F.col(item).alias("item"), floor_micros(us, slide_us).alias("pane"), us.alias("us"))
     schema = T.StructType([rows.schema["item"], *T.StructType.fromDDL("pane long, n long, newest long").fields])
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["pane"] = frame["us"] // slide_us * slide_us
-            found = frame.groupby(["item", "pane"], dropna=False, sort=False)["us"].agg(["size", "max"]).reset_index()
-            yield found.set_axis(schema.names, axis=1)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(["item", "pane"]).aggregate([("us", "count"), ("us", "max")])
+            yield from found.rename_columns(schema.names).to_batches()
 
-    return rows.mapInPandas(count, schema).withColumn("at", F.timestamp_micros("newest"))
+    return rows.mapInArrow(count, schema).withColumn("at", F.timestamp_micros("newest"))
 
 
 def report_stream(
