@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, us
 from tidemark.operators import ordered, patterns
+from tidemark.plans import automaton
 from tidemark.sources import tables
 
 ev = tables.events
@@ -145,3 +146,27 @@ def _(spark, sf):
     return patterns.click_filter(
         tables.ad_clicks(ev(spark, sf)), ["user_id", "ad_id"], "ts", "event_id", 1
     ).select("event_id", "tag")
+
+
+# a view, a click right after it, two purchases later on, and at last a sign-up or an error
+MIXED = [
+    automaton.step("view"), automaton.step("click"), automaton.step("purchase", times=2, relaxed=True),
+    automaton.step("signup", "error", relaxed=True),
+]
+MIXED_DAYS = 10
+MIXED_SQL = f"""
+    WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS i FROM ev),
+    n AS (SELECT *, MIN(CASE WHEN event_type = 'purchase' THEN i END) OVER w AS np,
+            MIN(CASE WHEN event_type IN ('signup', 'error') THEN i END) OVER w AS ns
+          FROM e WINDOW w AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+    SELECT a.user_id, a.event_id, a.us AS first_at, d.us AS last_at FROM n a
+    JOIN n b ON b.user_id = a.user_id AND b.i = a.i + 1 AND b.event_type = 'click'
+    JOIN n c ON c.user_id = a.user_id AND c.i = b.np JOIN n c2 ON c2.user_id = a.user_id AND c2.i = c.np
+    JOIN n d ON d.user_id = a.user_id AND d.i = c2.ns
+    WHERE a.event_type = 'view' AND d.us - a.us < {MIXED_DAYS * 24 * HOUR}"""
+
+
+@query("g8_mixed_pattern", MIXED_SQL)
+def _(spark, sf):
+    out = automaton.find_sequences(ev(spark, sf), ["user_id"], "ts", "event_id", "event_type", MIXED, f"{MIXED_DAYS} days")
+    return out.select("user_id", F.col("first_tie").alias("event_id"), us("first_at"), us("last_at"))

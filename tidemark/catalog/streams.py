@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.basics import INTERVAL_SQL, LATEST_SQL, TIMEOUT_SQL
 from tidemark.catalog.registry import query, us
+from tidemark.catalog.sequences import MIXED, MIXED_DAYS
 from tidemark.catalog.timed import web_requests
 from tidemark.functions.scalar import bitmap_offset
 from tidemark.operators import lateness, ordered, patterns, windows as batch_windows
@@ -402,6 +403,13 @@ def _(spark, sf):
     return out.select(F.col("tie").alias("event_id"), "end_at", "status")
 
 
+@query("g8_mixed_pattern_stream", same_as="g8_mixed_pattern")
+def _(spark, sf):
+    fold = folds.Sequences("event_type", MIXED, MIXED_DAYS * DAY)
+    out = folded(spark, sf, None, None, "user_id", ["event_type"], fold, "mixed")
+    return out.select("user_id", F.col("first_tie").alias("event_id"), "first_at", "last_at")
+
+
 @query("g9_order_outcomes_stream", same_as="g9_order_outcomes")
 def _(spark, sf):
     fold = folds.OrderOutcome("event_type", DAY, keep_us=60 * DAY)

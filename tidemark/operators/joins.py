@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.halo import default_width, micros, with_segments
+from tidemark.plans.halo import default_width, index_of, micros, with_segments
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, default: int = 0) -> DataFrame:
@@ -72,32 +72,50 @@ def _signed(duration: str) -> int:
     return -micros(duration[1:]) if duration.startswith("-") else micros(duration)
 
 
-def _opposite(duration: str) -> str:
-    duration = duration.strip()
-    return duration[1:] if duration.startswith("-") else f"-{duration}"
-
-
 def match_with_timeout(
     left: DataFrame, right: DataFrame, on: str, ts: str, wait_left: str, wait_right: str
 ) -> DataFrame:
     """Every row of both sides, tagged matched / left_only / right_only.
 
     A left row waits ``wait_left`` for a right row and a right row waits
-    ``wait_right`` for a left one, limits included.
+    ``wait_right`` for a left one, limits included. Rows without a key or a time match nothing.
+
+    One pass: both sides are put together by (key, time segment), each row also into the
+    segments that its partners may be in, and one sort serves the list of partners of each
+    left row and the sign whether a right row has one.
     """
-    lower, upper = f"-{wait_right}", wait_left
-    pairs = interval_join(left, right, on, ts, lower, upper, "left").withColumn(
-        "tag", F.when(F.col(f"r_{ts}").isNull(), "left_only").otherwise("matched")
-    )
-    alone = interval_join(
-        right, left, on, ts, _opposite(upper), _opposite(lower), "left_anti"
-    )
-    # in the anti join the right side came first, so it carries the l_ names
-    alone = alone.select(
-        *[F.col(c) if c == on else F.col(c).alias("r_" + c.removeprefix("l_")) for c in alone.columns],
-        F.lit("right_only").alias("tag"),
+    low, high = -micros(wait_right), micros(wait_left)
+    width = default_width(high - low)
+    at = F.unix_micros(ts)
+    own = index_of(at, width)
+
+    def side(df: DataFrame, name: str, first: Column, last: Column) -> DataFrame:
+        segments = F.sequence(index_of(first, width), index_of(last, width))
+        row = F.struct(*[F.col(c).alias(name[1:] + c) for c in df.columns if c != on])
+        placed = df.select(
+            F.col(on), at.alias("_at"), own.alias("_home"), row.alias(name),
+            F.explode(F.coalesce(segments, F.array(F.lit(None).cast("long")))).alias("_segment"),
+        )
+        return placed.withColumn("_own", F.col("_segment").eqNullSafe(F.col("_home"))).drop("_home")
+
+    both = side(left, "_l_", at + low, at + high).unionByName(
+        side(right, "_r_", at - high, at - low), allowMissingColumns=True
     )
-    return pairs.unionByName(alone, allowMissingColumns=True)
+    w = Window.partitionBy(on, "_segment").orderBy("_at")
+    there = F.col(on).isNotNull() & F.col("_at").isNotNull()
+    partners = F.collect_list(F.when(there, F.col("_r_"))).over(w.rangeBetween(low, high))
+    met = F.max(F.when(there & F.col("_l_").isNotNull(), True)).over(w.rangeBetween(-high, -low))
+    seen = both.withColumns({"_partners": partners, "_met": F.coalesce(met, F.lit(False)) & there}).where("_own")
+
+    def out(l_row: Column, r_row: Column, tag: str) -> Column:
+        return F.struct(l_row.alias("_l_"), r_row.alias("_r_"), F.lit(tag).alias("tag"))
+
+    no_left, no_right = (F.lit(None).cast(both.schema[c].dataType) for c in ("_l_", "_r_"))
+    pairs = F.transform("_partners", lambda r: out(F.col("_l_"), r, "matched"))
+    of_left = F.when(there & (F.size("_partners") > 0), pairs).otherwise(F.array(out(F.col("_l_"), no_right, "left_only")))
+    of_right = F.when(~F.col("_met"), F.array(out(no_left, F.col("_r_"), "right_only")))
+    rows = seen.select(on, F.inline(F.when(F.col("_l_").isNotNull(), of_left).otherwise(of_right)))
+    return rows.select(on, "_l_.*", "_r_.*", "tag")
 
 
 def latest_pairs(

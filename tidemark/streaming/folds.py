@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.automaton import Step, chain
 from tidemark.plans.timers import NONE, step as timer_step
 
 
@@ -147,6 +148,42 @@ class AdjacentRun(Fold):
         return (kinds, times), [(times[0], at)] if hit else []
 
 
+class Sequences(Fold):
+    """Matches of a pattern of steps in less than ``within``: the unfinished ones, oldest first,
+    each with the place that it has come to. A null kind leads nowhere."""
+
+    state_ddl = "times array<long>, ties array<long>, places array<int>"
+    out_ddl = "first_tie long, first_at long, last_at long"
+
+    def __init__(self, kind: str, steps: Sequence[Step], within_us: int):
+        self.kind, self.within = kind, within_us
+        self.chain = chain(steps)
+
+    def start(self):
+        return ([], [], [])
+
+    def deadline(self, state):
+        return state[0][0] + self.within - 1 if state[0] else None
+
+    def expire(self, state, now):
+        gone = sum(1 for t in state[0] if now >= t + self.within)
+        return tuple(list(x[gone:]) for x in state), []
+
+    def step(self, state, at, tie, row):
+        kept, made = [], []
+        for begun, owner, place in [*zip(*state), (at, tie, 0)]:
+            kinds, relaxed = self.chain[place]
+            if row[self.kind] in kinds:
+                place += 1
+            elif not relaxed or not place:
+                continue
+            if place < len(self.chain):
+                kept.append((begun, owner, place))
+            else:
+                made.append((owner, begun, at))
+        return tuple(map(list, zip(*kept))) if kept else self.start(), made
+
+
 class FollowedBy(Fold):
     """Every ``begin`` with the first later ``end`` in less than ``within``."""
 
