@@ -1,5 +1,6 @@
 """Encoding, decoding, counting and id files against the tokenizers library."""
 
+import hashlib
 import random
 import zlib
 
@@ -62,7 +63,19 @@ def test_edges_round_trip(spark):
 def test_bpe_query(spark):
     texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
     for r in queries.op2_bpe(spark, "/root/testdata/sf0.001").collect():
-        assert r.n_tokens == len(library_ids(texts[r.doc_id]))
+        ids = library_ids(texts[r.doc_id])
+        decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_sorted_words_begin_behind_a_shared_prefix():
+    mine = bpe.tokenizer(queries.BYTE_BPE)
+    words = sorted(w.encode() for t in strings()[:400] for w in mine.words.findall(t))
+    words += [b"ab", b"", b"abc", b"abc", b"abcd", b"ab"]  # any order gives the same ids
+    for word, ids in zip(words, mine.encode_words(words), strict=True):
+        assert ids == next(mine.encode_words([word]))
 
 
 def test_counts_and_cache(spark, tmp_path):

@@ -8,7 +8,8 @@ The suffix automaton of the vocabulary gives the suffixes that are tokens, byte
 ``compatible`` decides the second condition from the merge ranks alone.
 
 Words recur, so every task keeps a bounded memo from a word to its ids; a word that is
-not in it goes through the dynamic programming, however long it is.
+not in it goes through the dynamic programming, however long it is. New words are taken
+in sorted order, and each begins behind the prefix that it shares with the one before.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,6 +40,14 @@ WORDS = (
 )
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 SPACES_MEET = re.compile(r"\s\s")
 SPACE_OUTSIDE = re.compile(r"^\s|\s$")
 
@@ -231,7 +242,8 @@ class ByteLevelBpe(Encoder):
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.matches: dict[int, bool] = {}
-        self.word = Memo(lambda w: np.array(self.encode_word(w.encode()), dtype="<u4").tobytes(), self.PIECES // 3)
+        self.fresh: dict[str, bytes] = {}
+        self.word = Memo(self._word, self.PIECES // 3)
 
     def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
@@ -258,39 +270,67 @@ class ByteLevelBpe(Encoder):
                 return True
             x, x_until = self.parts[x][1], x_from
 
-    def encode_word(self, word: bytes) -> list[int]:
+    def _word(self, word: str) -> bytes:
+        found = self.fresh.get(word)
+        return packed(next(self.encode_words([word.encode()]))) if found is None else found
+
+    def encode_words(self, words: Iterable[bytes]) -> Iterator[list[int]]:
+        """The ids of each word. What is known of a prefix depends on it alone, so a word begins
+        where it parts from the one before; sorted words share most of their bytes."""
         a, edges, matches = self.automaton, self.automaton.edges, self.matches
         link, length, whole, proper = a.link, a.length, a.whole, a.proper
         if len(matches) > self.PIECES:
             matches.clear()
-        last = [0] * (len(word) + 1)
-        state = matched = end = 0
-        for char in word:
-            end += 1
-            step = edges.get((state << 8) | char)
-            while step is None:
-                state = link[state]
-                matched = length[state]
-                step = edges.get((state << 8) | char)
-            state = step
-            matched += 1
-            for token, size in whole[state] if length[state] == matched else proper[state]:
-                if size == end:
-                    break
-                pair = (last[end - size] << 20) | token
-                fits = matches.get(pair)
-                if fits is None:
-                    fits = matches[pair] = self.compatible(pair >> 20, token)
-                if fits:
+        # of each prefix: the automaton's state, the length matched there, and the last token
+        states, lengths, last = [0], [0], [0]
+        before = b""
+        for word in words:
+            end = 0
+            for x, y in zip(before, word):
+                if x != y:
                     break
-            else:
-                raise ValueError("no token ends here: the vocabulary lacks a byte")
-            last[end] = token
-        ids = []
-        while end:
-            ids.append(last[end])
-            end -= len(self.bytes[last[end]])
-        return ids[::-1]
+                end += 1
+            before = word
+            del states[end + 1 :], lengths[end + 1 :], last[end + 1 :]
+            state, matched = states[end], lengths[end]
+            for char in word[end:] if end else word:
+                end += 1
+                step = edges.get((state << 8) | char)
+                while step is None:
+                    state = link[state]
+                    matched = length[state]
+                    step = edges.get((state << 8) | char)
+                state = step
+                matched += 1
+                for token, size in whole[state] if length[state] == matched else proper[state]:
+                    if size == end:
+                        break
+                    pair = (last[end - size] << 20) | token
+                    fits = matches.get(pair)
+                    if fits is None:
+                        fits = matches[pair] = self.compatible(pair >> 20, token)
+                    if fits:
+                        break
+                else:
+                    raise ValueError("no token ends here: the vocabulary lacks a byte")
+                states.append(state)
+                lengths.append(matched)
+                last.append(token)
+            ids = []
+            while end:
+                ids.append(last[end])
+                end -= len(self.bytes[last[end]])
+            yield ids[::-1]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Words that are new here are sorted and encoded together."""
+        cut = [self.words.findall(" " + p) for p in pieces]
+        memo, older = self.word, self.word.older
+        new = sorted((w.encode(), w) for w in {w for ws in cut for w in ws} if w not in memo and w not in older)
+        self.fresh = dict(zip((w for _, w in new), map(packed, self.encode_words(b for b, _ in new)), strict=True))
+        found = [b"".join(map(memo.__getitem__, ws)) for ws in cut]
+        self.fresh = {}
+        return found
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = []
