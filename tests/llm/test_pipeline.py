@@ -43,5 +43,5 @@ def test_stages_keep_the_columns(spark):
 
 def test_registered():
     found = queries()
-    assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 11))
+    assert "pipeline" in found and all(any(q.startswith(f"op{n}_") for q in found) for n in range(1, 14))
     assert set(oracle_sql()) <= set(found)
