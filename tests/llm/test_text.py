@@ -172,6 +172,18 @@ def test_secrets_by_brute_force(spark):
     assert secrets.scan(documents(spark, [])).count() == 0
 
 
+def test_secrets_in_a_long_run_and_many_matches(spark):
+    """One run with hundreds of separate spans, and a text with thousands of matches of a form."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    run = "".join("".join(rng.choice(letters, 35)) + "aB1" * 12 for _ in range(300))
+    many = " ".join(f"token={i:08d}" for i in range(3000))
+    docs = documents(spark, [(1, run), (2, many)])
+    got = {r.doc_id: r.said.split(",") for r in secrets.scan(docs).withColumn("said", secrets.as_text(F.col("spans"))).collect()}
+    assert sorted(got[1]) == sorted(forms(run) + entropy_spans(run)) and len(got[1]) > 200
+    assert got[2] == forms(many) and len(got[2]) == 3000
+
+
 def test_redaction(spark):
     docs = documents(spark, list(enumerate(SECRET_TEXTS)))
     rows = secrets.redact(docs, chars_col="n_chars")

@@ -33,6 +33,7 @@ ENTROPY = "entropy"
 KINDS = (*(f[0] for f in FORMS), ENTROPY)
 
 WINDOW = 20
+PLACED_AT_ONCE = 256
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 # (what all of a candidate of the class matches, bits a character from which a window counts);
@@ -59,7 +60,8 @@ ALLOWED = (
 
 
 def _placed(found: Column, between: Column) -> Column:
-    """(start, end) of every match, from the matches and what lies between them."""
+    """(start, end) of every match, from the matches and what lies between them. Spans are
+    collected in blocks, since an array is copied when something is put behind it."""
     empty = F.array().cast("array<struct<start:int,end:int>>")
 
     def step(state: Column, i: Column) -> Column:
@@ -67,8 +69,16 @@ def _placed(found: Column, between: Column) -> Column:
         end = start + F.length(F.get(found, i))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"))
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda s: s["spans"])
+    def block(state: Column, first: Column) -> Column:
+        places = F.sequence(first, F.least(first + PLACED_AT_ONCE, F.size(found)) - 1)
+        return F.aggregate(
+            places, F.struct(state["at"].alias("at"), empty.alias("spans")), step,
+            lambda s: F.struct(s["at"].alias("at"), F.concat(state["blocks"], F.array(s["spans"])).alias("blocks")),
+        )
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int>>>").alias("blocks"))
+    firsts = F.sequence(F.lit(0), F.size(found) - 1, F.lit(PLACED_AT_ONCE))
+    walked = F.aggregate(firsts, zero, block, lambda s: F.flatten(s["blocks"]))
     return F.when(F.size(found) > 0, walked).otherwise(empty)
 
 
@@ -77,37 +87,51 @@ def _plogp(count: Column) -> Column:
 
 
 def windows_over(text: Column, threshold: Column, window: int = WINDOW) -> Column:
-    """(start, end) of the joined windows of ``text`` with at least ``threshold`` bits a character."""
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(text, i + 1, F.lit(1)))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    """(start, end) of the joined windows of ``text`` with at least ``threshold`` bits a character.
 
-    def put(counts: Column, at: Column, by: int) -> Column:
-        return F.transform(counts, lambda c, k: c + F.when(k == at, by).otherwise(0))
+    The text is split into the codes of its characters once. The span that may still grow
+    is carried by itself and put to the others when the next one begins.
+    """
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    codes = F.transform(F.slice(F.split(text, ""), F.lit(1), F.length(text)), lambda c: F.instr(F.lit(ALPHABET), c))
+
+    def closed(state: Column) -> Column:
+        open_one = F.array(F.struct(state["start"].alias("start"), state["end"].alias("end")))
+        return F.when(state["end"] > 0, F.concat(state["spans"], open_one)).otherwise(state["spans"])
+
+    def walk(bound: Column) -> Column:
+        codes, least = bound["codes"], bound["least"]
+
+        def step(state: Column, i: Column) -> Column:
+            enters, leaves, full = F.get(codes, i), F.get(codes, i - window), i >= window
+            before = F.get(state["counts"], enters)
+            total = state["total"] + _plogp(before + 1) - _plogp(before)
+            gone = F.get(state["counts"], leaves) + F.when(enters == leaves, 1).otherwise(0)
+            total = F.when(full, total - _plogp(gone) + _plogp(gone - 1)).otherwise(total)
+            counts = F.transform(
+                state["counts"],
+                lambda c, k: c + F.when(k == enters, 1).otherwise(0) - F.when(full & (k == leaves), 1).otherwise(0),
+            )
+            bits = F.log2(F.lit(float(window))) - total / window
+            start, end = (i - window + 1).cast("int"), (i + 1).cast("int")
+            hit = (i >= window - 1) & (bits >= least)
+            fresh = hit & (state["end"] < start)
+            return F.struct(
+                counts.alias("counts"), total.alias("total"),
+                F.when(fresh | (hit & (state["end"] == 0)), start).otherwise(state["start"]).alias("start"),
+                F.when(hit, end).otherwise(state["end"]).alias("end"),
+                F.when(fresh, closed(state)).otherwise(state["spans"]).alias("spans"),
+            )
 
-    def step(state: Column, i: Column) -> Column:
-        enters, leaves = code(i), code(i - window)
-        before = F.get(state["counts"], enters)
-        counts = put(state["counts"], enters, 1)
-        total = state["total"] + _plogp(before + 1) - _plogp(before)
-        gone = F.get(state["counts"], leaves) + F.when(enters == leaves, 1).otherwise(0)
-        full = i >= window
-        total = F.when(full, total - _plogp(gone) + _plogp(gone - 1)).otherwise(total)
-        counts = F.when(full, put(counts, leaves, -1)).otherwise(counts)
-        bits = F.log2(F.lit(float(window))) - total / window
-        start, end, spans = (i - window + 1).cast("int"), (i + 1).cast("int"), state["spans"]
-        last = F.try_element_at(spans, F.lit(-1))
-        joins = (F.size(spans) > 0) & (last["end"] >= start)
-        longer = F.concat(
-            F.when(joins, F.slice(spans, 1, F.size(spans) - 1)).otherwise(spans),
-            F.array(F.struct(F.when(joins, last["start"]).otherwise(start).alias("start"), end.alias("end"))),
+        zero = F.struct(
+            F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("total"),
+            F.lit(0).alias("start"), F.lit(0).alias("end"), empty.alias("spans"),
         )
-        hit = (i >= window - 1) & (bits >= threshold)
-        return F.struct(counts.alias("counts"), total.alias("total"), F.when(hit, longer).otherwise(spans).alias("spans"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step, closed)
 
-    zero = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("total"), empty.alias("spans")
-    )
-    walked = F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), zero, step, lambda s: s["spans"])
+    # bound by a lambda, so that both are made once and not at every step
+    bound = F.struct(codes.alias("codes"), threshold.alias("least"))
+    walked = F.get(F.transform(F.array(bound), walk), F.lit(0))
     return F.when(F.length(text) >= window, walked).otherwise(empty)
 
 
