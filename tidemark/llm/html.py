@@ -77,6 +77,7 @@ def blocks(page: str) -> list[tuple[str, list[str]]]:
     found: list[tuple[str, list[str]]] = []
     pieces: list[str] = []
     open_tags: list[tuple[str, str]] = []  # name, and the zone inside
+    opened: dict[str, list[int]] = {}  # the depths of the open elements of a name
     zone = "plain"
 
     def close_block() -> None:
@@ -87,7 +88,8 @@ def blocks(page: str) -> list[tuple[str, list[str]]]:
 
     def leave(depth: int) -> None:
         nonlocal zone
-        del open_tags[depth:]
+        while len(open_tags) > depth:
+            opened[open_tags.pop()[0]].pop()
         zone = open_tags[-1][1] if open_tags else "plain"
 
     at = 0
@@ -104,9 +106,8 @@ def blocks(page: str) -> list[tuple[str, list[str]]]:
         if tag in BLOCKS or tag in RAW or tag in CHROME:
             close_block()
         if mark[1]:
-            depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
-            if depth is not None:
-                leave(depth)
+            if opened.get(tag):
+                leave(opened[tag][-1])
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(page, at)
@@ -115,19 +116,17 @@ def blocks(page: str) -> list[tuple[str, list[str]]]:
         if tag in VOID or mark[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
         if tag in ENDS_PARAGRAPH or tag in ENDS_ITSELF:
-            for depth in range(len(open_tags) - 1, -1, -1):
-                name = open_tags[depth][0]
-                if name == "p" or name == tag and tag in ENDS_ITSELF:
-                    leave(depth)
-                    break
-                if name in BLOCKS:
-                    break
+            # the innermost open block ends if it is a paragraph or of the same kind
+            inner = max((depths[-1] for name in BLOCKS if (depths := opened.get(name))), default=-1)
+            if inner >= 0 and (open_tags[inner][0] == "p" or open_tags[inner][0] == tag and tag in ENDS_ITSELF):
+                leave(inner)
         if _is_chrome(tag, mark[3]):
             inside = "chrome"
         elif tag in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", mark[3], re.I):
             inside = "chrome" if zone == "chrome" else "content"
         else:
             inside = zone
+        opened.setdefault(tag, []).append(len(open_tags))
         open_tags.append((tag, inside))
         zone = inside
     close_block()
