@@ -25,7 +25,9 @@ from tidemark.llm.worker import kept
 UNKNOWN = "und"
 # Bounds of what is learnt from, whatever the size of the corpus
 SAMPLE_DOCS, SAMPLE_CHARS_PER_DOC, SAMPLE_CHARS = 128, 1000, 24_000
-MAX_LANGUAGES = 64
+# Bounds over all languages: so many texts are drawn, and so many characters learnt in all
+SAMPLE_ROWS, ALL_CHARS = 8192, 64 * SAMPLE_CHARS
+PARTS = 64
 WINDOW = 512
 LANES = 4_000_000
 PHRASE = np.int32(1 << 30)
@@ -64,21 +66,26 @@ class Model:
 
 def sample(docs: DataFrame, text_col: str, lang_col: str, order: Column) -> DataFrame:
     """(lang, text, place): at most SAMPLE_DOCS distinct texts of each language, the start of
-    each; the only rows that reach the driver. Texts are drawn by their hashes, so that only
+    each; the only rows that reach the driver. Beyond SAMPLE_ROWS rows each language has
+    fewer, the same number or one more than another, and none is left out. Texts are drawn by their hashes, so that only
     those of the drawn ones are looked up. Copies are counted as one before the draw, and
     Spark keeps SAMPLE_DOCS hashes a language and task before the shuffle, so neither a hot
     text nor a hot language is heavier than another."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS_PER_DOC).alias("text"), order.alias("draw"))
     rows = rows.where("lang is not null and length(trim(text)) > 0").withColumn("name", F.xxhash64("text"))
     distinct = rows.groupBy("lang", "name").agg(F.min("draw").alias("draw"))
+    # ranked in parts of a language first, so that no task sees what every input task keeps of it
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod("name", F.lit(PARTS))).orderBy("draw", "name"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "name"))
-    drawn = distinct.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS).orderBy("lang", "place").limit(MAX_LANGUAGES * SAMPLE_DOCS)
+    drawn = distinct.withColumn("part", part).where(F.col("part") <= SAMPLE_DOCS).drop("part")
+    drawn = drawn.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS).orderBy("place", "lang").limit(SAMPLE_ROWS)
     found = rows.join(F.broadcast(drawn.select("lang", "name", "place")), ["lang", "name"])
     return found.groupBy("lang", "place").agg(F.min("text").alias("text"))
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: Column | None = None) -> Model:
-    """Automata of a bounded sample of the labelled rows (no more than MAX_LANGUAGES labels).
+    """Automata of a bounded sample of the labelled rows. Null and blank texts, and rows
+    without a label, teach nothing. More than SAMPLE_ROWS labels are an error.
 
     ``order`` draws the sample; by default a hash of the text. Every fourth text is held
     back to find what a language needs for text of its own that it has not seen. A language
@@ -89,10 +96,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order
     for row in rows.orderBy("lang", "place").collect():
         texts.setdefault(row.lang, []).append(row.text.lower())
     languages = sorted(texts)
+    if len(languages) >= SAMPLE_ROWS:
+        raise ValueError(f"{SAMPLE_ROWS} labels or more: too many for languages")
     if not languages:
         return Model([], {}, np.zeros((0, 1), np.int32), np.zeros(0), np.zeros(0))
     taught = {x: [t for i, t in enumerate(texts[x]) if i % 4 or len(texts[x]) < 4] for x in languages}
-    sizes = _sizes({x: min(SAMPLE_CHARS, sum(map(len, t))) for x, t in taught.items()})
+    most = min(SAMPLE_CHARS, ALL_CHARS // len(languages))
+    sizes = _sizes({x: min(most, sum(map(len, t))) for x, t in taught.items()})
     common: dict[int, int] = {}
     words = {}
     for x in languages:
