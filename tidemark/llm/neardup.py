@@ -156,10 +156,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """(node, items): the packed shingles of the sets in ``wanted`` (node, set_id, doc)."""
-    src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    known = wanted.select("node", "set_id", F.col("doc").alias("_doc")).hint("shuffle_hash")
-    src = src.join(known, F.col("doc").eqNullSafe(F.col("_doc"))).select("node", "set_id", "text")
+    """(node, items): the packed shingles of the sets in ``wanted`` (node, set_id, row). A set's
+    text is found by the key of one row that has it, of which id and text are parts: rows
+    without ids, or many texts under one id, meet only their own sets."""
+    src = docs.select(F.col(text_col).alias("text"), *row_key(F.col(id_col), F.col(text_col)))
+    known = wanted.select("node", "set_id", "row.row_a", "row.row_b").hint("shuffle_hash")
+    src = src.join(known, ["row_a", "row_b"]).select("node", "set_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_hashes()
@@ -318,7 +320,9 @@ def _links(buckets: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
 def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: int) -> DataFrame:
     """Every row's sketch (without bands), the label and name of its component, and ``kept``."""
     sketch = written(sketches(docs, id_col, text_col), "sketches")
-    groups = sketch.where("set_id is not null").groupBy("set_id").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
+    groups = sketch.where("set_id is not null").groupBy("set_id").agg(
+        F.min("doc").alias("doc"), F.min(F.struct("row_a", "row_b")).alias("row"), F.first("bands").alias("bands")
+    )
     sets = written(groups.withColumn("node", F.monotonically_increasing_id()), "sets")
     buckets = _buckets(sets)
     wanted = buckets.select("node").distinct()
