@@ -104,3 +104,13 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (502, 501)], "a long, b long")
     found = {r.node: r.label for r in neardup.components(edges.repartition(7)).collect()}
     assert found == {i: 0 for i in range(201)} | {500: 500, 501: 500, 502: 500}
+
+
+def test_many_texts_without_an_id(spark):
+    """Pairs of near copies without ids; each set is looked up by its own text."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1500):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        rows += [(None, " ".join(words)), (None, " ".join([*words, f"end{i}"]))]
+    assert neardup.keep_one(documents(spark, rows)).count() == 1500

@@ -2,11 +2,12 @@
 
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
-from edges import CLASHES, LONG, TEXTS, documents, table
+from edges import CLASHES, LONG, SF, TEXTS, documents, table
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, html, langid, queries, search, secrets
@@ -82,6 +83,13 @@ def test_broken_pages(page):
     html.blocks(page)
 
 
+@pytest.mark.parametrize("page", ["<b>" * 400_000 + "</i>" * 400_000, "<b>" * 200_000 + "<p>x</b>" * 200_000])
+def test_unclosed_elements_take_linear_time(page):
+    begun = time.monotonic()
+    html.blocks(page)
+    assert time.monotonic() - begun < 60
+
+
 def test_repeated_runs_by_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(30):
@@ -293,6 +301,36 @@ def test_search_by_brute_force(spark, monkeypatch):
             assert abs(score - s) < 1e-5 and abs(dict((i, s) for s, i in scores)[doc] - score) < 1e-5
 
 
+@pytest.mark.parametrize("tasks", [1, 40])
+def test_search_over_a_hundred_shards_with_copies(spark, monkeypatch, tasks):
+    """A group of 1,000 copies ties at the top of its queries: the smallest ids are found."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(w)}" for w in rng.zipf(1.5, rng.integers(1, 40)) % 300) for _ in range(1000)]
+    copy = " ".join(f"w{i}" for i in range(20))
+    rows = list(enumerate(texts)) + [(2000 + i, copy) for i in range(1000)]
+    monkeypatch.setattr(search, "DOCS_PER_SHARD", 20)
+    monkeypatch.setattr(search, "BLOCK", 4)
+    monkeypatch.setattr(search, "BLOCKS_AT_ONCE", 1)
+    monkeypatch.setattr(search, "QUERIES_PER_TASK", tasks)
+    docs = documents(spark, rows)
+    got = search.search(docs, docs.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id"), k=5).collect()
+    asked = [i for i, (d, _) in enumerate(rows) if d % 50 == 0]
+    for q, scores in bm25([t for _, t in rows], asked, 5).items():
+        mine = sorted((r.rank, r.doc_id, r.score) for r in got if r.query_id == rows[q][0])
+        best = sorted((-round(s, search.DIGITS), rows[i][0]) for s, i in scores)[:5]
+        assert [d for _, d, _ in mine] == [d for _, d in best]
+        assert all(abs(m[2] + b[0]) < 1e-5 for m, b in zip(mine, best, strict=True))
+
+
+def test_search_query(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, "documents").orderBy("doc_id").collect()]
+    got = queries.op6_search(spark, SF).collect()
+    for q, scores in bm25([t for _, t in rows], [i for i, (d, _) in enumerate(rows) if d % 50 == 0], 10).items():
+        mine = sorted((r.rank, r.score) for r in got if r.query_id == rows[q][0])
+        assert [r for r, _ in mine] == list(range(1, min(10, len(scores)) + 1))
+        assert all(abs(s - t[0]) < 1e-5 for (_, s), t in zip(mine, scores, strict=False))
+
+
 def test_search_edges(spark):
     docs = documents(spark)
     asked = spark.createDataFrame([(1, "cat dog"), (2, None), (3, ""), (4, "unheard-of"), (None, "words")], "query_id long, text string")
@@ -317,6 +355,18 @@ def test_a_rare_label_leaves_the_others_alone(spark):
     assert not any(r.accepted for r in langid.predict(other, model).collect())
 
 
+def test_every_label_is_learnt(spark):
+    """70 labels with 150 texts each: more than there is room for in full."""
+    rng = np.random.default_rng(4)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrst"), 5)) for _ in range(30)] for _ in range(70)]
+    rows = [(i, " ".join(rng.choice(words[i % 70], 20)), f"l{i % 70:02}") for i in range(70 * 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert model.languages == [f"l{i:02}" for i in range(70)]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs.where("doc_id < 700"), model).collect()}
+    assert sum(got[i] == f"l{i % 70:02}" for i in range(700)) > 690
+
+
 def test_copies_are_learnt_once(spark):
     rng = np.random.default_rng(5)
     texts = [" ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(30)) for _ in range(6)]

@@ -5,6 +5,11 @@ shards first, so a score means the same in every shard and the shards' best list
 into the exact result. A shard of bounded size is an inverted index in one task; the
 queries come to it as a stream.
 
+Shards are searched in rounds, each with as many shards as all rounds before it. A query
+takes the k-th best score so far along as its threshold: a shard hands back only what
+reaches it, about k rows a query and round, so the results grow with the queries and the
+logarithm of the shards, not with their product.
+
 Of a query's terms in a shard, the rare ones are added up through their postings. Their
 sums give a threshold that the k-th best score cannot be below. The frequent terms, which
 would touch most documents, know their greatest impact in each block of documents; blocks
@@ -28,13 +33,16 @@ from tidemark.llm.worker import kept
 from tidemark.session import written
 
 K1, B = 1.2, 0.75
-DOCS_PER_SHARD = 8192
+DOCS_PER_SHARD = 16384
+# Of a round with few shards, queries beyond this number go to further tasks with the shard's documents
+QUERIES_PER_TASK = 8192
+MAX_TASKS = 8192
 BLOCK = 64
 BLOCKS_AT_ONCE = 16
 # A term in more than this share of a shard's documents is frequent
 FREQUENT = 0.125
 DIGITS = 6
-SLACK = 1e-7
+SLACK = 2 * 10.0**-DIGITS  # scores that can be equal when rounded
 
 
 def term_numbers() -> Memo:
@@ -56,7 +64,7 @@ class Shard:
     def __init__(self, docs: list, terms: list[np.ndarray], counts: list[np.ndarray], lengths: np.ndarray, mean: float):
         self.docs, n = docs, len(docs)
         self.blocks = -(-n // BLOCK)
-        doc = np.repeat(np.arange(n), [len(t) for t in terms])
+        doc = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t in terms])
         every, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float64)
         impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / max(mean, 1e-9)))
         order = np.argsort(every, kind="stable")
@@ -75,8 +83,9 @@ class Shard:
         self.dense = self.dense.reshape(len(often), self.blocks, BLOCK)
         self.greatest = self.dense.max(axis=2) if len(often) else np.zeros((0, self.blocks))
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) with a positive score that are among the k best, ties included."""
+    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, scores) with a positive score of at least ``least`` that are among the
+        k best, ties included."""
         at = np.searchsorted(self.terms, terms)
         at = np.minimum(at, len(self.terms) - 1)
         known = self.terms[at] == terms
@@ -87,14 +96,16 @@ class Shard:
         size = end - begin
         postings = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
         sums = np.bincount(self.doc[postings], np.repeat(weights[rare], size) * self.impact[postings], self.blocks * BLOCK)
+        sums = sums.astype(np.float64)  # whole numbers where there is nothing to count
         k = min(k, len(sums))
         if not often.any():
-            return self._best(sums, k)
+            return self._best(sums, k, least)
         rows, w = row[often], weights[often]
         sums = sums.reshape(self.blocks, BLOCK)
         bound = sums.max(axis=1) + w @ self.greatest[rows]
         order = np.argsort(-bound, kind="stable")
-        least = np.partition(sums, sums.size - k, axis=None)[sums.size - k]
+        if np.count_nonzero(bound >= least - SLACK) > BLOCKS_AT_ONCE:
+            least = max(least, np.partition(sums, sums.size - k, axis=None)[sums.size - k])
         scores = np.zeros_like(sums)
         for first in range(0, self.blocks, BLOCKS_AT_ONCE):
             live = order[first : first + BLOCKS_AT_ONCE]
@@ -103,14 +114,21 @@ class Shard:
                 break
             scores[live] = sums[live] + np.tensordot(w, self.dense[np.ix_(rows, live)], 1)
             seen = np.sort(scores[order[: first + BLOCKS_AT_ONCE]], axis=None)[-k:]
-            least = max(least, seen[0])
-        return self._best(scores.reshape(-1), k)
+            if len(seen) == k:
+                least = max(least, seen[0])
+        return self._best(scores.reshape(-1), k, least)
 
-    def _best(self, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
+    def _best(self, scores: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         found = np.flatnonzero((scores >= least - SLACK) & (scores > 0))
         found = found[found < len(self.docs)]
-        return found, np.round(scores[found], DIGITS)
+        if len(found) > k:
+            kth = np.partition(scores[found], len(found) - k)[len(found) - k]
+            found = found[scores[found] >= kth - SLACK]
+        best = np.round(scores[found], DIGITS)
+        if len(found) > k:  # ties, as of copies: those with the smallest ids
+            order = sorted(range(len(found)), key=lambda i: (-best[i], self.docs[found[i]] is not None, self.docs[found[i]] or 0))[:k]
+            found, best = found[order], best[order]
+        return found, best
 
 
 def statistics(docs: DataFrame, text_col: str) -> tuple[DataFrame, int, float]:
@@ -137,9 +155,9 @@ def statistics(docs: DataFrame, text_col: str) -> tuple[DataFrame, int, float]:
     return counted.where("term is not null").select("term", "df"), n, words / max(1, n)
 
 
-def _weighted(queries: DataFrame, frequencies: DataFrame, n: int) -> DataFrame:
-    """(query, terms, weights): the distinct terms of each query that documents have; a term's
-    weight is its idf times its number in the query."""
+def _counted(queries: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """(query, place, terms, dfs, counts): the distinct terms of each query that documents have,
+    the documents that have each, and its number in the query; ``place`` tells rows apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = term_numbers()
@@ -158,11 +176,10 @@ def _weighted(queries: DataFrame, frequencies: DataFrame, n: int) -> DataFrame:
     rows = queries.mapInArrow(run, f"query {kind}, terms array<long>, counts array<long>")
     rows = rows.withColumn("place", F.monotonically_increasing_id())
     rows = written(rows.select("place", "query", F.explode(F.arrays_zip("terms", "counts")).alias("t")), "query-terms")
-    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    pairs = rows.select("place", "query", F.col("t.terms").alias("term"), F.col("t.counts").alias("count")).join(frequencies, "term")
-    pairs = pairs.select("place", "query", F.struct("term", (idf * F.col("count")).alias("weight")).alias("pair"))
+    pairs = rows.select("place", "query", F.col("t.terms").alias("term"), F.col("t.counts").cast("int").alias("count")).join(frequencies, "term")
+    pairs = pairs.select("place", "query", F.struct("term", "df", "count").alias("pair"))
     found = pairs.groupBy("place").agg(F.first("query").alias("query"), F.array_sort(F.collect_list("pair")).alias("pairs"))
-    return found.select("query", F.col("pairs.term").alias("terms"), F.col("pairs.weight").alias("weights"))
+    return found.select("query", "place", F.col("pairs.term").alias("terms"), F.col("pairs.df").alias("dfs"), F.col("pairs.count").alias("counts"))
 
 
 def search(
@@ -177,23 +194,54 @@ def search(
     """(query_id, id_col, rank, score): for each row of ``queries`` the k documents with the
     highest BM25 scores, with score above 0, in order; equal scores go by id, nulls first.
 
-    ``queries`` is a stated query set; each of its rows is matched with every shard. Null or
-    empty texts are documents of length 0 that no query finds, and queries that find
+    ``queries`` is a stated query set; each of its rows is matched with every shard, round by
+    round (see the head of this module). Null or empty texts are documents of length 0 that no query finds, and queries that find
     nothing. Repeated documents are found each; rows of ``queries`` with one id share k places.
     Empty tables give an empty result.
     """
     frequencies, n, mean = statistics(docs, text_col)
     shards = max(1, -(-n // DOCS_PER_SHARD))
-    asked = _weighted(queries.select(F.col(query_id_col).alias("query"), F.col(query_text_col).alias("text")), frequencies, n)
+    asked = queries.select(F.col(query_id_col).alias("query"), F.col(query_text_col).alias("text"))
+    asked = written(_counted(asked, frequencies), "queries")
     doc, text = F.col(id_col), F.col(text_col)
-    doc_kind, query_kind = docs.schema[id_col].dataType.simpleString(), queries.schema[query_id_col].dataType.simpleString()
-    rows = docs.select(
-        F.pmod(F.xxhash64(doc, text), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), doc.alias("doc"), text.alias("text"),
-        F.lit(None).cast(query_kind).alias("query"), F.lit(None).cast("array<long>").alias("terms"), F.lit(None).cast("array<double>").alias("weights"),
+    shard = F.pmod(F.xxhash64(doc, text), F.lit(shards)).cast("int").alias("shard")
+    rows = docs.select(shard, doc.alias("doc"), text.alias("text"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc")))
+    known = asked.count()
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, high, best = 0, 1, None
+    while low < shards:
+        parts = max(1, min(-(-known // QUERIES_PER_TASK), tasks // (high - low)))
+        found = _round(rows, asked, best, low, high, parts, k, n, mean)
+        found = found if best is None else best.select("query", "doc", "score").unionByName(found)
+        best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+        if high < shards:
+            best = written(best, "best")
+        low, high = high, min(shards, 2 * high)
+    return best.select(F.col("query").alias(query_id_col), F.col("doc").alias(id_col), F.col("rank").cast("long").alias("rank"), "score")
+
+
+def _round(
+    docs: DataFrame, asked: DataFrame, best: DataFrame | None, low: int, high: int, parts: int, k: int, n: int, mean: float
+) -> DataFrame:
+    """(query, doc, score): what the shards ``low`` to ``high`` - 1 add to the k best so far.
+
+    A task is a shard and one of ``parts`` of the queries."""
+    doc_kind, query_kind = docs.schema["doc"].dataType.simpleString(), asked.schema["query"].dataType.simpleString()
+    here = docs.where((F.col("shard") >= low) & (F.col("shard") < high))
+    if best is None:
+        asked = asked.withColumn("least", F.lit(0.0))
+    else:
+        least = best.where(F.col("rank") == k).select(F.col("query").alias("_query"), F.col("score").alias("least"))
+        asked = asked.join(least, F.col("query").eqNullSafe(F.col("_query")), "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    part = F.pmod(F.xxhash64("place"), F.lit(parts)).cast("int")
+    first = (F.col("shard") - low) * parts
+    no_query = {"query": query_kind, "least": "double", "terms": "array<long>", "dfs": "array<long>", "counts": "array<int>"}
+    given = here.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(
+        (first + F.col("part")).alias("cell"), F.lit(0).alias("kind"), "doc", "text", *(F.lit(None).cast(t).alias(c) for c, t in no_query.items())
     )
-    asked = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), F.lit(None).cast(doc_kind).alias("doc"),
-        F.lit(None).cast("string").alias("text"), "query", "terms", "weights",
+    sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(low), F.lit(high - 1)))).select(
+        (first + part).alias("cell"), F.lit(1).alias("kind"), F.lit(None).cast(doc_kind).alias("doc"), F.lit(None).cast("string").alias("text"), *no_query
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,29 +251,28 @@ def search(
         for batch in batches:
             found: list[tuple] = []
             columns = batch.columns
-            place, kind = columns[0].to_pylist(), columns[1].to_pylist()
-            for i in range(len(place)):
-                if place[i] != here:
-                    here, index, held = place[i], None, []
+            cell, kind = columns[0].to_pylist(), columns[1].to_pylist()
+            for i in range(len(cell)):
+                if cell[i] != here:
+                    here, index, held = cell[i], None, []
                 if kind[i] == 0:
-                    held.append((columns[2][i].as_py(), *terms_of(columns[3][i].as_py(), numbers)))
+                    terms, counts, length = terms_of(columns[3][i].as_py(), numbers)
+                    held.append((columns[2][i].as_py(), terms, counts.astype(np.int32), length))
                     continue
                 if index is None and held:
                     names, terms, counts, lengths = zip(*held, strict=True)
                     index, held = Shard(list(names), list(terms), list(counts), np.array(lengths, np.float64), mean), []
                 if index is None or not len(index.terms):
                     continue
-                terms, weights = (np.asarray(c[i].values) for c in columns[5:7])
-                best, scores = index.top(terms, weights, k)
+                terms, dfs, counts = (np.asarray(c[i].values) for c in columns[6:9])
+                weights = np.log1p((n - dfs + 0.5) / (dfs + 0.5)) * counts
+                best, scores = index.top(terms, weights, k, columns[5][i].as_py())
                 found.extend((columns[4][i].as_py(), index.docs[d], s) for d, s in zip(best.tolist(), scores.tolist(), strict=True))
             query, name, score = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(query, columns[4].type), pa.array(name, columns[2].type), pa.array(score, pa.float64())], names=["query", "doc", "score"]
             )
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.unionByName(asked).repartition(parts, "shard").sortWithinPartitions("shard", "kind")
-    found = dealt.mapInArrow(run, f"query {query_kind}, doc {doc_kind}, score double")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc")))
-    found = found.withColumn("rank", rank).where(F.col("rank") <= k)
-    return found.select(F.col("query").alias(query_id_col), F.col("doc").alias(id_col), F.col("rank").cast("long").alias("rank"), "score")
+    cells = min((high - low) * parts, MAX_TASKS)
+    dealt = given.unionByName(sent).repartitionById(cells, F.pmod(F.col("cell"), F.lit(cells))).sortWithinPartitions("cell", "kind")
+    return dealt.mapInArrow(run, f"query {query_kind}, doc {doc_kind}, score double")
