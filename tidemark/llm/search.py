@@ -106,16 +106,17 @@ class Shard:
         order = np.argsort(-bound, kind="stable")
         if np.count_nonzero(bound >= least - SLACK) > BLOCKS_AT_ONCE:
             least = max(least, np.partition(sums, sums.size - k, axis=None)[sums.size - k])
-        scores = np.zeros_like(sums)
+        scores, top = np.zeros_like(sums), np.zeros(0)
         for first in range(0, self.blocks, BLOCKS_AT_ONCE):
             live = order[first : first + BLOCKS_AT_ONCE]
             live = live[bound[live] >= least - SLACK]
             if not len(live):
                 break
             scores[live] = sums[live] + np.tensordot(w, self.dense[np.ix_(rows, live)], 1)
-            seen = np.sort(scores[order[: first + BLOCKS_AT_ONCE]], axis=None)[-k:]
-            if len(seen) == k:
-                least = max(least, seen[0])
+            top = np.concatenate((top, scores[live].reshape(-1)))
+            if len(top) >= k:
+                top = np.partition(top, len(top) - k)[len(top) - k :]
+                least = max(least, top[0])
         return self._best(scores.reshape(-1), k, least)
 
     def _best(self, scores: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
