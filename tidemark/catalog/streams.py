@@ -102,6 +102,7 @@ def _(spark, sf):
 # --- folders of files, read in several batches ------------------------------------
 
 ROWS_PER_FILE = 2_000
+FILES = 50  # a batch costs the same however small it is, so a larger table makes larger files
 
 
 @query("a11_line_stream", same_as="d1_word_count_stream")
@@ -109,7 +110,7 @@ def _(spark, sf):
     """A folder of text files, four to a batch."""
     path = scratch_dir(spark, "lines")
     lines = tables.table(spark, sf, "events").select(F.concat_ws(" ", "event_type", "props").alias("value"))
-    lines.write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    files.in_files(lines, ROWS_PER_FILE, FILES).write.text(path)
     words = files.line_stream(spark, path, 4).select(F.explode(F.split("value", " ")).alias("word"))
     return runner.run_update(words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt")), "line-words", ["word"])
 

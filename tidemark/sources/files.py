@@ -37,6 +37,11 @@ def file_per_batch_stream(spark: SparkSession, path: str, ddl: str) -> DataFrame
     return spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def in_files(df: DataFrame, rows: int, files: int) -> DataFrame:
+    """``df`` in parts of about ``rows``, of which there are at most ``files``; each is written as one file."""
+    return df.repartition(max(1, min(files, -(-df.count() // rows))))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).csv(path)
 
