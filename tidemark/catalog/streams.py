@@ -120,7 +120,7 @@ def _(spark, sf):
     """A queue of files, each of which is a batch."""
     path = scratch_dir(spark, "queue")
     given = tables.table(spark, sf, "events")
-    given.write.option("maxRecordsPerFile", 5 * ROWS_PER_FILE).parquet(path)
+    files.in_files(given, 5 * ROWS_PER_FILE, FILES // 5).write.parquet(path)
     b = tables.behaviour(tables.with_instant(files.file_per_batch_stream(spark, path, given.schema)))
     return runner.run_update(b.groupBy("user_id").agg(F.sum("item_id").alias("total")), "queue-totals", ["user_id"])
 
