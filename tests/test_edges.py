@@ -259,3 +259,12 @@ def test_results_do_not_depend_on_partitions(spark):
             secs(windows.sessions(mixed, ["key"], "ts", "2 seconds", F.col("id")), "key", "session_start", "total"),
         ]))
     assert len(seen) == 1
+
+
+def test_edges_are_not_listed_in_both_directions(spark):
+    """Asked pairs meet the edges as they are given, without a table of distinct neighbours."""
+    edges = spark.createDataFrame([(1, 2), (1, 2), (3, 2), (4, 4), (None, 5), (5, None), (None, None)], "src int, dst int")
+    asked = spark.createDataFrame([(2, 1), (2, 1), (4, 4), (5, 5), (None, 5), (5, None), (None, None), (1, 3)], "a int, b int")
+    got = graph.has_edges(asked, edges)
+    assert sorted(map(tuple, got.collect())) == [(2, 1), (2, 1), (4, 4)]
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -31,7 +31,13 @@ def neighbours(edges: DataFrame, vertex: int, src: str = "src", dst: str = "dst"
 def has_edges(
     pairs: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst"
 ) -> DataFrame:
-    """The asked pairs (a, b) that are joined by an edge, in either direction."""
-    known = adjacency(edges, src, dst)
-    same = (F.col("a") == F.col("vertex")) & (F.col("b") == F.col("neighbour"))
-    return pairs.join(known, same, "left_semi")
+    """The asked pairs (a, b) that are joined by an edge, in either direction.
+
+    Both sides meet by the smaller and the larger end, so an edge is there once; that it may be
+    repeated does not matter to a semi join.
+    """
+    ends = lambda x, y: {"_low": F.least(x, y), "_high": F.greatest(x, y)}
+    # least and greatest pass over a null, which is no end of an edge
+    asked = pairs.where("a is not null and b is not null").withColumns(ends("a", "b"))
+    known = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).select(*(c.alias(n) for n, c in ends(src, dst).items()))
+    return asked.join(known, ["_low", "_high"], "left_semi").drop("_low", "_high")
