@@ -44,14 +44,27 @@ def additive_counts(
 
 
 class Blacklist(StatefulProcessor):
-    """Of a user: whether listed, and the counters by (day, ad), which may live for ``keep_ms`` only."""
+    """Of a user: whether listed, and the counters by (day, ad), which may live for ``keep_ms`` only.
+
+    Whole-numbered days share a page of ``PAGE_DAYS``, so that a batch reads and writes a page
+    or two and not every counter by itself. A counter with a time to live has a page of its own."""
+
+    PAGE_DAYS = 32
 
     def __init__(self, limit: int, key_type: T.StructType, keep_ms: int | None):
         self.limit, self.key_type, self.keep_ms = limit, key_type, keep_ms
+        self.whole_days = isinstance(key_type[0].dataType, T.IntegralType)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.listed = handle.getValueState("listed", T.StructType().add("listed", T.BooleanType()))
-        self.counters = handle.getMapState("counters", self.key_type, T.StructType().add("cnt", T.LongType()), self.keep_ms)
+        page_type = self.key_type if self.keep_ms else T.StructType(self.key_type.fields[:1])
+        counter = T.StructType([*self.key_type.fields, T.StructField("cnt", T.LongType())])
+        self.counters = handle.getMapState("counters", page_type, T.StructType().add("page", T.ArrayType(counter)), self.keep_ms)
+
+    def _page(self, at: tuple) -> tuple:
+        if self.keep_ms:
+            return at
+        return (at[0] // self.PAGE_DAYS if self.whole_days and at[0] is not None else at[0],)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if self.listed.exists():
@@ -60,16 +73,25 @@ class Blacklist(StatefulProcessor):
         for r in rows:
             at = (r["day"], r["ad"])
             fresh[at] = fresh.get(at, 0) + r["n"]
+        pages: dict[tuple, list[tuple]] = {}
+        for at in fresh:
+            pages.setdefault(self._page(at), []).append(at)
         hit = False
-        for at, n in fresh.items():
-            if n >= self.limit:
-                hit = True
-                continue
-            old = self.counters.getValue(at)
-            if old:
-                n += old[0]
-                hit |= n >= self.limit
-            self.counters.updateValue(at, (n,))
+        for page, counted in pages.items():
+            old = self.counters.getValue(page)
+            counters = {tuple(c[:2]): c[2] for c in old[0]} if old else {}
+            changed = False
+            for at in counted:
+                n = fresh[at]
+                if n >= self.limit:
+                    hit = True
+                    continue
+                if at in counters:
+                    n += counters[at]
+                    hit |= n >= self.limit
+                counters[at], changed = n, True
+            if changed:
+                self.counters.updateValue(page, ([(*at, n) for at, n in counters.items()],))
         if hit:
             self.listed.update((True,))
             yield Row("usr")(key[0])
@@ -116,9 +138,8 @@ def blacklist_job(
     )
     out = out or scratch_dir(spark, label)
     found = run_append(listed, label, out, available_now).select(F.col("usr").alias(user))
-    counters = state_of(spark, out, "counters").select(
-        F.col("user_map_key.day").alias(day), F.col("key.usr").alias(user), F.col("user_map_key.ad").alias(ad),
-        F.col("user_map_value.cnt").alias("cnt"),
+    counters = state_of(spark, out, "counters").select("key.usr", F.explode("user_map_value.page").alias("c")).select(
+        F.col("c.day").alias(day), F.col("usr").alias(user), F.col("c.ad").alias(ad), F.col("c.cnt").alias("cnt")
     )
     return found, counters
 
