@@ -7,6 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import aggregates, joins as batch_joins, lateness, ordered, patterns, windows as batch_windows
 from tidemark.sources import files
@@ -266,6 +267,119 @@ def test_waiting_rows_are_written_once(spark, tmp_path):
     assert {c.chunk for c in chunks} == set(range(6))
 
 
+def test_small_buckets_of_a_batch_share_a_chunk(spark, tmp_path):
+    df = history(spark)
+    out = str(tmp_path / "out")
+    stream = files.file_per_batch_stream(spark, staged(df, str(tmp_path / "in"), 6, marker=False), DDL)
+    runner.run_append(keyed.keyed_fold(stream, ["key"], "ts", "id", ["v"], folds.Jump("v", 10.0), "1 hour", "1 second"), "share", out=out)
+    chunks = runner.state_of(spark, out, "waiting").select("key.key", "user_map_key.chunk", F.size("user_map_value.rows").alias("n")).collect()
+    assert sum(c.n for c in chunks) == 120 and len(chunks) == len({(c.key, c.chunk) for c in chunks})
+
+
+class Kept:
+    """State and timers of one key, in memory."""
+
+    def __init__(self):
+        self.held, self.one, self.wakes = {}, None, []
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return Kept()
+
+    def keys(self):
+        return iter(list(self.held))
+
+    def getValue(self, key):
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        assert key not in self.held
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+    def exists(self):
+        return self.one is not None
+
+    def get(self):
+        return self.one
+
+    def update(self, value):
+        self.one = value
+
+    def clear(self):
+        self.one = None
+
+    def registerTimer(self, at):
+        self.wakes.append(at)
+
+    def getLocalProperty(self, _):
+        return str(self.batch)
+
+
+class Passed:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 1000])
+def test_a_busy_key_is_held_in_parts(monkeypatch, bucket):
+    """Rows become chunks before all rows of the batch are read, and outputs come before all
+    chunks are; wherever the watermark stops, rows are folded once and in order."""
+    row = T.StructType.fromDDL("_us long, _tie long, v double")
+    out = T.StructType.fromDDL("key string, tie long, cnt long, mean double")
+    fold = keyed.EventTimeFold(folds.Rolling("v", 0), row.names, row, out, bucket * 1000, False)
+    fold.CHUNK, fold.HELD = 8, 20
+    state, rnd = Kept(), random.Random(7)
+    monkeypatch.setattr(keyed.TaskContext, "get", lambda: state)
+    fold.init(state)
+    at = [rnd.randrange(100) * 1000 for _ in range(300)]
+    state_at_read, got = [], []
+    for batch in range(3):
+        state.batch = batch
+
+        def rows():
+            for i in range(100 * batch, 100 * batch + 100):
+                state_at_read.append(sum(len(v[0]) for v in fold.waiting.held.values()))
+                yield {"_us": at[i], "_tie": i, "v": 1.0}
+
+        assert list(fold.handleInputRows(("a",), rows(), Passed(0))) == []
+    assert all(i - n <= 20 for i, n in enumerate(state_at_read))  # at most HELD rows in memory
+    assert min(state.wakes) == (min(at) // (bucket * 1000) + 1) * bucket
+    for now in (13, 50, 51, 10**6):
+        before = len(fold.waiting.held)
+        outputs = fold.handleExpiredTimer(("a",), Passed(now), None)
+        first = next(outputs, None)
+        assert now < 10**6 or bucket > 100 or first is None or 0 < len(fold.waiting.held) < before
+        got += [] if first is None else [first.tie, *(r.tie for r in outputs)]
+        assert all((a // (bucket * 1000) + 1) * bucket > now for v in fold.waiting.held.values() for a, *_ in v[0])
+    assert got == sorted(range(300), key=lambda i: (at[i], i)) and not fold.waiting.held
+
+
+def test_days_of_a_user_share_a_page(spark, tmp_path):
+    out = str(tmp_path / "out")
+    clicks = [(day, usr, ad) for day in (-1, *range(64, 96)) for usr in (1, 2) for ad in (0, 1)]
+    for batch in range(2):
+        spark.createDataFrame(clicks, "day long, usr long, ad long").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("day long, usr long, ad long").parquet(str(tmp_path / "in"))
+        listed, counters = jobs.blacklist_job(stream, "day", "usr", "ad", 3, "pages", out)
+    assert listed.count() == 0 and {tuple(r): 2 for r in clicks} == {(r.day, r.usr, r.ad): r.cnt for r in counters.collect()}
+    assert runner.state_of(spark, out, "counters").count() == 2 * 2
+
+
+def test_a_larger_table_makes_larger_files(spark, tmp_path):
+    for n, parts in ((1, 1), (25, 3), (1000, 5), (0, 1)):
+        files.in_files(spark.range(n), 10, 5).write.parquet(str(tmp_path / str(n)))
+        assert sum(f.endswith(".parquet") for f in os.listdir(tmp_path / str(n))) == parts
+        assert spark.read.parquet(str(tmp_path / str(n))).count() == n
+
+
 def test_a_stream_begins_with_a_history(spark, tmp_path):
     df = history(spark)
     before, after = df.where("ts < timestamp_seconds(60)"), df.where("ts >= timestamp_seconds(60)")

@@ -2,10 +2,11 @@
 
 Rows of a key wait in state until the watermark has passed them and are then
 folded in event-time order, so the result does not depend on how the input was
-cut into batches. They wait in chunks, one for each time bucket and batch: what
-comes in is written once and never read again until the watermark has passed its
-bucket, and a wake-up reads and removes the passed buckets alone. What waits is
-bounded by the watermark delay and one bucket.
+cut into batches. They wait in chunks by time bucket and batch, small buckets of a
+batch together: what comes in is written once and not read again until the
+watermark has passed the first bucket of its chunk; what is not over then is
+written once more, by bucket. What waits is bounded by the watermark delay and one
+bucket, what a task holds by a part of a batch and the chunks that overlap.
 
 Rows behind the watermark come too late to be folded. They can be had as a second
 output beside the folds'. For a finite history the batch forms in
@@ -16,7 +17,9 @@ begin with what the batch form knows at the end of a history.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +43,11 @@ def with_open_watermark(stream: DataFrame, ts: str, delay: str, name: str = "_ah
 
 
 class EventTimeFold(StatefulProcessor):
-    """State of a key: what waits, by (bucket, chunk), the number of the next chunk, and
-    what the fold remembers."""
+    """State of a key: what waits, by (first bucket, batch, part of the batch), and what the
+    fold remembers."""
+
+    CHUNK = 4_096  # rows up to which small buckets share a chunk
+    HELD = 32_768  # rows of a batch that are in memory before they become chunks
 
     def __init__(
         self, fold: Fold, columns: list[str], row_type: T.StructType, out_type: T.StructType,
@@ -55,9 +61,8 @@ class EventTimeFold(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        chunk = T.StructType().add("bucket", T.LongType()).add("chunk", T.LongType())
+        chunk = T.StructType().add("bucket", T.LongType()).add("chunk", T.LongType()).add("part", T.LongType())
         self.waiting = handle.getMapState("waiting", chunk, T.StructType().add("rows", T.ArrayType(self.row_type)))
-        self.chunks = handle.getValueState("chunks", T.StructType().add("next", T.LongType()))
         self.state = handle.getValueState("state", self.state_type)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
@@ -70,6 +75,7 @@ class EventTimeFold(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         fresh: dict[int, list[tuple]] = {}
+        held, part, first = 0, 0, None
         for r in rows:
             at = r["_us"]
             if at is None or at < passed:
@@ -77,49 +83,73 @@ class EventTimeFold(StatefulProcessor):
                     yield self.out(*key, *[None] * self.width, r["_tie"])
             elif at < END_US:
                 fresh.setdefault(at // self.bucket, []).append(tuple(r[c] for c in self.columns))
+                held += 1
+                if held == self.HELD:
+                    first = min(fresh) if first is None else min(first, *fresh)
+                    self._hold(fresh, part)
+                    fresh, held, part = {}, 0, part + 1
         if fresh:
-            n = self.chunks.get()[0] if self.chunks.exists() else 0
-            for bucket, held in fresh.items():
-                self.waiting.updateValue((bucket, n), (held,))
-            self.chunks.update((n + 1,))
-            self._wake_at((min(fresh) + 1) * self.bucket)
+            first = min(fresh) if first is None else min(first, *fresh)
+            self._hold(fresh, part)
+        if first is not None:
+            self._wake_at((first + 1) * self.bucket)
+
+    def _hold(self, fresh: dict[int, list[tuple]], part: int) -> None:
+        """Write rows by bucket; neighbouring small buckets become one chunk, as a chunk costs
+        the same however small it is."""
+        batch = int(TaskContext.get().getLocalProperty("streaming.sql.batchId") or 0)
+        chunks: list[tuple[int, list[tuple]]] = []
+        for bucket in sorted(fresh):
+            if chunks and len(chunks[-1][1]) + len(fresh[bucket]) <= self.CHUNK:
+                chunks[-1][1].extend(fresh[bucket])
+            else:
+                chunks.append((bucket, fresh[bucket]))
+        for bucket, rows in chunks:
+            self.waiting.updateValue((bucket, batch, part), (rows,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000  # every row below is here
-        chunks = sorted(tuple(k) for k in self.waiting.keys()) if self.waiting.exists() else []
-        ready = [c for c in chunks if (c[0] + 1) * self.bucket <= passed]
-        state = tuple(self.state.get()) if self.state.exists() else self.fold.start()
-        out: list[tuple] = []
-        for at in range(len(ready)):
-            if at and ready[at][0] == ready[at - 1][0]:
-                continue  # read with the first chunk of its bucket
-            rows: list[tuple] = []
-            for c in ready[at:]:
-                if c[0] != ready[at][0]:
-                    break
-                rows += [tuple(r) for r in self.waiting.getValue(c)[0]]
-                self.waiting.removeKey(c)
-            for r in sorted(rows, key=lambda r: (r[0], r[1])):
+        over = passed // self.bucket  # the buckets below are over
+        chunks = sorted(tuple(k) for k in self.waiting.keys())
+        ready = [c for c in chunks if c[0] < over]
+        early = [c[0] for c in chunks[len(ready):]]
+        before = tuple(self.state.get()) if self.state.exists() else None
+        state = self.fold.start() if before is None else before
+        rest = [None] * self.late
+        rows: list[tuple] = []  # a heap of what is read and lies behind the next chunk's begin
+        for i, c in enumerate(ready):
+            wait: dict[int, list[tuple]] = {}
+            for n, r in enumerate(self.waiting.getValue(c)[0]):
+                bucket = r[0] // self.bucket
+                if bucket < over:
+                    heappush(rows, (r[0], r[1], *c[1:], n, r))
+                else:
+                    wait.setdefault(bucket, []).append(tuple(r))
+            self.waiting.removeKey(c)
+            for bucket, held in wait.items():  # by itself from now on, so it is not read again early
+                self.waiting.updateValue((bucket, *c[1:]), (held,))
+            early += wait
+            until = ready[i + 1][0] * self.bucket if i + 1 < len(ready) else passed
+            while rows and rows[0][0] < until:
+                r = heappop(rows)[-1]
                 state, late = self.fold.expire(state, r[0])
                 state, made = self.fold.step(state, r[0], r[1], dict(zip(self.columns, r)))
-                out += [*late, *made]
-        early = chunks[len(ready):]
+                for values in (*late, *made):
+                    yield self.out(*key, *values, *rest)
         # what still waits may lie before the watermark, so time has only come to its bucket
-        state, late = self.fold.expire(state, min(passed, early[0][0] * self.bucket if early else passed) - 1)
-        out += late
-        if state == self.fold.start():
-            self.state.clear()  # a key with nothing to remember has no state
-        else:
+        state, late = self.fold.expire(state, min([passed, *(b * self.bucket for b in early)]) - 1)
+        for values in late:
+            yield self.out(*key, *values, *rest)
+        if state != self.fold.start():
             self.state.update(state)
+        elif before is not None:
+            self.state.clear()  # a key with nothing to remember has no state
         if early:
-            self._wake_at((early[0][0] + 1) * self.bucket)
+            self._wake_at((min(early) + 1) * self.bucket)
         else:
-            self.chunks.clear()
             end = self.fold.deadline(state)
             if end is not None:
                 self._wake_at(end + 1)
-        for values in out:
-            yield self.out(*key, *values, *[None] * self.late)
 
     def _wake_at(self, at_us: int) -> None:
         """When the watermark, in whole milliseconds, has come to ``at_us``."""
@@ -149,7 +179,7 @@ def keyed_fold(
             *[c for c in cols if c not in keys],
         ),
         ts, delay,
-    )
+    ).drop(ts, "_ahead")  # every cell costs time, and these have done their work
     columns = ["_us", "_tie", *[c for c in cols if c not in keys]]
     row_type = T.StructType([slim.schema[c] for c in columns])
     fields = [slim.schema[k] for k in keys] + T.StructType.fromDDL(fold.out_ddl).fields
