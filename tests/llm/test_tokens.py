@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edges import LONG, TEXTS, documents, table
 from tokenizers import Tokenizer
@@ -142,3 +143,12 @@ def test_id_files_query(spark):
         ids = np.array([*library_ids(texts[r.doc_id]), 2], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_a_worker_takes_a_batch_in_slices():
+    from tidemark.llm.worker import in_slices
+
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(at, at + size))}) for at, size in ((0, 6_000), (6_000, 0), (6_000, 3))]
+    parts = list(in_slices(batches))
+    assert [p.num_rows for p in parts] == [2_500, 2_500, 1_000, 3]
+    assert [n for p in parts for n in p.column(0).to_pylist()] == list(range(6_003))

@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.worker import kept
+from tidemark.llm.worker import in_slices, kept
 
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
@@ -404,7 +404,7 @@ def tokenizer(path: str) -> ByteLevelBpe:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", pieces: int = Encoder.PIECES
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", pieces: int = 300_000
 ) -> DataFrame:
     """Token ids of every text: (id_col, ids), ids being packed little-endian 32-bit integers.
 
@@ -419,7 +419,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         bpe.PIECES, bpe.word.size = pieces, pieces // 3
-        for batch in batches:
+        for batch in in_slices(batches):
             ids = pa.array(list(bpe.encode_all(batch.column(1).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
@@ -437,7 +437,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = kept(("decoder", path), lambda: Decoder(path))
-        for batch in batches:
+        for batch in in_slices(batches):
             text = pa.array([decoder.decode(x) for x in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text], names=[id_col, "ids", "text"])
 

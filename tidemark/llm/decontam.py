@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Memo
-from tidemark.llm.worker import kept
+from tidemark.llm.worker import in_slices, kept
 
 SEED_WORDS = 3
 # Seeds that a text of a million words would hold by chance less than so many times
@@ -183,7 +183,7 @@ def _counted(docs: DataFrame, items: Items) -> tuple[dict[int, int], int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, total = Numbering.of(name, shared.value), np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [number(t) for t in batch.column(0).to_pylist()]
             total += np.bincount(np.concatenate(texts) if texts else [], minlength=size).astype(np.int64)
         at = np.flatnonzero(total)
@@ -247,7 +247,7 @@ def contaminated(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             number = Numbering.of(items.name, items.vocabulary)
-            for batch in batches:
+            for batch in in_slices(batches):
                 at, hits = [], []
                 for i, text in enumerate(batch.column(1).to_pylist()):
                     for hit in matches(items, number(text), share, least):
@@ -277,7 +277,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             number = Numbering.of(items.name, items.vocabulary)
-            for batch in batches:
+            for batch in in_slices(batches):
                 texts = batch.column(at).to_pylist()
                 clean = [not matches(items, number(t), given["share"], given["least"]) for t in texts]
                 yield batch.filter(pa.array(clean, pa.bool_()))

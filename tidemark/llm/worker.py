@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import pyarrow as pa
+
 _kept: dict[Any, Any] = {}
 
 
@@ -16,3 +18,11 @@ def kept(key: Any, make: Callable[[], Any]) -> Any:
         _kept.clear()
         _kept[key] = make()
     return _kept[key]
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 2_500) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` some at a time, so that a worker holds the texts and the results of
+    few rows and not those of a whole Arrow batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
