@@ -79,6 +79,48 @@ def test_sorted_words_begin_behind_a_shared_prefix():
         assert ids == next(mine.encode_words([word]))
 
 
+def test_new_words_are_encoded_together():
+    mine = bpe.ByteLevelBpe(queries.BYTE_BPE)
+    words = sorted({w.encode() for t in strings() for w in mine.words.findall(t) if len(w.encode()) <= bpe.LONGEST_MEMO_WORD})
+    rng = random.Random(3)
+    words += ["".join(rng.choice("aetnhs éж") for _ in range(rng.randint(0, 30))).encode() for _ in range(3000)]
+    rng.shuffle(words)
+    steps = [0]
+    together = bpe.Table.get
+    bpe.Table.get = lambda self, keys: steps.append(steps[0]) or together(self, keys)
+    try:
+        found = mine.encode_together(words)
+    finally:
+        bpe.Table.get = together
+    assert found == [bpe.packed(ids) for ids in mine.encode_words(words)]
+    assert len(steps) < 10 * bpe.LONGEST_MEMO_WORD  # steps for the prefixes of a length, not for each word
+
+
+def test_few_places_for_pairs(monkeypatch):
+    monkeypatch.setattr(bpe, "PAIR_SLOTS", 8)
+    mine = bpe.ByteLevelBpe(queries.BYTE_BPE)
+    words = sorted({w.encode() for t in strings()[:500] for w in mine.words.findall(t) if len(w) <= 20})
+    assert mine.encode_together(words) == [bpe.packed(ids) for ids in mine.encode_words(words)]
+
+
+def test_a_table_of_many_keys():
+    rng = random.Random(5)
+    known = {rng.randrange(1 << 40): rng.randrange(1 << 30) for _ in range(5000)} | {k: k for k in range(3000)}
+    asked = [*known, *(rng.randrange(1 << 40) for _ in range(3000)), *range(2990, 3010)]
+    assert bpe.Table(known).get(np.array(asked, np.int64)).tolist() == [known.get(k, -1) for k in asked]
+    assert bpe.Table({}).get(np.array([3], np.int64)).tolist() == [-1]
+
+
+def test_texts_of_a_group(monkeypatch):
+    texts = ["", "a", "a ", " a", "\na", "a\n", "\n", " ", "a b\nc d", "a\n\nb", "a\r\nb", "x" * 90 + " " + "y" * 90 + "\n" + "z" * 90]
+    texts += ["\x1c a", "a\x1cb \x1fc", "\x85a b", "b \u3000", "<|endoftext|>", "a <|endoftext|>\nb", "it's\n's 's", "a\u2028b c\u2028"]
+    for encoder in (bpe.ByteLevelBpe(queries.BYTE_BPE), bpe.LibraryEncoder(queries.BYTE_BPE)):
+        for again in range(2):
+            for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), (text, again)
+            assert list(encoder.encode_all([])) == []
+
+
 def test_counts_and_cache(spark, tmp_path):
     cache, library = str(tmp_path / "cache"), Tokenizer.from_file(queries.WORD_BPE)
     expected = sorted((str(i), len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in TEXTS)

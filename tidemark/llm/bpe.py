@@ -8,8 +8,10 @@ The suffix automaton of the vocabulary gives the suffixes that are tokens, byte
 ``compatible`` decides the second condition from the merge ranks alone.
 
 Words recur, so every task keeps a bounded memo from a word to its ids; a word that is
-not in it goes through the dynamic programming, however long it is. New words are taken
-in sorted order, and each begins behind the prefix that it shares with the one before.
+not in it goes through the dynamic programming, however long it is. New words of usual
+length are taken together, the prefixes of one length of all of them in one step. Few or
+long ones are taken in sorted order, and each begins behind the prefix that it shares with
+the one before.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,9 @@ from tidemark.llm.worker import in_slices, kept
 
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
+TOGETHER = 64  # fewer new words are taken one by one
+PAIR_SLOTS = 1 << 20
+SPREAD = 0x9E3779B97F4A7C1
 INFINITE = 1 << 60
 
 # Fixed value: the word pattern of the byte-level vocabulary
@@ -49,7 +55,6 @@ def packed(ids: list[int]) -> bytes:
 
 
 SPACES_MEET = re.compile(r"\s\s")
-SPACE_OUTSIDE = re.compile(r"^\s|\s$")
 
 
 class Memo(dict):
@@ -136,12 +141,49 @@ class SuffixAutomaton:
             self.whole[s] = own + self.proper[s]
 
 
+def slots_of(keys: np.ndarray, size: int) -> np.ndarray:
+    """A place for each key in a table whose size is a power of 2."""
+    return (keys * SPREAD >> 30) & (size - 1)
+
+
+class Table:
+    """A fixed map from keys (0 or above) to numbers (0 or above) that is asked for many keys at once."""
+
+    def __init__(self, known: dict[int, int]):
+        self.size = 1 << max(4, (4 * len(known)).bit_length())
+        self.keys, self.values = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int32)
+        keys, values = np.fromiter(known.keys(), np.int64, len(known)), np.fromiter(known.values(), np.int32, len(known))
+        slots = slots_of(keys, self.size)
+        while len(keys):
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]  # of keys with one place, one stays
+            placed = self.keys[slots] == keys
+            self.values[slots[placed]] = values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & (self.size - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for an unknown one."""
+        slots = slots_of(keys, self.size)
+        there = self.keys[slots]
+        found = np.where(there == keys, self.values[slots], np.int32(-1))
+        other = np.flatnonzero((there != keys) & (there >= 0))
+        while len(other):
+            slots[other] = (slots[other] + 1) & (self.size - 1)
+            at, wanted = slots[other], keys[other]
+            there = self.keys[at]
+            hit = there == wanted
+            found[other[hit]] = self.values[at[hit]]
+            other = other[~hit & (there >= 0)]
+        return found
+
+
 class Encoder:
     """Texts to packed ids by way of their words, for the byte-level word pattern.
 
     Where no two blanks meet, a word begins at every blank and around every line end, so a
     text is cut there without the pattern. Texts are taken some at a time; each distinct
-    piece of them is looked up or encoded once, and what was found lately is kept.
+    piece of them is looked up or encoded once, and what was found lately is kept. The ids of
+    the texts are then gathered from those of the pieces by array operations.
     """
 
     CHARS_AT_ONCE = 1_000_000
@@ -174,41 +216,44 @@ class Encoder:
         return self.encode_whole([" " + p for p in pieces])
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        cuts, firsts, pieces = [], {"\n"}, set()
-        for text in texts:
-            if SPACES_MEET.search(text) or any(s in text for s in self.special):
-                lines = [(text, [])]  # such a text is one piece
-            else:
-                lines = []
-                for line in text.split("\n"):
-                    first, *rest = line.split(" ")
-                    lines.append((first, rest))
-                    pieces.update(rest)
-            firsts.update(first for first, _ in lines)
-            cuts.append(lines)
-        begin = dict(zip(firsts, self.encode_whole(list(firsts)), strict=True))
-        long = self._learn(pieces)
-        found, end = self.lately.__getitem__, begin["\n"]
-        out = [end.join([begin[first] + b"".join(map(found, rest)) for first, rest in lines]) for lines in cuts]
-        for piece in long:
-            del self.lately[piece]
-        return out
-
-    def _learn(self, pieces: set[str]) -> list[str]:
-        """Have the ids of each piece behind a blank in ``lately``; gives those not to be kept."""
+        # such a text is one piece
+        whole = [i for i, t in enumerate(texts) if SPACES_MEET.search(t) or any(s in t for s in self.special)]
+        out = dict(zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True))
+        rest = [i for i in range(len(texts)) if i not in out]
+        # a piece that begins a line has a line end before it, also the first of a text
+        marked = pa.array(["\n" + texts[i].replace("\n", " \n") for i in rest], pa.large_string())
+        pieces = pc.split_pattern(marked, " ")
+        coded = pieces.flatten().dictionary_encode()
+        end = self.encode_whole(["\n"])[0]
+        found = self._learn(coded.dictionary.to_pylist(), end)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, starts, which = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        sizes = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        gathered = ids[np.repeat(starts[which] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[pieces.offsets.to_numpy()]).tolist()
+        for k, i in enumerate(rest):
+            out[i] = gathered[cuts[k] + len(end) : cuts[k + 1]]
+        return [out[i] for i in range(len(texts))]
+
+    def _learn(self, pieces: list[str], end: bytes) -> list[bytes]:
+        """Ids of each of the distinct pieces: behind a blank, or from the line end on that it begins with."""
         if len(self.lately) > self.PIECES:
             self.before, self.lately = self.lately, {}
         lately, before = self.lately, self.before
-        new = []
-        for piece in pieces:
-            if piece not in lately:
-                ids = before.get(piece)
-                if ids is None:
-                    new.append(piece)
-                else:
-                    lately[piece] = ids
-        lately.update(zip(new, self.encode_pieces(new), strict=True))
-        return [p for p in new if len(p) > LONGEST_MEMO_WORD]
+        found = list(map(lately.get, pieces))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        for i in lacking:
+            found[i] = before.get(pieces[i])
+        new = [i for i in lacking if found[i] is None]
+        firsts = [i for i in new if pieces[i][:1] == "\n"]
+        for i, ids in zip(firsts, self.encode_whole([pieces[i][1:] for i in firsts]), strict=True):
+            found[i] = end + ids
+        inner = [i for i in new if pieces[i][:1] != "\n"]
+        for i, ids in zip(inner, self.encode_pieces([pieces[i] for i in inner]), strict=True):
+            found[i] = ids
+        lately.update((pieces[i], found[i]) for i in lacking if len(pieces[i]) <= LONGEST_MEMO_WORD)
+        return found
 
 
 class ByteLevelBpe(Encoder):
@@ -242,9 +287,86 @@ class ByteLevelBpe(Encoder):
         self.words = regex.compile(WORDS)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.matches: dict[int, bool] = {}
+        self._tables()
         self.fresh: dict[str, bytes] = {}
         self.word = Memo(self._word, self.PIECES // 3)
 
+    def _tables(self) -> None:
+        """The automaton as arrays: edges, the longest token that ends in a state, with its whole
+        string and without it, and of each token the longest other token that it ends with."""
+        a = self.automaton
+        self.edge_table = Table(a.edges)
+        self.links, self.lengths = np.array(a.link, np.int32), np.array(a.length, np.int32)
+        self.longest = np.array([[x[0][0] if x else -1 for x in side] for side in (a.proper, a.whole)], np.int32)
+        self.sizes, self.shorter = np.zeros(1 << 20, np.uint8), np.full(1 << 20, -1, np.int32)
+        for token, proper in zip(a.token, a.proper):
+            if token >= 0:
+                self.sizes[token] = min(len(self.bytes[token]), 255)
+                self.shorter[token] = proper[0][0] if proper else -1
+        self.pairs = np.full(PAIR_SLOTS, -1, np.int64)  # pair and whether it fits, the latest of each place
+
+    def _fit(self, pairs: np.ndarray) -> np.ndarray:
+        """``compatible`` for many pairs of tokens."""
+        slots = slots_of(pairs, PAIR_SLOTS)
+        known = self.pairs[slots]
+        fits = (known & 1).astype(bool)
+        unknown = np.flatnonzero(known >> 1 != pairs)
+        if len(unknown):
+            distinct, where = np.unique(pairs[unknown], return_inverse=True)
+            found = np.array([self.compatible(p >> 20, p & 0xFFFFF) for p in distinct.tolist()])
+            fits[unknown] = found[where]
+            self.pairs[slots_of(distinct, PAIR_SLOTS)] = distinct << 1 | found
+        return fits
+
+    def encode_together(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words of at most LONGEST_MEMO_WORD bytes: what ``encode_words`` does for a word, for
+        the prefixes of one length of all words at once."""
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        lengths = np.array([len(words[i]) for i in order], np.int64)
+        longest = int(lengths[0])
+        chars = np.frombuffer(b"".join(words[i].ljust(longest, b"\0") for i in order), np.uint8).reshape(len(words), longest).T
+        state, matched = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32)
+        last = np.zeros((longest + 1, len(words)), np.int32)
+        for end in range(1, longest + 1):
+            n = int(np.searchsorted(-lengths, -end, side="right"))  # words with a prefix of this length
+            char, at = chars[end - 1, :n].astype(np.int64), state[:n]
+            step = self.edge_table.get(at << 8 | char)
+            lost = np.flatnonzero(step < 0)
+            while len(lost):
+                at[lost] = self.links[at[lost]]
+                if (at[lost] < 0).any():
+                    raise ValueError("no token ends here: the vocabulary lacks a byte")
+                matched[lost] = self.lengths[at[lost]]
+                step[lost] = self.edge_table.get(at[lost] << 8 | char[lost])
+                lost = lost[step[lost] < 0]
+            state[:n] = step
+            matched[:n] += 1
+            token = self.longest[(self.lengths[step] == matched[:n]).astype(np.int8), step]
+            open_words = np.arange(n)
+            while len(open_words):
+                if (token < 0).any():
+                    raise ValueError("no token ends here: the vocabulary lacks a byte")
+                size = self.sizes[token].astype(np.int64)
+                fits = size == end
+                inner = np.flatnonzero(~fits)
+                before = last[end - size[inner], open_words[inner]].astype(np.int64)
+                fits[inner] = self._fit(before << 20 | token[inner])
+                last[end, open_words[fits]] = token[fits]
+                open_words, token = open_words[~fits], self.shorter[token[~fits]]
+        ends, chosen = lengths.copy(), np.zeros((len(words), longest + 1), bool)
+        open_words = np.flatnonzero(ends)
+        while len(open_words):
+            at = ends[open_words]
+            chosen[open_words, at] = True
+            ends[open_words] = at - self.sizes[last[at, open_words]]
+            open_words = open_words[ends[open_words] > 0]
+        ids = last.T[chosen].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(chosen.sum(axis=1))).tolist()]
+        found = [b""] * len(words)
+        for k, i in enumerate(order):
+            found[i] = ids[cuts[k] : cuts[k + 1]]
+        return found
+
     def compatible(self, first: int, second: int) -> bool:
         """Whether BPE leaves the two tokens side by side.
 
@@ -323,26 +445,27 @@ class ByteLevelBpe(Encoder):
             yield ids[::-1]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Words that are new here are sorted and encoded together."""
-        cut = [self.words.findall(" " + p) for p in pieces]
+        return self._encode([" " + p for p in pieces])
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Words that are new here are encoded together."""
+        cut = [self.words.findall(t) for t in texts]
         memo, older = self.word, self.word.older
-        new = sorted((w.encode(), w) for w in {w for ws in cut for w in ws} if w not in memo and w not in older)
-        self.fresh = dict(zip((w for _, w in new), map(packed, self.encode_words(b for b, _ in new)), strict=True))
-        found = [b"".join(map(memo.__getitem__, ws)) for ws in cut]
+        new = [w for w in {w for ws in cut for w in ws} if w not in memo and w not in older]
+        as_bytes = [w.encode() for w in new]
+        short = [i for i, b in enumerate(as_bytes) if len(b) <= LONGEST_MEMO_WORD]
+        short = short if len(short) >= TOGETHER else []
+        self.fresh = dict(zip((new[i] for i in short), self.encode_together([as_bytes[i] for i in short]) if short else [], strict=True))
+        rest = sorted((b, w) for b, w in zip(as_bytes, new, strict=True) if w not in self.fresh)
+        self.fresh |= zip((w for _, w in rest), map(packed, self.encode_words(b for b, _ in rest)), strict=True)
+        found = [b"".join(map(memo.__getitem__, ws)) if len(ws) != 1 else memo[ws[0]] for ws in cut]
         self.fresh = {}
         return found
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
-        found = []
-        for text in texts:
-            parts = [text]
-            if self.specials and any(s in text for s in self.special):
-                parts = self.specials.split(text)
-            found.append(b"".join(
-                np.uint32(self.ids_of[p]).tobytes() if p in self.ids_of else b"".join(map(self.word.__getitem__, self.words.findall(p)))
-                for p in parts
-            ))
-        return found
+        parts = [self.specials.split(t) if self.specials and any(s in t for s in self.special) else [t] for t in texts]
+        plain = iter(self._encode([p for ps in parts for p in ps if p not in self.ids_of]))
+        return [b"".join(packed([self.ids_of[p]]) if p in self.ids_of else next(plain) for p in ps) for ps in parts]
 
 
 class Decoder:
@@ -381,8 +504,9 @@ class LibraryEncoder(Encoder):
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Short pieces go to the library as the lines of one text; a line end is a word, and
         so a token, of its own between a piece and a blank."""
-        joined = [p for p in pieces if p and len(p) <= LONGEST_MEMO_WORD and not SPACE_OUTSIDE.search(p)]
-        rest = [p for p in pieces if not p or len(p) > LONGEST_MEMO_WORD or SPACE_OUTSIDE.search(p)]
+        joined, rest = [], []
+        for p in pieces:
+            (joined if 0 < len(p) <= LONGEST_MEMO_WORD and p[0] > " " and p == p.strip() else rest).append(p)
         found = dict(zip(rest, self.encode_whole([" " + p for p in rest]), strict=True))
         (text,) = self.library.encode_batch_fast([" " + "\n ".join(joined)], add_special_tokens=False)
         ids = np.array(text.ids, "<u4")
