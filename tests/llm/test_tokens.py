@@ -194,3 +194,21 @@ def test_a_worker_takes_a_batch_in_slices():
     parts = list(in_slices(batches))
     assert [p.num_rows for p in parts] == [2_500, 2_500, 1_000, 3]
     assert [n for p in parts for n in p.column(0).to_pylist()] == list(range(6_003))
+
+
+def test_a_worker_lets_an_encoder_go():
+    import weakref
+
+    from tidemark.llm.worker import kept
+
+    class Holder:
+        def __init__(self):
+            self.word = bpe.Memo(self.encode)
+
+        def encode(self, word):
+            return word
+
+    held = weakref.ref(kept("held by itself", Holder))
+    assert held() is not None
+    kept("another", dict)
+    assert held() is None

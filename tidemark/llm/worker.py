@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -16,6 +17,7 @@ def kept(key: Any, make: Callable[[], Any]) -> Any:
     that their vocabularies and memos do not add up."""
     if key not in _kept:
         _kept.clear()
+        gc.collect()  # a memo and the encoder whose method it calls hold each other
         _kept[key] = make()
     return _kept[key]
 
