@@ -121,6 +121,58 @@ def test_texts_of_a_group(monkeypatch):
             assert list(encoder.encode_all([])) == []
 
 
+def mixed_pieces():
+    """Letters, digits, marks and apostrophes beside one another, and keys of every length."""
+    rng = random.Random(11)
+    parts = [*"ab1', .&-éßж中²_", "'s", "'ll", "\t", "\x00", "Ünd", "12", "...", "\n", "x" * 15, "y" * 16, "z" * 80, "\u2014"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(3000)] + ["a", "a\x00", "", "a\x00\x00"]
+
+
+def test_a_known_piece_is_not_encoded_again(monkeypatch):
+    for encoder in (bpe.ByteLevelBpe(queries.BYTE_BPE), bpe.LibraryEncoder(queries.BYTE_BPE)):
+        asked, plain = [], encoder.encode_pieces
+        monkeypatch.setattr(encoder, "encode_pieces", lambda ps, asked=asked, plain=plain: asked.extend(ps) or plain(ps))
+        texts = mixed_pieces()
+        for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
+        # a mark behind a word is a piece of its own, so that the word is known without it
+        first = len(asked)
+        assert first == len(set(asked)) and list(encoder.encode_all([" und&&& und, und.", " und"]))
+        assert set(asked[first:]) <= {" und", "&&&", ",", "."}
+        first = len(asked)
+        list(encoder.encode_all([" und. und&&&", ", und"]))
+        assert asked[first:] == []
+
+
+def test_known_pieces_are_forgotten_in_turn(monkeypatch):
+    monkeypatch.setattr(bpe.Encoder, "CHARS_AT_ONCE", 300)
+    for encoder in (bpe.ByteLevelBpe(queries.BYTE_BPE), bpe.LibraryEncoder(queries.BYTE_BPE)):
+        encoder.PIECES, encoder.long.size = 40, 3
+        for text, ids in zip(mixed_pieces(), encoder.encode_all(mixed_pieces()), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
+            assert encoder.known.count <= 40 + 600 and len(encoder.long) <= 3
+
+
+def test_letters_that_are_words_for_the_library():
+    encoder = bpe.LibraryEncoder(queries.BYTE_BPE)
+    texts = [f"a{chr(c)}" for c in range(33, 0x600)] + [f" {chr(c)}b" for c in range(33, 0x600)]
+    for text, ids in zip(texts, encoder.encode_pieces(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
+
+
+def test_what_an_encoder_remembers_is_small():
+    import sys
+
+    encoder = bpe.ByteLevelBpe(queries.BYTE_BPE)
+    texts = [" ".join(f"w{'abcdefghij'[i % 10]}{i}x" for i in range(at, at + 5_000)) for at in range(0, 100_000, 5_000)]
+    assert len(list(encoder.encode_all(texts))) == 20
+    known = encoder.known
+    held = [known.slots, known.low, known.high, known.starts, known.sizes, known.ids]
+    # three pieces of a word; a dict of strings took some 400 bytes for each
+    assert known.count > 100_000 and sum(x.nbytes for x in held) < 150 * known.count
+    assert not isinstance(encoder.automaton.edges, dict) and sys.getsizeof(encoder.automaton.whole) < 1 << 20
+
+
 def test_counts_and_cache(spark, tmp_path):
     cache, library = str(tmp_path / "cache"), Tokenizer.from_file(queries.WORD_BPE)
     expected = sorted((str(i), len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in TEXTS)

@@ -22,6 +22,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from tidemark.llm.worker import in_slices, kept
 
 MEMO_WORDS = 150_000
 LONGEST_MEMO_WORD = 64
+LONGEST_KEY = 15
 TOGETHER = 64  # fewer new words are taken one by one
 PAIR_SLOTS = 1 << 20
 SPREAD = 0x9E3779B97F4A7C1
@@ -54,6 +56,8 @@ def packed(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
+# A piece that is surely one word: its letters are such in every version of Unicode
+ONE_WORD = regex.compile(r" ?(?:[\p{L}&&[\u0000-\u04ff]]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)", regex.V1)
 SPACES_MEET = re.compile(r"\s\s")
 
 
@@ -93,7 +97,8 @@ class SuffixAutomaton:
 
     def __init__(self, words: dict[bytes, int]):
         following: list[dict[int, int]] = [{}]
-        self.link, self.length, self.token = [-1], [0], [-1]
+        self.state: dict[int, int] = {}  # of each word
+        self.link, self.length, self.token = array("i", [-1]), array("i", [0]), array("i", [-1])
 
         def state(length: int, link: int, edges: dict[int, int]) -> int:
             following.append(edges)
@@ -130,15 +135,16 @@ class SuffixAutomaton:
                     self.link[fresh] = target
                 last = fresh
             self.token[last] = number
-        self.edges = {(s << 8) | c: t for s, edges in enumerate(following) for c, t in edges.items()}
-        # (number, length) of the words that are suffixes of a state's string, the longest
-        # first: with the string itself, and without it
-        self.whole: list[tuple] = [()] * len(following)
-        self.proper: list[tuple] = [()] * len(following)
+            self.state[number] = last
+        n = sum(map(len, following))
+        keys = np.fromiter(((s << 8) | c for s, edges in enumerate(following) for c in edges), np.int64, n)
+        self.edges = Table.of(keys, np.fromiter((t for edges in following for t in edges.values()), np.int32, n))
+        # the longest word that is a suffix of a state's string: other than the string itself, and with it
+        self.proper, self.whole = [-1] * len(following), self.token
         for s in sorted(range(1, len(following)), key=self.length.__getitem__):
             self.proper[s] = self.whole[self.link[s]]
-            own = ((self.token[s], self.length[s]),) if self.token[s] >= 0 else ()
-            self.whole[s] = own + self.proper[s]
+            if self.whole[s] < 0:
+                self.whole[s] = self.proper[s]
 
 
 def slots_of(keys: np.ndarray, size: int) -> np.ndarray:
@@ -150,9 +156,17 @@ class Table:
     """A fixed map from keys (0 or above) to numbers (0 or above) that is asked for many keys at once."""
 
     def __init__(self, known: dict[int, int]):
-        self.size = 1 << max(4, (4 * len(known)).bit_length())
+        self._fill(np.fromiter(known.keys(), np.int64, len(known)), np.fromiter(known.values(), np.int32, len(known)))
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> Table:
+        made = cls.__new__(cls)
+        made._fill(keys, values)
+        return made
+
+    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.size = 1 << max(4, (3 * len(keys)).bit_length())
         self.keys, self.values = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int32)
-        keys, values = np.fromiter(known.keys(), np.int64, len(known)), np.fromiter(known.values(), np.int32, len(known))
         slots = slots_of(keys, self.size)
         while len(keys):
             free = self.keys[slots] < 0
@@ -160,6 +174,16 @@ class Table:
             placed = self.keys[slots] == keys
             self.values[slots[placed]] = values[placed]
             keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & (self.size - 1)
+        self.key_at, self.value_at = memoryview(self.keys), memoryview(self.values)
+
+    def one(self, key: int) -> int:
+        """``get`` for a single key."""
+        slot = (key * SPREAD >> 30) & (self.size - 1)
+        while (there := self.key_at[slot]) != key:
+            if there < 0:
+                return -1
+            slot = (slot + 1) & (self.size - 1)
+        return self.value_at[slot]
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """The number of each key, -1 for an unknown one."""
@@ -177,22 +201,120 @@ class Table:
         return found
 
 
+def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` that begin at ``starts``, one behind the other."""
+    ends = np.cumsum(sizes)
+    return ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Known:
+    """The ids of pieces of at most LONGEST_KEY bytes, asked for and added many at once.
+
+    A piece is known by two numbers that hold its bytes and its length, so equal numbers are
+    equal pieces. It takes 50 to 80 bytes, with the ids.
+    """
+
+    def __init__(self):
+        self.count = self.filled = 0
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.low, self.high = np.empty(1 << 10, np.uint64), np.empty(1 << 10, np.uint64)
+        self.starts, self.sizes = np.empty(1 << 10, np.int32), np.empty(1 << 10, np.int32)
+        self.ids = np.empty(1 << 12, "<u4")
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = (low ^ (high * np.uint64(SPREAD))) * np.uint64(SPREAD)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(SPREAD)
+        return (mixed >> np.uint64(64 - (len(self.slots).bit_length() - 1))).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 for an unknown one."""
+        slots = self._slots(low, high)
+        found = self.slots[slots]
+        other = np.flatnonzero((found >= 0) & ((self.low[found] != low) | (self.high[found] != high)))
+        while len(other):
+            slots[other] = (slots[other] + 1) & (len(self.slots) - 1)
+            at = found[other] = self.slots[slots[other]]
+            other = other[(at >= 0) & ((self.low[at] != low[other]) | (self.high[at] != high[other]))]
+        return found
+
+    def room(self, ids: np.ndarray) -> int:
+        """Lays ids behind those in use, where the next ones added go; gives their place."""
+        if self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.filled], np.empty(self.filled + len(ids), "<u4")])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        return self.filled
+
+    def add(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Distinct pieces that are not known yet, their ids one behind the other."""
+        count = self.count + len(low)
+        if count > len(self.low):
+            more = np.empty(count, np.uint64)
+            self.low, self.high = (np.concatenate([x[: self.count], more]) for x in (self.low, self.high))
+            more = np.empty(count, np.int32)
+            self.starts, self.sizes = (np.concatenate([x[: self.count], more]) for x in (self.starts, self.sizes))
+        new = slice(self.count, count)
+        self.low[new], self.high[new], self.sizes[new] = low, high, sizes
+        self.starts[new] = self.room(ids) + np.cumsum(sizes) - sizes
+        self.filled += len(ids)
+        first, self.count = self.count, count
+        if 3 * count > len(self.slots):
+            self.slots, first = np.full(1 << (4 * count).bit_length(), -1, np.int32), 0
+        numbers = np.arange(first, count, dtype=np.int32)
+        slots = self._slots(self.low[first:count], self.high[first:count])
+        while len(numbers):
+            free = self.slots[slots] < 0
+            self.slots[slots[free]] = numbers[free]  # of pieces with one place, one stays
+            waiting = self.slots[slots] != numbers
+            numbers, slots = numbers[waiting], (slots[waiting] + 1) & (len(self.slots) - 1)
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces one behind the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        return gathered(self.ids, self.starts[numbers].astype(np.int64), sizes.astype(np.int64)), sizes
+
+
+OTHER, LETTER, DIGIT, MARK, BLANK, LINE_END = range(6)
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The class of every byte; whether a word ends between bytes of two classes, which are in one
+    number; whether a byte is a space. An apostrophe may begin a word with letters, so it is no MARK."""
+    of = np.full(256, OTHER, np.uint8)
+    for c in map(chr, range(33, 127)):
+        of[ord(c)] = LETTER if c.isalpha() else DIGIT if c.isdigit() else MARK if c != "'" else OTHER
+    of[ord(" ")], of[ord("\n")] = BLANK, LINE_END
+    ends = np.zeros(64, bool)
+    for x in range(6):
+        for y in range(6):
+            ends[x << 3 | y] = y in (BLANK, LINE_END) or x == LINE_END or (x != y and {x, y} <= {LETTER, DIGIT, MARK})
+    return of, ends, np.array([chr(b).isspace() and b < 128 for b in range(256)])
+
+
+CLASS, WORD_ENDS, IS_SPACE = _classes()
+# The first bytes of the characters beyond ASCII that may be spaces
+MAYBE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+SPACE_PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
+KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 class Encoder:
     """Texts to packed ids by way of their words, for the byte-level word pattern.
 
-    Where no two blanks meet, a word begins at every blank and around every line end, so a
-    text is cut there without the pattern. Texts are taken some at a time; each distinct
-    piece of them is looked up or encoded once, and what was found lately is kept. The ids of
-    the texts are then gathered from those of the pieces by array operations.
+    Where no two spaces meet, a word ends before every blank, around every line end, and
+    between a letter, a digit and a mark of ASCII, so a text is cut there without the
+    pattern. Texts are taken some at a time; their pieces are cut and looked up by array
+    operations, each distinct piece that is not known is encoded once, and what was found
+    lately is kept. The ids of the texts are then gathered from those of the pieces.
     """
 
     CHARS_AT_ONCE = 1_000_000
-    PIECES = 400_000
+    PIECES = 1_000_000
+    LONG_PIECES = 50_000
 
     def __init__(self, special: Iterable[str]):
         self.special = list(special)
-        self.lately: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known, self.before = Known(), Known()
+        self.long = Memo(None, self.LONG_PIECES)
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -212,48 +334,100 @@ class Encoder:
         return next(self.encode_all([text]))
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece behind a blank; no piece holds a blank or a line end."""
-        return self.encode_whole([" " + p for p in pieces])
+        """Ids of pieces as they are cut here, each a text of its own."""
+        return self.encode_whole(pieces)
 
     def _group(self, texts: list[str]) -> list[bytes]:
+        chars, offsets = as_array(texts)
         # such a text is one piece
-        whole = [i for i, t in enumerate(texts) if SPACES_MEET.search(t) or any(s in t for s in self.special)]
+        whole = [i for i in may_have_spaces_meet(chars, offsets) if SPACES_MEET.search(texts[i])]
+        whole = sorted({*whole, *(i for i, t in enumerate(texts) if any(s in t for s in self.special))})
         out = dict(zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True))
         rest = [i for i in range(len(texts)) if i not in out]
-        # a piece that begins a line has a line end before it, also the first of a text
-        marked = pa.array(["\n" + texts[i].replace("\n", " \n") for i in rest], pa.large_string())
-        pieces = pc.split_pattern(marked, " ")
-        coded = pieces.flatten().dictionary_encode()
-        end = self.encode_whole(["\n"])[0]
-        found = self._learn(coded.dictionary.to_pylist(), end)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids, starts, which = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
-        sizes = sizes[which]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        gathered = ids[np.repeat(starts[which] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
-        cuts = (4 * ends[pieces.offsets.to_numpy()]).tolist()
+        if whole:
+            chars, offsets = as_array([texts[i] for i in rest])
+        if len(chars):
+            kinds = CLASS[chars]
+            cut = np.ones(len(chars), bool)
+            cut[1:] = WORD_ENDS[kinds[:-1] << 3 | kinds[1:]]
+            cut[offsets[:-1][offsets[:-1] < len(chars)]] = True
+            begins = np.flatnonzero(cut)
+            ids, sizes = self._ids(chars, begins, np.diff(begins, append=len(chars)))
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            packed, cuts = ids.tobytes(), (4 * ends[np.searchsorted(begins, offsets)]).tolist()
+        else:
+            packed, cuts = b"", [0] * len(offsets)
         for k, i in enumerate(rest):
-            out[i] = gathered[cuts[k] + len(end) : cuts[k + 1]]
+            out[i] = packed[cuts[k] : cuts[k + 1]]
         return [out[i] for i in range(len(texts))]
 
-    def _learn(self, pieces: list[str], end: bytes) -> list[bytes]:
-        """Ids of each of the distinct pieces: behind a blank, or from the line end on that it begins with."""
-        if len(self.lately) > self.PIECES:
-            self.before, self.lately = self.lately, {}
-        lately, before = self.lately, self.before
-        found = list(map(lately.get, pieces))
-        lacking = [i for i, ids in enumerate(found) if ids is None]
-        for i in lacking:
-            found[i] = before.get(pieces[i])
-        new = [i for i in lacking if found[i] is None]
-        firsts = [i for i in new if pieces[i][:1] == "\n"]
-        for i, ids in zip(firsts, self.encode_whole([pieces[i][1:] for i in firsts]), strict=True):
-            found[i] = end + ids
-        inner = [i for i in new if pieces[i][:1] != "\n"]
-        for i, ids in zip(inner, self.encode_pieces([pieces[i] for i in inner]), strict=True):
-            found[i] = ids
-        lately.update((pieces[i], found[i]) for i in lacking if len(pieces[i]) <= LONGEST_MEMO_WORD)
-        return found
+    def _ids(self, chars: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one behind the other, and how many each has."""
+        if self.known.count > self.PIECES:
+            self.before, self.known = self.known, Known()
+        known, raw = self.known, chars.tobytes()
+        padded = np.concatenate([chars, np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(chars) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        short = np.flatnonzero(lengths <= LONGEST_KEY)
+        at, size = begins[short], lengths[short]
+        low = eight[at] & KEEP[np.minimum(size, 8)]
+        high = eight[at + 8] & KEEP[np.maximum(size - 8, 0)] | size.astype(np.uint64) << np.uint64(56)
+        found = known.find(low, high)
+        lacking = np.flatnonzero(found < 0)
+        if len(lacking):
+            order = lacking[np.lexsort((low[lacking], high[lacking]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]])
+            new = order[first]
+            numbers = self.before.find(low[new], high[new])
+            again = numbers >= 0
+            known.add(low[new[again]], high[new[again]], *self.before.ids_of(numbers[again]))
+            new = new[~again]
+            pieces = [raw[a:b].decode() for a, b in zip(at[new].tolist(), (at[new] + size[new]).tolist(), strict=True)]
+            known.add(low[new], high[new], *joined_ids(self.encode_pieces(pieces)))
+            found[lacking] = known.find(low[lacking], high[lacking])
+        starts, sizes = np.empty(len(begins), np.int64), np.empty(len(begins), np.int64)
+        starts[short], sizes[short] = known.starts[found], known.sizes[found]
+        if len(short) < len(begins):
+            long = np.flatnonzero(lengths > LONGEST_KEY)
+            ids, sizes[long] = joined_ids(self._long([raw[a : a + n] for a, n in zip(begins[long].tolist(), lengths[long].tolist(), strict=True)]))
+            starts[long] = known.room(ids) + np.cumsum(sizes[long]) - sizes[long]
+        return gathered(known.ids, starts, sizes), sizes
+
+    def _long(self, pieces: list[bytes]) -> list[bytes]:
+        memo, older = self.long, self.long.older
+        found = {p: memo[p] if p in memo else older.get(p) for p in dict.fromkeys(pieces)}
+        new = [p for p, ids in found.items() if ids is None]
+        found |= zip(new, self.encode_pieces([p.decode() for p in new]), strict=True)
+        memo.compute = found.__getitem__
+        for p in found:
+            if len(p) <= LONGEST_MEMO_WORD:
+                memo[p]
+        memo.compute = None
+        return [found[p] for p in pieces]
+
+
+def as_array(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, and where each begins; the end comes last."""
+    made = pa.array(texts, pa.large_string())
+    _, offsets, chars = made.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(texts) + 1) if texts else np.zeros(1, np.int64)
+    return np.frombuffer(chars, np.uint8, offsets[-1]) if offsets[-1] else np.zeros(0, np.uint8), offsets
+
+
+def may_have_spaces_meet(chars: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """The texts in which two spaces of ASCII meet, or that may hold other spaces."""
+    if len(chars) < 2:
+        return []
+    space = IS_SPACE[chars]
+    at = np.flatnonzero(space[:-1] & space[1:])
+    lead = np.flatnonzero(MAYBE_SPACE[chars[:-1]])
+    lead = lead[np.isin(chars[lead].astype(np.int64) << 8 | chars[lead + 1], SPACE_PAIRS)]
+    return np.unique(np.searchsorted(offsets, np.concatenate([at, lead]), side="right") - 1).tolist()
+
+
+def joined_ids(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
 class ByteLevelBpe(Encoder):
@@ -289,20 +463,20 @@ class ByteLevelBpe(Encoder):
         self.matches: dict[int, bool] = {}
         self._tables()
         self.fresh: dict[str, bytes] = {}
-        self.word = Memo(self._word, self.PIECES // 3)
+        self.word = Memo(self._word, self.PIECES // 10)
 
     def _tables(self) -> None:
         """The automaton as arrays: edges, the longest token that ends in a state, with its whole
         string and without it, and of each token the longest other token that it ends with."""
         a = self.automaton
-        self.edge_table = Table(a.edges)
+        self.edge_table = a.edges
         self.links, self.lengths = np.array(a.link, np.int32), np.array(a.length, np.int32)
-        self.longest = np.array([[x[0][0] if x else -1 for x in side] for side in (a.proper, a.whole)], np.int32)
+        self.longest = np.array([a.proper, a.whole], np.int32)
         self.sizes, self.shorter = np.zeros(1 << 20, np.uint8), np.full(1 << 20, -1, np.int32)
-        for token, proper in zip(a.token, a.proper):
-            if token >= 0:
-                self.sizes[token] = min(len(self.bytes[token]), 255)
-                self.shorter[token] = proper[0][0] if proper else -1
+        for token, state in a.state.items():
+            self.sizes[token] = min(len(self.bytes[token]), 255)
+            self.shorter[token] = a.proper[state]
+        self.shorter_than = memoryview(self.shorter)
         self.pairs = np.full(PAIR_SLOTS, -1, np.int64)  # pair and whether it fits, the latest of each place
 
     def _fit(self, pairs: np.ndarray) -> np.ndarray:
@@ -399,8 +573,8 @@ class ByteLevelBpe(Encoder):
     def encode_words(self, words: Iterable[bytes]) -> Iterator[list[int]]:
         """The ids of each word. What is known of a prefix depends on it alone, so a word begins
         where it parts from the one before; sorted words share most of their bytes."""
-        a, edges, matches = self.automaton, self.automaton.edges, self.matches
-        link, length, whole, proper = a.link, a.length, a.whole, a.proper
+        a, edge, matches = self.automaton, self.edge_table.one, self.matches
+        link, length, whole, proper, shorter = a.link, a.length, a.whole, a.proper, self.shorter_than
         if len(matches) > self.PIECES:
             matches.clear()
         # of each prefix: the automaton's state, the length matched there, and the last token
@@ -417,14 +591,18 @@ class ByteLevelBpe(Encoder):
             state, matched = states[end], lengths[end]
             for char in word[end:] if end else word:
                 end += 1
-                step = edges.get((state << 8) | char)
-                while step is None:
+                step = edge((state << 8) | char)
+                while step < 0:
                     state = link[state]
+                    if state < 0:
+                        raise ValueError("no token ends here: the vocabulary lacks a byte")
                     matched = length[state]
-                    step = edges.get((state << 8) | char)
+                    step = edge((state << 8) | char)
                 state = step
                 matched += 1
-                for token, size in whole[state] if length[state] == matched else proper[state]:
+                token = whole[state] if length[state] == matched else proper[state]
+                while token >= 0:
+                    size = len(self.bytes[token])
                     if size == end:
                         break
                     pair = (last[end - size] << 20) | token
@@ -433,6 +611,7 @@ class ByteLevelBpe(Encoder):
                         fits = matches[pair] = self.compatible(pair >> 20, token)
                     if fits:
                         break
+                    token = shorter[token]
                 else:
                     raise ValueError("no token ends here: the vocabulary lacks a byte")
                 states.append(state)
@@ -445,7 +624,7 @@ class ByteLevelBpe(Encoder):
             yield ids[::-1]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return self._encode([" " + p for p in pieces])
+        return self._encode(pieces)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         """Words that are new here are encoded together."""
@@ -494,27 +673,27 @@ class LibraryEncoder(Encoder):
         self.library.no_truncation()
         self.library.no_padding()
         super().__init__(t.content for t in self.library.get_added_tokens_decoder().values())
-
-        (self.line_end,) = self.library.encode("\n", add_special_tokens=False).ids
+        self.letters = dict(enumerate(byte_characters()))
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Short pieces go to the library as the lines of one text; a line end is a word, and
-        so a token, of its own between a piece and a blank."""
-        joined, rest = [], []
+        """A piece that is one word of the pattern goes to the library's model as it is, others to
+        the whole library."""
+        words, rest = [], []
         for p in pieces:
-            (joined if 0 < len(p) <= LONGEST_MEMO_WORD and p[0] > " " and p == p.strip() else rest).append(p)
-        found = dict(zip(rest, self.encode_whole([" " + p for p in rest]), strict=True))
-        (text,) = self.library.encode_batch_fast([" " + "\n ".join(joined)], add_special_tokens=False)
-        ids = np.array(text.ids, "<u4")
-        ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
-        packed, begin = ids.tobytes(), 0
-        for piece, end in zip(joined, ends, strict=bool(joined)):
-            found[piece] = packed[4 * begin : 4 * end]
-            begin = end + 1
+            (words if ONE_WORD.fullmatch(p) else rest).append(p)
+        found = dict(zip(rest, self.encode_whole(rest), strict=True))
+        model, end = self.library.model.tokenize, self.letters[10]
+        mapped = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(end) if words else []
+        ids = [[t.id for t in model(w)] for w in mapped]
+        sizes = list(map(len, ids))
+        packed, begin = np.fromiter(chain.from_iterable(ids), "<u4", sum(sizes)).tobytes(), 0
+        for word, size in zip(words, sizes, strict=True):
+            found[word] = packed[begin : begin + 4 * size]
+            begin += 4 * size
         return [found[p] for p in pieces]
 
 
@@ -528,21 +707,21 @@ def tokenizer(path: str) -> ByteLevelBpe:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", pieces: int = 300_000
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", pieces: int = 600_000
 ) -> DataFrame:
     """Token ids of every text: (id_col, ids), ids being packed little-endian 32-bit integers.
 
     The ids are those of the vocabulary's own library without added special tokens; a
     special string inside a text becomes its special id. A null text counts as empty and
     has no ids, repeated rows are encoded one by one, a null id stays null, and an empty
-    table gives an empty result. ``pieces`` bounds what a worker remembers (about 0.4 kB
-    each); with fewer it takes longer and gives the same ids.
+    table gives an empty result. ``pieces`` bounds what a worker remembers (about 0.1 kB
+    each, twice as many at most); with fewer it takes longer and gives the same ids.
     """
     src = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
-        bpe.PIECES, bpe.word.size = pieces, pieces // 3
+        bpe.PIECES, bpe.word.size, bpe.long.size = pieces, pieces // 10, pieces // 20
         for batch in in_slices(batches):
             ids = pa.array(list(bpe.encode_all(batch.column(1).to_pylist())), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import library_encoder
+from tidemark.llm.bpe import gathered, library_encoder
 
 FIRST = 1 << 17  # nonterminals begin here; ids are below
 BLOCK_IDS = 1 << 20
@@ -136,18 +136,14 @@ class Block:
         made: list[list[int]] = []
         for x, y in zip(self.left.tolist(), self.right.tolist(), strict=True):
             made.append((made[x - FIRST] if x >= FIRST else [x]) + (made[y - FIRST] if y >= FIRST else [y]))
+        # behind the ids of the rules, those that stand for themselves
         laid = np.array([i for ids in made for i in ids], "<u4")
-        starts = np.cumsum(self.size, dtype=np.int64) - self.size
-        rule = self.symbols >= FIRST
-        number = np.where(rule, self.symbols - FIRST, 0)
-        sizes = np.where(rule, self.size[number] if len(self.size) else 0, 1).astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), "<u4")
-        out[begin[~rule]] = self.symbols[~rule]
-        number, sizes, begin = number[rule], sizes[rule], begin[rule]
-        step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        out[np.repeat(begin, sizes) + step] = laid[np.repeat(starts[number], sizes) + step]
-        return out
+        itself = self.symbols < FIRST
+        number = np.where(itself, 0, self.symbols - FIRST).astype(np.int64)
+        sizes, begins = np.append(self.size, 1).astype(np.int64), np.append(np.cumsum(self.size, dtype=np.int64) - self.size, 0)
+        sizes, begins = np.where(itself, 1, sizes[number]), begins[number]
+        begins[itself] = len(laid) + np.arange(np.count_nonzero(itself))
+        return gathered(np.concatenate([laid, self.symbols[itself]]), begins, sizes)
 
     def id_at(self, doc: int, place: int) -> int:
         """The id at ``place`` of the block's ``doc``-th document, found by the symbols' lengths."""
