@@ -138,7 +138,7 @@ class SuffixAutomaton:
             self.state[number] = last
         n = sum(map(len, following))
         keys = np.fromiter(((s << 8) | c for s, edges in enumerate(following) for c in edges), np.int64, n)
-        self.edges = Table.of(keys, np.fromiter((t for edges in following for t in edges.values()), np.int32, n))
+        self.table = Table.of(keys, np.fromiter((t for edges in following for t in edges.values()), np.int32, n))
         # the longest word that is a suffix of a state's string: other than the string itself, and with it
         self.proper, self.whole = [-1] * len(following), self.token
         for s in sorted(range(1, len(following)), key=self.length.__getitem__):
@@ -146,6 +146,12 @@ class SuffixAutomaton:
             if self.whole[s] < 0:
                 self.whole[s] = self.proper[s]
 
+    @property
+    def edges(self) -> dict[int, int]:
+        """From a state and a byte, in one number, to the next state; a copy of the table."""
+        there = self.table.keys >= 0
+        return dict(zip(self.table.keys[there].tolist(), self.table.values[there].tolist(), strict=True))
+
 
 def slots_of(keys: np.ndarray, size: int) -> np.ndarray:
     """A place for each key in a table whose size is a power of 2."""
@@ -469,7 +475,7 @@ class ByteLevelBpe(Encoder):
         """The automaton as arrays: edges, the longest token that ends in a state, with its whole
         string and without it, and of each token the longest other token that it ends with."""
         a = self.automaton
-        self.edge_table = a.edges
+        self.edge_table = a.table
         self.links, self.lengths = np.array(a.link, np.int32), np.array(a.length, np.int32)
         self.longest = np.array([a.proper, a.whole], np.int32)
         self.sizes, self.shorter = np.zeros(1 << 20, np.uint8), np.full(1 << 20, -1, np.int32)

@@ -158,12 +158,12 @@ def _cost(model: Model, phrases: np.ndarray, foreign: np.ndarray) -> np.ndarray:
 
 def _table(automaton: SuffixAutomaton, width: int) -> np.ndarray:
     """Where a state has no step for a char, the phrase ends and the char starts the next."""
-    states = len(automaton.link)
+    states, edges = len(automaton.link), automaton.edges
     root = np.full(width, PHRASE, np.int32)
     for c in range(width):
-        root[c] = PHRASE | automaton.edges.get(c, 0)
+        root[c] = PHRASE | edges.get(c, 0)
     table = np.tile(root, (states, 1))
-    for key, target in automaton.edges.items():
+    for key, target in edges.items():
         table[key >> 8, key & 255] = target
     table[0] = root & ~PHRASE  # the start of a text ends no phrase
     table[0][(root & ~PHRASE) == 0] = PHRASE  # a char that the language lacks is a phrase
