@@ -18,7 +18,6 @@ def kept(key: Any, make: Callable[[], Any]) -> Any:
     if key not in _kept:
         _kept.clear()
         gc.collect()  # a memo and the encoder whose method it calls hold each other
-        pa.default_memory_pool().release_unused()
         _kept[key] = make()
     return _kept[key]
 
