@@ -1,12 +1,14 @@
 """Encoding, decoding, counting and id files against the tokenizers library."""
 
 import hashlib
+import json
 import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from edges import LONG, TEXTS, documents, table
 from tokenizers import Tokenizer
 
@@ -160,6 +162,58 @@ def test_letters_that_are_words_for_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
 
 
+class Counted:
+    """A tokenizer, or a part of one, that notes the calls of its methods."""
+
+    def __init__(self, inner, calls):
+        self._inner, self._calls = inner, calls
+
+    def __getattr__(self, name):
+        found = getattr(self._inner, name)
+        if not callable(found):
+            return Counted(found, self._calls) if name == "model" else found
+        return lambda *args, **more: self._calls.append(name) or found(*args, **more)
+
+
+def test_new_words_go_to_the_library_together():
+    encoder, calls = bpe.LibraryEncoder(queries.BYTE_BPE), []
+    for name, thing in list(vars(encoder).items()):
+        if isinstance(thing, Tokenizer):
+            setattr(encoder, name, Counted(thing, calls))
+    rng = random.Random(17)
+    texts = [" ".join("".join(rng.choice("aetnhséж") for _ in range(rng.randint(1, 30))) for _ in range(100)) for _ in range(50)]
+    texts += ["\xff \xffÿ a\xff", "Ã¿ Ä", "ÿ"]  # what the byte 255 is written as, in texts
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library_ids(text), text
+    assert 0 < len(calls) < 300  # a call was made for each of some 5,000 words
+
+
+def test_words_that_are_surely_one():
+    plain = regex.compile(r" ?(?:[\p{L}&&[\u0000-\u04ff]]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)", regex.V1)
+    pieces = ["", " ", "  ", " a", "a ", "a a", "aé", "éa", " é", "é1", "1 ", " 12", "'", "a'", "''", "\n", "...", ". ", "a\x00", "ԁ", "中"]
+    pieces += [x for c in range(0x20, 0x600) for x in (chr(c), f" {chr(c)}a", f"1{chr(c)}")] + mixed_pieces()
+    found = bpe.one_words(*bpe.as_array(pieces)).tolist()
+    assert found == [i for i, p in enumerate(pieces) if plain.fullmatch(p)]
+    assert bpe.one_words(*bpe.as_array([])).tolist() == bpe.one_words(*bpe.as_array([""])).tolist() == []
+
+
+@pytest.mark.parametrize("change", ["merge", "ignore_merges"])
+def test_a_vocabulary_that_words_cannot_share_a_call_of(change, tmp_path):
+    with open(queries.BYTE_BPE, encoding="utf-8") as file:
+        spec = json.load(file)
+    if change == "merge":
+        spec["model"]["merges"].insert(0, ["a", "\xff"])
+        spec["model"]["vocab"]["a\xff"] = 60_000
+    else:
+        spec["model"]["ignore_merges"] = True
+    path = tmp_path / "changed.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    encoder, library = bpe.LibraryEncoder(str(path)), Tokenizer.from_file(str(path))
+    assert encoder.end is None
+    for text, ids in zip(mixed_pieces(), encoder.encode_all(mixed_pieces()), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_what_an_encoder_remembers_is_small():
     encoder = bpe.ByteLevelBpe(queries.BYTE_BPE)
     texts = [" ".join(f"w{'abcdefghij'[i % 10]}{i}x" for i in range(at, at + 5_000)) for at in range(0, 100_000, 5_000)]

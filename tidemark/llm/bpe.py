@@ -22,7 +22,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +56,8 @@ def packed(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
-# A piece that is surely one word: its letters are such in every version of Unicode
-ONE_WORD = regex.compile(r" ?(?:[\p{L}&&[\u0000-\u04ff]]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)", regex.V1)
+# The characters of two bytes that are letters in every version of Unicode
+SHORT_LETTERS = np.array([regex.match(r"\p{L}", chr(c)) is not None for c in range(0x500)])
 SPACES_MEET = re.compile(r"\s\s")
 
 
@@ -183,8 +183,9 @@ class Table:
 
 def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``ids`` that begin at ``starts``, one behind the other."""
-    ends = np.cumsum(sizes)
-    return ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(len(at))
+    return ids.take(at)
 
 
 class Known:
@@ -256,23 +257,29 @@ class Known:
 OTHER, LETTER, DIGIT, MARK, BLANK, LINE_END = range(6)
 
 
-def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def looked_up(table: bytes, chars: np.ndarray) -> np.ndarray:
+    """What ``table`` has for each byte."""
+    return np.frombuffer(chars.tobytes().translate(table), np.uint8)
+
+
+def _classes() -> tuple[bytes, bytes, bytes]:
     """The class of every byte; whether a word ends between bytes of two classes, which are in one
-    number; whether a byte is a space. An apostrophe may begin a word with letters, so it is no MARK."""
+    number; whether a byte is a space (1) or the first of a character beyond ASCII that may be one (2).
+    An apostrophe may begin a word with letters, so it is no MARK."""
     of = np.full(256, OTHER, np.uint8)
     for c in map(chr, range(33, 127)):
         of[ord(c)] = LETTER if c.isalpha() else DIGIT if c.isdigit() else MARK if c != "'" else OTHER
     of[ord(" ")], of[ord("\n")] = BLANK, LINE_END
-    ends = np.zeros(64, bool)
+    ends = np.zeros(256, bool)
     for x in range(6):
         for y in range(6):
             ends[x << 3 | y] = y in (BLANK, LINE_END) or x == LINE_END or (x != y and {x, y} <= {LETTER, DIGIT, MARK})
-    return of, ends, np.array([chr(b).isspace() and b < 128 for b in range(256)])
+    spaces = np.array([chr(b).isspace() and b < 128 for b in range(256)], np.uint8)
+    spaces[[0xC2, 0xE1, 0xE2, 0xE3]] = 2
+    return of.tobytes(), ends.tobytes(), spaces.tobytes()
 
 
-CLASS, WORD_ENDS, IS_SPACE = _classes()
-# The first bytes of the characters beyond ASCII that may be spaces
-MAYBE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+CLASS, WORD_ENDS, SPACES = _classes()
 SPACE_PAIRS = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])
 KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
@@ -327,9 +334,9 @@ class Encoder:
         if whole:
             chars, offsets = as_array([texts[i] for i in rest])
         if len(chars):
-            kinds = CLASS[chars]
+            kinds = looked_up(CLASS, chars)
             cut = np.ones(len(chars), bool)
-            cut[1:] = WORD_ENDS[kinds[:-1] << 3 | kinds[1:]]
+            cut[1:] = looked_up(WORD_ENDS, kinds[:-1] << 3 | kinds[1:]).view(bool)
             cut[offsets[:-1][offsets[:-1] < len(chars)]] = True
             begins = np.flatnonzero(cut)
             ids, sizes = self._ids(chars, begins, np.diff(begins, append=len(chars)))
@@ -399,13 +406,30 @@ def may_have_spaces_meet(chars: np.ndarray, offsets: np.ndarray) -> list[int]:
     """The texts in which two spaces of ASCII meet, or that may hold other spaces."""
     if len(chars) < 2:
         return []
-    space = IS_SPACE[chars]
-    at = np.flatnonzero(space[:-1] & space[1:])
-    lead = np.flatnonzero(MAYBE_SPACE[chars[:-1]])
+    kinds = looked_up(SPACES, chars)
+    at = np.flatnonzero((kinds[:-1] & kinds[1:] & 1).view(bool))
+    lead = np.flatnonzero(kinds[:-1] == 2)
     lead = lead[np.isin(chars[lead].astype(np.int64) << 8 | chars[lead + 1], SPACE_PAIRS)]
     return np.unique(np.searchsorted(offsets, np.concatenate([at, lead]), side="right") - 1).tolist()
 
 
+def one_words(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The numbers of the texts that are surely one word of the pattern: letters, digits of ASCII or marks
+    of ASCII, a blank before them or not."""
+    texts = np.flatnonzero(np.diff(offsets))
+    if not len(texts):
+        return texts
+    begins, lasts = offsets[texts], offsets[texts + 1] - 1
+    kinds = looked_up(CLASS, chars).copy()
+    lead = np.flatnonzero((chars >= 0xC2) & (chars < 0xD4))
+    lead = lead[SHORT_LETTERS[(chars[lead] & np.int64(31)) << 6 | chars[lead + 1] & 63]]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    blank = begins[(kinds[begins] == BLANK) & (begins < lasts)]
+    kinds[blank] = kinds[blank + 1]
+    changes = np.concatenate(([0], np.cumsum(kinds[1:] != kinds[:-1])))
+    return texts[(changes[begins] == changes[lasts]) & np.isin(kinds[begins], (LETTER, DIGIT, MARK))]
+
+
 def joined_ids(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
@@ -639,37 +663,59 @@ class Decoder:
 class LibraryEncoder(Encoder):
     """The tokenizers library, asked once for each distinct piece."""
 
+    WORDS_AT_ONCE = 64
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        ByteLevelBpe.check(path)
+        spec = ByteLevelBpe.check(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         super().__init__(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.letters = dict(enumerate(byte_characters()))
+        self.letters = np.array(list(map(ord, byte_characters())), "<u2")
+        self.model, self.end = Tokenizer(self.library.model), self._end(spec["model"])
+
+    def _end(self, model: dict) -> int | None:
+        """The id of the byte 255, which no text holds, if no merge takes it: words that it stands between are
+        encoded as if each were alone."""
+        letter = chr(self.letters[255])
+        changed = any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        return None if changed or any(letter in x for m in model["merges"] for x in m) else model["vocab"].get(letter)
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """A piece that is one word of the pattern goes to the library's model as it is, others to
-        the whole library."""
-        words, rest = [], []
-        for p in pieces:
-            (words if ONE_WORD.fullmatch(p) else rest).append(p)
-        found = dict(zip(rest, self.encode_whole(rest), strict=True))
-        model, end = self.library.model.tokenize, self.letters[10]
-        mapped = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(end) if words else []
-        ids = [[t.id for t in model(w)] for w in mapped]
-        sizes = list(map(len, ids))
-        packed, begin = np.fromiter(chain.from_iterable(ids), "<u4", sum(sizes)).tobytes(), 0
-        for word, size in zip(words, sizes, strict=True):
-            found[word] = packed[begin : begin + 4 * size]
-            begin += 4 * size
-        return [found[p] for p in pieces]
+        """Pieces that are one word of the pattern go to the library's model, WORDS_AT_ONCE together with
+        the byte 255 behind each; others go to the whole library."""
+        chars, offsets = as_array(pieces)
+        words = one_words(chars, offsets) if self.end is not None else np.zeros(0, np.int64)
+        rest = np.ones(len(pieces), bool)
+        rest[words] = False
+        rest = np.flatnonzero(rest).tolist()
+        found = [b""] * len(pieces)
+        for i, ids in zip(rest, self.encode_whole([pieces[i] for i in rest]), strict=True):
+            found[i] = ids
+        sizes = np.diff(offsets)[words]
+        ends = np.cumsum(sizes + 1)
+        laid = np.full(ends[-1] if len(words) else 0, 255, np.uint8)
+        inner = np.ones(len(laid), bool)
+        inner[ends - 1] = False
+        laid[inner] = gathered(chars, offsets[words], sizes)
+        mapped = self.letters[laid].tobytes().decode("utf-16-le")
+        cuts = [0, *ends[self.WORDS_AT_ONCE - 1 : -1 : self.WORDS_AT_ONCE].tolist(), len(laid)]
+        encode = self.model.encode_batch_fast
+        asked = (encode([mapped[a:b]], add_special_tokens=False)[0].ids for a, b in pairwise(cuts))
+        ids = np.fromiter(chain.from_iterable(asked), "<u4")
+        stops = (4 * np.flatnonzero(ids == self.end)).tolist() if len(words) else []
+        packed, begin = ids.tobytes(), 0
+        for i, stop in zip(words.tolist(), stops, strict=True):
+            found[i] = packed[begin:stop]
+            begin = stop + 4
+        return found
 
 
 def library_encoder(path: str) -> LibraryEncoder:

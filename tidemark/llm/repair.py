@@ -65,7 +65,8 @@ def compress(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for _ in range(ROUNDS):
         pairs = (symbols[:-1] << 32) | symbols[1:]
         inner = ~last[:-1]
-        ordered = np.sort(pairs[inner])
+        ordered = pairs.compress(inner)
+        ordered.sort()
         if not len(ordered):
             break
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -84,7 +85,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
         last[at] = last[at + 1]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
-        symbols, last = symbols[stay], last[stay]
+        symbols, last = symbols.compress(stay), last.compress(stay)
         left.append(chosen >> 32)
         right.append(chosen & 0xFFFFFFFF)
         made += len(chosen)
@@ -95,7 +96,10 @@ def compress(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _slots(pairs: np.ndarray) -> np.ndarray:
-    return (pairs * 0x9E3779B97F4A7C1 >> 40) & (SLOTS - 1)
+    slots = pairs * 0x9E3779B97F4A7C1
+    slots >>= 40
+    slots &= SLOTS - 1
+    return slots
 
 
 def _occurrences(pairs: np.ndarray, inner: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,15 +107,16 @@ def _occurrences(pairs: np.ndarray, inner: np.ndarray, chosen: np.ndarray) -> tu
     ones, every second."""
     table = np.full(SLOTS, -1, np.int16)
     table[_slots(chosen)] = np.arange(len(chosen))
-    which = table[_slots(pairs)]
+    which = table.take(_slots(pairs))
     at = np.flatnonzero((which >= 0) & inner)
-    which = which[at]
-    hit = chosen[which] == pairs[at]
-    at, which = at[hit], which[hit]
+    which = which.take(at)
+    hit = chosen.take(which) == pairs.take(at)
+    at, which = at.compress(hit), which.compress(hit)
     begins = np.concatenate(([True], at[1:] != at[:-1] + 1))[: len(at)]
-    run = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
-    apart = (np.arange(len(at)) - run) % 2 == 0
-    return at[apart], which[apart]
+    place = np.arange(len(at))
+    run = np.maximum.accumulate(place * begins)
+    apart = (place - run) & 1 == 0
+    return at.compress(apart), which.compress(apart)
 
 
 def rule_sizes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -141,9 +146,9 @@ class Block:
         itself = self.symbols < FIRST
         number = np.where(itself, 0, self.symbols - FIRST).astype(np.int64)
         sizes, begins = np.append(self.size, 1).astype(np.int64), np.append(np.cumsum(self.size, dtype=np.int64) - self.size, 0)
-        sizes, begins = np.where(itself, 1, sizes[number]), begins[number]
-        begins[itself] = len(laid) + np.arange(np.count_nonzero(itself))
-        return gathered(np.concatenate([laid, self.symbols[itself]]), begins, sizes)
+        sizes = np.where(itself, 1, sizes.take(number))
+        begins = np.where(itself, len(laid) - 1 + np.cumsum(itself), begins.take(number))
+        return gathered(np.concatenate([laid, self.symbols.compress(itself)]), begins, sizes)
 
     def id_at(self, doc: int, place: int) -> int:
         """The id at ``place`` of the block's ``doc``-th document, found by the symbols' lengths."""
