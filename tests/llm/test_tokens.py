@@ -2,7 +2,9 @@
 
 import hashlib
 import json
+import os
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -12,7 +14,7 @@ import regex
 from edges import LONG, TEXTS, documents, table
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, counts, queries, repair
+from tidemark.llm import bpe, counts, queries, repair, worker
 
 LIBRARY = Tokenizer.from_file(queries.BYTE_BPE)
 
@@ -188,6 +190,26 @@ def test_new_words_go_to_the_library_together():
     assert 0 < len(calls) < 300  # a call was made for each of some 5,000 words
 
 
+def test_a_worker_keeps_the_library_between_tasks(spark):
+    library, path = bpe.library_encoder, queries.BYTE_BPE
+
+    def run(batches):
+        marks = vars(library(path)).setdefault("marks", [uuid.uuid4().hex])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x] * batch.num_rows) for x in (os.getpid(), marks[0])], names=["worker", "mark"])
+
+    found = spark.range(0, 40, 1, 40).mapInArrow(run, "worker long, mark string").distinct().collect()
+    assert len(found) == len({r.worker for r in found})  # each of the 40 tasks loaded it
+
+
+def test_another_thing_drops_what_lasts():
+    made = []
+    ask = lambda key, **more: worker.kept(key, lambda: made.append(key) or len(made), **more)
+    assert [ask("a", lasting=True), ask("a", lasting=True), ask("b"), ask("b"), ask("a", lasting=True), ask("b")] == [1, 1, 2, 2, 3, 4]
+    worker.lasting_things().clear()
+    worker._kept.clear()
+
+
 def test_words_that_are_surely_one():
     plain = regex.compile(r" ?(?:[\p{L}&&[\u0000-\u04ff]]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)", regex.V1)
     pieces = ["", " ", "  ", " a", "a ", "a a", "aé", "éa", " é", "é1", "1 ", " 12", "'", "a'", "''", "\n", "...", ". ", "a\x00", "ԁ", "中"]

@@ -719,7 +719,8 @@ class LibraryEncoder(Encoder):
 
 
 def library_encoder(path: str) -> LibraryEncoder:
-    return kept(("library", path), lambda: LibraryEncoder(path))
+    """Loaded once in every Python worker, which remembers pieces from one task to the next."""
+    return kept(("library", path), lambda: LibraryEncoder(path), lasting=True)
 
 
 def tokenizer(path: str) -> ByteLevelBpe:
