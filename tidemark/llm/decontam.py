@@ -38,11 +38,12 @@ PASSAGE_WORDS = 40
 # Items are taken in blocks of so many characters; a block is all that is sent to the tasks.
 BLOCK_CHARS = 4_000_000
 MARGIN = 16
+MARKS = b".,;:!?\"'()[]*#$%&"
 
 
 def bare(word: bytes) -> bytes:
     """A word without punctuation at its ends."""
-    return word.strip(b".,;:!?\"'()[]*#$%&") or word
+    return word.strip(MARKS) or word
 
 
 class Numbering:
