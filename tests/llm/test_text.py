@@ -322,6 +322,28 @@ def test_search_over_a_hundred_shards_with_copies(spark, monkeypatch, tasks):
         assert all(abs(m[2] + b[0]) < 1e-5 for m, b in zip(mine, best, strict=True))
 
 
+def test_search_takes_several_shards_in_a_task(spark, monkeypatch):
+    """Two languages, groups, dense terms and postings, several parts; queries are not dealt to every shard."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(w)}" for w in rng.zipf(1.3, rng.integers(5, 60)) % 200) for i in range(800)]
+    texts += [texts[0]] * 30
+    rows = [(i if i != 7 else None, t) for i, t in enumerate(texts)] + [(9001, None), (9002, "")]
+    small = {"DOCS_PER_SHARD": 20, "FIRST_SHARDS": 4, "SHARDS_PER_TASK": 8, "TASKS_PER_CORE": 1, "QUERIES_AT_ONCE": 3, "HELD_QUERIES": 40}
+    for name, value in (small | {"EXPANDED_AT_ONCE": 2, "RESCORED_AT_ONCE": 4, "BLOCK": 2, "BLOCKS_AT_ONCE": 2, "GROUPS": 3}).items():
+        monkeypatch.setattr(search, name, value, raising=False)
+    docs, dealt = documents(spark, rows), []
+    repartition = type(docs).repartitionById
+    monkeypatch.setattr(type(docs), "repartitionById", lambda df, *by: dealt.append(df.where("text is null").count()) or repartition(df, *by))
+    got = search.search(docs, docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id"), k=5).collect()
+    asked = [i for i, (d, _) in enumerate(rows) if d is not None and d % 20 == 0]
+    assert sum(dealt) < 0.8 * len(asked) * len(rows) / 20
+    for q, scores in bm25([t or "" for _, t in rows], asked, 5).items():
+        mine = sorted((r.rank, r.score, r.doc_id) for r in got if r.query_id == rows[q][0])
+        best = sorted((-round(s, search.DIGITS), rows[i][0] is not None, rows[i][0]) for s, i in scores)[:5]
+        assert [d for _, _, d in mine] == [d for _, _, d in best]
+        assert all(abs(m[1] + b[0]) < 1e-5 for m, b in zip(mine, best, strict=True))
+
+
 def test_search_query(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, "documents").orderBy("doc_id").collect()]
     got = queries.op6_search(spark, SF).collect()

@@ -36,19 +36,20 @@ from tidemark.session import written
 K1, B = 1.2, 0.75
 DOCS_PER_SHARD = 16384
 FIRST_SHARDS = 8  # of the first round
-SHARDS_PER_TASK, TASKS_PER_CORE = 4, 3
+# A task takes up to so many shards, as long as there are so many tasks for each core
+SHARDS_PER_TASK, TASKS_PER_CORE = 8, 2
 # Of a round with few shards, queries beyond this number go to further tasks with the shard's documents
 QUERIES_PER_TASK = 8192
-HELD_QUERIES = 32768  # a task never holds many more
+HELD_QUERIES = 65536  # a task never holds many more
 MAX_TASKS = 8192
 QUERIES_AT_ONCE = 128
 EXPANDED_AT_ONCE = 8
 RESCORED_AT_ONCE = 2048
-BLOCK = 64
+BLOCK = 32
 BLOCKS_AT_ONCE = 16
 GROUPS, GROUPED_BY, GROUPING_STEPS = 16, 512, 4
 # A term in more than this share of a group's documents is dense there
-FREQUENT = 0.07
+FREQUENT = 0.1
 DIGITS = 6
 SLACK = 2 * 10.0**-DIGITS  # scores that can be equal when rounded
 ROUNDING = 2.0**-23  # greatest relative error of a sum in single precision, for each of its terms, twice
@@ -91,7 +92,9 @@ class Held:
         df = np.concatenate(dfs)[first]
         self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         self.terms = np.concatenate([np.searchsorted(self.vocabulary, v).astype(np.int32)[p] for v, p in zip(known, place, strict=True)])
-        self.counts, self.starts = np.concatenate(counts), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        counts = np.concatenate(counts)
+        self.counts = counts.astype(np.min_scalar_type(counts.max(initial=0)))
+        self.starts = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
         self.best: dict[int, np.ndarray] = {}  # scores of a query's best so far, at most k
 
     def places(self, terms: np.ndarray) -> np.ndarray:
@@ -174,9 +177,11 @@ class Shard:
         rest = np.flatnonzero(where < 0)
         rest = rest[np.argsort(terms[rest], kind="stable")]
         self.starts = np.concatenate(([0], np.cumsum(np.bincount(terms[rest], minlength=known))))
-        self.column, self.value = column[doc[rest]], impact[rest] * held.idf[terms[rest]].astype(np.float32)
+        self.postings = np.empty((len(rest), 2), np.int32)  # column, and the bits of the value
+        self.postings[:, 0] = column[doc[rest]]
+        self.postings[:, 1] = (impact[rest] * held.idf[terms[rest]].astype(np.float32)).view(np.int32)
         self.weight = np.zeros(known)
-        self.room = np.empty(0, np.int64), np.empty(0, np.float32)
+        self.room = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _group(self, doc: np.ndarray, df: np.ndarray) -> np.ndarray:
         n = len(self.docs)
@@ -262,11 +267,12 @@ class Shard:
             ends = np.concatenate(([0], np.cumsum(size)))
             at = _expanded(begin, size)
             if len(at) > len(self.room[0]):
-                self.room = np.empty(len(at), np.int64), np.empty(len(at), np.float32)
-            column, value = (r[: len(at)] for r in self.room)
-            self.column.take(at, out=column, mode="clip")
-            self.value.take(at, out=value, mode="clip")
-            value *= np.repeat(counts[some].astype(np.float32), size)
+                self.room = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+            found, column = (r[: len(at)] for r in self.room)
+            self.postings.view(np.int64).reshape(-1).take(at, out=found, mode="clip")
+            column[:] = found.view(np.int32)[::2]
+            value = np.repeat(counts[some].astype(np.float32), size)
+            value *= found.view(np.float32)[1::2]
             for i in range(first, last):
                 mine = slice(ends[own[i] - own[first]], ends[own[i + 1] - own[first]])
                 np.add.at(sums[i], column[mine], value[mine])
@@ -305,13 +311,16 @@ class Gathered:
         self.pieces: list[tuple] = []
 
     def add(self, docs: pa.Array, texts: pa.Array) -> None:
-        self.docs.extend(docs.to_pylist())
+        names = docs.to_pylist()
         for first in range(0, len(texts), RESCORED_AT_ONCE):
             found = [terms_of(t) for t in texts[first : first + RESCORED_AT_ONCE].to_pylist()]
             place = self.held.places(np.concatenate([f[0] for f in found]))
             doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])[place >= 0]
             counts = np.concatenate([f[1] for f in found])[place >= 0].astype(np.int32)
-            self.pieces.append((place[place >= 0], counts, np.bincount(doc, minlength=len(found)), np.array([f[2] for f in found], np.float64)))
+            sizes = np.bincount(doc, minlength=len(found))
+            some = np.flatnonzero(sizes)  # no query finds the others
+            self.docs.extend(names[first + i] for i in some.tolist())
+            self.pieces.append((place[place >= 0], counts, sizes[some], np.array([f[2] for f in found], np.float64)[some]))
 
     def search(self, mean: float) -> Iterator[tuple[int, list, np.ndarray]]:
         terms, counts, sizes, lengths = (np.concatenate(c) for c in zip(*self.pieces, strict=True))
@@ -401,7 +410,7 @@ def search(
     low, high, best = 0, min(shards, FIRST_SHARDS), None
     while low < shards:
         parts = max(1, min(-(-known // QUERIES_PER_TASK), tasks // (high - low)), -(-known // HELD_QUERIES))
-        together = max(1, min(SHARDS_PER_TASK, (high - low) * parts // (TASKS_PER_CORE * cores)))
+        together = max(1, min(SHARDS_PER_TASK, (high - low) * parts // max(1, TASKS_PER_CORE * cores)))
         found = _round(rows, asked, best, low, high, parts, together, k, n, mean)
         found = found if best is None else best.select("query", "doc", "score").unionByName(found)
         best = found.withColumn("rank", rank).where(F.col("rank") <= k)
@@ -475,6 +484,9 @@ def _round(
                         held.finish()
                     gathered = gathered or Gathered(held)
                     gathered.add(some[2], some[3])
+                    if len(gathered.docs) >= 2 * DOCS_PER_SHARD:  # of rows with the same id and text, which one shard has
+                        yield from results()
+                        gathered = None
         if kinds:
             yield from results()
 
